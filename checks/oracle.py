@@ -18,9 +18,8 @@ PARTS = {
     "r0": f"""SELECT city, date, avg(pm10) * {PRICE_UNIT} AS pm10, avg(pm25) * {PRICE_UNIT} AS pm25,
         avg(o3) * {PRICE_UNIT} AS o3, avg(no2) * {PRICE_UNIT} AS no2, max(pm10) * {PRICE_UNIT} AS co
         FROM raw GROUP BY city, date""",
-    "bounds": "SELECT min(date) AS lo, max(date) AS hi FROM r0",
-    "grid": """SELECT c.city, CAST(d.day AS DATE) AS date FROM (SELECT DISTINCT city FROM r0) c,
-        (SELECT unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS day FROM bounds) d""",
+    "grid": """SELECT city, CAST(unnest(generate_series(min(date), max(date), INTERVAL 1 DAY)) AS DATE) AS date
+        FROM r0 GROUP BY city""",
     "r": """SELECT g.city, g.date, pm25, CASE WHEN dayofyear(g.date) % 11 < 3
         OR dayofyear(g.date) BETWEEN 100 AND 114 THEN NULL ELSE pm10 END AS pm10, o3, no2, co
         FROM grid g LEFT JOIN r0 ON g.city = r0.city AND g.date = r0.date""",
@@ -93,8 +92,7 @@ PARTS["targeted_clean"] = (
 # Which parts each part reads.
 NEEDS = {
     "r0": ["raw"],
-    "bounds": ["r0"],
-    "grid": ["bounds"],
+    "grid": ["r0"],
     "r": ["grid"],
     "points": ["r"],
     "neighbours": ["points"],

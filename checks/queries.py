@@ -11,6 +11,8 @@ from daymill.constants import MODEL_FEATURES, POLLUTANTS, READING_COLUMNS, WEATH
 from daymill.functions.calendar import calendar_columns
 from daymill.functions.weather import interaction_columns
 from daymill.operators import aggregate, incremental, joins, metrics, series, tables, topn, unnest
+from daymill.functions.text import model_name
+from daymill.models import seasonal, stacked, trees
 from daymill.operators.flights import clean_flights
 from daymill.plans import forecast, training, views
 from daymill.schemas import READING, hourly_response
@@ -488,7 +490,52 @@ def trial_select(spark, sf):
 
 @query
 def champion_select(spark, sf):
-    from daymill.functions.text import model_name
-
     runs = _trials(spark, sf, "test").withColumn("model", model_name(F.col("city"), F.col("horizon")))
     return metrics.best_by_error(runs, ["model"], "trial").select("model", "trial", "rmse", "mae", "r2")
+
+
+# Fitted models: no SQL form. Small parameter ranges keep the fits short; the rows are all used.
+
+SMALL_RANGES = {
+    "trees": (3, 6),
+    "learning_rate": (0.05, 0.3),
+    "depth": (2, 4),
+    "row_sample": (0.6, 1.0),
+    "column_sample": (0.6, 1.0),
+}
+
+
+@query
+def seasonal_fit(spark, sf):
+    cleaned = series.clean_series(s.readings(spark, sf).select("city", "date", "pm10"))
+    split = training.chrono_split(cleaned, **s.SPLIT)
+    coefficients = seasonal.fit_seasonal(split.filter("split = 'train'"))
+    scored = seasonal.predict_seasonal(split.filter("split <> 'train'"), coefficients)
+    return metrics.regression_metrics(scored, ["city", "split"], actual="pm10", predicted="seasonal")
+
+
+@query
+def tree_trials(spark, sf):
+    frame = workspace.materialize(_frame(spark, sf), "frame")
+    levels = trees.city_levels(frame.filter("split = 'train'"))
+    levelled = trees.with_levels(frame, levels)
+    vectors = trees.fit_inputs(levelled.filter("split = 'train'")).transform(levelled)
+    return trees.run_trials(vectors, [1, 7], trees.draw_trials(spark, 2, ranges=SMALL_RANGES))
+
+
+@query
+def stacked_forecast(spark, sf):
+    """Fit, evaluate, log the runs, choose champions, and forecast from the newest features."""
+    features = workspace.materialize(
+        training.feature_frame(s.readings(spark, sf), s.weather(spark, sf)), "features"
+    )
+    frame = training.chrono_split(series.add_targets(features), **s.SPLIT)
+    frame = workspace.materialize(frame, "frame")
+    params = {h: trees.TreeParams(trees=4, depth=3) for h in (1, 2, 3, 4, 5, 6, 7)}
+    forecaster = stacked.fit_stacked(frame, params)
+    path = workspace.new_path(spark, "forecaster")
+    forecaster.save(path)
+    log = workspace.new_path(spark, "runs")
+    sinks.append(stacked.run_rows(stacked.evaluate(forecaster, frame), params, 1, path), log)
+    champions = stacked.champions(spark.read.parquet(log))
+    return forecast.forecast(spark, features, champions, FORECAST_DAY)

@@ -86,7 +86,7 @@ def sparse_readings(spark, sf_dir) -> DataFrame:
 
 
 def _with_gaps(df: DataFrame) -> DataFrame:
-    """Dense grid with short gaps all over and one of 15 days a year, at every scale."""
+    """Dense daily grid, with injected short gaps and one of 15 days a year, at every scale."""
     day = F.dayofyear("date")
     gap = (day % 11 < 3) | day.between(100, 114)
     return densify(df).withColumn("pm10", F.when(~gap, F.col("pm10")))

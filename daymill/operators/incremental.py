@@ -1,10 +1,10 @@
 """Which days are missing, from a high-water mark or inside the covered range."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daymill.functions.calendar import days_after
-from daymill.operators.aggregate import date_bounds
+from daymill.operators.series import series_window
 
 
 def backfill_dates(marks: DataFrame, until) -> DataFrame:
@@ -17,28 +17,31 @@ def backfill_dates(marks: DataFrame, until) -> DataFrame:
     )
 
 
-def daily_grid(bounds: DataFrame) -> DataFrame:
-    """Every day from first_date to last_date of each city."""
-    return bounds.select("city", F.explode(F.sequence("first_date", "last_date")).alias("date"))
+def _next_date() -> Column:
+    return F.lead("date").over(series_window())
 
 
-def common_bounds(df: DataFrame) -> DataFrame:
-    """Each city with the first and last day over all cities."""
-    overall = df.agg(F.min("date").alias("lo"), F.max("date").alias("hi"))
-    return df.select("city").distinct().select(
-        "city",
-        overall.select("lo").scalar().alias("first_date"),
-        overall.select("hi").scalar().alias("last_date"),
-    )
-
+def densify(df: DataFrame) -> DataFrame:
+    """Readings on a dense daily grid from the first to the last day of each city: days without
+    a reading get null values. Expects one row per (city, date).
 
-def densify(df: DataFrame, common: bool = True) -> DataFrame:
-    """Readings on a dense daily grid: days without a reading get null values."""
-    bounds = common_bounds(df) if common else date_bounds(df)
-    return daily_grid(bounds).join(df, ["city", "date"], "left")
+    Each row stretches up to the day before the next one, so the data is read once and stays
+    partitioned by city for the series windows that follow; there is no grid to join to.
+    """
+    values = [c for c in df.columns if c not in ("city", "date")]
+    last_day = F.coalesce(F.date_sub("_next", 1), F.col("date"))
+    stretched = df.withColumn("_next", _next_date()).withColumn(
+        "_day", F.explode(F.sequence(F.col("date"), last_day))
+    )
+    own_day = F.col("_day") == F.col("date")
+    return stretched.select(
+        "city", F.col("_day").alias("date"), *[F.when(own_day, F.col(v)).alias(v) for v in values]
+    )
 
 
 def missing_days(df: DataFrame) -> DataFrame:
-    """Days without a reading between the first and last reading of each city."""
-    present = df.select("city", "date").filter("city is not null and date is not null")
-    return daily_grid(date_bounds(present)).join(present, ["city", "date"], "left_anti")
+    """Days without a reading between the first and last reading of each city. Copies of a day
+    are reduced before the series is ordered."""
+    days = df.select("city", "date").filter("city is not null and date is not null").distinct()
+    gap = days_after(F.col("date"), F.date_sub("_next", 1))
+    return days.withColumn("_next", _next_date()).select("city", F.explode(gap).alias("date"))

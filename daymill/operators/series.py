@@ -4,7 +4,6 @@ Contract: one row per (city, date), which the keyed tables guarantee. So a windo
 bounded by the calendar (a century of days is 36,525 rows) however large the raw data is and
 however uneven the cities are; raw copies were reduced by the aggregates before. All windows
 here share one partitioning and one order, so a chain of them costs one exchange and one sort.
-For series without that bound, see `positions.py`.
 """
 
 from pyspark.sql import Column, DataFrame, Window

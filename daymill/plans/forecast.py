@@ -1,10 +1,11 @@
 """From features to forecast rows."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daymill.constants import HORIZONS
 from daymill.functions.text import model_name
+from daymill.models.stacked import predict_with_champions
 from daymill.operators.joins import per_horizon
 from daymill.operators.topn import latest_row
 
@@ -35,3 +36,15 @@ def as_forecasts(scored: DataFrame) -> DataFrame:
         F.col("predicted").cast("double").alias("predicted"),
         F.lit(None).cast("double").alias("actual"),
     )
+
+
+def forecast(
+    spark: SparkSession, features: DataFrame, champions: DataFrame, forecast_date, horizons=HORIZONS
+) -> DataFrame:
+    """Forecast rows of every city with a champion, from its newest features."""
+    day = F.lit(forecast_date).cast("date")
+    scored = predict_with_champions(spark, latest_row(features), champions)
+    dated = scored.filter(F.col("horizon").isin(*horizons)).withColumns(
+        {"forecast_date": day, "target_date": F.date_add(day, F.col("horizon"))}
+    )
+    return as_forecasts(dated)
