@@ -240,15 +240,14 @@ def csv_clean(spark, sf):
 def path_metadata(spark, sf):
     path = workspace.new_path(spark, "by-city")
     sinks.land_documents(s.documents(spark, sf), path, by_city=True)
-    landed = landing.read_documents(spark, path, hourly_response(s.HOUR_VARIABLES))
-    return landing.list_objects(landed)
+    return landing.list_objects(spark, path)
 
 
 @query
 def list_dates(spark, sf):
     path = workspace.new_path(spark, "dates")
     sinks.land_documents(s.documents(spark, sf), path)
-    return landing.list_dates(landing.read_documents(spark, path, hourly_response(s.HOUR_VARIABLES)))
+    return landing.list_dates(spark, path)
 
 
 @query
@@ -526,10 +525,9 @@ def tree_trials(spark, sf):
 @query
 def stacked_forecast(spark, sf):
     """Fit, evaluate, log the runs, choose champions, and forecast from the newest features."""
-    features = workspace.materialize(
-        training.feature_frame(s.readings(spark, sf), s.weather(spark, sf)), "features"
-    )
-    frame = training.chrono_split(series.add_targets(features), **s.SPLIT)
+    readings = workspace.materialize(s.readings(spark, sf), "readings")
+    weather = workspace.materialize(s.weather(spark, sf), "weather")
+    frame = training.chrono_split(training.training_frame(readings, weather), **s.SPLIT)
     frame = workspace.materialize(frame, "frame")
     params = {h: trees.TreeParams(trees=4, depth=3) for h in (1, 2, 3, 4, 5, 6, 7)}
     forecaster = stacked.fit_stacked(frame, params)
@@ -538,4 +536,5 @@ def stacked_forecast(spark, sf):
     log = workspace.new_path(spark, "runs")
     sinks.append(stacked.run_rows(stacked.evaluate(forecaster, frame), params, 1, path), log)
     champions = stacked.champions(spark.read.parquet(log))
-    return forecast.forecast(spark, features, champions, FORECAST_DAY)
+    latest = training.latest_features(readings, weather)
+    return forecast.forecast(spark, latest, champions, FORECAST_DAY)

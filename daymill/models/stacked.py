@@ -1,6 +1,7 @@
 """Stacked forecaster: boosted trees and the seasonal model, blended per (city, horizon)."""
 
 from dataclasses import dataclass
+from functools import reduce
 from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import PipelineModel
@@ -125,14 +126,19 @@ def champions(runs: DataFrame) -> DataFrame:
     return best_by_error(runs, ["model"], "run_order")
 
 
-def predict_with_champions(spark: SparkSession, features: DataFrame, champion_rows: DataFrame) -> DataFrame:
+def predict_with_champions(
+    spark: SparkSession, features: DataFrame, champion_rows: DataFrame, horizons=HORIZONS
+) -> DataFrame:
     """Score each city and horizon with its champion. Every stored forecaster in use is loaded
-    once and scores only the cities and horizons it leads."""
+    once and scores only the cities and horizons it leads. Both frames are read once per
+    forecaster, so hand in stored ones."""
     paths = [r.path for r in champion_rows.select("path").distinct().collect()]
-    scored = None
+    if not paths:
+        raise ValueError("no champion to forecast with")
+    parts = []
     for path in paths:
         led = champion_rows.filter(F.col("path") == path).select(*KEYS)
         mine = features.join(led.select("city").distinct(), "city", "left_semi")
-        part = StackedForecaster.load(spark, path).predict(mine).join(led, KEYS, "left_semi")
-        scored = part if scored is None else scored.unionByName(part)
-    return scored
+        forecaster = StackedForecaster.load(spark, path, horizons)
+        parts.append(forecaster.predict(mine).join(led, KEYS, "left_semi"))
+    return reduce(DataFrame.unionByName, parts)

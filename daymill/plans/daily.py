@@ -9,13 +9,14 @@ from pyspark.sql import functions as F
 
 from daymill import schemas, workspace
 from daymill.constants import HORIZONS
-from daymill.operators.aggregate import daily_mean, last_per_key
+from daymill.operators.aggregate import daily_mean, high_water_mark_by, last_per_key
+from daymill.operators.incremental import backfill_dates
 from daymill.operators.tables import FORECAST_KEY, fill_actuals, upsert_forecasts
 from daymill.operators.unnest import unnest_hourly
 from daymill.plans.forecast import forecast
-from daymill.plans.training import feature_frame
+from daymill.plans.training import latest_features
 from daymill.sources.responses import flatten_readings, quarantined, usable
-from daymill.sources.sinks import append, ensure_table, merge_by_month, stored_by_month
+from daymill.sources.sinks import append, ensure_table, merge_by_month, month_number, stored_by_month
 
 
 @dataclass(frozen=True)
@@ -42,9 +43,9 @@ class Tables:
         """Forecasts made in the months from `start` to `end`; other months are not opened."""
         log = stored_by_month(spark, self.forecasts, schemas.FORECAST)
         if start is not None:
-            log = log.filter((F.col("year") * 12 + F.col("month")) >= start.year * 12 + start.month)
+            log = log.filter(month_number() >= start.year * 12 + start.month)
         if end is not None:
-            log = log.filter((F.col("year") * 12 + F.col("month")) <= end.year * 12 + end.month)
+            log = log.filter(month_number() <= end.year * 12 + end.month)
         return log.drop("year", "month")
 
 
@@ -97,6 +98,14 @@ def store_forecasts(spark: SparkSession, tables: Tables, new: DataFrame) -> int:
     return merge_by_month(spark, tables.forecasts, changed, FORECAST_KEY, "forecast_date")
 
 
+def pending_days(
+    spark: SparkSession, tables: Tables, cities: DataFrame, until, of_weather: bool = False
+) -> DataFrame:
+    """(city, date) still to be fetched up to `until`, counted per city."""
+    stored = tables.read_weather(spark) if of_weather else tables.read_readings(spark)
+    return backfill_dates(high_water_mark_by(stored, cities), until)
+
+
 def daily_run(
     spark: SparkSession,
     tables: Tables,
@@ -110,7 +119,7 @@ def daily_run(
     readings = load_readings(spark, tables, responses)
     load_weather(spark, tables, documents)
     store_actuals(spark, tables, readings)
-    features = feature_frame(tables.read_readings(spark), tables.read_weather(spark))
-    forecasts = workspace.materialize(forecast(spark, features, champions, forecast_date), "new")
+    latest = latest_features(tables.read_readings(spark), tables.read_weather(spark))
+    forecasts = workspace.materialize(forecast(spark, latest, champions, forecast_date), "new")
     store_forecasts(spark, tables, forecasts)
     return forecasts

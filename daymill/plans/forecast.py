@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from daymill import workspace
 from daymill.constants import HORIZONS
 from daymill.functions.text import model_name
 from daymill.models.stacked import predict_with_champions
@@ -39,12 +40,13 @@ def as_forecasts(scored: DataFrame) -> DataFrame:
 
 
 def forecast(
-    spark: SparkSession, features: DataFrame, champions: DataFrame, forecast_date, horizons=HORIZONS
+    spark: SparkSession, latest: DataFrame, champions: DataFrame, forecast_date, horizons=HORIZONS
 ) -> DataFrame:
     """Forecast rows of every city with a champion, from its newest features."""
     day = F.lit(forecast_date).cast("date")
-    scored = predict_with_champions(spark, latest_row(features), champions)
-    dated = scored.filter(F.col("horizon").isin(*horizons)).withColumns(
-        {"forecast_date": day, "target_date": F.date_add(day, F.col("horizon"))}
+    latest = workspace.materialize(latest, "latest")
+    champions = workspace.materialize(champions, "champions")
+    scored = predict_with_champions(spark, latest, champions, horizons)
+    return as_forecasts(
+        scored.withColumns({"forecast_date": day, "target_date": F.date_add(day, F.col("horizon"))})
     )
-    return as_forecasts(dated)

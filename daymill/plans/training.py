@@ -13,6 +13,7 @@ from daymill.operators.series import (
     add_targets,
     clean_series,
 )
+from daymill.operators.topn import latest_row
 
 
 def series_features(readings: DataFrame) -> DataFrame:
@@ -30,6 +31,11 @@ def feature_frame(readings: DataFrame, weather: DataFrame) -> DataFrame:
     return row_features(series_features(readings), weather)
 
 
+def latest_features(readings: DataFrame, weather: DataFrame) -> DataFrame:
+    """Features of the newest surviving row of each city; only those rows meet the weather."""
+    return row_features(latest_row(series_features(readings)), weather)
+
+
 def training_frame(readings: DataFrame, weather: DataFrame, horizons=HORIZONS) -> DataFrame:
     """Features and targets of all cities at once.
 

@@ -48,20 +48,22 @@ def read_landed(spark: SparkSession, root: str, schema: StructType, start=None,
     return df
 
 
-def list_dates(df: DataFrame) -> DataFrame:
-    """Distinct days present in a landed dataset, in order. Only folder columns are needed."""
-    return df.select(folder_day(df).alias("date")).distinct().orderBy("date")
+def _objects(spark: SparkSession, root: str, pattern: str) -> DataFrame:
+    """Files under a root. The content column is never asked for, so no file is opened."""
+    return spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(root)
 
 
-def list_objects(df: DataFrame) -> DataFrame:
+def list_dates(spark: SparkSession, root: str, pattern: str = "*.json") -> DataFrame:
+    """Distinct days present in a landed dataset, in order."""
+    files = _objects(spark, root, pattern)
+    return files.select(folder_day(files).alias("date")).distinct().orderBy("date")
+
+
+def list_objects(spark: SparkSession, root: str, pattern: str = "*.json") -> DataFrame:
     """Distinct (city, date) of a landed dataset, both taken from the file path."""
-    path = F.col("_metadata.file_path")
-    return (
-        df.select(path.alias("path"))
-        .distinct()
-        .select(key_city(F.col("path")).alias("city"), key_day(F.col("path")).alias("date"))
-        .distinct()
-    )
+    path = F.col("path")
+    files = _objects(spark, root, pattern).select("path")
+    return files.select(key_city(path).alias("city"), key_day(path).alias("date")).distinct()
 
 
 def read_history_csv(spark: SparkSession, path, city=None, delimiter: str = ",") -> DataFrame:

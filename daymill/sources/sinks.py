@@ -1,6 +1,6 @@
 """Writers. Each returns the number of rows written, counted during the write."""
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
@@ -60,9 +60,22 @@ def ensure_table(spark: SparkSession, path: str, schema: StructType) -> None:
     empty.write.mode("ignore").partitionBy("year", "month").parquet(path)
 
 
-def stored_by_month(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    months = [StructField("year", IntegerType()), StructField("month", IntegerType())]
-    return spark.read.schema(StructType([*schema.fields, *months])).parquet(path)
+def month_number() -> Column:
+    """Months since year 0, from the folder columns."""
+    return F.col("year") * 12 + F.col("month")
+
+
+def touched_months(rows: DataFrame) -> list[int]:
+    """Month numbers present in rows: at most twelve a year, whatever the rows."""
+    return [r.n for r in rows.select(month_number().alias("n")).distinct().collect() if r.n is not None]
+
+
+def stored_by_month(spark: SparkSession, path: str, schema: StructType, months=None) -> DataFrame:
+    """A month-partitioned table. With `months` (month numbers) other folders are not opened: a
+    literal filter on the folder columns prunes for sure, a join to the months only may."""
+    folders = [StructField("year", IntegerType()), StructField("month", IntegerType())]
+    stored = spark.read.schema(StructType([*schema.fields, *folders])).parquet(path)
+    return stored if months is None else stored.filter(month_number().isin(months))
 
 
 def merge_by_month(
@@ -71,13 +84,14 @@ def merge_by_month(
     """Replace-by-key into a stored table partitioned by month, rewriting only the months that
     the new rows touch. The rest of the table is neither read nor written.
 
-    The new rows are used twice (which months, which keys), so hand in a stored or cheap frame.
+    The new rows are read several times, so hand in a stored or cheap frame.
     Writers of one table must take turns.
     """
-    stored = stored_by_month(spark, path, new.schema)
     added = new.withColumns(month_columns(date))
-    touched = added.select("year", "month").distinct()
-    affected = stored.join(touched, ["year", "month"], "left_semi").select(*stored.columns)
+    months = touched_months(added)
+    if not months:
+        return 0
+    affected = stored_by_month(spark, path, new.schema, months)
     return write_partitioned(replace_by_key(affected, added, keys), path)
 
 

@@ -55,9 +55,8 @@ def test_layout_paths_and_pruning(spark, tmp_path):
         (folder / f"{city}.json").write_text(json.dumps({"hourly": {"time": ["2026-04-14T00:00"], "temperature_2m": [1.0]}}))
     root = str(tmp_path / "air")
     schema = schemas.hourly_response(["temperature_2m"])
-    df = landing.read_documents(spark, root, schema)
-    assert [r.date for r in landing.list_dates(df).collect()] == [date(2026, 4, 14), date(2026, 4, 15)]
-    got = sorted(tuple(r) for r in landing.list_objects(df).collect())
+    assert [r.date for r in landing.list_dates(spark, root).collect()] == [date(2026, 4, 14), date(2026, 4, 15)]
+    got = sorted(tuple(r) for r in landing.list_objects(spark, root).collect())
     assert got == [("Berlin", date(2026, 4, 14)), ("Berlin", date(2026, 4, 15)), ("New York", date(2026, 4, 15))]
     one = landing.read_landed(spark, root, schema, date(2026, 4, 15), date(2026, 4, 15))
     assert sorted(r.city for r in one.collect()) == ["Berlin", "New York"]

@@ -5,7 +5,7 @@ import pytest
 from daymill import schemas, workspace
 from daymill.operators import aggregate, incremental, tables, topn
 from daymill.sources import sinks
-from tests.helpers import daily
+from tests.helpers import daily, plan
 
 LOG = "city string, forecast_date date, target_date date, horizon int, predicted double, actual double"
 
@@ -115,6 +115,23 @@ def test_dynamic_overwrite_keeps_other_months(spark, tmp_path):
     assert stored(spark, path).count() == 3 + 29
 
 
+def test_merge_of_nothing(spark, tmp_path):
+    path = str(tmp_path / "table")
+    sinks.write_by_month(daily(spark, [1.0]), path)
+    assert sinks.merge_by_month(spark, path, daily(spark, [1.0]).filter("false")) == 0
+    assert sinks.write_by_month(daily(spark, [1.0]).filter("false"), path) == 0
+    assert sinks.append(daily(spark, []), str(tmp_path / "other")) == 0
+    assert stored(spark, path).count() == 1
+
+
+def test_merge_opens_only_touched_months(spark, tmp_path):
+    path = str(tmp_path / "table")
+    sinks.write_by_month(daily(spark, [1.0] * 60), path)
+    months = sinks.touched_months(daily(spark, [1.0]).selectExpr("year(date) year", "month(date) month"))
+    text = plan(sinks.stored_by_month(spark, path, daily(spark, []).schema, months))
+    assert "PartitionFilters: []" not in text and "PartitionFilters: [" in text
+
+
 def test_ensure_table_keeps_rows(spark, tmp_path):
     path = str(tmp_path / "table")
     schema = daily(spark, []).schema
