@@ -16,6 +16,7 @@ from pyspark.sql import SparkSession  # noqa: E402
 
 from checks import standins  # noqa: E402
 from checks.queries import QUERIES  # noqa: E402
+from daymill.session import configure  # noqa: E402
 from daymill.plans import training, views  # noqa: E402
 
 HEADLINE = [
@@ -51,10 +52,8 @@ def main():
     cpus = os.environ.get("BENCH_CPUS", "8")
     runs = int(os.environ.get("BENCH_RUNS", "2"))
     spark = (
-        SparkSession.builder.master(f"local[{cpus}]")
+        configure(SparkSession.builder.master(f"local[{cpus}]"), int(cpus))
         .appName("daymill-bench")
-        .config("spark.sql.shuffle.partitions", cpus)
-        .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", os.environ.get("BENCH_MEMORY", "12g"))
         .config("spark.ui.enabled", "false")
         .getOrCreate()

@@ -196,6 +196,15 @@ MART = sql(
     f"SELECT {shown(READING + ' ' + LAG_NAMES + ' ' + ROLL_NAMES + ' ' + STAGED_NAMES)} FROM"
     f" (SELECT f.*, {STAGED} FROM ({FEATURES}) f LEFT JOIN w ON f.city = w.city AND f.date = w.date)",
 )
+REFRESH = sql(
+    "r w",
+    f"""SELECT {shown(READING + ' ' + LAG_NAMES + ' ' + ROLL_NAMES + ' ' + STAGED_NAMES)} FROM (SELECT f.*, {STAGED}
+    FROM (SELECT * FROM (SELECT {FEATURES[7:-7]}, lo, hi,
+    sum(CASE WHEN date > hi THEN 1 ELSE 0 END) OVER (PARTITION BY city ORDER BY date) AS behind
+    FROM r JOIN (SELECT city AS changed_city, min(date) AS lo, max(date) AS hi FROM r0
+    WHERE year(date) = 2000 AND month(date) BETWEEN 5 AND 6 GROUP BY city) ON city = changed_city)
+    WHERE date >= lo AND behind <= 7) f LEFT JOIN w ON f.city = w.city AND f.date = w.date)""",
+)
 DAILY_MEAN = """SELECT date, city, avg(temperature_2m) AS temperature_2m, avg(relative_humidity_2m) AS relative_humidity_2m FROM h"""
 DAILY_NAMES = "@date city ~temperature_2m ~relative_humidity_2m"
 DAILY = sql("h", f"SELECT {shown(DAILY_NAMES)} FROM ({DAILY_MEAN} GROUP BY date, city)")
@@ -234,6 +243,7 @@ ORACLE = {
     "stg_weather": sql("w", f"SELECT {shown('city @date ' + STAGED_NAMES)} FROM (SELECT city, date, {STAGED} FROM w)"),
     "aq_weather_features": MART,
     "ml_features": MART,
+    "mart_refresh": REFRESH,
     "merge_weather": sql(
         "r w",
         f"SELECT {shown(READING + ' ' + WEATHER)} FROM (SELECT r.*, w.* EXCLUDE (city, date) FROM r LEFT JOIN w"

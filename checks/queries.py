@@ -78,6 +78,13 @@ def rolling_excl_full(spark, sf):
     return series.add_full_rolling_mean(s.readings(spark, sf)).select("city", "date", "pm10", "pm10_rolling_7d")
 
 
+@query
+def mart_refresh(spark, sf):
+    readings = s.readings(spark, sf)
+    changed = s.sparse_readings(spark, sf).filter("year(date) = 2000 and month(date) between 5 and 6")
+    return views.refresh_mart(readings, s.weather(spark, sf), changed)
+
+
 # Gaps, targets, features.
 
 

@@ -15,6 +15,7 @@ from daymill.operators.tables import FORECAST_KEY, fill_actuals, upsert_forecast
 from daymill.operators.unnest import unnest_hourly
 from daymill.plans.forecast import forecast
 from daymill.plans.training import latest_features
+from daymill.plans.views import refresh_mart
 from daymill.sources.responses import flatten_readings, quarantined, usable
 from daymill.sources.sinks import append, ensure_table, merge_by_month, month_number, stored_by_month
 
@@ -98,6 +99,15 @@ def store_forecasts(spark: SparkSession, tables: Tables, new: DataFrame) -> int:
     return merge_by_month(spark, tables.forecasts, changed, FORECAST_KEY, "forecast_date")
 
 
+def store_mart(spark: SparkSession, tables: Tables, mart: str, changed: DataFrame) -> int:
+    """Bring the stored mart up to date with changed readings. Row lags do not exist on streams,
+    so a stream of readings calls this for each batch it has merged."""
+    rows = refresh_mart(tables.read_readings(spark), tables.read_weather(spark), changed)
+    rows = workspace.materialize(rows, "mart")
+    ensure_table(spark, mart, rows.schema)
+    return merge_by_month(spark, mart, rows)
+
+
 def pending_days(
     spark: SparkSession, tables: Tables, cities: DataFrame, until, of_weather: bool = False
 ) -> DataFrame:

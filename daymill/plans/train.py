@@ -40,6 +40,7 @@ def train(
     run_order: int,
     trials: DataFrame | None = None,
     ends=(TRAIN_END, VALIDATION_END, META_END),
+    horizons=HORIZONS,
     parallelism: int = 2,
     seed: int = SEED,
 ) -> DataFrame:
@@ -49,9 +50,9 @@ def train(
     All cities of `readings` share the tree fits. Hand in the readings of one city to give that
     city fits of its own; the champion of each model is chosen over all runs in the log.
     """
-    frame = chrono_split(training_frame(readings, weather), *ends)
+    frame = chrono_split(training_frame(readings, weather, horizons), *ends)
     frame = workspace.materialize(frame, "frame")
-    params = tune(frame, HORIZONS, trials, parallelism)
+    params = tune(frame, horizons, trials, parallelism)
     forecaster = fit_stacked(frame, params, seed, parallelism)
     path = f"{models.rstrip('/')}/run={run_order}"
     forecaster.save(path)

@@ -15,6 +15,10 @@ SETTINGS = {
     "spark.sql.files.maxPartitionBytes": "256MB",
     # A write replaces the partitions it has rows for, never the whole table.
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # State of a stream lives on disk, not on the heap.
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 

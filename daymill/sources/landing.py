@@ -96,15 +96,16 @@ def read_parquet(spark: SparkSession, paths, schema: StructType) -> DataFrame:
     return spark.read.schema(schema).parquet(*paths)
 
 
-def read_partitioned(spark: SparkSession, root: str, start=None, end=None) -> DataFrame:
-    """A stored table partitioned by year and month (and day), restricted to a date range."""
-    return days_between(spark.read.parquet(root), _month_start(start), end).transform(
-        lambda df: df if start is None else df.filter(F.col("date") >= F.lit(start))
-    ).transform(lambda df: df if end is None else df.filter(F.col("date") <= F.lit(end)))
-
-
-def _month_start(day):
-    return None if day is None else day.replace(day=1)
+def read_partitioned(
+    spark: SparkSession, root: str, start=None, end=None, schema: StructType | None = None
+) -> DataFrame:
+    """A stored table partitioned by year and month (and day), restricted to a date range.
+    `schema` includes the folder columns; without it the file footers give the types."""
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    df = days_between(reader.parquet(root), start and start.replace(day=1), end)
+    if start is not None:
+        df = df.filter(F.col("date") >= F.lit(start))
+    return df if end is None else df.filter(F.col("date") <= F.lit(end))
 
 
 def read_jdbc_table(spark: SparkSession, url: str, table: str, properties: dict, bounds=None) -> DataFrame:

@@ -35,19 +35,22 @@ def stream_daily_mean(
     )
 
 
-def run_available(means: DataFrame, path: str, state: str) -> None:
+def run_available(means: DataFrame, path: str, state: str, after=None) -> None:
     """Take everything that has landed, then stop. Rerunning a batch gives the same table, since
-    replacing by key is idempotent."""
+    replacing by key is idempotent. `after(rows)` runs on the stored rows of each merged batch,
+    for instance to refresh features that depend on them."""
     ensure_table(means.sparkSession, path, means.schema)
+
+    def merge(batch: DataFrame, _) -> None:
+        rows = workspace.materialize(batch, "batch")
+        if merge_by_month(batch.sparkSession, path, rows) and after:
+            after(rows)
+
     (
         means.writeStream.outputMode("update")
-        .foreachBatch(lambda batch, _: _merge(batch, path))
+        .foreachBatch(merge)
         .option("checkpointLocation", state)
         .trigger(availableNow=True)
         .start()
         .awaitTermination()
     )
-
-
-def _merge(batch: DataFrame, path: str) -> None:
-    merge_by_month(batch.sparkSession, path, workspace.materialize(batch, "batch"))

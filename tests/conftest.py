@@ -10,11 +10,11 @@ sys.path.insert(0, ROOT)
 
 @pytest.fixture(scope="session")
 def spark():
+    from daymill.session import configure
+
     session = (
-        SparkSession.builder.master("local[8]")
+        configure(SparkSession.builder.master("local[8]"), 4)
         .appName("daymill-tests")
-        .config("spark.sql.shuffle.partitions", "4")
-        .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
         .getOrCreate()

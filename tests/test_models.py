@@ -153,3 +153,25 @@ def test_daily_run_over_stored_tables(spark, tmp_path):
     ).select("city", "r.hourly")
     assert plan.load_weather(spark, tables, docs).count() == 1
     assert tables.read_weather(spark).first().temperature_2m == 2.0
+
+
+def test_train_and_forecast(spark, tmp_path):
+    """Two runs in the log; the champions forecast every city and horizon from its newest row."""
+    from daymill.plans.forecast import forecast
+    from daymill.plans.train import train
+
+    readings, weather = inputs(spark)
+    ends = (date(2021, 12, 31), date(2022, 6, 30), date(2022, 12, 31))
+    ranges = {"trees": (2, 4), "learning_rate": (0.1, 0.3), "depth": (2, 3), "row_sample": (0.6, 1.0), "column_sample": (0.6, 1.0)}
+    models, runs = str(tmp_path / "models"), str(tmp_path / "runs")
+    arguments = dict(trials=trees.draw_trials(spark, 2, ranges=ranges), ends=ends, horizons=[1])
+    train(spark, readings, weather, models, runs, 1, **arguments)
+    train(spark, readings.filter("city = 'A'"), weather, models, runs, 2, **arguments)
+    log = spark.read.schema(schemas.MODEL_RUN).parquet(runs)
+    assert sorted((r.model, r.run_order) for r in log.collect()) == [("pm10_a_1d", 1), ("pm10_a_1d", 2), ("pm10_b_1d", 1)]
+    best = stacked.champions(log)
+    assert {r.model for r in best.collect()} == {"pm10_a_1d", "pm10_b_1d"}
+    latest = training.latest_features(readings, weather)
+    rows = forecast(spark, latest, best, date(2023, 6, 1), [1]).collect()
+    assert sorted((r.city, r.horizon, r.target_date) for r in rows) == [("A", 1, date(2023, 6, 2)), ("B", 1, date(2023, 6, 2))]
+    assert all(math.isfinite(r.predicted) for r in rows)

@@ -175,3 +175,29 @@ def test_workspace_needs_a_shared_folder_on_a_cluster(spark, monkeypatch):
 
     with pytest.raises(ValueError):
         workspace.root(Fake)
+
+
+def test_stream_feeds_the_table_and_its_followers(spark, tmp_path):
+    from datetime import datetime
+
+    from daymill.streaming import daily as stream
+
+    folder, table, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    hour = "city string, timestamp timestamp, temperature_2m double"
+    schema = spark.createDataFrame([], hour).schema
+    batches = []
+
+    def run():
+        means = stream.stream_daily_mean(stream.hour_stream(spark, folder, schema), ["temperature_2m"])
+        stream.run_available(means, table, state, after=lambda rows: batches.append(rows.count()))
+
+    def land(*rows):
+        spark.createDataFrame(list(rows), hour).coalesce(1).write.mode("append").parquet(folder)
+
+    land(("A", datetime(2024, 1, 1, 5), 1.0), ("A", datetime(2024, 1, 1, 6), 3.0), ("B", datetime(2024, 1, 1, 6), 9.0))
+    run()
+    land(("A", datetime(2024, 1, 1, 6), 50.0), ("A", datetime(2024, 1, 1, 7), 5.0), ("A", datetime(2024, 1, 2, 7), 7.0))
+    run()
+    got = sorted((r.city, r.date, r.temperature_2m) for r in spark.read.parquet(table).collect())
+    assert got == [("A", D(1), 3.0), ("A", D(2), 7.0), ("B", D(1), 9.0)]
+    assert batches == [2, 2]
