@@ -319,7 +319,7 @@ ORACLE = {
         round((lastSeen - firstSeen) / 60.0, 4) + 0.0 AS duration_minutes,
         CAST(year(make_timestamp(firstSeen * 1000000)) AS BIGINT) AS year,
         CAST(month(make_timestamp(firstSeen * 1000000)) AS BIGINT) AS month
-        FROM (SELECT *, row_number() OVER (PARTITION BY icao24, firstSeen ORDER BY event_id) AS place FROM ({FLIGHTS})
+        FROM (SELECT *, row_number() OVER (PARTITION BY icao24, firstSeen ORDER BY estDepartureAirport, lastSeen, callsign) AS place FROM ({FLIGHTS})
         WHERE estDepartureAirport IS NOT NULL AND icao24 IS NOT NULL AND firstSeen IS NOT NULL AND lastSeen IS NOT NULL)
         WHERE place = 1""",
     "dedup_latest": f"""SELECT icao24, CAST(day AS VARCHAR) AS day, event_id, firstSeen, lastSeen FROM (SELECT *,

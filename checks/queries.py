@@ -15,7 +15,7 @@ from daymill.functions.text import model_name
 from daymill.models import seasonal, stacked, trees
 from daymill.operators.flights import clean_flights
 from daymill.plans import forecast, training, views
-from daymill.schemas import READING, hourly_response
+from daymill.schemas import FLIGHT, READING, hourly_response
 from daymill.sources import landing, responses, sinks
 from daymill.streaming import daily
 
@@ -201,9 +201,13 @@ def stream_daily_mean(spark, sf):
 
 @query
 def flights_silver(spark, sf):
+    path = workspace.new_path(spark, "flights")
+    flights = s.flights(spark, sf).drop("event_id")
+    sinks.land_documents(flights.withColumn("date", F.to_date(F.timestamp_seconds("firstSeen"))), path)
+    landed = landing.read_landed(spark, path, FLIGHT).select(*FLIGHT.names)
     columns = ["icao24", "estDepartureAirport", "callsign", "firstSeen_ts", "lastSeen_ts",
                "duration_minutes", "year", "month"]
-    return clean_flights(s.flights(spark, sf), order=[F.col("event_id")]).select(*columns)
+    return clean_flights(landed).select(*columns)
 
 
 @query

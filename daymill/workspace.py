@@ -27,9 +27,23 @@ def root(spark: SparkSession) -> str:
     return _own_roots[context.applicationId]
 
 
+def run_root(spark: SparkSession) -> str:
+    """This application's own folder below the root."""
+    return f"{root(spark).rstrip('/')}/daymill-{spark.sparkContext.applicationId}"
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     """A path that nothing else uses, so a retry never meets half-written files."""
-    return f"{root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return f"{run_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def clear(spark: SparkSession) -> None:
+    """Delete what this application has put into the shared folder. Call it when no DataFrame
+    that reads from there is needed any more; saved tables and models live elsewhere."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(run_root(spark))
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.delete(folder, True)
 
 
 def use_checkpoints(spark: SparkSession) -> None:
