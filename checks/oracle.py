@@ -308,6 +308,7 @@ ORACLE = {
     ),
     "daily_mean": DAILY,
     "stream_daily_mean": DAILY,
+    "stream_hours": DAILY,
     "partition_pruned_scan": sql(
         "h",
         f"SELECT {shown(DAILY_NAMES)} FROM ({DAILY_MEAN} WHERE date BETWEEN DATE '2024-01-10' AND DATE '2024-01-20'"

@@ -181,24 +181,32 @@ def daily_mean(spark, sf):
     return aggregate.daily_mean(s.hours(spark, sf), s.HOUR_VARIABLES)
 
 
-@query
-def stream_daily_mean(spark, sf):
-    path = workspace.new_path(spark, "stream-daily")
-    hours = daily.hour_stream(
-        spark, sf, "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double",
-        only="events.parquet",
-    ).select(
+def _hour_stream(spark, sf):
+    events = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double"
+    return daily.hour_stream(spark, sf, events, only="events.parquet").select(
         "event_id",
         F.col("event_type").alias("city"),
         F.col("ts").cast("timestamp").alias("timestamp"),
         (F.col("value") * s.UNIT).alias("temperature_2m"),
         (F.col("user_id") * s.USER_UNIT).alias("relative_humidity_2m"),
     )
-    means = daily.stream_daily_mean(hours, s.HOUR_VARIABLES, identity=("event_id",))
+
+
+@query
+def stream_daily_mean(spark, sf):
+    path = workspace.new_path(spark, "stream-daily")
+    means = daily.stream_daily_mean(_hour_stream(spark, sf), s.HOUR_VARIABLES, identity=("event_id",))
     daily.run_available(means, path, workspace.new_path(spark, "stream-state"))
     return spark.read.parquet(path).drop("year", "month")
 
 
+@query
+def stream_hours(spark, sf):
+    hourly, path, state = (workspace.new_path(spark, n) for n in ("stream-hours", "stream-means", "stream-state"))
+    daily.run_hours(_hour_stream(spark, sf), s.HOUR_VARIABLES, hourly, path, state, identity=("event_id",))
+    return spark.read.parquet(path).drop("year", "month")
+
+
 @query
 def flights_silver(spark, sf):
     path = workspace.new_path(spark, "flights")

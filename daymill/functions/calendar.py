@@ -41,11 +41,6 @@ def days_after(start: Column, end: Column) -> Column:
     return F.when(start < end, F.sequence(F.date_add(start, 1), end))
 
 
-def month_columns(date: str = "date") -> dict[str, Column]:
-    """Storage partition columns."""
-    return {"year": F.year(date), "month": F.month(date)}
-
-
 def split_name(train_end, validation_end, meta_end, date: str = "date") -> Column:
     """Which chronological split a day belongs to; every non-null day has exactly one."""
     d = F.col(date)

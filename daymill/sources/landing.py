@@ -4,6 +4,8 @@ Layout of a landed dataset: <root>/year=YYYY/month=MM/day=DD/<city>.json. The fo
 partition columns, so a date range prunes folders before any file is opened.
 """
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -70,11 +72,13 @@ def read_history_csv(spark: SparkSession, path, city=None, delimiter: str = ",")
     """Historical readings: padded header names, blank cells as null, several day formats.
 
     `city` is a name, or a Column over the file path; without it the file must carry the column.
+    Files read together must have the same header: a different one is an error, not a mix-up.
     """
     raw = (
         spark.read.option("header", True)
         .option("sep", delimiter)
         .option("inferSchema", False)
+        .option("enforceSchema", False)
         .csv(path)
     )
     raw = raw.toDF(*[name.strip() for name in raw.columns])
@@ -90,6 +94,13 @@ def read_history_csv(spark: SparkSession, path, city=None, delimiter: str = ",")
     ).select(*READING_COLUMNS)
 
 
+def read_history(spark: SparkSession, files: dict[str, str]) -> DataFrame:
+    """Historical readings of several cities, given as {city: path}."""
+    return reduce(
+        DataFrame.unionByName, [read_history_csv(spark, path, city) for city, path in files.items()]
+    )
+
+
 def read_parquet(spark: SparkSession, paths, schema: StructType) -> DataFrame:
     """Many Parquet files or folders as one table, under one schema."""
     paths = [paths] if isinstance(paths, str) else list(paths)

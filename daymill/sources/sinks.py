@@ -4,7 +4,6 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
-from daymill.functions.calendar import month_columns
 from daymill.operators.tables import replace_by_key
 
 
@@ -32,8 +31,17 @@ def write_partitioned(
     )
 
 
-def write_by_month(df: DataFrame, path: str, date: str = "date") -> int:
-    return write_partitioned(df.withColumns(month_columns(date)), path)
+MONTH = ("year", "month")
+DAY = ("year", "month", "day")
+
+
+def with_folders(df: DataFrame, date: str = "date", by=MONTH) -> DataFrame:
+    parts = {"year": F.year(date), "month": F.month(date), "day": F.dayofmonth(date)}
+    return df.withColumns({name: parts[name] for name in by})
+
+
+def write_by_month(df: DataFrame, path: str, date: str = "date", by=MONTH) -> int:
+    return write_partitioned(with_folders(df, date, by), path, by)
 
 
 def land_documents(df: DataFrame, path: str, date: str = "date", by_city: bool = False) -> int:
@@ -52,12 +60,12 @@ def write_new(df: DataFrame, path: str) -> int:
     return _counted(df, lambda out: out.write.mode("errorifexists").parquet(path))
 
 
-def ensure_table(spark: SparkSession, path: str, schema: StructType) -> None:
-    """An empty month-partitioned table, unless something is stored there already."""
-    empty = spark.createDataFrame([], schema).withColumns(
-        {"year": F.lit(None).cast("int"), "month": F.lit(None).cast("int")}
-    )
-    empty.write.mode("ignore").partitionBy("year", "month").parquet(path)
+def ensure_table(spark: SparkSession, path: str, schema: StructType, by=MONTH) -> None:
+    """An empty partitioned table, unless something is stored there already."""
+    empty = spark.createDataFrame([], schema)
+    for name in by:
+        empty = empty.withColumn(name, F.lit(None).cast("int"))
+    empty.write.mode("ignore").partitionBy(*by).parquet(path)
 
 
 def month_number() -> Column:
@@ -65,34 +73,42 @@ def month_number() -> Column:
     return F.col("year") * 12 + F.col("month")
 
 
-def touched_months(rows: DataFrame) -> list[int]:
-    """Month numbers present in rows: at most twelve a year, whatever the rows."""
-    return [r.n for r in rows.select(month_number().alias("n")).distinct().collect() if r.n is not None]
+def folder_number(by=MONTH) -> Column:
+    """One whole number per folder of a table partitioned by month or by day."""
+    return month_number() * 32 + F.col("day") if "day" in by else month_number()
+
+
+def touched_folders(rows: DataFrame, by=MONTH) -> list[int]:
+    """Folders that rows belong to: at most one per day of the calendar, whatever the rows."""
+    numbers = rows.select(folder_number(by).alias("n")).filter("n is not null").distinct()
+    return [r.n for r in numbers.collect()]
 
 
-def stored_by_month(spark: SparkSession, path: str, schema: StructType, months=None) -> DataFrame:
-    """A month-partitioned table. With `months` (month numbers) other folders are not opened: a
-    literal filter on the folder columns prunes for sure, a join to the months only may."""
-    folders = [StructField("year", IntegerType()), StructField("month", IntegerType())]
-    stored = spark.read.schema(StructType([*schema.fields, *folders])).parquet(path)
-    return stored if months is None else stored.filter(month_number().isin(months))
+def stored_by_month(
+    spark: SparkSession, path: str, schema: StructType, folders=None, by=MONTH
+) -> DataFrame:
+    """A table partitioned by month (or day). With `folders` (folder numbers) others are not
+    opened: a literal filter on the folder columns prunes for sure, a join to them only may."""
+    columns = [StructField(name, IntegerType()) for name in by]
+    stored = spark.read.schema(StructType([*schema.fields, *columns])).parquet(path)
+    return stored if folders is None else stored.filter(folder_number(by).isin(folders))
 
 
 def merge_by_month(
-    spark: SparkSession, path: str, new: DataFrame, keys=("city", "date"), date: str = "date"
+    spark: SparkSession, path: str, new: DataFrame, keys=("city", "date"), date: str = "date", by=MONTH
 ) -> int:
-    """Replace-by-key into a stored table partitioned by month, rewriting only the months that
-    the new rows touch. The rest of the table is neither read nor written.
+    """Replace-by-key into a stored table partitioned by month (or day), rewriting only the
+    folders that the new rows touch. The rest of the table is neither read nor written.
 
-    The new rows are read several times, so hand in a stored or cheap frame.
-    Writers of one table must take turns.
+    The new rows are read several times, so hand in a stored or cheap frame. Writers of one
+    table must take turns.
     """
-    added = new.withColumns(month_columns(date))
-    months = touched_months(added)
-    if not months:
+    added = with_folders(new, date, by)
+    folders = touched_folders(added, by)
+    if not folders:
         return 0
-    affected = stored_by_month(spark, path, new.schema, months)
-    return write_partitioned(replace_by_key(affected, added, keys), path)
+    affected = stored_by_month(spark, path, new.schema, folders, by)
+    return write_partitioned(replace_by_key(affected, added, keys), path, by)
 
 
 def append(df: DataFrame, path: str) -> int:

@@ -1,14 +1,25 @@
-"""Landing to daily means as a file stream.
+"""Landing to daily means as a file stream. Each run takes what has landed since the last one.
 
-Each run takes what has landed since the last one. A micro-batch carries the full new mean of
-every day it touched, and replaces exactly those (city, date) rows in the daily table.
+Two forms. `stream_daily_mean` keeps means as streaming state under a watermark. `run_hours`
+keeps the hours in a table instead: corrections replace earlier values, hours count however late
+they come, and repeats of one hour are reduced inside each task before the shuffle, where the
+state of a stream would send them all to one.
 """
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, DoubleType, StructField, StructType
 
 from daymill import workspace
-from daymill.sources.sinks import ensure_table, merge_by_month
+from daymill.operators.aggregate import daily_mean, last_per_key
+from daymill.sources.sinks import (
+    DAY,
+    ensure_table,
+    merge_by_month,
+    stored_by_month,
+    touched_folders,
+    with_folders,
+)
 
 
 def hour_stream(spark: SparkSession, folder: str, schema, only: str | None = None) -> DataFrame:
@@ -54,3 +65,49 @@ def run_available(means: DataFrame, path: str, state: str, after=None) -> None:
         .start()
         .awaitTermination()
     )
+
+
+def run_hours(
+    hours: DataFrame,
+    values,
+    hourly: str,
+    path: str,
+    state: str,
+    identity=("city", "timestamp"),
+    latest: str | None = None,
+    after=None,
+) -> None:
+    """Merge landed hours into the hourly table (by day), then replace the daily means of the
+    (city, date) they touched. Of repeats in one batch the largest `latest` wins, then the
+    largest row; a later batch always wins over an earlier one."""
+    spark = hours.sparkSession
+    columns = list(dict.fromkeys([*identity, "city", "timestamp", *values]))
+    order = [F.col(c) for c in ([latest] if latest else []) + columns]
+
+    def merge(batch: DataFrame, _) -> None:
+        keyed = batch.dropna(subset=[*identity, "city", "timestamp"])
+        rows = last_per_key(keyed, identity, order).select(*columns, F.to_date("timestamp").alias("date"))
+        rows = workspace.materialize(rows, "hours")
+        if not merge_by_month(spark, hourly, rows, identity, "date", DAY):
+            return
+        days = rows.select("city", "date").distinct()
+        folders = touched_folders(with_folders(rows, "date", DAY), DAY)
+        stored = stored_by_month(spark, hourly, rows.schema, folders, DAY)
+        touched = stored.join(days, ["city", "date"], "left_semi")
+        means = workspace.materialize(daily_mean(touched, values), "means")
+        merge_by_month(spark, path, means)
+        if after:
+            after(means)
+
+    fields = {f.name: f for f in hours.schema}
+    hour_schema = StructType([*[fields[c] for c in columns], StructField("date", DateType())])
+    ensure_table(spark, hourly, hour_schema, DAY)
+    mean_fields = [StructField(v, DoubleType()) for v in values]
+    ensure_table(spark, path, StructType([StructField("date", DateType()), fields["city"], *mean_fields]))
+    (
+        hours.writeStream.foreachBatch(merge)
+        .option("checkpointLocation", state)
+        .trigger(availableNow=True)
+        .start()
+        .awaitTermination()
+    )

@@ -57,3 +57,16 @@ def test_no_python_in_expressible_operators(spark, sf_dir):
     for name in ("training_frame", "aq_weather_features", "stack_blend_fit", "update_actuals", "hourly_unnest"):
         text = plan(QUERIES[name](spark, sf_dir))
         assert "Python" not in text and "CartesianProduct" not in text and "NestedLoop" not in text, name
+
+
+def test_hot_keys_are_reduced_before_the_shuffle(spark):
+    from daymill.operators import aggregate, metrics
+
+    df = daily(spark, [1.0, 2.0])
+    for reduced in (
+        aggregate.last_per_key(df, ["city"], [df.date]),
+        metrics.regression_metrics(df, ["city"], "pm10", "pm10"),
+        metrics.fit_blend(df, ["city"], "pm10", "pm10", "pm10"),
+    ):
+        text = plan(reduced)
+        assert text.index("Exchange") < text.index("partial_")

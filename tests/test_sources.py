@@ -1,6 +1,7 @@
 import json
 from datetime import date, datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from daymill import schemas
@@ -21,6 +22,15 @@ def test_csv_blanks_and_padded_header(spark, tmp_path):
         "date": date(2024, 1, 5), "city": "Berlin", "pm25": 46.0, "pm10": None, "o3": None, "no2": None, "co": 0.1
     }
     assert rows[1].date == date(2024, 1, 6) and rows[1].co is None
+    both = landing.read_history(spark, {"Berlin": str(path), "Paris": str(path)})
+    assert sorted(r.city for r in both.collect()) == ["Berlin"] * 2 + ["Paris"] * 2
+
+
+def test_csv_files_with_other_headers_are_refused(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("date,pm25,pm10,o3,no2,co\n2024-01-05,1,2,3,4,5\n")
+    (tmp_path / "b.csv").write_text("date,pm10,pm25,o3,no2,co\n2024-01-05,2,1,3,4,5\n")
+    with pytest.raises(Exception, match="header"):
+        landing.read_history_csv(spark, str(tmp_path), "Berlin").collect()
 
 
 def test_ragged_arrays(spark):

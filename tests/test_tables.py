@@ -127,7 +127,7 @@ def test_merge_of_nothing(spark, tmp_path):
 def test_merge_opens_only_touched_months(spark, tmp_path):
     path = str(tmp_path / "table")
     sinks.write_by_month(daily(spark, [1.0] * 60), path)
-    months = sinks.touched_months(daily(spark, [1.0]).selectExpr("year(date) year", "month(date) month"))
+    months = sinks.touched_folders(sinks.with_folders(daily(spark, [1.0])))
     text = plan(sinks.stored_by_month(spark, path, daily(spark, []).schema, months))
     assert "PartitionFilters: []" not in text and "PartitionFilters: [" in text
 
@@ -201,3 +201,30 @@ def test_stream_feeds_the_table_and_its_followers(spark, tmp_path):
     got = sorted((r.city, r.date, r.temperature_2m) for r in spark.read.parquet(table).collect())
     assert got == [("A", D(1), 3.0), ("A", D(2), 7.0), ("B", D(1), 9.0)]
     assert batches == [2, 2]
+
+
+def test_hours_correct_themselves_and_late_ones_count(spark, tmp_path):
+    from datetime import datetime
+
+    from daymill.streaming import daily as stream
+
+    folder, hourly, table, state = (str(tmp_path / n) for n in ("in", "hourly", "out", "state"))
+    schema = spark.createDataFrame([], "city string, timestamp timestamp, landed int, temperature_2m double").schema
+    touched = []
+
+    def run():
+        stream.run_hours(
+            stream.hour_stream(spark, folder, schema), ["temperature_2m"], hourly, table, state,
+            latest="landed", after=lambda rows: touched.append(rows.count()),
+        )
+
+    def land(*rows):
+        spark.createDataFrame(list(rows), schema).coalesce(1).write.mode("append").parquet(folder)
+
+    land(("A", datetime(2024, 3, 1, 5), 1, 1.0), ("A", datetime(2024, 3, 1, 6), 1, 3.0), ("B", datetime(2024, 3, 1, 6), 1, 9.0))
+    run()
+    land(("A", datetime(2024, 3, 1, 6), 2, 5.0), ("A", datetime(2024, 3, 1, 6), 1, 4.0), ("A", datetime(2024, 1, 1, 7), 2, 7.0))
+    run()
+    got = sorted((r.city, r.date, r.temperature_2m) for r in spark.read.parquet(table).collect())
+    assert got == [("A", D(1), 7.0), ("A", date(2024, 3, 1), 3.0), ("B", date(2024, 3, 1), 9.0)]
+    assert touched == [2, 2]
