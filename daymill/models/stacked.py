@@ -80,7 +80,9 @@ def fit_stacked(
     train = frame.filter("split = 'train'")
     levels = workspace.materialize(city_levels(train), "levels")
     inputs = fit_inputs(with_levels(train, levels))
-    vectors = inputs.transform(with_levels(train, levels))
+    labels = [target_name(h) for h in params]
+    vectors = inputs.transform(with_levels(train, levels)).select("features", *labels)
+    vectors = workspace.materialize(vectors, "vectors")
     with ThreadPool(parallelism) as pool:
         fits = pool.map(lambda h: (h, fit_trees(vectors, h, params[h], seed)), sorted(params))
     seasonal = workspace.materialize(fit_seasonal(train), "seasonal")

@@ -72,11 +72,22 @@ def register(spark: SparkSession, readings: DataFrame, weather: DataFrame) -> Da
     return mart
 
 
-def save_mart(readings: DataFrame, weather: DataFrame, table: str) -> None:
-    """Store the mart as a table, partitioned by month like the stored readings."""
-    mart = ml_features(readings, weather).withColumns(
-        {"year": F.year("date"), "month": F.month("date")}
-    )
-    mart.hint("rebalance", "year", "month").write.mode("overwrite").partitionBy(
-        "year", "month"
-    ).saveAsTable(table)
+def save_layers(
+    readings: DataFrame, weather: DataFrame, prefix: str = "", folder: str | None = None
+) -> DataFrame:
+    """Store each layer as a table partitioned by month, every layer built from the stored one
+    below it; returns the mart. `folder` puts the tables' files there."""
+
+    def save(df: DataFrame, name: str) -> DataFrame:
+        table = f"{prefix}{name}"
+        dated = df.withColumns({"storage_year": F.year("date"), "storage_month": F.month("date")})
+        writer = dated.hint("rebalance", "storage_year", "storage_month").write.mode("overwrite")
+        if folder:
+            writer = writer.option("path", f"{folder}/{name}")
+        writer.partitionBy("storage_year", "storage_month").saveAsTable(table)
+        return df.sparkSession.table(table).select(*df.columns)
+
+    staged = save(stg_air_quality(readings), "stg_air_quality")
+    staged_weather = save(stg_weather(weather), "stg_weather")
+    joined = save(merge_weather(_featured(staged), staged_weather), "int_aq_features")
+    return save(joined, "ml_features")

@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
-from daymill.operators.tables import replace_by_key
+from daymill.operators.tables import replace_by_key, replace_series
 
 
 def _counted(df: DataFrame, write) -> int:
@@ -78,10 +78,10 @@ def folder_number(by=MONTH) -> Column:
     return month_number() * 32 + F.col("day") if "day" in by else month_number()
 
 
-def touched_folders(rows: DataFrame, by=MONTH) -> list[int]:
-    """Folders that rows belong to: at most one per day of the calendar, whatever the rows."""
-    numbers = rows.select(folder_number(by).alias("n")).filter("n is not null").distinct()
-    return [r.n for r in numbers.collect()]
+def touched_folders(rows: DataFrame, by=MONTH) -> list[int | None]:
+    """Folders that rows belong to, None for rows without a date: at most one per day of the
+    calendar, whatever the rows."""
+    return [r.n for r in rows.select(folder_number(by).alias("n")).distinct().collect()]
 
 
 def stored_by_month(
@@ -91,7 +91,11 @@ def stored_by_month(
     opened: a literal filter on the folder columns prunes for sure, a join to them only may."""
     columns = [StructField(name, IntegerType()) for name in by]
     stored = spark.read.schema(StructType([*schema.fields, *columns])).parquet(path)
-    return stored if folders is None else stored.filter(folder_number(by).isin(folders))
+    if folders is None:
+        return stored
+    number = folder_number(by)
+    chosen = number.isin([n for n in folders if n is not None])
+    return stored.filter(chosen | number.isNull() if None in folders else chosen)
 
 
 def merge_by_month(
@@ -111,5 +115,17 @@ def merge_by_month(
     return write_partitioned(replace_by_key(affected, added, keys), path, by)
 
 
+def rewrite_series(spark: SparkSession, path: str, new: DataFrame, new_path: str) -> int:
+    """Next version of a month-partitioned table in which the cities of `new` have exactly its
+    rows. It goes to a path of its own: a month that only the replaced series had would survive
+    an overwrite in place."""
+    stored = stored_by_month(spark, path, new.schema).drop(*MONTH)
+    out = with_folders(replace_series(stored, new))
+    return _counted(
+        out.hint("rebalance", *MONTH),
+        lambda rows: rows.write.mode("errorifexists").partitionBy(*MONTH).parquet(new_path),
+    )
+
+
 def append(df: DataFrame, path: str) -> int:
     return _counted(df, lambda out: out.write.mode("append").parquet(path))

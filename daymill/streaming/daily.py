@@ -80,11 +80,11 @@ def run_hours(
     """Merge landed hours into the hourly table (by day), then replace the daily means of the
     (city, date) they touched. Of repeats in one batch the largest `latest` wins, then the
     largest row; a later batch always wins over an earlier one."""
-    spark = hours.sparkSession
     columns = list(dict.fromkeys([*identity, "city", "timestamp", *values]))
     order = [F.col(c) for c in ([latest] if latest else []) + columns]
 
     def merge(batch: DataFrame, _) -> None:
+        spark = batch.sparkSession
         keyed = batch.dropna(subset=[*identity, "city", "timestamp"])
         rows = last_per_key(keyed, identity, order).select(*columns, F.to_date("timestamp").alias("date"))
         rows = workspace.materialize(rows, "hours")
@@ -101,9 +101,10 @@ def run_hours(
 
     fields = {f.name: f for f in hours.schema}
     hour_schema = StructType([*[fields[c] for c in columns], StructField("date", DateType())])
-    ensure_table(spark, hourly, hour_schema, DAY)
+    ensure_table(hours.sparkSession, hourly, hour_schema, DAY)
     mean_fields = [StructField(v, DoubleType()) for v in values]
-    ensure_table(spark, path, StructType([StructField("date", DateType()), fields["city"], *mean_fields]))
+    mean_schema = StructType([StructField("date", DateType()), fields["city"], *mean_fields])
+    ensure_table(hours.sparkSession, path, mean_schema)
     (
         hours.writeStream.foreachBatch(merge)
         .option("checkpointLocation", state)

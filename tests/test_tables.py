@@ -115,6 +115,36 @@ def test_dynamic_overwrite_keeps_other_months(spark, tmp_path):
     assert stored(spark, path).count() == 3 + 29
 
 
+def test_rows_without_a_date_are_not_lost(spark, tmp_path):
+    path = str(tmp_path / "table")
+    undated = daily(spark, [7.0]).selectExpr("city", "cast(null as date) date", "pm10")
+    sinks.write_by_month(daily(spark, [1.0]).unionByName(undated), path)
+    sinks.merge_by_month(spark, path, daily(spark, [2.0]))
+    sinks.merge_by_month(spark, path, undated)
+    assert sorted(r.pm10 for r in stored(spark, path).collect()) == [2.0, 7.0, 7.0]
+
+
+def test_rewrite_series_drops_its_old_months(spark, tmp_path):
+    old, new = str(tmp_path / "v1"), str(tmp_path / "v2")
+    sinks.write_by_month(daily(spark, [1.0], "A").unionByName(daily(spark, [2.0], "B", date(2024, 3, 1))), old)
+    assert sinks.rewrite_series(spark, old, daily(spark, [3.0, 4.0], "B", date(2024, 5, 1)), new) == 3
+    assert sorted((r.city, r.pm10) for r in stored(spark, new).collect()) == [("A", 1.0), ("B", 3.0), ("B", 4.0)]
+
+
+def test_layers_as_tables(spark, tmp_path):
+    from daymill.constants import WEATHER_VARIABLES
+    from daymill.plans import views
+    from pyspark.sql import functions as F
+
+    readings = daily(spark, [float(i) for i in range(40)])
+    for p in ("pm25", "o3", "no2", "co"):
+        readings = readings.withColumn(p, F.col("pm10") + 1)
+    weather = readings.select("city", "date", *[F.lit(1.0).alias(v) for v in WEATHER_VARIABLES])
+    mart = views.save_layers(readings, weather, "layers_", str(tmp_path))
+    assert sorted(mart.collect()) == sorted(views.ml_features(readings, weather).select(*mart.columns).collect())
+    assert spark.table("layers_stg_weather").count() == 40
+
+
 def test_merge_of_nothing(spark, tmp_path):
     path = str(tmp_path / "table")
     sinks.write_by_month(daily(spark, [1.0]), path)
