@@ -14,6 +14,7 @@ from daymill.constants import HORIZONS, target_name
 from daymill.functions.text import model_name
 from daymill.models.seasonal import fit_seasonal, predict_seasonal
 from daymill.models.trees import (
+    PARALLELISM,
     SEED,
     TreeParams,
     city_levels,
@@ -57,23 +58,28 @@ class StackedForecaster:
 
     def save(self, path: str) -> None:
         self.inputs.save(f"{path}/inputs")
-        for horizon, model in self.trees.items():
-            model.save(f"{path}/trees/horizon={horizon}")
+        with ThreadPool(PARALLELISM) as pool:
+            pool.map(lambda item: item[1].save(f"{path}/trees/horizon={item[0]}"), self.trees.items())
         self.levels.write.parquet(f"{path}/levels")
         self.seasonal.write.parquet(f"{path}/seasonal")
         self.blend.write.parquet(f"{path}/blend")
 
     @staticmethod
     def load(spark: SparkSession, path: str, horizons=HORIZONS) -> "StackedForecaster":
+        def one(horizon):
+            return horizon, GBTRegressionModel.load(f"{path}/trees/horizon={horizon}")
+
+        with ThreadPool(PARALLELISM) as pool:
+            models = dict(pool.map(one, horizons))
         return StackedForecaster(
             PipelineModel.load(f"{path}/inputs"),
-            {h: GBTRegressionModel.load(f"{path}/trees/horizon={h}") for h in horizons},
+            models,
             *[spark.read.parquet(f"{path}/{part}") for part in ("levels", "seasonal", "blend")],
         )
 
 
 def fit_stacked(
-    frame: DataFrame, params: dict[int, TreeParams], seed: int = SEED, parallelism: int = 2
+    frame: DataFrame, params: dict[int, TreeParams], seed: int = SEED, parallelism: int = PARALLELISM
 ) -> StackedForecaster:
     """Fit on a training frame with its `split` column: trees and seasonal model on train, blend
     on meta. The frame is read many times, so hand in a stored table (workspace.materialize)."""

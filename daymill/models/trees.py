@@ -22,6 +22,7 @@ from daymill.operators.metrics import best_by_error, regression_metrics
 LEVEL = "city_level"
 NULLABLE = [f for f in MODEL_FEATURES if f not in CALENDAR_FEATURES] + [LEVEL]
 SEED = 42
+PARALLELISM = 4  # fits, saves and loads under way at a time; each is a distributed job
 
 
 @dataclass(frozen=True)
@@ -103,7 +104,7 @@ def draw_trials(spark: SparkSession, count: int = TRIAL_COUNT, seed: int = SEED,
     )
 
 
-def run_trials(vectors: DataFrame, horizons, trials: DataFrame, parallelism: int = 2) -> DataFrame:
+def run_trials(vectors: DataFrame, horizons, trials: DataFrame, parallelism: int = PARALLELISM) -> DataFrame:
     """Fit every trial on the train split and score it on the validation split: one row per
     (horizon, trial). Each fit is a distributed job; `parallelism` of them run at a time."""
     spark = vectors.sparkSession

@@ -21,6 +21,14 @@ def unnest_hourly(
     )
 
 
+def unusable_documents(documents: DataFrame, keep=("city",)) -> DataFrame:
+    """Documents that unnest to nothing, with the reason: the response was an error, or held no
+    times."""
+    times = F.col("hourly.time")
+    reason = F.when(times.isNull(), "no hourly data").when(F.array_size(F.array_compact(times)) == 0, "no times")
+    return documents.select(*keep, reason.alias("reason")).filter(F.col("reason").isNotNull())
+
+
 def ragged_documents(documents: DataFrame, variables=WEATHER_VARIABLES, keep=("city",)) -> DataFrame:
     """Documents in which some variable has another length than `time`."""
     lengths = F.array(*[F.coalesce(F.array_size(f"hourly.{v}"), F.lit(0)) for v in variables])

@@ -12,7 +12,7 @@ from daymill.constants import HORIZONS
 from daymill.operators.aggregate import daily_mean, high_water_mark_by, last_per_key
 from daymill.operators.incremental import backfill_dates
 from daymill.operators.tables import FORECAST_KEY, fill_actuals, upsert_forecasts
-from daymill.operators.unnest import unnest_hourly
+from daymill.operators.unnest import unnest_hourly, unusable_documents
 from daymill.plans.forecast import forecast
 from daymill.plans.training import latest_features
 from daymill.plans.views import refresh_mart
@@ -22,7 +22,7 @@ from daymill.sources.sinks import append, ensure_table, merge_by_month, month_nu
 
 @dataclass(frozen=True)
 class Tables:
-    """Paths of the stored tables."""
+    """Paths of the stored tables; `rejected` holds one table per kind of input."""
 
     readings: str
     weather: str
@@ -62,7 +62,7 @@ def load_readings(spark: SparkSession, tables: Tables, responses: DataFrame) ->
     day collapse to one row. Unusable responses go to the rejected table; they stop nothing.
     """
     flat = workspace.materialize(flatten_readings(responses), "responses")
-    append(quarantined(flat), tables.rejected)
+    append(quarantined(flat), f"{tables.rejected}/readings")
     good = usable(flat)
     values = [F.col(c) for c in good.columns if c not in ("city", "date")]
     rows = workspace.materialize(last_per_key(good, ["city", "date"], values), "readings")
@@ -71,7 +71,9 @@ def load_readings(spark: SparkSession, tables: Tables, responses: DataFrame) ->
 
 
 def load_weather(spark: SparkSession, tables: Tables, documents: DataFrame) -> DataFrame:
-    """Landed weather documents (city, hourly) into the daily weather table."""
+    """Landed weather documents (city, hourly) into the daily weather table; returns the rows
+    stored. Documents without hours go to the rejected table."""
+    append(unusable_documents(documents), f"{tables.rejected}/weather")
     days = daily_mean(unnest_hourly(documents)).select(*[f.name for f in schemas.WEATHER_DAY])
     rows = workspace.materialize(days, "weather")
     merge_by_month(spark, tables.weather, rows)

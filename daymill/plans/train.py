@@ -7,6 +7,7 @@ from daymill import workspace
 from daymill.constants import HORIZONS, META_END, TRAIN_END, TRIAL_COUNT, VALIDATION_END
 from daymill.models.stacked import evaluate, fit_stacked, run_rows
 from daymill.models.trees import (
+    PARALLELISM,
     SEED,
     best_params,
     city_levels,
@@ -19,7 +20,7 @@ from daymill.plans.training import chrono_split, training_frame
 from daymill.sources.sinks import append
 
 
-def tune(frame: DataFrame, horizons=HORIZONS, trials: DataFrame | None = None, parallelism: int = 2):
+def tune(frame: DataFrame, horizons=HORIZONS, trials: DataFrame | None = None, parallelism: int = PARALLELISM):
     """Best tree parameters per horizon by validation error."""
     spark = frame.sparkSession
     trials = draw_trials(spark, TRIAL_COUNT) if trials is None else trials
@@ -41,7 +42,7 @@ def train(
     trials: DataFrame | None = None,
     ends=(TRAIN_END, VALIDATION_END, META_END),
     horizons=HORIZONS,
-    parallelism: int = 2,
+    parallelism: int = PARALLELISM,
     seed: int = SEED,
 ) -> DataFrame:
     """Train one forecaster on the given cities, store it under `models`, append one row per

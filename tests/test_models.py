@@ -133,7 +133,7 @@ def test_daily_run_over_stored_tables(spark, tmp_path):
     landed = spark.createDataFrame(rows, "city string, body string")
     stored = plan.load_readings(spark, tables, landed)
     assert stored.count() == 40 and tables.read_readings(spark).count() == 40
-    assert spark.read.parquet(tables.rejected).count() == 1
+    assert spark.read.parquet(f"{tables.rejected}/readings").count() == 1
     plan.load_readings(spark, tables, landed)
     assert tables.read_readings(spark).count() == 40
 
@@ -148,11 +148,19 @@ def test_daily_run_over_stored_tables(spark, tmp_path):
     assert [r.predicted for r in log] == [100.0 + h for h in range(1, 8)]
 
     document = {"hourly": {"time": ["2024-01-01T00:00", "2024-01-01T01:00"], **{v: [1.0, 3.0] for v in schemas.WEATHER_DAY.names[2:]}}}
-    docs = spark.createDataFrame([("A", json.dumps(document))], "city string, body string").select(
+    bodies = [("A", json.dumps(document)), ("B", '{"error": true}'), ("C", '{"hourly": {"time": []}}')]
+    docs = spark.createDataFrame(bodies, "city string, body string").select(
         "city", F.from_json("body", schemas.hourly_response()).alias("r")
     ).select("city", "r.hourly")
     assert plan.load_weather(spark, tables, docs).count() == 1
     assert tables.read_weather(spark).first().temperature_2m == 2.0
+    rejected = spark.read.parquet(f"{tables.rejected}/weather").collect()
+    assert sorted(tuple(r) for r in rejected) == [("B", "no hourly data"), ("C", "no times")]
+
+    dim = spark.createDataFrame([("A",), ("Z",)], "city string")
+    pending = plan.pending_days(spark, tables, dim, date(2024, 2, 11)).collect()
+    assert [tuple(r) for r in pending] == [("A", "2024-02-10"), ("A", "2024-02-11")]
+    assert plan.store_mart(spark, tables, str(tmp_path / "mart"), stored) == 40
 
 
 def test_train_and_forecast(spark, tmp_path):
