@@ -196,7 +196,9 @@ def _hour_stream(spark, sf):
 def stream_daily_mean(spark, sf):
     path = workspace.new_path(spark, "stream-daily")
     means = daily.stream_daily_mean(_hour_stream(spark, sf), s.HOUR_VARIABLES, identity=("event_id",))
-    daily.run_available(means, path, workspace.new_path(spark, "stream-state"))
+    cores = spark.sparkContext.defaultParallelism
+    state = workspace.new_path(spark, "stream-state")
+    daily.run_available(means, path, state, state_partitions=cores)
     return spark.read.parquet(path).drop("year", "month")
 
 

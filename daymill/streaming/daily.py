@@ -6,6 +6,8 @@ they come, and repeats of one hour are reduced inside each task before the shuff
 state of a stream would send them all to one.
 """
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, DoubleType, StructField, StructType
@@ -46,25 +48,45 @@ def stream_daily_mean(
     )
 
 
-def run_available(means: DataFrame, path: str, state: str, after=None) -> None:
+@contextmanager
+def _state_partitions(spark: SparkSession, count: int | None):
+    """Shuffle partitions for a stream started inside; Spark copies the setting at the start."""
+    setting = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, count or before)
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
+
+
+def run_available(
+    means: DataFrame, path: str, state: str, after=None, state_partitions: int | None = None
+) -> None:
     """Take everything that has landed, then stop. Rerunning a batch gives the same table, since
     replacing by key is idempotent. `after(rows)` runs on the stored rows of each merged batch,
-    for instance to refresh features that depend on them."""
-    ensure_table(means.sparkSession, path, means.schema)
+    for instance to refresh features that depend on them.
+
+    The number of state partitions holds for the life of `state`; the planner never merges them,
+    so choose it for the cores the stream will run on.
+    """
+    spark = means.sparkSession
+    ensure_table(spark, path, means.schema)
 
     def merge(batch: DataFrame, _) -> None:
         rows = workspace.materialize(batch, "batch")
         if merge_by_month(batch.sparkSession, path, rows) and after:
             after(rows)
 
-    (
+    writer = (
         means.writeStream.outputMode("update")
         .foreachBatch(merge)
         .option("checkpointLocation", state)
         .trigger(availableNow=True)
-        .start()
-        .awaitTermination()
     )
+    with _state_partitions(spark, state_partitions):
+        query = writer.start()
+    query.awaitTermination()
 
 
 def run_hours(
