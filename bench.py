@@ -50,7 +50,7 @@ def many_series_features(spark, sf_dir):
 def main():
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "2"))
+    runs = int(os.environ.get("BENCH_RUNS", "3"))
     spark = (
         configure(SparkSession.builder.master(f"local[{cpus}]"), int(cpus))
         .appName("daymill-bench")
