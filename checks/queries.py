@@ -7,7 +7,7 @@ from pyspark.sql.types import LongType, StringType
 
 from checks import standins as s
 from daymill import workspace
-from daymill.constants import MODEL_FEATURES, POLLUTANTS, READING_COLUMNS, WEATHER_VARIABLES
+from daymill.constants import MODEL_FEATURES, POLLUTANTS, READING_COLUMNS
 from daymill.functions.calendar import calendar_columns
 from daymill.functions.weather import interaction_columns
 from daymill.operators import aggregate, incremental, joins, metrics, series, tables, topn, unnest

@@ -14,11 +14,13 @@ from daymill.operators.incremental import backfill_dates
 from daymill.operators.tables import FORECAST_KEY, fill_actuals, upsert_forecasts
 from daymill.operators.unnest import unnest_hourly, unusable_documents
 from daymill.plans.forecast import forecast
-from daymill.plans.training import latest_features
+from daymill.plans.training import latest_features, latest_of_recent, row_features
 from daymill.plans.views import refresh_mart
 from daymill.sources.responses import flatten_readings, quarantined, usable
 from daymill.sources.sinks import append, ensure_table, merge_by_month, month_number, stored_by_month
 
+HISTORY_DAYS = 120  # enough for the newest features of a city that reports most days
+
 
 @dataclass(frozen=True)
 class Tables:
@@ -34,20 +36,25 @@ class Tables:
         ensure_table(spark, self.weather, schemas.WEATHER_DAY)
         ensure_table(spark, self.forecasts, schemas.FORECAST)
 
-    def read_readings(self, spark: SparkSession) -> DataFrame:
-        return stored_by_month(spark, self.readings, schemas.READING).drop("year", "month")
+    def read_readings(self, spark: SparkSession, start=None, end=None) -> DataFrame:
+        return _months(spark, self.readings, schemas.READING, start, end)
 
-    def read_weather(self, spark: SparkSession) -> DataFrame:
-        return stored_by_month(spark, self.weather, schemas.WEATHER_DAY).drop("year", "month")
+    def read_weather(self, spark: SparkSession, start=None, end=None) -> DataFrame:
+        return _months(spark, self.weather, schemas.WEATHER_DAY, start, end)
 
     def read_forecasts(self, spark: SparkSession, start=None, end=None) -> DataFrame:
-        """Forecasts made in the months from `start` to `end`; other months are not opened."""
-        log = stored_by_month(spark, self.forecasts, schemas.FORECAST)
-        if start is not None:
-            log = log.filter(month_number() >= start.year * 12 + start.month)
-        if end is not None:
-            log = log.filter(month_number() <= end.year * 12 + end.month)
-        return log.drop("year", "month")
+        """By the day the forecast was made."""
+        return _months(spark, self.forecasts, schemas.FORECAST, start, end)
+
+
+def _months(spark: SparkSession, path: str, schema, start, end) -> DataFrame:
+    """The whole months from `start` to `end` of a stored table; others are not opened."""
+    rows = stored_by_month(spark, path, schema)
+    if start is not None:
+        rows = rows.filter(month_number() >= start.year * 12 + start.month)
+    if end is not None:
+        rows = rows.filter(month_number() <= end.year * 12 + end.month)
+    return rows.drop("year", "month")
 
 
 def _bounds(rows: DataFrame, date: str):
@@ -118,6 +125,25 @@ def pending_days(
     return backfill_dates(high_water_mark_by(stored, cities), until)
 
 
+def stored_latest_features(
+    spark: SparkSession, tables: Tables, cities: DataFrame, day, history_days: int = HISTORY_DAYS
+) -> DataFrame:
+    """Newest features of the given cities, opening only the months of the last `history_days`.
+    Cities for which that is not provably the same as their whole history (sparse, long silent)
+    are computed from all of it."""
+    start = day - timedelta(days=history_days)
+    wanted = cities.select("city").distinct()
+    recent = tables.read_readings(spark, start).join(wanted, "city", "left_semi")
+    latest = workspace.materialize(latest_of_recent(recent), "recent")
+    proven = latest.filter("proven").drop("proven")
+    features = row_features(proven, tables.read_weather(spark, start))
+    rest = workspace.materialize(wanted.join(proven, "city", "left_anti"), "rest")
+    if rest.isEmpty():
+        return features
+    history = tables.read_readings(spark).join(rest, "city", "left_semi")
+    return features.unionByName(latest_features(history, tables.read_weather(spark)))
+
+
 def daily_run(
     spark: SparkSession,
     tables: Tables,
@@ -125,13 +151,14 @@ def daily_run(
     documents: DataFrame,
     champions: DataFrame,
     forecast_date,
+    horizons=HORIZONS,
 ) -> DataFrame:
     """Landed data in, forecasts out: load, fill actuals, forecast, store."""
     tables.ensure(spark)
     readings = load_readings(spark, tables, responses)
     load_weather(spark, tables, documents)
     store_actuals(spark, tables, readings)
-    latest = latest_features(tables.read_readings(spark), tables.read_weather(spark))
-    forecasts = workspace.materialize(forecast(spark, latest, champions, forecast_date), "new")
+    latest = stored_latest_features(spark, tables, champions, forecast_date)
+    forecasts = workspace.materialize(forecast(spark, latest, champions, forecast_date, horizons), "new")
     store_forecasts(spark, tables, forecasts)
     return forecasts

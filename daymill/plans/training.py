@@ -1,9 +1,9 @@
 """The training frame: clean series, features, targets and the chronological split."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from daymill.constants import HORIZONS, META_END, TRAIN_END, VALIDATION_END, target_name
+from daymill.constants import HORIZONS, MAX_GAP, META_END, TRAIN_END, VALIDATION_END, target_name
 from daymill.functions.calendar import calendar_columns, split_name
 from daymill.functions.weather import interaction_columns
 from daymill.operators.joins import merge_weather
@@ -12,6 +12,7 @@ from daymill.operators.series import (
     add_lags,
     add_targets,
     clean_series,
+    series_window,
 )
 from daymill.operators.topn import latest_row
 
@@ -36,6 +37,23 @@ def latest_features(readings: DataFrame, weather: DataFrame) -> DataFrame:
     return row_features(latest_row(series_features(readings)), weather)
 
 
+def latest_of_recent(recent: DataFrame) -> DataFrame:
+    """Series features of each city's newest surviving row, from recent days only, with `proven`:
+    true where earlier days cannot change them.
+
+    From the first known value on, neighbours of gaps are the same with or without earlier days;
+    MAX_GAP rows later so are the drops. A newest row whose 7 rows before it all lie there is
+    therefore the same as from the whole history.
+    """
+    so_far = series_window().rowsBetween(Window.unboundedPreceding, 0)
+    first_known = F.min(F.when(F.col("pm10").isNotNull(), F.col("date"))).over(so_far)
+    settled = F.sum(F.col("_first").isNotNull().cast("int")).over(so_far)
+    marked = recent.withColumn("_first", first_known).withColumn("_settled", settled)
+    rows = F.sum((F.col("_settled") > MAX_GAP).cast("int")).over(so_far)
+    features = series_features(marked).withColumn("_rows", rows)
+    return latest_row(features).withColumn("proven", F.col("_rows") > 7).drop("_first", "_settled", "_rows")
+
+
 def training_frame(readings: DataFrame, weather: DataFrame, horizons=HORIZONS) -> DataFrame:
     """Features and targets of all cities at once.
 

@@ -183,3 +183,65 @@ def test_train_and_forecast(spark, tmp_path):
     rows = forecast(spark, latest, best, date(2023, 6, 1), [1]).collect()
     assert sorted((r.city, r.horizon, r.target_date) for r in rows) == [("A", 1, date(2023, 6, 2)), ("B", 1, date(2023, 6, 2))]
     assert all(math.isfinite(r.predicted) for r in rows)
+
+    # The same champions in a daily run over stored tables that hold the history.
+    tables = plan.Tables(*[str(tmp_path / n) for n in ("readings", "weather", "forecasts", "rejected")])
+    tables.ensure(spark)
+    plan.merge_by_month(spark, tables.readings, workspace.materialize(readings, "readings"))
+    plan.merge_by_month(spark, tables.weather, workspace.materialize(weather.select(*schemas.WEATHER_DAY.names), "weather"))
+    last = readings.selectExpr("max(date)").first()[0]
+    today = last + timedelta(days=1)
+    body = json.dumps({"status": "ok", "data": {"iaqi": {"pm10": {"v": 31.5}}, "time": {"s": f"{today} 08:00:00"}}})
+    landed = spark.createDataFrame([("A", body)], "city string, body string")
+    documents = spark.createDataFrame([], schemas.hourly_response().add("city", "string"))
+    yesterday = plan.daily_run(spark, tables, landed.limit(0), documents, best, last, [1]).collect()
+    assert {(r.city, r.target_date) for r in yesterday} == {("A", today), ("B", today)}
+    plan.daily_run(spark, tables, landed, documents, best, today, [1])
+    log = {(r.city, r.forecast_date): r.actual for r in tables.read_forecasts(spark).collect()}
+    assert log == {("A", last): 31.5, ("B", last): None, ("A", today): None, ("B", today): None}
+
+
+def test_same_seed_same_trees(spark):
+    readings, weather = inputs(spark, 400)
+    frame = training.training_frame(readings, weather, [1])
+    levelled = trees.with_levels(frame, trees.city_levels(frame))
+    vectors = workspace.materialize(trees.fit_inputs(levelled).transform(levelled).select("features", "target_1d"), "vectors")
+    params = trees.TreeParams(trees=2, depth=2, row_sample=0.7, column_sample=0.7)
+    first, second = (trees.fit_trees(vectors, 1, params, seed=7) for _ in range(2))
+    assert first.toDebugString.split("\n")[1:] == second.toDebugString.split("\n")[1:]
+
+
+def test_recent_months_give_the_features_of_the_whole_history(spark, tmp_path):
+    tables = plan.Tables(*[str(tmp_path / n) for n in ("readings", "weather", "forecasts", "rejected")])
+    tables.ensure(spark)
+    rng = np.random.default_rng(3)
+    end = date(2024, 6, 30)
+
+    def city(name, days, missing, silent=0):
+        values = [None if i in missing else float(rng.normal(30, 5)) for i in range(days)]
+        rows = daily(spark, values, name, end - timedelta(days=days - 1 + silent))
+        return rows
+
+    frames = [
+        city("dense", 300, set()),
+        city("gaps", 300, set(range(270, 275)) | set(range(285, 297))),
+        city("sparse", 300, set(range(150, 298))),
+        city("silent", 200, set(), silent=250),
+        city("young", 10, set()),
+        city("edge", 300, set(range(160, 290))),
+    ]
+    readings = frames[0]
+    for f in frames[1:]:
+        readings = readings.unionByName(f)
+    for p in ("pm25", "o3", "no2", "co"):
+        readings = readings.withColumn(p, F.lit(None).cast("double"))
+    weather = readings.select("city", "date", *[F.lit(1.0).alias(v) for v in schemas.WEATHER_DAY.names[2:]])
+    plan.merge_by_month(spark, tables.readings, readings)
+    plan.merge_by_month(spark, tables.weather, weather)
+    cities = readings.select("city")
+    got = plan.stored_latest_features(spark, tables, cities, end, history_days=40)
+    want = training.latest_features(readings, weather).select(*got.columns)
+    assert sorted(got.collect()) == sorted(want.collect())
+    recent = training.latest_of_recent(tables.read_readings(spark, end - timedelta(days=40)))
+    proven = {r.city for r in recent.filter("proven").collect()}
+    assert "dense" in proven and "gaps" in proven and not proven & {"silent", "sparse"}
