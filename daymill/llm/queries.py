@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from daymill import workspace
-from daymill.llm import common, exact_dedup, huffman, token_counts
+from daymill.llm import chat, common, exact_dedup, huffman, mixing, token_counts
 
 QUERIES, ORACLE = {}, {}
 
@@ -47,3 +47,21 @@ ORACLE["op8_exact_dedup"] = """
     SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
            doc_id = max(doc_id) OVER g AS kept, sha256(coalesce(text, '')) AS text_sha256
     FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))"""
+
+
+@query
+def op9_chat_snapshots(spark, sf):
+    return chat.format_chats(common.table(spark, sf, "conversations"))
+
+
+ORACLE["op9_chat_snapshots"] = chat.ORACLE
+
+
+@query
+def op10_source_mix(spark, sf):
+    docs = common.table(spark, sf, "documents")
+    sized = docs.select("doc_id", "source", common.word_count(F.col("text")).alias("words"))
+    return mixing.mix(sized, F.col("words")).select("row.doc_id", "size", "source_size", "target", "taken")
+
+
+ORACLE["op10_source_mix"] = mixing.oracle()
