@@ -16,7 +16,9 @@ SMALL_WORD = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+")
 
 # Chunks that a worker has met and keeps for its next tasks, by tokenizer file. It saves time and decides nothing.
 SEEN: dict[str, dict[str, bytes]] = {}
-SEEN_CHUNKS = 400_000
+SEEN_CHUNKS = 200_000
+# Chunks given to the library at once; its results are several times their size until their ids are taken out.
+ENCODE_CHUNKS = 4096
 
 
 def load(path: str):
@@ -57,7 +59,9 @@ class ChunkEncoder:
     def _fresh(self, chunks: list[str]) -> list[bytes]:
         """Ids of chunks as bytes of 32-bit numbers."""
         def through(tokenizer, some):
-            return (array("I", e.ids).tobytes() for e in tokenizer.encode_batch_fast(some, add_special_tokens=False))
+            for i in range(0, len(some), ENCODE_CHUNKS):
+                for e in tokenizer.encode_batch_fast(some[i : i + ENCODE_CHUNKS], add_special_tokens=False):
+                    yield array("I", e.ids).tobytes()
 
         if self.blanks_lead:
             return list(through(self.tokenizer, chunks))

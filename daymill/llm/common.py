@@ -10,7 +10,7 @@ from daymill import workspace
 
 # White space of the word contracts: words are runs of anything else.
 WORD = r"[^\x20\x09-\x0D]+"
-BATCH_ROWS, BATCH_BYTES = 2000, 16 << 20
+BATCH_ROWS, BATCH_BYTES = 2000, 8 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,7 +33,7 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def gathered(batches: Iterable[pa.RecordBatch], text_col: str = "text", limit: int = BATCH_BYTES) -> Iterator[pa.Table]:
+def gathered(batches: Iterable[pa.RecordBatch], text_col: str = "text", limit: int = 6 << 20) -> Iterator[pa.Table]:
     """Batches put together until their texts reach the limit: fewer, larger vector operations."""
     held, size = [], 0
     for batch in batches:
