@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from daymill import workspace
-from daymill.llm import chat, common, exact_dedup, huffman, mixing, token_counts
+from daymill.llm import chat, common, exact_dedup, huffman, language_id, mixing, token_counts, toxicity
 
 QUERIES, ORACLE = {}, {}
 
@@ -18,6 +18,23 @@ def query(function):
     return run
 
 
+@query
+def op2_toxicity(spark, sf):
+    docs, labels = common.table(spark, sf, "documents"), common.table(spark, sf, "labels")
+    learned = docs.filter(~common.held_out()).select("doc_id", "text").join(labels.select("doc_id", "toxic"), "doc_id")
+    model = toxicity.fit(learned)
+    tested = docs.select("doc_id", "text", common.held_out().alias("held_out"))
+    return toxicity.score(tested, model).select("doc_id", "held_out", "score", "predicted")
+
+
+@query
+def op5_language_id(spark, sf):
+    docs = common.table(spark, sf, "documents")
+    model = language_id.fit(docs.filter(~common.held_out()))
+    tested = docs.select("doc_id", "text", common.held_out().alias("held_out"))
+    return language_id.predict(tested, model).select("doc_id", "held_out", "lang_pred", "score", "rejected")
+
+
 TOKEN_LIMIT = 512
 
 
