@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StructField, StructType
 
 from daymill import workspace
-from daymill.llm.chunks import ChunkEncoder, ragged
+from daymill.llm.chunks import ChunkEncoder, load, ragged
 from daymill.llm.common import bound_batches, gathered
 
 MAX_BITS = 20  # of a code; the decoding table has 2 ** MAX_BITS entries
@@ -113,14 +113,19 @@ BLOCK = [
 ]
 
 
-def _tokenize(path: str, end_id: int, text_col: str, id_col: str, names: list[str]):
+def id_type(tokenizer_path: str, end_id: int) -> str:
+    """Numpy type of ids between the two steps: 16 bits where the vocabulary fits, else 32."""
+    return "<u2" if max(load(tokenizer_path).get_vocab_size(), end_id + 1) <= 1 << 16 else "<u4"
+
+
+def _tokenize(path: str, kind: str, end_id: int, text_col: str, id_col: str, names: list[str]):
     def run(batches):
         encoder = ChunkEncoder(path, blanks_lead=False)
         for held in gathered(batches, text_col):
             counts, ids = encoder.ids(held.column(text_col))
             # The end id goes behind each document.
             ends = np.cumsum(counts + 1)
-            out = np.full(int(ends[-1]) if len(ends) else 0, end_id, "<u4")
+            out = np.full(int(ends[-1]) if len(ends) else 0, end_id, kind)
             out[ragged(ends - counts - 1, counts)] = ids
             cells = [out[e - c - 1 : e].tobytes() for e, c in zip(ends.tolist(), counts.tolist())]
             yield pa.RecordBatch.from_arrays([held.column(id_col).combine_chunks(), pa.array(cells, pa.binary())], names=names)
@@ -128,15 +133,18 @@ def _tokenize(path: str, end_id: int, text_col: str, id_col: str, names: list[st
     return run
 
 
-def _count(batches):
-    total = np.zeros(0, np.int64)
-    for batch in batches:
-        ids = np.frombuffer(b"".join(batch.column(0).to_pylist()), "<u4")
-        found = np.bincount(ids, minlength=len(total))
-        found[: len(total)] += total
-        total = found
-    at = np.flatnonzero(total)
-    yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(total[at], pa.int64())], names=["token", "n"])
+def _count(kind: str):
+    def run(batches):
+        total = np.zeros(0, np.int64)
+        for batch in batches:
+            ids = np.frombuffer(b"".join(batch.column(0).to_pylist()), kind)
+            found = np.bincount(ids, minlength=len(total))
+            found[: len(total)] += total
+            total = found
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(total[at], pa.int64())], names=["token", "n"])
+
+    return run
 
 
 def write_ids(docs: DataFrame, folder: str, tokenizer_path: str, *, end_id: int = 1, id_col: str = "doc_id",
@@ -152,12 +160,13 @@ def write_ids(docs: DataFrame, folder: str, tokenizer_path: str, *, end_id: int
     spark = docs.sparkSession
     bound_batches(spark)
     id_field = StructField(id_col, docs.schema[id_col].dataType)
-    names = [id_col, "ids"]
+    names, number = [id_col, "ids"], id_type(tokenizer_path, end_id)
+    width = np.dtype(number).itemsize
     encoded = docs.select(id_col, text_col).mapInArrow(
-        _tokenize(tokenizer_path, end_id, text_col, id_col, names), StructType([id_field, *ENCODED])
+        _tokenize(tokenizer_path, number, end_id, text_col, id_col, names), StructType([id_field, *ENCODED])
     )
     encoded = workspace.materialize(encoded, "ids")
-    found = encoded.select("ids").mapInArrow(_count, "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).collect()
+    found = encoded.select("ids").mapInArrow(_count(number), "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).collect()
     counts = np.zeros(max([r.token for r in found], default=0) + 1, np.int64)
     for r in found:
         counts[r.token] = r.n
@@ -172,9 +181,9 @@ def write_ids(docs: DataFrame, folder: str, tokenizer_path: str, *, end_id: int
 
         def close():
             nonlocal block, start, ids, keys, size
-            flat = np.frombuffer(b"".join(ids), "<u4")
+            flat = np.frombuffer(b"".join(ids), number)
             bits, checkpoints = pack(flat, codes, lengths)
-            doc_n = np.array([len(x) // 4 for x in ids], "<u8").tobytes()
+            doc_n = np.array([len(x) // width for x in ids], "<u8").tobytes()
             kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.list_(kind)]
             row = (part, block, start, len(flat), bits, checkpoints, doc_n, keys)
             out = pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, kinds)], names=schema.names)
@@ -186,7 +195,7 @@ def write_ids(docs: DataFrame, folder: str, tokenizer_path: str, *, end_id: int
             for key, data in zip(batch.column(id_col).to_pylist(), batch.column("ids").to_pylist()):
                 ids.append(data)
                 keys.append(key)
-                size += len(data) // 4
+                size += len(data) // width
                 if size >= BLOCK_IDS:
                     yield close()
         if ids:
@@ -207,8 +216,8 @@ def read_ids(spark: SparkSession, folder: str, *, id_col: str = "doc_id", with_i
     lengths = np.frombuffer(bytes(stored.lengths), np.uint8)
     totals = blocks.groupBy("part").agg(F.sum("n_ids").alias("n"))
     before = totals.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("before"))
-    id_type = blocks.schema["doc_ids"].dataType.elementType
-    fields = [StructField(id_col, id_type), StructField("part", IntegerType()), StructField("start", LongType()),
+    key_type = blocks.schema["doc_ids"].dataType.elementType
+    fields = [StructField(id_col, key_type), StructField("part", IntegerType()), StructField("start", LongType()),
               StructField("n_tokens", LongType()), StructField("ids_crc32", LongType())]
     if with_ids:
         fields.append(StructField("ids", BinaryType()))
