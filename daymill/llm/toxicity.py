@@ -2,6 +2,7 @@
 
 import math
 import re
+from collections import Counter
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field
 
@@ -19,8 +20,9 @@ SAMPLE_PER_CLASS = 30_000  # labelled texts to fit on, at most, about
 LEXICON = 5000  # learned insults, at most: the most telling ones
 STEMS = (4, 5, 6)  # lengths of word beginnings that may be insults in whatever form they take
 LEAST_TEXTS = 3  # toxic texts that hold an insult, at least
+LEAST_ODDS = 2.0  # natural logarithm
 REACH = 3  # words after a negation that it covers
-BINS, BIN_WIDTH = 100, 0.5
+BINS, BIN_WIDTH = 128, 0.1  # of either feature
 
 # Closed word classes of the grammar, in English, German, French and Spanish.
 TARGETS = frozenset("you your yours yourself they them he she dich dir euch ihr du deine dein toi tu vous tes ton votre tú te ti usted ustedes vosotros".split())
@@ -77,8 +79,7 @@ class ToxicityModel:
     words: dict[str, float] = field(default_factory=dict)
     stems: dict[str, float] = field(default_factory=dict)
     factors: dict[tuple, float] = field(default_factory=dict)
-    slope: float = 0.0
-    offset: float = 0.0
+    curve: tuple[float, float, float] = (0.0, 0.0, -2.0)  # by feature, and the offset
 
     def weight(self, word: str) -> float:
         """The most telling of the word and its beginnings; 0 for no insult."""
@@ -116,12 +117,16 @@ class ToxicityModel:
                 weight = known[token] if out == "insult" else THREAT_WEIGHT
                 found.append((weight, before[3] > 0, any(before[4])))
 
-    def clause_sum(self, text: str | None) -> float:
-        """What the matched clauses weigh together."""
-        return sum(w * self.factors.get(context, 1.0) for w, context in self.matches(text))
+    def features(self, text: str | None) -> tuple[float, float]:
+        """What the matched clauses weigh together, as a logarithm, and the weight of the strongest match. Of equal
+        matches (same weight and context) the k-th counts one k-th, so that repeated lines do not add up."""
+        counts = Counter(self.matches(text))
+        weights = {m: m[0] * self.factors.get(m[1], 1.0) for m in counts}
+        total = sum(weights[m] * sum(1 / k for k in range(1, n + 1)) for m, n in counts.items())
+        return math.log1p(total), max(weights.values(), default=0.0)
 
     def score(self, text: str | None) -> float:
-        x = self.slope * math.log1p(self.clause_sum(text)) + self.offset
+        x = sum(a * b for a, b in zip(self.curve, (*self.features(text), 1.0)))
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, x))))
 
 
@@ -145,7 +150,7 @@ def learn_lexicon(sample: DataFrame) -> tuple[dict[str, float], dict[str, float]
     ratio = part(F.col("pos"), share) + part(neg, 1 - share)
     odds = F.log((F.col("pos") + 0.5) / (neg + 0.5) * ((1 - share) / share))
     telling = counted.filter((F.col("pos") > F.col("n") * share) & (ratio > math.log(tried))).select("form", odds.alias("odds"))
-    rows = telling.filter("odds > 1").orderBy(F.desc("odds"), "form").limit(LEXICON).collect()
+    rows = telling.filter(F.col("odds") > LEAST_ODDS).orderBy(F.desc("odds"), "form").limit(LEXICON).collect()
     return (
         {r.form: r.odds for r in rows if not r.form.endswith("*")},
         {r.form[:-1]: r.odds for r in rows if r.form.endswith("*")},
@@ -169,7 +174,7 @@ def fit(labelled: DataFrame, *, text_col: str = "text", label_col: str = "toxic"
 
     Fitted on about `per_class` labelled texts of each class, equal texts once; rows without label or text do not
     count. Contexts are worth their log odds relative to those of all matches, drawn towards PRIOR while few texts
-    show them. The curve is fitted to counts by (bin of the sum, label), a table of fixed size.
+    show them. The curve is fitted to counts by (bins of both features, label), a table of fixed size.
     """
     bound_batches(labelled.sparkSession)
     rows = labelled.select(F.col(text_col).alias("text"), F.col(label_col).cast("int").alias("toxic"))
@@ -193,7 +198,7 @@ def fit(labelled: DataFrame, *, text_col: str = "text", label_col: str = "toxic"
     counted = sample.select("text", "toxic").mapInArrow(contexts, "context string, neg long, pos long")
     by = {r.context: (r.neg, r.pos) for r in counted.groupBy("context").agg(F.sum("neg").alias("neg"), F.sum("pos").alias("pos")).collect()}
     if "text" not in by:
-        return ToxicityModel(offset=-2.0)
+        return ToxicityModel()
     base = (by["text"][0] + 1) / (by["text"][1] + 1)
     odds = lambda k: max(0.1, math.log((by[k][1] + 1) / (by[k][0] + 1) * base))
     for context in [(a, b, c) for a in (False, True) for b in (False, True) for c in (False, True)]:
@@ -209,34 +214,31 @@ def fit(labelled: DataFrame, *, text_col: str = "text", label_col: str = "toxic"
         model.factors[context] = part * shown + (1 - part) * _prior(context)
 
     def sums(batches):
-        counts = np.zeros((BINS, 2), np.int64)
+        counts = np.zeros((BINS, BINS, 2), np.int64)
         for batch in batches:
             for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
-                counts[min(BINS - 1, int(math.log1p(model.clause_sum(text)) / BIN_WIDTH * 10)), toxic] += 1
+                a, b = (min(BINS - 1, round(x / BIN_WIDTH)) for x in model.features(text))
+                counts[a, b, toxic] += 1
         at = np.argwhere(counts)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(at[:, 0], pa.int64()), pa.array(at[:, 1], pa.int64()), pa.array(counts[tuple(at.T)], pa.int64())], names=["bin", "toxic", "n"]
-        )
+        columns = [pa.array(at[:, k], pa.int64()) for k in range(3)]
+        yield pa.RecordBatch.from_arrays([*columns, pa.array(counts[tuple(at.T)], pa.int64())], names=["a", "b", "toxic", "n"])
 
-    binned = sample.select("text", "toxic").mapInArrow(sums, "bin long, toxic long, n long")
-    rows = binned.groupBy("bin", "toxic").agg(F.sum("n").alias("n")).collect()
-    model.slope, model.offset = _logistic([(r.bin * BIN_WIDTH / 10, r.toxic, r.n) for r in rows])
+    binned = sample.select("text", "toxic").mapInArrow(sums, "a long, b long, toxic long, n long")
+    rows = binned.groupBy("a", "b", "toxic").agg(F.sum("n").alias("n")).collect()
+    model.curve = _logistic([(r.a * BIN_WIDTH, r.b * BIN_WIDTH, r.toxic, r.n) for r in rows])
     return model
 
 
-def _logistic(points: Iterable[tuple]) -> tuple[float, float]:
-    """Slope and offset by Newton's method, each point's classes weighted alike, a small prior against infinite slopes."""
-    points = list(points)
-    by_class = [sum(n for _, y, n in points if y == c) or 1 for c in (0, 1)]
-    x, y, n = (np.array(v, float) for v in zip(*[(x, y, n / by_class[y] * 1000) for x, y, n in points]))
-    w = np.zeros(2)
-    design = np.stack([x, np.ones_like(x)], 1)
+def _logistic(points: Iterable[tuple]) -> tuple[float, ...]:
+    """Weights of both features and the offset by Newton's method, with a small prior against infinite ones."""
+    a, b, y, n = (np.array(v, float) for v in zip(*points))
+    design, w = np.stack([a, b, np.ones_like(a)], 1), np.zeros(3)
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(design @ w, -30, 30)))
-        gradient = design.T @ (n * (p - y)) + 0.01 * w
-        step = np.linalg.solve((design * (n * p * (1 - p))[:, None]).T @ design + 0.01 * np.eye(2), gradient)
-        w -= np.clip(step, -2, 2)
-    return max(0.0, float(w[0])), float(w[1])
+        gradient = design.T @ (n * (p - y)) + 0.05 * w
+        hessian = (design * (n * p * (1 - p))[:, None]).T @ design + 0.05 * np.eye(3)
+        w -= np.clip(np.linalg.solve(hessian, gradient), -2, 2)
+    return tuple(float(v) for v in w)
 
 
 def score(docs: DataFrame, model: ToxicityModel, *, text_col: str = "text") -> DataFrame:
