@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from daymill import workspace
-from daymill.llm import chat, common, exact_dedup, huffman, language_id, mixing, token_counts, toxicity
+from daymill.llm import chat, common, exact_dedup, huffman, language_id, mixing, sentencepiece_dropout, token_counts, toxicity
 
 QUERIES, ORACLE = {}, {}
 
@@ -27,6 +27,18 @@ def op2_toxicity(spark, sf):
     return toxicity.score(tested, model).select("doc_id", "held_out", "score", "predicted")
 
 
+@query
+def op3_sentencepiece_dropout(spark, sf):
+    """Ids of every text under one seed, and whether they give the text back."""
+    docs, model = common.table(spark, sf, "documents").select("doc_id", "text"), public_tokenizers.path("piece_bpe_32k.model")
+    encoded = sentencepiece_dropout.encode(docs, model)
+    decoded = sentencepiece_dropout.decode(encoded, model)
+    return decoded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids",
+        (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("lossless"),
+    )
+
+
 @query
 def op5_language_id(spark, sf):
     docs = common.table(spark, sf, "documents")
