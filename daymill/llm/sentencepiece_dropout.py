@@ -15,11 +15,15 @@ from daymill.llm.common import bound_batches, gathered
 
 DROPOUT = 0.1
 VARIANTS = 8  # segmentations a chunk can get under one seed
-SEEN_CHUNKS = 200_000  # segmentations a worker keeps for its next tasks; it saves time and decides nothing
+SIDE_BY_SIDE = 32  # characters of chunks that are segmented side by side; longer ones one by one, alike
+ROWS = 1 << 15  # of them at once
 
 CHUNK = re.compile(" +[^ ]*")
 MASK = (1 << 64) - 1
-_seen: dict[tuple, dict[tuple, bytes]] = {}
+FIRST, SECOND, THIRD = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xBF58476D1CE4E5B9  # odd factors of the keyed hash
+SLOTS = 20  # bits of the pair table
+NONE, NEVER = np.int32(-1), np.int32(2**31 - 1)
+_held: dict[str, "Pieces"] = {}
 
 
 class Pieces:
@@ -51,6 +55,113 @@ class Pieces:
                 self.id_of[piece] = i
                 self.bytes_of.append(piece.encode())
 
+    @classmethod
+    def of(cls, path: str) -> "Pieces":
+        """Made once in each worker."""
+        if path not in _held:
+            _held[path] = cls(path)
+            _held[path]._make_pairs()
+        return _held[path]
+
+    def _make_pairs(self) -> None:
+        """A hash table from pairs of pieces to the piece they make, the order of pieces, and the ids of single characters."""
+        size = len(self.bytes_of)
+        self.size = np.int64(size)
+        self.order = np.argsort(np.argsort(self.priority, kind="stable"), kind="stable").astype(np.int32)
+        self.slot_key = np.full(1 << SLOTS, -1, np.int64)
+        self.slot_piece = np.full(1 << SLOTS, NONE, np.int32)
+        self.probes = 1
+        for piece, number in self.id_of.items():
+            for cut in range(1, len(piece)):
+                a, b = self.id_of.get(piece[:cut]), self.id_of.get(piece[cut:])
+                if a is not None and b is not None:
+                    key = a * size + b
+                    at, probes = ((key * FIRST) & MASK) >> (64 - SLOTS), 1
+                    while self.slot_key[at] >= 0:
+                        at, probes = (at + 1) % (1 << SLOTS), probes + 1
+                    self.slot_key[at], self.slot_piece[at] = key, number
+                    self.probes = max(self.probes, probes)
+        self.single = {ord(p): i for p, i in self.id_of.items() if len(p) == 1}
+
+    def _pairs(self, a, b, left, keys, skip_below: int) -> np.ndarray:
+        """The piece of each pair that may be merged, else NONE."""
+        key = a.astype(np.int64) * self.size + b
+        at = ((key.astype(np.uint64) * np.uint64(FIRST)) >> np.uint64(64 - SLOTS)).astype(np.int64)
+        found = np.full(len(key), NONE, np.int32)
+        for _ in range(self.probes):
+            hit = self.slot_key[at] == key
+            found[hit] = self.slot_piece[at[hit]]
+            at = (at + 1) % (1 << SLOTS)
+        found[(a < 0) | (b < 0)] = NONE
+        if skip_below:
+            mixed = keys ^ (left.astype(np.uint64) * np.uint64(FIRST)) ^ (found.astype(np.uint64) * np.uint64(SECOND))
+            mixed = (mixed ^ (mixed >> np.uint64(31))) * np.uint64(THIRD)
+            found[(mixed ^ (mixed >> np.uint64(29))) < np.uint64(skip_below)] = NONE
+        return found
+
+    def encode_all(self, chunks: list[str], keys: list[int], skip_below: int) -> list[bytes]:
+        """`encode` of each chunk with its key, as bytes of 32-bit ids. Chunks of similar length go side by side: the agenda's
+        best pair of every chunk is merged at once. Whether a pair is skipped depends on key, place and piece only, so the
+        order of the agendas is kept."""
+        out: list[bytes] = [b""] * len(chunks)
+        short = sorted((i for i, c in enumerate(chunks) if len(c) <= SIDE_BY_SIDE), key=lambda i: len(chunks[i]))
+        for i, chunk in enumerate(chunks):
+            if len(chunk) > SIDE_BY_SIDE:
+                out[i] = np.array(self.encode(chunk, keys[i], skip_below), "<i4").tobytes()
+        for first in range(0, len(short), ROWS):
+            rows = short[first : first + ROWS]
+            self._side_by_side(rows, [chunks[i] for i in rows], np.array([keys[i] for i in rows], np.uint64), skip_below, out)
+        return out
+
+    def _side_by_side(self, rows: list[int], chunks: list[str], keys: np.ndarray, skip_below: int, out: list[bytes]) -> None:
+        width = max(map(len, chunks))
+        lengths = np.fromiter(map(len, chunks), np.int64, len(chunks))
+        codes = np.frombuffer("".join(chunks).encode("utf-32-le", "surrogatepass"), np.uint32)
+        distinct, inverse = np.unique(codes, return_inverse=True)
+        # Characters outside the vocabulary are negative, and merge with nothing.
+        ids = np.array([self.single.get(c, -2 - c) for c in distinct.tolist()], np.int32)
+        symbols = np.full((len(chunks), width + 1), NONE, np.int32)
+        symbols[np.arange(width + 1) < lengths[:, None]] = ids[inverse]
+        place = np.tile(np.arange(width + 1, dtype=np.int32), (len(chunks), 1))
+        flat = self._pairs(symbols[:, :-1].ravel(), symbols[:, 1:].ravel(), place[:, :-1].ravel(), np.repeat(keys, width), skip_below)
+        found = np.concatenate([flat.reshape(len(chunks), width), np.full((len(chunks), 1), NONE, np.int32)], 1)
+        index = np.array(rows)
+        columns = np.arange(width + 1)
+        while len(index):
+            rank = np.where(found >= 0, self.order[found], NEVER)
+            best = rank.argmin(1)
+            line = np.arange(len(index))
+            going = rank[line, best] < NEVER
+            if not going.all():
+                self._finish(index[~going], symbols[~going], out)
+                index, symbols, place, found, keys, best = (x[going] for x in (index, symbols, place, found, keys, best))
+                line = np.arange(len(index))
+                if not len(index):
+                    break
+            symbols[line, best] = found[line, best]
+            # The part behind the merged one moves up.
+            source = np.minimum(columns + (columns > best[:, None]), columns[-1])
+            symbols, place, found = (np.take_along_axis(x, source, 1) for x in (symbols, place, found))
+            symbols[:, -1], found[:, -1] = NONE, NONE
+            for at in (best, best - 1):
+                some = at >= 0
+                r, c = line[some], at[some]
+                found[r, c] = self._pairs(symbols[r, c], symbols[r, np.minimum(c + 1, columns[-1])], place[r, c], keys[some], skip_below)
+
+    def _finish(self, index: np.ndarray, symbols: np.ndarray, out: list[bytes]) -> None:
+        plain = (symbols >= NONE).all(1)
+        counts = (symbols >= 0).sum(1)
+        data = symbols[plain][symbols[plain] >= 0].astype("<i4").tobytes()
+        end = 0
+        for i, n in zip(index[plain].tolist(), counts[plain].tolist()):
+            out[i] = data[end : end + 4 * n]
+            end += 4 * n
+        for i, row in zip(index[~plain].tolist(), symbols[~plain].tolist()):
+            ids = []
+            for x in row:
+                ids.extend([x] if x >= 0 else () if x == -1 else [self.byte_id[b] for b in chr(-2 - x).encode("utf-8", "replace")])
+            out[i] = np.array(ids, "<i4").tobytes()
+
     def encode(self, chunk: str, key: int, skip_below: int) -> list[int]:
         """Ids of a chunk. The agenda gives the best pair first, the left one of equals. A pair is skipped when the hash
         of the key, its place and its piece is below the bound; a skipped pair comes back only as part of other pairs."""
@@ -70,8 +181,8 @@ class Pieces:
             if a is None or b is None or after[left] != right or len(a) + len(b) != size:
                 continue
             if skip_below:
-                mixed = (key ^ (left * 0x9E3779B97F4A7C15) ^ (found * 0xC2B2AE3D27D4EB4F)) & MASK
-                mixed = ((mixed ^ (mixed >> 31)) * 0xBF58476D1CE4E5B9) & MASK
+                mixed = (key ^ (left * FIRST) ^ (found * SECOND)) & MASK
+                mixed = ((mixed ^ (mixed >> 31)) * THIRD) & MASK
                 if (mixed ^ (mixed >> 29)) < skip_below:
                     continue
             parts[left], parts[right] = a + b, None
@@ -112,11 +223,10 @@ def encode(docs: DataFrame, model_path: str, *, dropout: float = DROPOUT, seed:
         raise ValueError(f"rename {to} first")
     key = F.xxhash64(F.lit(seed), F.col(id_col), F.col(text_col))
     schema = StructType([*docs.schema.fields, StructField(to, ArrayType(IntegerType()))])
-    skip_below, kept = int(dropout * MASK), docs.columns
+    skip_below, kept = min(int(dropout * MASK), MASK), docs.columns
 
     def run(batches):
-        pieces = Pieces(model_path)
-        seen = _seen.setdefault((model_path, seed, skip_below), {})
+        pieces = Pieces.of(model_path)
         for held in gathered(batches, text_col):
             texts = held.column(text_col).to_pylist()
             marks = held.column("_key").to_numpy().astype(np.uint64)
@@ -133,16 +243,13 @@ def encode(docs: DataFrame, model_path: str, *, dropout: float = DROPOUT, seed:
             mixed = (np.repeat(marks, lengths) + place * np.uint64(0x9E3779B97F4A7C15)) * np.uint64(0xBF58476D1CE4E5B9)
             variant = ((mixed >> np.uint64(32)) % np.uint64(VARIANTS if skip_below else 1)).astype(np.int64)
             distinct, at = np.unique(codes * VARIANTS + variant, return_inverse=True)
-            chunks, parts = list(number), []
-            for code in distinct.tolist():
-                chunk, kind = chunks[code // VARIANTS], code % VARIANTS
-                data = seen.get((chunk, kind))
-                if data is None:
-                    own = xxhash.xxh64_intdigest(chunk.encode("utf-8", "replace"), seed=(seed * VARIANTS + kind) & MASK)
-                    data = np.array(pieces.encode(chunk, own, skip_below), "<i4").tobytes()
-                    if len(seen) < SEEN_CHUNKS and len(chunk) <= 40:
-                        seen[chunk, kind] = data
-                parts.append(data)
+            plain = list(number)
+            chunks = [plain[c] for c in (distinct // VARIANTS).tolist()]
+            keys = [
+                xxhash.xxh64_intdigest(c.encode("utf-8", "replace"), seed=(seed * VARIANTS + k) & MASK)
+                for c, k in zip(chunks, (distinct % VARIANTS).tolist())
+            ]
+            parts = pieces.encode_all(chunks, keys, skip_below)
             counts = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
             flat = np.frombuffer(b"".join(parts), "<i4")
             ids = flat[ragged((np.cumsum(counts) - counts)[at], counts[at])]
@@ -164,7 +271,7 @@ def decode(encoded: DataFrame, model_path: str, *, ids_col: str = "ids", to: str
     schema = StructType([*encoded.schema.fields, StructField(to, StringType())])
 
     def run(batches):
-        get = Pieces(model_path).bytes_of.__getitem__
+        get = Pieces.of(model_path).bytes_of.__getitem__
         for batch in batches:
             lists = batch.column(ids_col)
             texts = [b"".join(map(get, x.values.to_pylist() if x.is_valid else ()))[1:].decode() for x in lists]
