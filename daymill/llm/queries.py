@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from daymill import workspace
-from daymill.llm import chat, common, exact_dedup, huffman, language_id, mixing, sentencepiece_dropout, token_counts, toxicity
+from daymill.llm import chat, common, exact_dedup, huffman, hyperminhash, language_id, mixing, sentencepiece_dropout, token_counts, toxicity
 
 QUERIES, ORACLE = {}, {}
 
@@ -39,6 +39,12 @@ def op3_sentencepiece_dropout(spark, sf):
     )
 
 
+@query
+def op4_hyperminhash(spark, sf):
+    docs = common.table(spark, sf, "documents").select("doc_id", "text")
+    return hyperminhash.NearDuplicates(docs).report()
+
+
 @query
 def op5_language_id(spark, sf):
     docs = common.table(spark, sf, "documents")
