@@ -194,12 +194,10 @@ def fit(labelled: DataFrame, *, text_col: str = "text", lang_col: str = "lang",
 
 def predict(docs: DataFrame, model: LanguageModel, *, text_col: str = "text") -> DataFrame:
     """`docs` with lang_pred, score (cosine, 0 to 1) and rejected. Null texts and texts without a letter are
-    `und`, score 0, rejected. A model's size depends on languages and buckets only."""
+    `und`, score 0, rejected. Columns of these names are replaced. A model's size depends on languages and buckets only."""
     bound_batches(docs.sparkSession)
     added = [StructField("lang_pred", StringType()), StructField("score", DoubleType()), StructField("rejected", BooleanType())]
-    clash = {f.name for f in added} & set(docs.columns)
-    if clash:
-        raise ValueError(f"rename {sorted(clash)} first")
+    docs = docs.drop(*[f.name for f in added])
     schema = StructType([*docs.schema.fields, *added])
     shared = docs.sparkSession.sparkContext.broadcast(model)
 

@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from daymill import workspace
-from daymill.llm import chat, common, exact_dedup, huffman, hyperminhash, language_id, mixing, sentencepiece_dropout, token_counts, toxicity
+from daymill.llm import chat, common, embedding_dedup, exact_dedup, huffman, hyperminhash, language_id, mixing, sentencepiece_dropout, token_counts, toxicity
 
 QUERIES, ORACLE = {}, {}
 
@@ -18,6 +18,11 @@ def query(function):
     return run
 
 
+@query
+def op1_projection_collisions(spark, sf):
+    return embedding_dedup.near_duplicates(common.table(spark, sf, "embeddings"))
+
+
 @query
 def op2_toxicity(spark, sf):
     docs, labels = common.table(spark, sf, "documents"), common.table(spark, sf, "labels")

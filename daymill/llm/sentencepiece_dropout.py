@@ -216,11 +216,10 @@ def encode(docs: DataFrame, model_path: str, *, dropout: float = DROPOUT, seed:
     chunks of blanks and what follows them; each chunk is a segmentation of its own. An occurrence of a chunk gets one
     of VARIANTS keys by a hash of seed, document id, text and place, so the same input and seed give the same ids in
     any order and number of tasks, and copies with other ids other segmentations. Each (chunk, key) of a block of texts is
-    segmented once. With dropout 0 the ids are those of the library. Null and empty texts have no ids; rows may repeat.
+    segmented once. With dropout 0 the ids are those of the library. Null and empty texts have no ids; rows may repeat; a column named as `to` is replaced.
     """
     bound_batches(docs.sparkSession)
-    if to in docs.columns:
-        raise ValueError(f"rename {to} first")
+    docs = docs.drop(to)
     key = F.xxhash64(F.lit(seed), F.col(id_col), F.col(text_col))
     schema = StructType([*docs.schema.fields, StructField(to, ArrayType(IntegerType()))])
     skip_below, kept = min(int(dropout * MASK), MASK), docs.columns
@@ -229,7 +228,7 @@ def encode(docs: DataFrame, model_path: str, *, dropout: float = DROPOUT, seed:
         pieces = Pieces.of(model_path)
         for held in gathered(batches, text_col):
             texts = held.column(text_col).to_pylist()
-            marks = held.column("_key").to_numpy().astype(np.uint64)
+            marks = held.column("__segment_key").to_numpy().astype(np.uint64)
             number: dict[str, int] = {}
             codes, lengths = [], np.zeros(len(texts), np.int64)
             for i, text in enumerate(texts):
@@ -259,15 +258,14 @@ def encode(docs: DataFrame, model_path: str, *, dropout: float = DROPOUT, seed:
             columns = [held.column(c).combine_chunks() for c in kept]
             yield pa.RecordBatch.from_arrays([*columns, lists], names=schema.names)
 
-    return docs.withColumn("_key", key).mapInArrow(run, schema)
+    return docs.withColumn("__segment_key", key).mapInArrow(run, schema)
 
 
 def decode(encoded: DataFrame, model_path: str, *, ids_col: str = "ids", to: str = "decoded") -> DataFrame:
     """`encoded` with the text of the ids in column `to`: their bytes one after the other, without the first blank.
-    No ids, or null, give the empty text."""
+    No ids, or null, give the empty text; a column named as `to` is replaced."""
     bound_batches(encoded.sparkSession)
-    if to in encoded.columns:
-        raise ValueError(f"rename {to} first")
+    encoded = encoded.drop(to)
     schema = StructType([*encoded.schema.fields, StructField(to, StringType())])
 
     def run(batches):

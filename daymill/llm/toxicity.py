@@ -243,12 +243,10 @@ def _logistic(points: Iterable[tuple]) -> tuple[float, ...]:
 
 def score(docs: DataFrame, model: ToxicityModel, *, text_col: str = "text") -> DataFrame:
     """`docs` with score (0 to 1) and predicted (1 from 0.5 on). Whole texts; null and empty ones match nothing and get
-    the score of a text without matches. The model's size is bounded by LEXICON."""
+    the score of a text without matches. Columns of these names are replaced. The model's size is bounded by LEXICON."""
     bound_batches(docs.sparkSession)
     added = [StructField("score", DoubleType()), StructField("predicted", IntegerType())]
-    clash = {f.name for f in added} & set(docs.columns)
-    if clash:
-        raise ValueError(f"rename {sorted(clash)} first")
+    docs = docs.drop(*[f.name for f in added])
     schema = StructType([*docs.schema.fields, *added])
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
