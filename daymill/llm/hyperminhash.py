@@ -53,8 +53,7 @@ def shingle_sets(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     factors = mix(np.arange(1, SHINGLE_WORDS + 1, dtype=np.uint64)) | np.uint64(1)
     total, place = np.zeros(len(word), np.uint64), np.arange(len(word)) - first[doc]
     for k in range(SHINGLE_WORDS):
-        shifted = np.zeros(len(word), np.uint64)
-        shifted[: len(word) - k] = word[k:]
+        shifted = np.concatenate([word[k:], np.zeros(min(k, len(word)), np.uint64)])
         total += np.where(place + k < counts[doc], shifted, 0).astype(np.uint64) * factors[k]
     short = counts[doc] < SHINGLE_WORDS
     starts = np.where(short, place == 0, place <= counts[doc] - SHINGLE_WORDS)

@@ -18,9 +18,9 @@ CENTROIDS = 4  # per language
 ROUNDS = 4
 SAMPLE_PER_LANGUAGE = 4000  # labelled documents to fit on, at most, about
 SAMPLE_TASKS = 16
-# A text is rejected when it is further from every centroid than this share of what the furthest of a hundred
-# training texts of its length reaches.
-REJECT_SHARE = 0.6
+# A text is rejected when its cosine with every centroid is below this share of what all but a few training texts of its
+# length reach: two in a thousand, none where there are fewer.
+REJECT_SHARE, REJECT_QUANTILE = 0.5, 0.002
 LENGTH_BINS = 24  # by powers of two of the number of letters
 GROUP_DOCS, GROUP_CHARS = 256, 1 << 21
 
@@ -186,7 +186,7 @@ def fit(labelled: DataFrame, *, text_col: str = "text", lang_col: str = "lang",
     floor, last = np.zeros(LENGTH_BINS), 0.0
     for k in range(LENGTH_BINS):  # a longer text is nearer; bins with few texts take the bound of the one before
         if seen[k].sum() >= 50:
-            last = float(np.searchsorted(np.cumsum(seen[k]), 0.01 * seen[k].sum()) / steps)
+            last = float(np.searchsorted(np.cumsum(seen[k]), REJECT_QUANTILE * seen[k].sum(), side="right") / steps)
         floor[k] = REJECT_SHARE * last
     model.floors = floor
     return model

@@ -63,7 +63,7 @@ def count_tokens(docs: DataFrame, cache_path: str, tokenizer_path: str, *, blank
         chosen.alias("c"), F.col(f"d.{id_col}").eqNullSafe(F.col("c.at")) & (F.col("d.digest") == F.col("c.digest")), "left_semi"
     )
     encoded = texts.select("digest", "text").mapInArrow(_encoder(tokenizer_path, blanks_lead, version), CACHE)
-    encoded.write.mode("append").parquet(cache_path)
+    encoded.groupBy("digest", "version").agg(F.max("n_tokens").alias("n_tokens")).write.mode("append").parquet(cache_path)
     counts = read_cache(spark, cache_path).filter(F.col("version") == version)
     counts = counts.groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))
     return keys.join(counts, "digest").select(id_col, "n_bytes", "n_tokens")
@@ -71,8 +71,12 @@ def count_tokens(docs: DataFrame, cache_path: str, tokenizer_path: str, *, blank
 
 def _encoder(path: str, blanks_lead: bool, version: str):
     def run(batches):
-        encoder = ChunkEncoder(path, blanks_lead)
+        encoder, met = ChunkEncoder(path, blanks_lead), set()
         for held in gathered(batches):
+            # Repeated rows of one id, where they come to one task; those of several are one entry all the same.
+            digests = held.column("digest").to_pylist()
+            fresh = [i for i, d in enumerate(digests) if d not in met and not met.add(d)]
+            held = held.take(fresh)
             counts = encoder.counts(held.column("text"))
             digests = held.column("digest").combine_chunks()
             yield pa.RecordBatch.from_arrays(
