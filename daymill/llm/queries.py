@@ -12,6 +12,7 @@ QUERIES, ORACLE = {}, {}
 def query(function):
     def run(spark, sf_dir):
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+        workspace.use_own_root(spark)
         return function(spark, sf_dir)
 
     QUERIES[function.__name__] = run
