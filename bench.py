@@ -16,6 +16,7 @@ from pyspark.sql import SparkSession  # noqa: E402
 
 from checks import standins  # noqa: E402
 from checks.queries import QUERIES  # noqa: E402
+from daymill import workspace  # noqa: E402
 from daymill.session import configure  # noqa: E402
 from daymill.plans import training, views  # noqa: E402
 
@@ -59,6 +60,7 @@ def main():
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
+    workspace.use_own_root(spark)
     jobs = {name: QUERIES[name] for name in HEADLINE} | {"many_series_features": many_series_features}
     seconds = {}
     for name, job in jobs.items():

@@ -297,13 +297,36 @@ ORACLE = {
         "h",
         f"""SELECT {shown('city #part timestamp ~temperature_2m ~relative_humidity_2m')} FROM (SELECT city, part,
         strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS timestamp, temperature_2m,
-        CASE WHEN row_number() OVER (PARTITION BY city, date, part ORDER BY event_id DESC) > part % 3
-        THEN relative_humidity_2m END AS relative_humidity_2m FROM h)""",
+        CASE WHEN row_number() OVER (PARTITION BY city, date, part ORDER BY event_id DESC) > part % 3 AND part % 5 <> 1
+        THEN relative_humidity_2m END AS relative_humidity_2m,
+        row_number() OVER (PARTITION BY city, date, part ORDER BY event_id) AS place FROM h)
+        WHERE part % 7 <> 3 OR place > 1""",
+    ),
+    "document_quarantine": sql(
+        "h",
+        f"""SELECT {shown('city @date #part text reason')} FROM (SELECT DISTINCT city, date, part,
+        CASE WHEN part % 11 <> 5 THEN 'not a time' END AS text,
+        CASE WHEN part % 11 <> 5 THEN 'time not readable' ELSE 'no hourly data' END AS reason FROM h
+        WHERE part % 11 = 5 OR part % 7 = 3)""",
+    ),
+    "daily_run_readings": sql("r0", f"SELECT {shown(READING)} FROM r0 WHERE day(date) NOT IN (13, 29)"),
+    "daily_run_rejected": sql(
+        "r0",
+        f"""SELECT {shown('city reason #rows')} FROM (SELECT city, CASE WHEN day(date) = 13 THEN 'status not ok'
+        ELSE 'no date' END AS reason, 2 * count(*) AS rows FROM r0 WHERE day(date) IN (13, 29) GROUP BY 1, 2)""",
+    ),
+    "daily_run_weather": DAILY,
+    "daily_run_log": sql("log", f"SELECT {shown(FORECAST)} FROM log"),
+    "csv_quarantine": sql(
+        "r0",
+        f"""SELECT {shown('city text reason #rows')} FROM (SELECT city, CASE WHEN day(date) = 17 THEN 'some day' END AS text,
+        CASE WHEN day(date) = 17 THEN 'day not readable' ELSE 'no day' END AS reason, count(*) AS rows
+        FROM r0 WHERE day(date) IN (17, 23) GROUP BY ALL)""",
     ),
     "ragged_audit": sql(
         "h",
         f"""SELECT {shown('city @date #part #times #shortest #longest')} FROM (SELECT city, date, part, count(*) AS times,
-        greatest(count(*) - part % 3, 0) AS shortest, count(*) AS longest FROM h GROUP BY city, date, part)
+        CASE WHEN part % 5 = 1 THEN 0 ELSE greatest(count(*) - part % 3, 0) END AS shortest, count(*) AS longest FROM h GROUP BY city, date, part)
         WHERE shortest <> times""",
     ),
     "daily_mean": DAILY,

@@ -14,6 +14,7 @@ from daymill.operators import aggregate, incremental, joins, metrics, series, ta
 from daymill.functions.text import model_name
 from daymill.models import seasonal, stacked, trees
 from daymill.operators.flights import clean_flights
+from daymill.plans import daily as run
 from daymill.plans import forecast, training, views
 from daymill.schemas import FLIGHT, READING, hourly_response
 from daymill.sources import landing, responses, sinks
@@ -27,12 +28,13 @@ SCAN_START, SCAN_END = date(2024, 1, 10), date(2024, 1, 20)
 
 
 def query(function):
-    def run(spark, sf_dir):
+    def registered(spark, sf_dir):
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+        workspace.use_own_root(spark)
         return s.shown(function(spark, sf_dir))
 
-    QUERIES[function.__name__] = run
-    return run
+    QUERIES[function.__name__] = registered
+    return registered
 
 
 # Staging, intermediate and mart models.
@@ -176,6 +178,60 @@ def ragged_audit(spark, sf):
     )
 
 
+@query
+def document_quarantine(spark, sf):
+    """Documents without hours, and hours without a readable time."""
+    docs = s.documents(spark, sf, ragged=True)
+    docs = docs.withColumn("hourly", F.when(F.col("part") % 11 != 5, F.col("hourly")))
+    return unnest.rejected_hours(docs, s.HOUR_VARIABLES, keep=("city", "date", "part"))
+
+
+@query
+def daily_run_readings(spark, sf):
+    """The stored readings after two runs over responses that repeat days: the latest stated time counts."""
+    tables = _stored(spark)
+    for _ in range(2):
+        run.load_readings(spark, tables, s.responses(spark, sf, repeated=True))
+    return tables.read_readings(spark).select(*READING_COLUMNS)
+
+
+@query
+def daily_run_rejected(spark, sf):
+    """What two runs reject: each response once."""
+    tables = _stored(spark)
+    for _ in range(2):
+        run.load_readings(spark, tables, s.responses(spark, sf, repeated=True))
+    return spark.read.parquet(f"{tables.rejected}/readings").groupBy("city", "reason").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@query
+def daily_run_weather(spark, sf):
+    """The stored weather after two landings of every document, the second with corrected values."""
+    tables = _stored(spark)
+    docs = s.documents(spark, sf).withColumn("landed", F.lit(2))
+    wrong = F.col("hourly").withField("temperature_2m", F.transform("hourly.temperature_2m", lambda v: v * 3))
+    run.load_weather(spark, tables, docs.unionByName(docs.withColumn("hourly", wrong).withColumn("landed", F.lit(1))))
+    return tables.read_weather(spark).select("date", "city", *s.HOUR_VARIABLES)
+
+
+@query
+def daily_run_log(spark, sf):
+    """Forecasts that are stored after the readings of their target days get their actuals."""
+    tables = _stored(spark)
+    readings = workspace.materialize(s.readings(spark, sf), "readings")
+    run.merge_by_month(spark, tables.readings, readings.select(*READING_COLUMNS))
+    new = workspace.materialize(s.forecast_log(spark, sf), "forecasts")
+    run.store_forecasts(spark, tables, new)
+    run.fill_known(spark, tables, new)
+    return tables.read_forecasts(spark)
+
+
+def _stored(spark):
+    tables = run.Tables(*[workspace.new_path(spark, n) for n in ("readings", "weather", "forecasts", "rejected")])
+    tables.ensure(spark)
+    return tables
+
+
 @query
 def daily_mean(spark, sf):
     return aggregate.daily_mean(s.hours(spark, sf), s.HOUR_VARIABLES)
@@ -183,7 +239,8 @@ def daily_mean(spark, sf):
 
 def _hour_stream(spark, sf):
     events = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double"
-    return daily.hour_stream(spark, sf, events, only="events.parquet").select(
+    # A glob fits the table as one file and as a folder of part files.
+    return daily.hour_stream(spark, f"{sf}/events.parque[t]", events).select(
         "event_id",
         F.col("event_type").alias("city"),
         F.col("ts").cast("timestamp").alias("timestamp"),
@@ -205,7 +262,8 @@ def stream_daily_mean(spark, sf):
 @query
 def stream_hours(spark, sf):
     hourly, path, state = (workspace.new_path(spark, n) for n in ("stream-hours", "stream-means", "stream-state"))
-    daily.run_hours(_hour_stream(spark, sf), s.HOUR_VARIABLES, hourly, path, state, identity=("event_id",))
+    identity = ("event_id", "timestamp")
+    daily.run_hours(_hour_stream(spark, sf), s.HOUR_VARIABLES, hourly, path, state, identity=identity)
     return spark.read.parquet(path).drop("year", "month")
 
 
@@ -232,7 +290,7 @@ def dedup_latest(spark, sf):
 
 @query
 def api_response_flatten(spark, sf):
-    return responses.usable(responses.flatten_readings(s.responses(spark, sf)))
+    return responses.usable(responses.flatten_readings(s.responses(spark, sf))).drop("stated")
 
 
 @query
@@ -257,6 +315,18 @@ def csv_clean(spark, sf):
     return landing.read_history_csv(spark, path)
 
 
+@query
+def csv_quarantine(spark, sf):
+    """Lines without a day, or with one that cannot be read, counted by city and reason."""
+    path = workspace.new_path(spark, "csv")
+    day = F.dayofmonth("date")
+    text = F.when(day == 17, "some day").when(day == 23, "  ").otherwise(F.date_format("date", "yyyy/M/d"))
+    cells = [F.col(p).cast("string").alias(p) for p in POLLUTANTS]
+    s.sparse_readings(spark, sf).select(text.alias("date"), "city", *cells).write.option("header", True).csv(path)
+    rejected = landing.rejected_history_csv(spark, path)
+    return rejected.groupBy("city", "text", "reason").agg(F.count(F.lit(1)).alias("rows"))
+
+
 @query
 def path_metadata(spark, sf):
     path = workspace.new_path(spark, "by-city")

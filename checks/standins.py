@@ -146,7 +146,8 @@ def hours(spark, sf_dir) -> DataFrame:
 def documents(spark, sf_dir, ragged: bool = False) -> DataFrame:
     """Hourly documents by (city, date, part), at most CHUNK times each, ordered by event_id.
 
-    The ragged form cuts the last `part % 3` entries off the second variable.
+    The ragged form cuts the last `part % 3` entries off the second variable, leaves it out where
+    `part % 5 = 1`, and spoils the first time where `part % 7 = 3`.
     """
     hour = F.struct(
         "event_id",
@@ -162,26 +163,31 @@ def documents(spark, sf_dir, ragged: bool = False) -> DataFrame:
         )
         .agg(F.sort_array(F.collect_list(hour)).alias("h"))
     )
-    humidity = F.col("h.relative_humidity_2m")
+    humidity, time = F.col("h.relative_humidity_2m"), F.col("h.time")
     if ragged:
+        spoiled = F.concat(F.array(F.lit("not a time")), F.slice(time, F.lit(2), F.greatest(F.size(time) - 1, F.lit(0))))
+        time = F.when(F.col("part") % 7 == 3, spoiled).otherwise(time)
         kept = F.greatest(F.size("h") - (F.col("part") % 3).cast("int"), F.lit(0))
-        humidity = F.slice(humidity, F.lit(1), kept)
+        humidity = F.when(F.col("part") % 5 != 1, F.slice(humidity, F.lit(1), kept))
     return grouped.select(
         "city",
         "date",
         "part",
         F.struct(
-            F.col("h.time").alias("time"),
+            time.alias("time"),
             F.col("h.temperature_2m").alias("temperature_2m"),
             humidity.alias("relative_humidity_2m"),
         ).alias("hourly"),
     )
 
 
-def responses(spark, sf_dir) -> DataFrame:
+def responses(spark, sf_dir, repeated: bool = False) -> DataFrame:
     """Reading responses as JSON text: absent pollutants missing, an error on every 13th of a
-    month and no time on every 29th."""
-    daily = sparse_readings(spark, sf_dir)
+    month and no time on every 29th. Repeated: each day a second time, earlier and with larger values."""
+    daily = sparse_readings(spark, sf_dir).withColumn("hour", F.lit(" 12:00:00"))
+    if repeated:
+        larger = {p: F.col(p) * 3 for p in ("pm25", "pm10", "o3", "no2", "co")}
+        daily = daily.unionByName(daily.withColumns({**larger, "hour": F.lit(" 06:00:00")}))
     day = F.dayofmonth("date")
     pollutants = F.struct(
         *[
@@ -189,7 +195,7 @@ def responses(spark, sf_dir) -> DataFrame:
             for p in ("pm25", "pm10", "o3", "no2", "co")
         ]
     )
-    stamp = F.when(day != 29, F.concat(F.col("date").cast("string"), F.lit(" 12:00:00")))
+    stamp = F.when(day != 29, F.concat(F.col("date").cast("string"), "hour"))
     body = F.struct(
         F.when(day == 13, "error").otherwise("ok").alias("status"),
         F.struct(pollutants.alias("iaqi"), F.struct(stamp.alias("s")).alias("time")).alias("data"),

@@ -1,26 +1,22 @@
 """Additive seasonal model per city: linear trend, weekly and yearly Fourier terms (the
 decomposition of Taylor & Letham, "Forecasting at Scale", 2018), fitted by least squares.
 
-Fitting is a sum: every task adds up its rows' normal equations, the sums per city and cell are
-combined in a shuffle, and only one small system per city is solved.
+A city has one row per day, so its rows are bounded by the calendar: they are sent to one task, once each,
+and there the city's normal equations are added up and solved.
 """
 
 import math
-from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DoubleType
 
 ORIGIN = "2000-01-01"
 YEAR_DAYS = 365.25
 YEARLY_ORDER = 10
 WEEKLY_ORDER = 3
 TERMS = 2 + 2 * YEARLY_ORDER + 2 * WEEKLY_ORDER
-SIDE = TERMS + 1  # the target rides along as a last column
-CITIES_HELD = 1000  # partial sums kept in a task before they are passed on
 
 
 def basis(date: Column) -> Column:
@@ -34,58 +30,27 @@ def basis(date: Column) -> Column:
     return F.array(*terms)
 
 
-def _partial_sums():
+def _fit():
     """Nested, so that it travels to the workers by value and needs no package there."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: dict[str, np.ndarray] = {}
-
-        def release():
-            out = pd.DataFrame({"city": list(held), "cells": [m.ravel() for m in held.values()]})
-            held.clear()
-            return out
-
-        for batch in batches:
-            for city, rows in batch.groupby("city"):
-                m = np.stack(rows["terms"].to_numpy())
-                held[city] = held.get(city, 0.0) + m.T @ m
-            if len(held) >= CITIES_HELD:
-                yield release()
-        if held:
-            yield release()
-
-    return run
-
-
-def _solver():
-    def one(values):
-        m = np.asarray(values, dtype=float).reshape(SIDE, SIDE)
+    def solve(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        m = np.stack(rows["terms"].to_numpy())
+        x, y = m[:, :-1], m[:, -1]
         # Least squares of smallest norm, so a short history is no error.
-        return np.linalg.lstsq(m[:-1, :-1], m[:-1, -1], rcond=1e-10)[0].tolist()
-
-    def solve(cells: pd.Series) -> pd.Series:
-        return cells.apply(one)
+        solution = np.linalg.lstsq(x.T @ x, x.T @ y, rcond=1e-10)[0]
+        return pd.DataFrame({"city": [key[0]], "coefficients": [solution.tolist()]})
 
-    return F.pandas_udf(solve, ArrayType(DoubleType()))
+    return solve
 
 
 def fit_seasonal(df: DataFrame, value: str = "pm10") -> DataFrame:
-    """(city, coefficients) from the rows that have a value."""
+    """(city, coefficients) from the rows that have a value. The shuffle by city moves each row once; it is the
+    one that the series windows before it have made already, where the frame comes straight from them."""
     rows = df.filter(F.col("city").isNotNull() & F.col("date").isNotNull() & F.col(value).isNotNull())
     terms = F.concat(basis(F.col("date")), F.array(F.col(value).cast("double")))
-    partial = rows.select("city", terms.alias("terms")).mapInPandas(
-        _partial_sums(), "city string, cells array<double>"
-    )
-    cell_sums = (
-        partial.select("city", F.posexplode("cells").alias("cell", "part"))
-        .groupBy("city", "cell")
-        .agg(F.sum("part").alias("total"))
-    )
-    # SIDE * SIDE sums per city, whatever its history.
-    systems = cell_sums.groupBy("city").agg(
-        F.sort_array(F.collect_list(F.struct("cell", "total"))).alias("cells")
+    return rows.select("city", terms.alias("terms")).groupBy("city").applyInPandas(
+        _fit(), "city string, coefficients array<double>"
     )
-    return systems.select("city", _solver()(F.col("cells.total")).alias("coefficients"))
 
 
 def seasonal_value(date: Column, coefficients: Column) -> Column:

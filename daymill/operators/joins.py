@@ -8,8 +8,13 @@ from daymill.constants import HORIZONS
 
 
 def merge_weather(readings: DataFrame, weather: DataFrame) -> DataFrame:
-    """Every reading with the weather of its city and day, where there is any."""
-    return readings.join(weather, ["city", "date"], "left")
+    """Every reading with the weather of its city and day, where there is any. Readings without a city or a
+    day match nothing; they are spread over the partitions of the join instead of meeting in one."""
+    known = F.col("city").isNotNull() & F.col("date").isNotNull()
+    spread = F.when(known, 0).otherwise(F.pmod(F.xxhash64(*readings.columns), F.lit(1000)) + 1)
+    left = readings.withColumn("_spread", spread.cast("int"))
+    right = weather.withColumn("_spread", F.lit(0))
+    return left.join(right, ["city", "date", "_spread"], "left").drop("_spread")
 
 
 def with_city(df: DataFrame, cities: DataFrame) -> DataFrame:

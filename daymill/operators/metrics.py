@@ -72,9 +72,15 @@ def fit_blend(df: DataFrame, by, first: str, second: str, target: str) -> DataFr
 
 
 def apply_blend(df: DataFrame, weights: DataFrame, by, first: str, second: str) -> DataFrame:
-    """Blended prediction; groups without weights are dropped."""
+    """Blended prediction. Rows of groups without weights stay, with a null prediction; `unblended` names the groups."""
     blended = F.col("w0") + F.col("w1") * F.col(first) + F.col("w2") * F.col(second)
-    return df.join(weights, list(by)).withColumn("predicted", blended).drop("w0", "w1", "w2")
+    return df.join(weights, list(by), "left").withColumn("predicted", blended).drop("w0", "w1", "w2")
+
+
+def unblended(df: DataFrame, weights: DataFrame, by) -> DataFrame:
+    """Groups that `apply_blend` cannot predict, with the reason."""
+    groups = df.select(*by).distinct().join(weights, list(by), "left_anti")
+    return groups.withColumn("reason", F.lit("no blend weights: no rows with both predictions to fit them on"))
 
 
 def best_by_error(df: DataFrame, keys, order: str, error: str = "rmse") -> DataFrame:

@@ -1,15 +1,23 @@
 """Keyed-table maintenance on immutable data: each operator returns the next version."""
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from daymill.operators.aggregate import last_per_key
+
 FORECAST_KEY = ["city", "forecast_date", "horizon"]
 
 
 def replace_by_key(base: DataFrame, new: DataFrame, keys=("city", "date")) -> DataFrame:
-    """Rows of base whose key does not occur in new, plus all rows of new."""
+    """Rows of base whose key does not occur in new, plus all rows of new. Null keys are equal to each
+    other, so merging the same rows again changes nothing."""
     keys = list(keys)
-    kept = base.join(new.select(*keys).distinct(), keys, "left_anti")
+    named = new.select(*[F.col(k).alias(f"_new_{k}") for k in keys]).distinct()
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_new_{k}")) for k in keys])
+    kept = base.join(named, same, "left_anti")
     return kept.select(*base.columns).unionByName(new.select(*base.columns))
 
 
@@ -21,7 +29,9 @@ def replace_series(base: DataFrame, new: DataFrame, series: str = "city") -> Dat
 
 def upsert_forecasts(log: DataFrame, new: DataFrame) -> DataFrame:
     """Insert new forecasts; on a key already present only `predicted` changes, so a filled
-    `actual` and the stored `target_date` survive."""
+    `actual` and the stored `target_date` survive. A key that `new` repeats counts once, with its
+    largest prediction."""
+    new = last_per_key(new, FORECAST_KEY, [F.col(c) for c in ("predicted", "target_date", "actual")])
     old, add = log.alias("old"), new.alias("add")
     known = F.col("old.city").isNotNull()
     return old.join(add, FORECAST_KEY, "full").select(

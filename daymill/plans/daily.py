@@ -3,16 +3,18 @@ step rewrites only the months it changes."""
 
 from dataclasses import dataclass
 from datetime import timedelta
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daymill import schemas, workspace
-from daymill.constants import HORIZONS
+from daymill.constants import HORIZONS, WEATHER_VARIABLES
 from daymill.operators.aggregate import daily_mean, high_water_mark_by, last_per_key
 from daymill.operators.incremental import backfill_dates
 from daymill.operators.tables import FORECAST_KEY, fill_actuals, upsert_forecasts
-from daymill.operators.unnest import unnest_hourly, unusable_documents
+from daymill.operators.unnest import rejected_hours, unnest_hourly
 from daymill.plans.forecast import forecast
 from daymill.plans.training import latest_features, latest_of_recent, row_features
 from daymill.plans.views import refresh_mart
@@ -65,28 +67,44 @@ def _bounds(rows: DataFrame, date: str):
 def load_readings(spark: SparkSession, tables: Tables, responses: DataFrame) -> DataFrame:
     """Landed reading responses (city, body) into the readings table; returns the rows stored.
 
-    A response counts for the day it states, not for the day it was asked for, and repeats of a
-    day collapse to one row. Unusable responses go to the rejected table; they stop nothing.
+    A response counts for the day it states, not for the day it was asked for. Of repeats of a day the
+    one that states the latest time stays; values decide only between equal times. Unusable responses
+    go to the rejected table, once each; they stop nothing.
     """
     flat = workspace.materialize(flatten_readings(responses), "responses")
-    append(quarantined(flat), f"{tables.rejected}/readings")
+    reject(spark, quarantined(flat), f"{tables.rejected}/readings")
     good = usable(flat)
-    values = [F.col(c) for c in good.columns if c not in ("city", "date")]
-    rows = workspace.materialize(last_per_key(good, ["city", "date"], values), "readings")
+    order = ["stated", *[c for c in good.columns if c not in ("city", "date", "stated")]]
+    newest = last_per_key(good, ["city", "date"], [F.col(c) for c in order]).drop("stated")
+    rows = workspace.materialize(newest, "readings")
     merge_by_month(spark, tables.readings, rows)
     return rows
 
 
 def load_weather(spark: SparkSession, tables: Tables, documents: DataFrame) -> DataFrame:
-    """Landed weather documents (city, hourly) into the daily weather table; returns the rows
-    stored. Documents without hours go to the rejected table."""
-    append(unusable_documents(documents), f"{tables.rejected}/weather")
-    days = daily_mean(unnest_hourly(documents)).select(*[f.name for f in schemas.WEATHER_DAY])
+    """Landed weather documents (city, hourly, and `landed` where there is an order) into the daily
+    weather table; returns the rows stored. Of several documents with an hour the latest landed counts.
+    Documents without hours, and hours without a readable time, go to the rejected table, once each."""
+    reject(spark, rejected_hours(documents), f"{tables.rejected}/weather")
+    order = ["landed"] if "landed" in documents.columns else []
+    hours = unnest_hourly(documents, keep=("city", *order))
+    newest = last_per_key(hours, ["city", "timestamp"], [F.col(c) for c in [*order, *WEATHER_VARIABLES]]).drop(*order)
+    days = daily_mean(newest).select(*[f.name for f in schemas.WEATHER_DAY])
     rows = workspace.materialize(days, "weather")
     merge_by_month(spark, tables.weather, rows)
     return rows
 
 
+def reject(spark: SparkSession, rows: DataFrame, path: str) -> int:
+    """Add rejected rows that the rejected table does not hold yet, so a rerun adds none."""
+    empty = spark.createDataFrame([], rows.schema)
+    empty.write.mode("ignore").parquet(path)
+    stored = spark.read.schema(rows.schema).parquet(path).select(*[F.col(c).alias(f"_s_{c}") for c in rows.columns])
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_s_{c}")) for c in rows.columns])
+    fresh = workspace.materialize(rows.distinct().join(stored, same, "left_anti"), "rejected")
+    return append(fresh, path)
+
+
 def store_actuals(spark: SparkSession, tables: Tables, readings: DataFrame, on_date=None) -> int:
     """Fill the missing actuals of stored forecasts from `readings`; only rows that change are
     written. Returns the number of rows in the rewritten months."""
@@ -108,6 +126,17 @@ def store_forecasts(spark: SparkSession, tables: Tables, new: DataFrame) -> int:
     return merge_by_month(spark, tables.forecasts, changed, FORECAST_KEY, "forecast_date")
 
 
+def fill_known(spark: SparkSession, tables: Tables, forecasts: DataFrame) -> int:
+    """Fill the actuals of forecasts that were stored after the reading of their target day: from the
+    stored readings of the months that the targets fall in."""
+    first, last = _bounds(forecasts, "target_date")
+    if first is None:
+        return 0
+    days = forecasts.select("city", F.col("target_date").alias("date")).distinct()
+    readings = tables.read_readings(spark, first, last).join(days, ["city", "date"], "left_semi")
+    return store_actuals(spark, tables, workspace.materialize(readings, "known"))
+
+
 def store_mart(spark: SparkSession, tables: Tables, mart: str, changed: DataFrame) -> int:
     """Bring the stored mart up to date with changed readings. Row lags do not exist on streams,
     so a stream of readings calls this for each batch it has merged."""
@@ -161,4 +190,5 @@ def daily_run(
     latest = stored_latest_features(spark, tables, champions, forecast_date)
     forecasts = workspace.materialize(forecast(spark, latest, champions, forecast_date, horizons), "new")
     store_forecasts(spark, tables, forecasts)
+    fill_known(spark, tables, forecasts)
     return forecasts

@@ -69,6 +69,20 @@ def list_objects(spark: SparkSession, root: str, pattern: str = "*.json") -> Dat
 
 
 def read_history_csv(spark: SparkSession, path, city=None, delimiter: str = ",") -> DataFrame:
+    """Historical readings that have a day; the others are in `rejected_history_csv`."""
+    raw = _history_cells(spark, path, city, delimiter)
+    return raw.filter(F.col("date").isNotNull()).select(*READING_COLUMNS)
+
+
+def rejected_history_csv(spark: SparkSession, path, city=None, delimiter: str = ",") -> DataFrame:
+    """(city, text, reason) of the lines whose day is missing or in no known format."""
+    raw = _history_cells(spark, path, city, delimiter).filter(F.col("date").isNull())
+    text = blank_to_null(F.col("_day"))
+    reason = F.when(text.isNull(), "no day").otherwise("day not readable")
+    return raw.select("city", text.alias("text"), reason.alias("reason"))
+
+
+def _history_cells(spark: SparkSession, path, city, delimiter: str) -> DataFrame:
     """Historical readings: padded header names, blank cells as null, several day formats.
 
     `city` is a name, or a Column over the file path; without it the file must carry the column.
@@ -89,9 +103,9 @@ def read_history_csv(spark: SparkSession, path, city=None, delimiter: str = ",")
     else:
         city_column = blank_to_null(F.col("city"))
     cells = {p: number_or_null(F.col(p)) for p in POLLUTANTS}
-    return raw.withColumns(
+    return raw.withColumn("_day", F.col("date")).withColumns(
         {"date": parse_day(F.col("date")), "city": city_column, **cells}
-    ).select(*READING_COLUMNS)
+    )
 
 
 def read_history(spark: SparkSession, files: dict[str, str]) -> DataFrame:
@@ -119,11 +133,9 @@ def read_partitioned(
     return df if end is None else df.filter(F.col("date") <= F.lit(end))
 
 
-def read_jdbc_table(spark: SparkSession, url: str, table: str, properties: dict, bounds=None) -> DataFrame:
-    """A database table. `bounds` = (date column, first day, last day, partitions) reads it in
-    parallel date ranges instead of through one connection."""
-    if bounds is None:
-        return spark.read.jdbc(url, table, properties=properties)
+def read_jdbc_table(spark: SparkSession, url: str, table: str, properties: dict, bounds) -> DataFrame:
+    """A database table. `bounds` = (date column, first day, last day, partitions): it is read in
+    parallel date ranges, never through one connection as a whole."""
     column, first, last, partitions = bounds
     return spark.read.jdbc(
         url,

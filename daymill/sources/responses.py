@@ -10,9 +10,10 @@ from daymill.schemas import READING_RESPONSE
 
 
 def flatten_readings(responses: DataFrame, body: str = "body", city: str = "city") -> DataFrame:
-    """Nested reading responses to (date, city, pollutants, reason).
+    """Nested reading responses to (date, city, pollutants, stated, reason).
 
-    A missing pollutant is null. `reason` is null for a usable row, else why it is not.
+    A missing pollutant is null. `stated` is the time that the response gives, `date` its day.
+    `reason` is null for a usable row, else why it is not.
     """
     parsed = responses.withColumn("_r", F.from_json(F.col(body), READING_RESPONSE))
     values = [
@@ -23,6 +24,7 @@ def flatten_readings(responses: DataFrame, body: str = "body", city: str = "city
         date.alias("date"),
         F.col(city).alias("city"),
         *values,
+        F.col("_r.data.time.s").alias("stated"),
         _reason(F.col("_r.status"), date, F.col(city)).alias("reason"),
     )
 

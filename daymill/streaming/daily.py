@@ -101,7 +101,10 @@ def run_hours(
 ) -> None:
     """Merge landed hours into the hourly table (by day), then replace the daily means of the
     (city, date) they touched. Of repeats in one batch the largest `latest` wins, then the
-    largest row; a later batch always wins over an earlier one."""
+    largest row; a later batch always wins over an earlier one. The identity must hold the timestamp:
+    one that could move to another day would leave its old hour behind."""
+    if "timestamp" not in identity:
+        raise ValueError("identity must hold timestamp")
     columns = list(dict.fromkeys([*identity, "city", "timestamp", *values]))
     order = [F.col(c) for c in ([latest] if latest else []) + columns]
 

@@ -13,18 +13,23 @@ _own_roots: dict[str, str] = {}
 
 
 def root(spark: SparkSession) -> str:
-    """The shared folder the cluster names; on a local master without one, a folder of our own."""
-    named = spark.conf.get(CHECKPOINT_SETTING, None)
-    if named:
-        return named
+    """The shared folder the cluster names. Without the setting nothing is written anywhere."""
+    named = spark.conf.get(CHECKPOINT_SETTING, None) or _own_roots.get(spark.sparkContext.applicationId)
+    if not named:
+        raise ValueError(f"set {CHECKPOINT_SETTING} to a folder that every executor can reach")
+    return named
+
+
+def use_own_root(spark: SparkSession) -> None:
+    """For tests, checks and benches in one JVM: a temporary folder where the setting is missing. Never on a cluster."""
     context = spark.sparkContext
-    if not context.master.startswith("local"):
+    if spark.conf.get(CHECKPOINT_SETTING, None) or context.applicationId in _own_roots:
+        return
+    if not context.master.startswith("local[") and context.master != "local":
         raise ValueError(f"set {CHECKPOINT_SETTING} to a folder that every executor can reach")
-    if context.applicationId not in _own_roots:
-        own = tempfile.mkdtemp(prefix="daymill-")
-        atexit.register(shutil.rmtree, own, ignore_errors=True)
-        _own_roots[context.applicationId] = own
-    return _own_roots[context.applicationId]
+    own = tempfile.mkdtemp(prefix="daymill-")
+    atexit.register(shutil.rmtree, own, ignore_errors=True)
+    _own_roots[context.applicationId] = own
 
 
 def run_root(spark: SparkSession) -> str:
