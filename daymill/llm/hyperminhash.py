@@ -135,34 +135,48 @@ def _sets(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str) -> DataFr
     return wanted.mapInArrow(run, schema)
 
 
+def likely(percent: int) -> Column:
+    """Whether registers x and y of sets of sizes m and n leave room for the similarity: sizes first, then the
+    collision-corrected estimate with SIGMAS standard deviations to spare."""
+    bound = percent / 100
+    equal = F.size(F.filter(F.zip_with("x", "y", lambda x, y: (x == y) & (x != EMPTY)), lambda e: e))
+    used = F.size(F.filter(F.zip_with("x", "y", lambda x, y: (x != EMPTY) | (y != EMPTY)), lambda e: e))
+    sizes = 100 * F.least("m", "n") >= percent * F.greatest("m", "n")
+    return sizes & (estimate(equal, used) >= bound - SIGMAS * F.sqrt(F.lit(bound * (1 - bound)) / used))
+
+
 class NearDuplicates:
     """Documents linked by a Jaccard similarity of their shingle sets of `percent` / 100 or more, and their groups.
 
     Equal sets are one first, by digest. Bands of compressed registers give buckets; in each, every member is compared with
     the smallest one (collision-corrected estimate of the registers, then the whole sets), and the links give groups. Where
-    a bucket still holds several groups, all pairs of members of different groups that were not compared are. So every pair that
-    shares a band is either in one group already or compared, without all pairs of a group of copies. Counts and minima by
-    bucket are combined in the tasks; joins by bucket are between large tables that the adaptive planner splits when skewed.
+    a bucket still holds several groups, each member outside its smallest one's group is compared with all members of other
+    groups. So every pair that shares a band is either in one group already or compared, without all pairs of a group of copies.
+    Counts and minima by bucket are combined in the tasks; joins by bucket are between large tables that the adaptive planner
+    splits when skewed. Candidates grow with the corpus, so no side of their joins is broadcast: hints ask for a shuffle.
 
     Null and empty texts have no shingles and link with nothing. Rows of equal id are one document; a null id links with nothing.
     """
 
     def __init__(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 75):
         bound_batches(docs.sparkSession)
-        self.docs, self.id_col, self.text_col, self.percent = docs, id_col, text_col, percent
+        self.id_col, self.percent = id_col, percent
         self.sketches = workspace.materialize(sketch(docs, id_col, text_col), "sketches")
         usable = self.sketches.filter("n_shingles > 0 and id is not null")
         self.same = workspace.materialize(usable.groupBy("digest").agg(F.min("id").alias("rep")), "equal-sets")
-        held = usable.join(self.same, (F.col("id") == F.col("rep")) & (usable["digest"] == self.same["digest"]), "left_semi")
-        rows = held.select(F.explode("bands").alias("key"), "id")
+        reps = self.same.select(F.col("rep").alias("id"), F.col("digest")).hint("shuffle_hash")
+        rows = usable.join(reps, ["id", "digest"], "left_semi").select(F.explode("bands").alias("key"), "id")
         buckets = rows.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high")).filter("low <> high").drop("high")
-        members = workspace.materialize(rows.join(buckets, "key"), "bucket-members")
+        members = workspace.materialize(rows.join(buckets.hint("shuffle_hash"), "key"), "bucket-members")
+        ids = members.select("id").distinct().hint("shuffle_hash")
+        held = usable.join(ids, "id", "left_semi").groupBy("id").agg(F.min(F.struct("digest", "n_shingles", "regs")).alias("r"))
+        self.regs = workspace.materialize(held.select("id", F.col("r.n_shingles").alias("n"), "r.regs"), "candidates")
+        self.sets = workspace.materialize(_sets(docs, ids, id_col, text_col), "shingle-sets")
         stars = members.filter("id <> low").select(F.col("low").alias("a"), F.col("id").alias("b")).distinct()
+        stars = self._with(self._with(stars, "a", "m", "x"), "b", "n", "y").filter(likely(percent)).select("a", "b")
         stars = workspace.materialize(stars, "star-pairs")
-        links = self.confirmed(stars)
-        groups = workspace.materialize(components(links), "groups")
-        rest = self._across(members.select("key", "id"), groups, stars)
-        more = self.confirmed(rest)
+        groups = workspace.materialize(components(self.confirmed(stars)), "groups")
+        more = self.confirmed(self._across(members, groups, stars))
         merged = components(more.join(_named(groups, "a"), "a", "left").join(_named(groups, "b"), "b", "left").select(
             F.coalesce("a_group", "a").alias("a"), F.coalesce("b_group", "b").alias("b")
         ))
@@ -172,41 +186,34 @@ class NearDuplicates:
         )
         self.groups = workspace.materialize(own.union(merged).groupBy("id").agg(F.min("component_id").alias("component_id")), "merged-groups")
 
+    def _with(self, rows: DataFrame, key: str, size: str, regs: str) -> DataFrame:
+        """Rows with size and registers of the document in column `key`."""
+        named = self.regs.select(F.col("id").alias(key), F.col("n").alias(size), F.col("regs").alias(regs))
+        return rows.join(named.hint("merge"), key)
+
     def _across(self, members: DataFrame, groups: DataFrame, done: DataFrame) -> DataFrame:
-        """Pairs of members of one bucket that belong to different groups and were not compared."""
-        named = members.join(groups, "id", "left").select("key", "id", F.coalesce("component_id", "id").alias("part"))
-        split = named.groupBy("key").agg(F.min("part").alias("x"), F.max("part").alias("y")).filter("x <> y").select("key")
-        open_ = workspace.materialize(named.join(split, "key", "left_semi"), "open-buckets")
-        parts = open_.select("key", "part").distinct()
-        two = parts.select("key", F.col("part").alias("p")).join(parts.select("key", F.col("part").alias("q")), "key").filter("p < q")
-        left = two.join(open_.select("key", F.col("part").alias("p"), F.col("id").alias("x")), ["key", "p"])
-        both = left.join(open_.select("key", F.col("part").alias("q"), F.col("id").alias("y")), ["key", "q"])
-        pairs = both.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+        """Likely pairs of members of one bucket that are in different groups; those in `done` are known. One side is
+        outside the group of the bucket's smallest member, so a bucket that is one group but for a few costs a few passes."""
+        lows = groups.select(F.col("id").alias("low"), F.col("component_id").alias("low_part"))
+        named = members.join(groups, "id", "left").join(lows, "low", "left").select(
+            "key", "id", F.coalesce("component_id", "id").alias("part"), F.coalesce("low_part", "low").alias("main")
+        )
+        outside = workspace.materialize(named.filter("part <> main"), "outside")
+        open_ = named.join(outside.select("key").distinct().hint("shuffle_hash"), "key", "left_semi")
+        one = self._with(outside, "id", "m", "x").select("key", "m", "x", F.col("id").alias("a"), F.col("part").alias("p"))
+        two = self._with(open_, "id", "n", "y").select("key", "n", "y", "main", F.col("id").alias("b"), F.col("part").alias("q"))
+        once = (F.col("p") != F.col("q")) & ((F.col("q") == F.col("main")) | (F.col("a") < F.col("b")))
+        pairs = one.join(two.hint("merge"), (one["key"] == two["key"]) & once & likely(self.percent))
+        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         return workspace.materialize(pairs.join(done, ["a", "b"], "left_anti"), "open-pairs")
 
     def confirmed(self, pairs: DataFrame) -> DataFrame:
-        """The pairs (a, b) whose whole sets are similar enough, after those whose registers are far from it are left out."""
-        regs = self.sketches.select("id", "n_shingles", "regs")
-        same = F.size(F.filter(F.zip_with("x", "y", lambda x, y: (x == y) & (x != EMPTY)), lambda e: e))
-        used = F.size(F.filter(F.zip_with("x", "y", lambda x, y: (x != EMPTY) | (y != EMPTY)), lambda e: e))
-        bound = self.percent / 100
-        slack = SIGMAS * F.sqrt(F.lit(bound * (1 - bound)) / F.col("used"))
-        m, n = F.col("m"), F.col("n")
-        sized = (
-            pairs.join(regs.select(F.col("id").alias("a"), F.col("n_shingles").alias("m"), F.col("regs").alias("x")), "a")
-            .join(regs.select(F.col("id").alias("b"), F.col("n_shingles").alias("n"), F.col("regs").alias("y")), "b")
-            .filter(100 * F.least(m, n) >= self.percent * F.greatest(m, n))
-            .select("a", "b", "m", "n", same.alias("equal"), used.alias("used"))
-        )
-        likely = sized.filter(estimate(F.col("equal"), F.col("used")) >= bound - slack).select("a", "b", "m", "n").distinct()
-        likely = workspace.materialize(likely, "likely-pairs")
-        ids = likely.select(F.col("a").alias("id")).union(likely.select("b")).distinct()
-        sets = workspace.materialize(_sets(self.docs, ids, self.id_col, self.text_col), "shingle-sets")
-        common = F.size(F.array_intersect("s", "t"))
-        both = likely.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("s")), "a").join(
-            sets.select(F.col("id").alias("b"), F.col("shingles").alias("t")), "b"
-        ).select("a", "b", "m", "n", common.alias("common"))
-        return both.filter(100 * F.col("common") >= self.percent * (F.col("m") + F.col("n") - F.col("common"))).select("a", "b")
+        """The pairs (a, b) whose whole sets are similar enough."""
+        sets = self.sets.select("id", "shingles")
+        both = pairs.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("s")).hint("merge"), "a").join(
+            sets.select(F.col("id").alias("b"), F.col("shingles").alias("t")).hint("merge"), "b"
+        ).select("a", "b", (F.size("s") + F.size("t")).alias("both"), F.size(F.array_intersect("s", "t")).alias("common"))
+        return both.filter(100 * F.col("common") >= self.percent * (F.col("both") - F.col("common"))).select("a", "b").distinct()
 
     def report(self) -> DataFrame:
         """A row per document: id, n_shingles, component_id (smallest id of its group), kept (it is that one)."""
