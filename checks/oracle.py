@@ -316,6 +316,33 @@ ORACLE = {
         ELSE 'no date' END AS reason, 2 * count(*) AS rows FROM r0 WHERE day(date) IN (13, 29) GROUP BY 1, 2)""",
     ),
     "daily_run_weather": DAILY,
+    "lake_weather": DAILY,
+    "stream_late_hours": DAILY,
+    "lake_readings": sql("r0", f"SELECT {shown(READING)} FROM r0 WHERE day(date) <> 31"),
+    "lake_rejected": sql(
+        "r0",
+        f"""SELECT {shown('city text reason #rows')} FROM (SELECT city, 'never' AS text, 'no date' AS reason, 1 AS rows
+        FROM r0 WHERE day(date) = 31 GROUP BY city)""",
+    ),
+    "history_bootstrap": sql(
+        "r0",
+        f"""SELECT {shown(READING)} FROM (SELECT {R0_COLUMNS} FROM r0 WHERE city NOT IN ('5-LOW', '2-HIGH') UNION ALL
+        SELECT city, date, pm25, pm10 * 2, o3, no2, co FROM r0 WHERE city IN ('5-LOW', '2-HIGH') AND year(date) >= 1996)""",
+    ),
+    "history_weather": sql(
+        "w r0",
+        f"""SELECT {shown('city @date ~temperature_2m ~relative_humidity_2m')} FROM w JOIN (SELECT city, min(date) AS a,
+        max(date) AS b FROM r0 GROUP BY city) USING (city) WHERE date BETWEEN a AND b""",
+    ),
+    "weather_silver": sql(
+        "h",
+        f"""SELECT {shown('airport timestamp ~temperature_2m ~relative_humidity_2m #year #month')} FROM (SELECT city AS airport,
+        strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS timestamp, year(ts) AS year, month(ts) AS month, temperature_2m, part,
+        CASE WHEN row_number() OVER (PARTITION BY city, date, part ORDER BY event_id DESC) > part % 3 AND part % 5 <> 1
+        THEN relative_humidity_2m END AS relative_humidity_2m,
+        row_number() OVER (PARTITION BY city, date, part ORDER BY event_id) AS place FROM h)
+        WHERE (part % 7 <> 3 OR place > 1) AND relative_humidity_2m IS NOT NULL""",
+    ),
     "daily_run_log": sql("log", f"SELECT {shown(FORECAST)} FROM log"),
     "csv_quarantine": sql(
         "r0",

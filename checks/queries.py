@@ -15,7 +15,7 @@ from daymill.functions.text import model_name
 from daymill.models import seasonal, stacked, trees
 from daymill.operators.flights import clean_flights
 from daymill.plans import daily as run
-from daymill.plans import forecast, training, views
+from daymill.plans import forecast, lake, training, views
 from daymill.schemas import FLIGHT, READING, hourly_response
 from daymill.sources import landing, responses, sinks
 from daymill.streaming import daily
@@ -232,6 +232,78 @@ def _stored(spark):
     return tables
 
 
+@query
+def weather_silver(spark, sf):
+    """Landed documents to hourly rows with a required variable, the place, and the month folders."""
+    path = workspace.new_path(spark, "weather-documents")
+    sinks.land_documents(s.documents(spark, sf, ragged=True), path)
+    schema = hourly_response(s.HOUR_VARIABLES).add("city", StringType())
+    docs = landing.read_landed(spark, path, schema).withColumnRenamed("city", "airport")
+    rows = lake.silver_hours(docs, "airport", ("relative_humidity_2m",), s.HOUR_VARIABLES)
+    return rows.withColumn("timestamp", F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+
+
+def _lake_readings(spark, sf):
+    tables, path = _stored(spark), workspace.new_path(spark, "lake-readings")
+    readings = s.sparse_readings(spark, sf).withColumn("landed", F.trunc("date", "month"))
+    text = F.when(F.dayofmonth("date") == 31, "never").otherwise(F.col("date").cast("string"))
+    sinks.land_documents(readings.withColumn("date", text), path, "landed")
+    lake.load_lake_readings(spark, tables, path)
+    return tables
+
+
+@query
+def lake_readings(spark, sf):
+    return _lake_readings(spark, sf).read_readings(spark).select(*READING_COLUMNS)
+
+
+@query
+def lake_rejected(spark, sf):
+    rows = spark.read.parquet(f"{_lake_readings(spark, sf).rejected}/lake")
+    return rows.groupBy("city", "text", "reason").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@query
+def lake_weather(spark, sf):
+    tables, path = _stored(spark), workspace.new_path(spark, "lake-weather")
+    sinks.land_documents(s.documents(spark, sf), path)
+    lake.load_lake_weather(spark, tables, path)
+    return tables.read_weather(spark).select("date", "city", *s.HOUR_VARIABLES)
+
+
+@query
+def history_bootstrap(spark, sf):
+    """Historical files of two cities replace what is stored of them, years that the files lack included."""
+    stored, files, new = (workspace.new_path(spark, n) for n in ("stored", "history", "new"))
+    readings = s.sparse_readings(spark, sf)
+    sinks.write_by_month(readings, stored)
+    part = readings.filter("city in ('5-LOW', '2-HIGH') and year(date) >= 1996")
+    part.withColumn("pm10", F.col("pm10") * 2).withColumn("date", F.date_format("date", "yyyy/M/d")).write.option("header", True).csv(files)
+    lake.bootstrap(spark, stored, files, new)
+    return spark.read.parquet(new).select(*READING_COLUMNS)
+
+
+@query
+def history_weather(spark, sf):
+    weather = s.weather(spark, sf).select("city", "date", *s.HOUR_VARIABLES)
+    return lake.weather_of_history(s.sparse_readings(spark, sf), weather)
+
+
+@query
+def stream_late_hours(spark, sf):
+    """Two landings, the second with hours of days that the first has long passed: all of them count."""
+    landed = workspace.new_path(spark, "landed")
+    names = ("stream-hours", "stream-means", "stream-state")
+    hourly, path, state = (workspace.new_path(spark, n) for n in names)
+    hours, columns = s.hours(spark, sf), s.hours(spark, sf).schema
+    for late in (False, True):
+        rows = hours.filter((F.col("event_id") % 3 == 0) == late)
+        rows.write.mode("append").parquet(landed)
+        stream = daily.hour_stream(spark, landed, columns)
+        daily.run_hours(stream, s.HOUR_VARIABLES, hourly, path, state, identity=("event_id", "timestamp"))
+    return spark.read.parquet(path).drop("year", "month")
+
+
 @query
 def daily_mean(spark, sf):
     return aggregate.daily_mean(s.hours(spark, sf), s.HOUR_VARIABLES)

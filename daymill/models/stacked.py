@@ -1,7 +1,6 @@
 """Stacked forecaster: boosted trees and the seasonal model, blended per (city, horizon)."""
 
 from dataclasses import dataclass
-from functools import reduce
 from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import PipelineModel
@@ -138,15 +137,18 @@ def predict_with_champions(
     spark: SparkSession, features: DataFrame, champion_rows: DataFrame, horizons=HORIZONS
 ) -> DataFrame:
     """Score each city and horizon with its champion. Every stored forecaster in use is loaded
-    once and scores only the cities and horizons it leads. Both frames are read once per
-    forecaster, so hand in stored ones."""
-    paths = [r.path for r in champion_rows.select("path").distinct().collect()]
-    if not paths:
-        raise ValueError("no champion to forecast with")
-    parts = []
-    for path in paths:
-        led = champion_rows.filter(F.col("path") == path).select(*KEYS)
+    once, with the models of the horizons it leads, and scores only the cities and horizons it leads; its
+    forecasts go to the shared folder, so the plan does not grow with the number of forecasters. Both frames
+    are read once per forecaster, so hand in stored ones."""
+    wanted = champion_rows.filter(F.col("horizon").isin(list(horizons)))
+    in_use = wanted.groupBy("path").agg(F.sort_array(F.collect_set("horizon")).alias("horizons")).toLocalIterator()
+    folder, parts = workspace.new_path(spark, "champion-forecasts"), 0
+    for run in in_use:
+        path, parts = run.path, parts + 1
+        led = wanted.filter(F.col("path") == path).select(*KEYS)
         mine = features.join(led.select("city").distinct(), "city", "left_semi")
-        forecaster = StackedForecaster.load(spark, path, horizons)
-        parts.append(forecaster.predict(mine).join(led, KEYS, "left_semi"))
-    return reduce(DataFrame.unionByName, parts)
+        forecaster = StackedForecaster.load(spark, path, run.horizons)
+        forecaster.predict(mine).join(led, KEYS, "left_semi").write.mode("append").parquet(folder)
+    if not parts:
+        raise ValueError("no champion to forecast with")
+    return spark.read.parquet(folder)

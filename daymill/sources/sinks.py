@@ -104,15 +104,39 @@ def merge_by_month(
     """Replace-by-key into a stored table partitioned by month (or day), rewriting only the
     folders that the new rows touch. The rest of the table is neither read nor written.
 
-    The new rows are read several times, so hand in a stored or cheap frame. Writers of one
-    table must take turns.
+    The merged folders are written whole beside the table first and then moved into place. A driver that is
+    lost before the first write is done has changed nothing; one that is lost later leaves the whole folders, and the
+    next merge, or `finish_merge`, puts them in place again. The new rows are read several times, so hand in
+    a stored or cheap frame. Writers of one table must take turns.
     """
+    finish_merge(spark, path, new.schema, by)
     added = with_folders(new, date, by)
     folders = touched_folders(added, by)
     if not folders:
         return 0
     affected = stored_by_month(spark, path, new.schema, folders, by)
-    return write_partitioned(replace_by_key(affected, added, keys), path, by)
+    replace_by_key(affected, added, keys).write.mode("overwrite").parquet(_pending(path))
+    return finish_merge(spark, path, new.schema, by)
+
+
+def _pending(path: str) -> str:
+    """Merged folders on their way. Readers of the table skip names that begin with an underscore."""
+    return f"{path.rstrip('/')}/_pending"
+
+
+def finish_merge(spark: SparkSession, path: str, schema: StructType, by=MONTH) -> int:
+    """Put merged folders that were written whole into place. Doing so again gives the same table."""
+    pending = _pending(path)
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pending)
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    done = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{pending}/_SUCCESS")
+    if not files.exists(done):
+        return 0
+    columns = [StructField(name, IntegerType()) for name in by]
+    rows = spark.read.schema(StructType([*schema.fields, *columns])).parquet(pending)
+    written = write_partitioned(rows, path, by)
+    files.delete(folder, True)
+    return written
 
 
 def rewrite_series(spark: SparkSession, path: str, new: DataFrame, new_path: str) -> int:

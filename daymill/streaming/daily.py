@@ -6,6 +6,7 @@ they come, and repeats of one hour are reduced inside each task before the shuff
 state of a stream would send them all to one.
 """
 
+import json
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -36,7 +37,8 @@ def stream_daily_mean(
     hours: DataFrame, values, identity=("city", "timestamp"), lateness: str = "2 days"
 ) -> DataFrame:
     """Mean per (date, city). Repeats of `identity` within `lateness` count once; hours later
-    than that are left to a batch replace of their day."""
+    than that are dropped by the watermark, and `run_available` counts them. Where no hour may be lost, use
+    `run_hours`, which has no such limit."""
     day = F.window("timestamp", "1 day")
     return (
         hours.filter(F.col("city").isNotNull() & F.col("timestamp").isNotNull())
@@ -62,8 +64,8 @@ def _state_partitions(spark: SparkSession, count: int | None):
 
 def run_available(
     means: DataFrame, path: str, state: str, after=None, state_partitions: int | None = None
-) -> None:
-    """Take everything that has landed, then stop. Rerunning a batch gives the same table, since
+) -> int:
+    """Take everything that has landed, then stop; returns the number of rows that came too late. Rerunning a batch gives the same table, since
     replacing by key is idempotent. `after(rows)` runs on the stored rows of each merged batch,
     for instance to refresh features that depend on them.
 
@@ -74,9 +76,9 @@ def run_available(
     ensure_table(spark, path, means.schema)
 
     def merge(batch: DataFrame, _) -> None:
-        rows = workspace.materialize(batch, "batch")
-        if merge_by_month(batch.sparkSession, path, rows) and after:
-            after(rows)
+        with workspace.held(batch, "batch") as rows:
+            if merge_by_month(batch.sparkSession, path, rows) and after:
+                after(rows)
 
     writer = (
         means.writeStream.outputMode("update")
@@ -87,6 +89,8 @@ def run_available(
     with _state_partitions(spark, state_partitions):
         query = writer.start()
     query.awaitTermination()
+    progress = [json.loads(p) if isinstance(p, str) else json.loads(p.json) for p in query.recentProgress]
+    return sum(o.get("numRowsDroppedByWatermark", 0) for p in progress for o in p.get("stateOperators", []))
 
 
 def run_hours(
@@ -112,17 +116,17 @@ def run_hours(
         spark = batch.sparkSession
         keyed = batch.dropna(subset=[*identity, "city", "timestamp"])
         rows = last_per_key(keyed, identity, order).select(*columns, F.to_date("timestamp").alias("date"))
-        rows = workspace.materialize(rows, "hours")
-        if not merge_by_month(spark, hourly, rows, identity, "date", DAY):
-            return
-        days = rows.select("city", "date").distinct()
-        folders = touched_folders(with_folders(rows, "date", DAY), DAY)
-        stored = stored_by_month(spark, hourly, rows.schema, folders, DAY)
-        touched = stored.join(days, ["city", "date"], "left_semi")
-        means = workspace.materialize(daily_mean(touched, values), "means")
-        merge_by_month(spark, path, means)
-        if after:
-            after(means)
+        with workspace.held(rows, "hours") as rows:
+            if not merge_by_month(spark, hourly, rows, identity, "date", DAY):
+                return
+            days = rows.select("city", "date").distinct()
+            folders = touched_folders(with_folders(rows, "date", DAY), DAY)
+            stored = stored_by_month(spark, hourly, rows.schema, folders, DAY)
+            touched = stored.join(days, ["city", "date"], "left_semi")
+            with workspace.held(daily_mean(touched, values), "means") as means:
+                merge_by_month(spark, path, means)
+                if after:
+                    after(means)
 
     fields = {f.name: f for f in hours.schema}
     hour_schema = StructType([*[fields[c] for c in columns], StructField("date", DateType())])

@@ -4,6 +4,8 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,11 +44,26 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{run_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def held(df: DataFrame, name: str) -> Iterator[DataFrame]:
+    """Written once and read back, and removed when the block ends: for batches of a long-lived stream."""
+    spark = df.sparkSession
+    path = new_path(spark, name)
+    try:
+        df.write.parquet(path)
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        _remove(spark, path)
+
+
 def clear(spark: SparkSession) -> None:
     """Delete what this application has put into the shared folder. Call it when no DataFrame
     that reads from there is needed any more; saved tables and models live elsewhere."""
-    jvm = spark.sparkContext._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(run_root(spark))
+    _remove(spark, run_root(spark))
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     files.delete(folder, True)
 
