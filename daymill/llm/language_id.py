@@ -126,7 +126,7 @@ def fit(labelled: DataFrame, *, text_col: str = "text", lang_col: str = "lang",
     """
     bound_batches(labelled.sparkSession)
     rows = labelled.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).filter("lang is not null and text is not null")
-    sample = labelled_sample(rows, "lang", per_language).repartition(SAMPLE_TASKS)
+    sample = labelled_sample(rows, "lang", per_language).dropDuplicates(["lang", "text"]).repartition(SAMPLE_TASKS)
     sample = workspace.materialize(sample, "language-sample").coalesce(SAMPLE_TASKS)
     languages = sorted(r.lang for r in sample.select("lang").distinct().collect())
     if not languages:

@@ -4,14 +4,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def labelled_sample(rows: DataFrame, label: str, per_class: int, text: str = "text") -> DataFrame:
-    """About `per_class` rows of each class at most, all of a smaller one, chosen by a hash of the text.
+def labelled_sample(rows: DataFrame, label: str, per_class: int, key: str = "text") -> DataFrame:
+    """About `per_class` rows of each class at most, all of a smaller one, chosen by a hash of `key`: equal keys are
+    chosen alike, and a rerun chooses the same.
 
-    Equal texts are chosen alike and kept once per class, so groups of copies neither crowd out a class nor count
-    more than once. A class's share is its bound over its number of rows, which is counted over all of them.
+    A class's share is its bound over its number of rows, which is counted over all of them; one number per class
+    reaches the driver. No row is shuffled for it.
     """
-    counted = rows.groupBy(label).agg(F.count(F.lit(1)).alias("_n")).withColumnRenamed(label, "_class")
-    place = F.pmod(F.xxhash64(F.lit("sample"), text), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    joined = rows.join(counted, F.col(label) == F.col("_class"))
-    chosen = joined.filter(place < F.lit(float(per_class)) / F.col("_n"))
-    return chosen.select(label, text).dropDuplicates([label, text])
+    counts = rows.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()
+    share = F.lit(0.0)
+    for row in counts:
+        share = F.when(F.col(label) == F.lit(row[label]), F.lit(per_class / row.n)).otherwise(share)
+    place = F.pmod(F.xxhash64(F.lit("sample"), key), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    return rows.filter(place < share)

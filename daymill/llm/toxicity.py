@@ -17,6 +17,7 @@ from daymill.llm.common import bound_batches
 from daymill.llm.sampling import labelled_sample
 
 SAMPLE_PER_CLASS = 30_000  # labelled texts to fit on, at most, about
+SAMPLE_TASKS = 16
 LEXICON = 5000  # learned insults, at most: the most telling ones
 STEMS = (4, 5, 6)  # lengths of word beginnings that may be insults in whatever form they take
 LEAST_TEXTS = 3  # toxic texts that hold an insult, at least
@@ -179,6 +180,7 @@ def fit(labelled: DataFrame, *, text_col: str = "text", label_col: str = "toxic"
     bound_batches(labelled.sparkSession)
     rows = labelled.select(F.col(text_col).alias("text"), F.col(label_col).cast("int").alias("toxic"))
     sample = labelled_sample(rows.filter("toxic in (0, 1) and text is not null"), "toxic", per_class)
+    sample = sample.select("toxic", "text").dropDuplicates().repartition(SAMPLE_TASKS)
     sample = workspace.materialize(sample, "toxicity-sample")
     model = ToxicityModel(*learn_lexicon(sample))
 
