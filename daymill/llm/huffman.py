@@ -16,6 +16,7 @@ from daymill.llm.common import bound_batches, gathered
 
 MAX_BITS = 20  # of a code; the decoding table has 2 ** MAX_BITS entries
 BLOCK_IDS = 1 << 18  # a block is closed at the document with which it reaches so many ids
+TEXT_BYTES = 16 << 20  # of texts tokenized at once: the more, the fewer chunks recur in other rounds
 CHECKPOINT_IDS = 128  # ids between two bit offsets that a block notes
 
 
@@ -121,7 +122,7 @@ def id_type(tokenizer_path: str, end_id: int) -> str:
 def _tokenize(path: str, kind: str, end_id: int, text_col: str, id_col: str, names: list[str]):
     def run(batches):
         encoder = ChunkEncoder(path, blanks_lead=False)
-        for held in gathered(batches, text_col):
+        for held in gathered(batches, text_col, TEXT_BYTES):
             counts, ids = encoder.ids(held.column(text_col))
             # The end id goes behind each document.
             ends = np.cumsum(counts + 1)
@@ -153,9 +154,9 @@ def write_ids(docs: DataFrame, folder: str, tokenizer_path: str, *, end_id: int
 
     `folder`/codebook holds the code lengths, `folder`/blocks the coded blocks, each with whole documents, their
     numbers of ids and bit offsets by which it is decoded on its own. Null texts are empty and hold the end id only;
-    null ids come first; rows of equal id follow each other by their ids. Texts are tokenized once: their ids go to
+    null ids come first; rows of equal id follow each other by a hash of their ids. Texts are tokenized once: their ids go to
     the shared folder, are counted there (a count per id, at most the vocabulary, reaches the driver), and are dealt
-    out by ranges of (id, ids), which splits runs of equal ids as well.
+    out by ranges of (id, hash), which splits runs of equal ids as well.
     """
     spark = docs.sparkSession
     bound_batches(spark)
@@ -202,7 +203,9 @@ def write_ids(docs: DataFrame, folder: str, tokenizer_path: str, *, end_id: int
             yield close()
 
     parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    ordered = encoded.repartitionByRange(parts, id_col, "ids").sortWithinPartitions(id_col, "ids")
+    # Ranges come from a sample of these two columns, which the driver sees; ids themselves stay in the tasks.
+    place = [F.col(id_col), F.xxhash64("ids")]
+    ordered = encoded.repartitionByRange(parts, *place).sortWithinPartitions(*place, "ids")
     ordered.mapInArrow(blocks, schema).write.parquet(f"{folder}/blocks")
 
 
