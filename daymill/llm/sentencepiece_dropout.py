@@ -5,6 +5,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -67,6 +68,9 @@ class Pieces:
         """A hash table from pairs of pieces to the piece they make, the order of pieces, and the ids of single characters."""
         size = len(self.bytes_of)
         self.size = np.int64(size)
+        self.all_bytes = np.frombuffer(b"".join(self.bytes_of), np.uint8)
+        self.byte_counts = np.fromiter(map(len, self.bytes_of), np.int64, size)
+        self.byte_starts = np.cumsum(self.byte_counts) - self.byte_counts
         self.order = np.argsort(np.argsort(self.priority, kind="stable"), kind="stable").astype(np.int32)
         self.slot_key = np.full(1 << SLOTS, -1, np.int64)
         self.slot_piece = np.full(1 << SLOTS, NONE, np.int32)
@@ -83,6 +87,13 @@ class Pieces:
                     self.probes = max(self.probes, probes)
         self.single = {ord(p): i for p, i in self.id_of.items() if len(p) == 1}
 
+    def texts(self, ids: np.ndarray, counts: np.ndarray) -> list[str]:
+        """The text of each run of ids: their bytes one after the other, without the first blank."""
+        n = self.byte_counts[ids]
+        data = self.all_bytes[ragged(self.byte_starts[ids], n)].tobytes()
+        ends = np.concatenate([[0], np.cumsum(n)])[np.concatenate([[0], np.cumsum(counts)])].tolist()
+        return [data[a + 1 : b].decode() for a, b in zip(ends, ends[1:])]
+
     def _pairs(self, a, b, left, keys, skip_below: int) -> np.ndarray:
         """The piece of each pair that may be merged, else NONE."""
         key = a.astype(np.int64) * self.size + b
@@ -104,10 +115,11 @@ class Pieces:
         best pair of every chunk is merged at once. Whether a pair is skipped depends on key, place and piece only, so the
         order of the agendas is kept."""
         out: list[bytes] = [b""] * len(chunks)
-        short = sorted((i for i, c in enumerate(chunks) if len(c) <= SIDE_BY_SIDE), key=lambda i: len(chunks[i]))
-        for i, chunk in enumerate(chunks):
-            if len(chunk) > SIDE_BY_SIDE:
-                out[i] = np.array(self.encode(chunk, keys[i], skip_below), "<i4").tobytes()
+        lengths = np.fromiter(map(len, chunks), np.int64, len(chunks))
+        order = np.argsort(lengths, kind="stable")
+        short = order[: np.searchsorted(lengths[order], SIDE_BY_SIDE, side="right")].tolist()
+        for i in order[len(short) :].tolist():
+            out[i] = np.array(self.encode(chunks[i], keys[i], skip_below), "<i4").tobytes()
         for first in range(0, len(short), ROWS):
             rows = short[first : first + ROWS]
             self._side_by_side(rows, [chunks[i] for i in rows], np.array([keys[i] for i in rows], np.uint64), skip_below, out)
@@ -269,10 +281,11 @@ def decode(encoded: DataFrame, model_path: str, *, ids_col: str = "ids", to: str
     schema = StructType([*encoded.schema.fields, StructField(to, StringType())])
 
     def run(batches):
-        get = Pieces.of(model_path).bytes_of.__getitem__
+        pieces = Pieces.of(model_path)
         for batch in batches:
             lists = batch.column(ids_col)
-            texts = [b"".join(map(get, x.values.to_pylist() if x.is_valid else ()))[1:].decode() for x in lists]
+            counts = pc.fill_null(pc.list_value_length(lists), 0).to_numpy().astype(np.int64)
+            texts = pieces.texts(lists.flatten().to_numpy(), counts)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=schema.names)
 
     return encoded.mapInArrow(run, schema)
