@@ -146,7 +146,8 @@ def fit(labelled: DataFrame, *, text_col: str = "text", lang_col: str = "lang",
             yield pa.RecordBatch.from_arrays([pa.array([total.astype("<f8").tobytes()], pa.binary())], names=["sums"])
 
         total = np.zeros(shape)
-        for row in sample.select("text", "lang").mapInArrow(run, "sums binary").toLocalIterator():
+        # One row of this size from each of at most SAMPLE_TASKS tasks, which run side by side.
+        for row in sample.select("text", "lang").mapInArrow(run, "sums binary").collect():
             total += np.frombuffer(bytes(row.sums), "<f8").reshape(shape)
         return total
 
@@ -162,10 +163,13 @@ def fit(labelled: DataFrame, *, text_col: str = "text", lang_col: str = "lang",
     def assign(total, texts, langs):
         vectors, letters = model.vectors(texts)
         if model.centroids.any():
-            cluster = np.stack([model.centroids[k] @ v for k, v in zip(langs, vectors)]).argmax(1)
+            cosines = (vectors @ model.centroids.reshape(-1, BUCKETS).T).reshape(len(vectors), -1, CENTROIDS)
+            cluster = cosines[np.arange(len(langs)), langs].argmax(1)
         else:  # at first by length, which differs most among texts of one language
             cluster = np.digitize(letters, (250, 1000, 4000)) % CENTROIDS
-        np.add.at(total, langs * CENTROIDS + cluster, vectors)
+        slot = langs * CENTROIDS + cluster
+        for k in np.unique(slot):
+            total[k] += vectors[slot == k].sum(0)
 
     for _ in range(ROUNDS):
         sums = passes(assign, (size, BUCKETS)).reshape(len(languages), CENTROIDS, BUCKETS)
