@@ -16,7 +16,9 @@ _own_roots: dict[str, str] = {}
 
 def root(spark: SparkSession) -> str:
     """The shared folder the cluster names. Without the setting nothing is written anywhere."""
-    named = spark.conf.get(CHECKPOINT_SETTING, None) or _own_roots.get(spark.sparkContext.applicationId)
+    named = spark.conf.get(CHECKPOINT_SETTING, None)
+    if not named and _own_roots:
+        named = _own_roots.get(spark.sparkContext.applicationId)
     if not named:
         raise ValueError(f"set {CHECKPOINT_SETTING} to a folder that every executor can reach")
     return named

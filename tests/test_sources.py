@@ -118,3 +118,15 @@ def test_leap_year_is_not_wrapped(spark):
     assert [r.doy for r in rows] == [60, 366]
     assert rows[1].day_of_year_sin > 0.017
     assert rows[0].day_of_week == 3
+
+
+def test_no_hour_is_lost_with_a_missing_variable(spark):
+    from daymill.operators import unnest
+
+    schema = "city string, hourly struct<time: array<string>, a: array<double>, b: array<double>>"
+    rows = [("A", (["2024-01-01T00:00", "never", "2024-01-01T02:00"], [1.0, 2.0, 3.0], None)), ("B", None), ("C", (None, [4.0], None))]
+    docs = spark.createDataFrame(rows, schema)
+    hours = unnest.unnest_hourly(docs, ("a", "b", "absent")).collect()
+    assert [(r.city, r.a, r.b, r.absent) for r in hours] == [("A", 1.0, None, None), ("A", 3.0, None, None)]
+    rejected = {(r.city, r.text, r.reason) for r in unnest.rejected_hours(docs, ("a", "b")).collect()}
+    assert rejected == {("A", "never", "time not readable"), ("B", None, "no hourly data"), ("C", None, "no hourly data"), ("C", None, "no time")}

@@ -120,8 +120,29 @@ def test_rows_without_a_date_are_not_lost(spark, tmp_path):
     undated = daily(spark, [7.0]).selectExpr("city", "cast(null as date) date", "pm10")
     sinks.write_by_month(daily(spark, [1.0]).unionByName(undated), path)
     sinks.merge_by_month(spark, path, daily(spark, [2.0]))
-    sinks.merge_by_month(spark, path, undated)
-    assert sorted(r.pm10 for r in stored(spark, path).collect()) == [2.0, 7.0, 7.0]
+    for _ in range(3):  # null keys are equal to each other: merging the same rows again changes nothing
+        sinks.merge_by_month(spark, path, undated)
+        assert sorted(r.pm10 for r in stored(spark, path).collect()) == [2.0, 7.0]
+
+
+def test_a_merge_that_is_cut_off_is_ended_by_the_next(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "table")
+    sinks.write_by_month(daily(spark, [1.0, 2.0]), path)
+    with monkeypatch.context() as cut:
+        cut.setattr(sinks, "write_partitioned", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            sinks.merge_by_month(spark, path, daily(spark, [5.0]))
+    assert sorted(r.pm10 for r in stored(spark, path).collect()) == [1.0, 2.0]
+    sinks.merge_by_month(spark, path, daily(spark, [9.0], start=date(2024, 6, 1)))
+    assert sorted(r.pm10 for r in stored(spark, path).collect()) == [2.0, 5.0, 9.0]
+
+
+def test_repeated_forecasts_count_once(spark):
+    schema = "city string, forecast_date date, target_date date, horizon int, predicted double, actual double"
+    day, next_day = date(2024, 1, 1), date(2024, 1, 2)
+    log = spark.createDataFrame([("A", day, next_day, 1, 1.0, 9.0)], schema)
+    new = spark.createDataFrame([("A", day, next_day, 1, p, None) for p in (2.0, 3.0)], schema)
+    assert [(r.predicted, r.actual) for r in tables.upsert_forecasts(log, new).collect()] == [(3.0, 9.0)]
 
 
 def test_rewrite_series_drops_its_old_months(spark, tmp_path):
