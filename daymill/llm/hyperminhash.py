@@ -1,6 +1,7 @@
 """Near-duplicates on word shingles by HyperMinHash sketches, and exact confirmation."""
 
 import hashlib
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -83,6 +84,13 @@ def registers(shingles: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return out
 
 
+def packed_bits(regs: np.ndarray) -> np.ndarray:
+    """A row of 64-bit words per text: which registers are used, then the lowest mantissa bit of each."""
+    width = -regs.shape[1] % 64
+    cells = [np.pad(x, ((0, 0), (0, width))) for x in (regs != EMPTY, (regs != EMPTY) & (regs & 1 == 1))]
+    return np.concatenate([np.packbits(x, axis=1).view(np.int64) for x in cells], 1)
+
+
 def band_keys(regs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(key of each band of each text, whether it has a register that is not empty)."""
     cells = regs.reshape(len(regs), BANDS, ROWS)
@@ -100,13 +108,16 @@ def sketch(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(id, n_shingles, digest of the set, band keys, registers) per row."""
     schema = StructType(
         [StructField("id", docs.schema[id_col].dataType), StructField("n_shingles", LongType()), StructField("digest", BinaryType()),
-         StructField("bands", ArrayType(LongType())), StructField("regs", ArrayType(ShortType()))]
+         StructField("bands", ArrayType(LongType())), StructField("regs", ArrayType(ShortType())),
+         StructField("words", ArrayType(LongType()))]
     )
 
     def run(batches):
         for held in gathered(batches, text_col):
             shingles, counts = shingle_sets(held.column(text_col))
             regs = registers(shingles, counts)
+            words = packed_bits(regs)
+            packed = pa.ListArray.from_arrays(pa.array((np.arange(len(counts) + 1) * words.shape[1]).astype(np.int32)), pa.array(words.ravel()))
             keys, some = band_keys(regs)
             ends = np.cumsum(counts)
             data = shingles.tobytes()
@@ -115,7 +126,7 @@ def sketch(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             bands = pa.ListArray.from_arrays(pa.array(at), pa.array(keys[some]))
             cells = pa.ListArray.from_arrays(pa.array((np.arange(len(counts) + 1) * regs.shape[1]).astype(np.int32)), pa.array(regs.ravel()))
             ids = held.column(id_col).combine_chunks()
-            yield pa.RecordBatch.from_arrays([ids, pa.array(counts), pa.array(digests, pa.binary()), bands, cells], names=schema.names)
+            yield pa.RecordBatch.from_arrays([ids, pa.array(counts), pa.array(digests, pa.binary()), bands, cells, packed], names=schema.names)
 
     return docs.select(id_col, text_col).mapInArrow(run, schema)
 
@@ -145,6 +156,21 @@ def likely(percent: int) -> Column:
     return sizes & (estimate(equal, used) >= bound - SIGMAS * F.sqrt(F.lit(bound * (1 - bound)) / used))
 
 
+def not_far(percent: int) -> Column:
+    """As `likely`, by one bit a register: words x and y hold used registers, then bits. Two used registers of different
+    minima differ in their bit half the time, so such differences count twice; a register that one side lacks counts once."""
+    n = -(-SKETCHES * BUCKETS // 64)
+    x, y = (lambda k: F.col("x")[k]), (lambda k: F.col("y")[k])
+    total = lambda parts: reduce(lambda a, b: a + b, parts)
+    count = lambda c: F.bit_count(c)
+    used = total([count(x(k).bitwiseOR(y(k))) for k in range(n)])
+    one = total([count(x(k).bitwiseXOR(y(k))) for k in range(n)])
+    both = total([count(x(n + k).bitwiseXOR(y(n + k)).bitwiseAND(x(k)).bitwiseAND(y(k))) for k in range(n)])
+    part = 1 - percent / 100
+    sizes = 100 * F.least("m", "n") >= percent * F.greatest("m", "n")
+    return sizes & (2 * both + one <= part * used + SIGMAS * F.sqrt(2 * part * (1 - part / 2) * used))
+
+
 class NearDuplicates:
     """Documents linked by a Jaccard similarity of their shingle sets of `percent` / 100 or more, and their groups.
 
@@ -169,12 +195,11 @@ class NearDuplicates:
         buckets = rows.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high")).filter("low <> high").drop("high")
         members = workspace.materialize(rows.join(buckets.hint("shuffle_hash"), "key"), "bucket-members")
         ids = members.select("id").distinct().hint("shuffle_hash")
-        held = usable.join(ids, "id", "left_semi").groupBy("id").agg(F.min(F.struct("digest", "n_shingles", "regs")).alias("r"))
-        self.regs = workspace.materialize(held.select("id", F.col("r.n_shingles").alias("n"), "r.regs"), "candidates")
+        held = usable.join(ids, "id", "left_semi").groupBy("id").agg(F.min(F.struct("digest", "n_shingles", "regs", "words")).alias("r"))
+        self.regs = workspace.materialize(held.select("id", F.col("r.n_shingles").alias("n"), "r.regs", "r.words"), "candidates")
         self.sets = workspace.materialize(_sets(docs, ids, id_col, text_col), "shingle-sets")
         stars = members.filter("id <> low").select(F.col("low").alias("a"), F.col("id").alias("b")).distinct()
-        stars = self._with(self._with(stars, "a", "m", "x"), "b", "n", "y").filter(likely(percent)).select("a", "b")
-        stars = workspace.materialize(stars, "star-pairs")
+        stars = workspace.materialize(self._estimated(stars), "star-pairs")
         groups = workspace.materialize(components(self.confirmed(stars)), "groups")
         more = self.confirmed(self._across(members, groups, stars))
         merged = components(more.join(_named(groups, "a"), "a", "left").join(_named(groups, "b"), "b", "left").select(
@@ -186,11 +211,14 @@ class NearDuplicates:
         )
         self.groups = workspace.materialize(own.union(merged).groupBy("id").agg(F.min("component_id").alias("component_id")), "merged-groups")
 
-    def _with(self, rows: DataFrame, key: str, size: str, regs: str) -> DataFrame:
+    def _with(self, rows: DataFrame, key: str, size: str, name: str, column: str = "regs") -> DataFrame:
         """Rows with size and registers of the document in column `key`."""
-        named = self.regs.select(F.col("id").alias(key), F.col("n").alias(size), F.col("regs").alias(regs))
+        named = self.regs.select(F.col("id").alias(key), F.col("n").alias(size), F.col(column).alias(name))
         return rows.join(named.hint("merge"), key)
 
+    def _estimated(self, pairs: DataFrame) -> DataFrame:
+        return self._with(self._with(pairs, "a", "m", "x"), "b", "n", "y").filter(likely(self.percent)).select("a", "b")
+
     def _across(self, members: DataFrame, groups: DataFrame, done: DataFrame) -> DataFrame:
         """Likely pairs of members of one bucket that are in different groups; those in `done` are known. One side is
         outside the group of the bucket's smallest member, so a bucket that is one group but for a few costs a few passes."""
@@ -200,12 +228,13 @@ class NearDuplicates:
         )
         outside = workspace.materialize(named.filter("part <> main"), "outside")
         open_ = named.join(outside.select("key").distinct().hint("shuffle_hash"), "key", "left_semi")
-        one = self._with(outside, "id", "m", "x").select("key", "m", "x", F.col("id").alias("a"), F.col("part").alias("p"))
-        two = self._with(open_, "id", "n", "y").select("key", "n", "y", "main", F.col("id").alias("b"), F.col("part").alias("q"))
+        one = self._with(outside, "id", "m", "x", "words").select("key", "m", "x", F.col("id").alias("a"), F.col("part").alias("p"))
+        two = self._with(open_, "id", "n", "y", "words").select("key", "n", "y", "main", F.col("id").alias("b"), F.col("part").alias("q"))
         once = (F.col("p") != F.col("q")) & ((F.col("q") == F.col("main")) | (F.col("a") < F.col("b")))
-        pairs = one.join(two.hint("merge"), (one["key"] == two["key"]) & once & likely(self.percent))
+        pairs = one.join(two.hint("merge"), (one["key"] == two["key"]) & once & not_far(self.percent))
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        return workspace.materialize(pairs.join(done, ["a", "b"], "left_anti"), "open-pairs")
+        pairs = workspace.materialize(pairs.join(done, ["a", "b"], "left_anti"), "open-pairs")
+        return workspace.materialize(self._estimated(pairs), "likely-pairs")
 
     def confirmed(self, pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) whose whole sets are similar enough."""
