@@ -155,7 +155,7 @@ def test_daily_run_over_stored_tables(spark, tmp_path):
     assert plan.load_weather(spark, tables, docs).count() == 1
     assert tables.read_weather(spark).first().temperature_2m == 2.0
     rejected = spark.read.parquet(f"{tables.rejected}/weather").collect()
-    assert sorted(tuple(r) for r in rejected) == [("B", "no hourly data"), ("C", "no times")]
+    assert sorted((r.city, r.reason) for r in rejected) == [("B", "no hourly data"), ("C", "no times")]
 
     dim = spark.createDataFrame([("A",), ("Z",)], "city string")
     pending = plan.pending_days(spark, tables, dim, date(2024, 2, 11)).collect()
