@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from daymill import workspace
-from daymill.llm import chat, common, embedding_dedup, exact_dedup, huffman, hyperminhash, language_id, mixing, sampling, sentencepiece_dropout, token_counts, toxicity
+from daymill.llm import chat, common, embedding_dedup, exact_dedup, huffman, hyperminhash, language_id, mixing, sentencepiece_dropout, token_counts, toxicity
 
 QUERIES, ORACLE = {}, {}
 
@@ -28,9 +28,7 @@ def op1_projection_collisions(spark, sf):
 def op2_toxicity(spark, sf):
     docs, labels = common.table(spark, sf, "documents"), common.table(spark, sf, "labels")
     labels = labels.filter(~common.held_out()).filter("toxic in (0, 1)").select("doc_id", "toxic")
-    # The sample's size is bounded by its parameter, so its ids go to the documents, and no text is shuffled for it.
-    chosen = sampling.labelled_sample(labels, "toxic", toxicity.SAMPLE_PER_CLASS, key="doc_id")
-    model = toxicity.fit(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id"))
+    model = toxicity.fit(docs.select("doc_id", "text").join(labels, "doc_id"))
     tested = docs.select("doc_id", "text", common.held_out().alias("held_out"))
     return toxicity.score(tested, model).select("doc_id", "held_out", "score", "predicted")
 

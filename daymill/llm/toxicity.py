@@ -16,7 +16,8 @@ from daymill import workspace
 from daymill.llm.common import bound_batches
 from daymill.llm.sampling import labelled_sample
 
-SAMPLE_PER_CLASS = 30_000  # labelled texts to fit on, at most, about
+SAMPLE_PER_CLASS = 30_000  # labelled texts to fit contexts and the curve on, at most, about
+HELD_FORMS = 200_000  # forms that a task counts before it hands them on, about
 SAMPLE_TASKS = 16
 LEXICON = 5000  # learned insults, at most: the most telling ones
 STEMS = (4, 5, 6)  # lengths of word beginnings that may be insults in whatever form they take
@@ -36,6 +37,7 @@ THREAT_WEIGHT = 4.0
 PRIOR = {"negated": 0.5, "reported": 0.5, "targeted": 1.2}
 PRIOR_TEXTS = 5.0
 
+WORD = re.compile(r"[^\W\d_]+")
 TOKEN = re.compile(r"[^\W\d_]+|[.!?;:\n\"“”„«»]")
 STOPS = frozenset(".!?;:\n")
 QUOTES = frozenset('"“”„«»')
@@ -131,21 +133,21 @@ class ToxicityModel:
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, x))))
 
 
-def learn_lexicon(sample: DataFrame) -> tuple[dict[str, float], dict[str, float]]:
+def learn_lexicon(texts: DataFrame) -> tuple[dict[str, float], dict[str, float], tuple[int, int]]:
     """Words and beginnings of words that are telling: their log odds, where the likelihood ratio against chance
-    beats the number of candidates tried. Counted once per text, over the whole sample; at most LEXICON reach the driver."""
-    words = F.array_distinct(F.split(F.lower("text"), r"[^\p{L}]+"))
-    forms = [F.col("words"), *[F.transform(F.filter("words", _longer(n)), _stem(n)) for n in STEMS]]
-    candidates = sample.select("toxic", words.alias("words")).select(
-        "toxic", F.explode(F.array_distinct(F.concat(*forms))).alias("form")
-    )
-    counted = candidates.filter("form <> ''").groupBy("form").agg(F.sum("toxic").alias("pos"), F.count(F.lit(1)).alias("n"))
-    totals = sample.agg(F.sum("toxic").alias("pos"), F.count(F.lit(1)).alias("n")).first()
-    if not totals.pos or totals.pos == totals.n:
-        return {}, {}
-    counted = workspace.materialize(counted.filter(F.col("pos") >= LEAST_TEXTS), "insult-candidates")
+    beats the number of candidates tried; and the number of clean and of toxic texts. Counted once per text, over all
+    of them, in tables that a task hands on when they reach HELD_FORMS; at most LEXICON reach the driver."""
+    counted = texts.select("text", "toxic").mapInArrow(_count_forms, "form string, pos long, n long")
+    counted = counted.groupBy("form").agg(F.sum("pos").alias("pos"), F.sum("n").alias("n"))
+    # The empty form stands for all texts.
+    counted = workspace.materialize(counted.filter((F.col("pos") >= LEAST_TEXTS) | (F.col("form") == "")), "insult-candidates")
+    totals = counted.filter("form = ''").first()
+    pos, n = (totals.pos, totals.n) if totals else (0, 0)
+    if not pos or pos == n:
+        return {}, {}, (n - pos, pos)
+    counted = counted.filter("form <> ''")
     tried = max(2, counted.count())
-    share = totals.pos / totals.n
+    share = pos / n
     neg = F.col("n") - F.col("pos")
     part = lambda k, p: F.when(k > 0, k * F.log(k / (F.col("n") * p))).otherwise(0.0)
     ratio = part(F.col("pos"), share) + part(neg, 1 - share)
@@ -155,15 +157,31 @@ def learn_lexicon(sample: DataFrame) -> tuple[dict[str, float], dict[str, float]
     return (
         {r.form: r.odds for r in rows if not r.form.endswith("*")},
         {r.form[:-1]: r.odds for r in rows if r.form.endswith("*")},
+        (n - pos, pos),
     )
 
 
-def _longer(n):
-    return lambda w: F.length(w) > n
+def _count_forms(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(form, toxic texts, texts) of words, of beginnings marked by a star, and of the empty form for every text."""
+    counts = (Counter(), Counter())
+    for batch in batches:
+        for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
+            words = set(WORD.findall(text.lower()))
+            counts[toxic].update(words)
+            for k in STEMS:
+                counts[toxic].update({w[:k] + "*" for w in words if len(w) > k})
+            counts[toxic][""] += 1
+        if len(counts[0]) + len(counts[1]) > HELD_FORMS:
+            yield _form_batch(counts)
+            counts = (Counter(), Counter())
+    yield _form_batch(counts)
 
 
-def _stem(n):
-    return lambda w: F.concat(F.substring(w, 1, n), F.lit("*"))
+def _form_batch(counts: tuple[Counter, Counter]) -> pa.RecordBatch:
+    forms = list(counts[0].keys() | counts[1].keys())
+    pos = [counts[1][f] for f in forms]
+    n = [counts[0][f] + k for f, k in zip(forms, pos)]
+    return pa.RecordBatch.from_arrays([pa.array(forms, pa.string()), pa.array(pos, pa.int64()), pa.array(n, pa.int64())], names=["form", "pos", "n"])
 
 
 def _prior(context: tuple) -> float:
@@ -173,16 +191,19 @@ def _prior(context: tuple) -> float:
 def fit(labelled: DataFrame, *, text_col: str = "text", label_col: str = "toxic", per_class: int = SAMPLE_PER_CLASS) -> ToxicityModel:
     """Insults from labels, then what each context is worth, then a logistic curve from clause sums to labels.
 
-    Fitted on about `per_class` labelled texts of each class, equal texts once; rows without label or text do not
-    count. Contexts are worth their log odds relative to those of all matches, drawn towards PRIOR while few texts
+    Insults are counted over all labelled texts, equal texts once; rows without label or text do not count. Contexts
+    and curve, a few numbers, are fitted on about `per_class` texts of each class, each weighing as many texts of its
+    class as there are for one in the sample, so that classes keep their natural rates whatever the bound. Contexts are worth their log odds relative to those of all matches, drawn towards PRIOR while few texts
     show them. The curve is fitted to counts by (bins of both features, label), a table of fixed size.
     """
     bound_batches(labelled.sparkSession)
     rows = labelled.select(F.col(text_col).alias("text"), F.col(label_col).cast("int").alias("toxic"))
-    sample = labelled_sample(rows.filter("toxic in (0, 1) and text is not null"), "toxic", per_class)
+    rows = rows.filter("toxic in (0, 1) and text is not null")
+    words, stems, totals = learn_lexicon(rows.dropDuplicates())
+    sample = labelled_sample(rows, "toxic", per_class)
     sample = sample.select("toxic", "text").dropDuplicates().repartition(SAMPLE_TASKS)
     sample = workspace.materialize(sample, "toxicity-sample")
-    model = ToxicityModel(*learn_lexicon(sample))
+    model = ToxicityModel(words, stems)
 
     def contexts(batches):
         found: dict = {}
@@ -201,6 +222,9 @@ def fit(labelled: DataFrame, *, text_col: str = "text", label_col: str = "toxic"
     by = {r.context: (r.neg, r.pos) for r in counted.groupBy("context").agg(F.sum("neg").alias("neg"), F.sum("pos").alias("pos")).collect()}
     if "text" not in by:
         return ToxicityModel()
+    weights = [total / max(1, n) for total, n in zip(totals, by["text"])]
+    shown_by = {k: sum(v) for k, v in by.items()}
+    by = {k: (v[0] * weights[0], v[1] * weights[1]) for k, v in by.items()}
     base = (by["text"][0] + 1) / (by["text"][1] + 1)
     odds = lambda k: max(0.1, math.log((by[k][1] + 1) / (by[k][0] + 1) * base))
     for context in [(a, b, c) for a in (False, True) for b in (False, True) for c in (False, True)]:
@@ -212,7 +236,9 @@ def fit(labelled: DataFrame, *, text_col: str = "text", label_col: str = "toxic"
             shown = min(1.5, odds(str(context)) / likely)
         else:
             shown = 1.0
-        part = seen / (seen + PRIOR_TEXTS)
+        # The prior gives way to texts that were read, not to what they weigh.
+        read = shown_by.get(str(context), 0)
+        part = read / (read + PRIOR_TEXTS)
         model.factors[context] = part * shown + (1 - part) * _prior(context)
 
     def sums(batches):
@@ -227,19 +253,26 @@ def fit(labelled: DataFrame, *, text_col: str = "text", label_col: str = "toxic"
 
     binned = sample.select("text", "toxic").mapInArrow(sums, "a long, b long, toxic long, n long")
     rows = binned.groupBy("a", "b", "toxic").agg(F.sum("n").alias("n")).collect()
-    model.curve = _logistic([(r.a * BIN_WIDTH, r.b * BIN_WIDTH, r.toxic, r.n) for r in rows])
+    model.curve = _logistic([(r.a * BIN_WIDTH, r.b * BIN_WIDTH, r.toxic, r.n * weights[r.toxic]) for r in rows])
     return model
 
 
 def _logistic(points: Iterable[tuple]) -> tuple[float, ...]:
-    """Weights of both features and the offset by Newton's method, with a small prior against infinite ones."""
+    """Weights of both features and the offset by Newton's method, with a small prior against infinite ones. Steps are
+    halved until the loss falls, as whole ones swing from side to side where one class is rare."""
     a, b, y, n = (np.array(v, float) for v in zip(*points))
     design, w = np.stack([a, b, np.ones_like(a)], 1), np.zeros(3)
-    for _ in range(50):
+    loss = lambda w: n @ (np.logaddexp(0, design @ w) - y * (design @ w)) + 0.025 * w @ w
+    for _ in range(100):
         p = 1 / (1 + np.exp(-np.clip(design @ w, -30, 30)))
         gradient = design.T @ (n * (p - y)) + 0.05 * w
         hessian = (design * (n * p * (1 - p))[:, None]).T @ design + 0.05 * np.eye(3)
-        w -= np.clip(np.linalg.solve(hessian, gradient), -2, 2)
+        step, now = np.linalg.solve(hessian, gradient), loss(w)
+        while np.abs(step).max() > 1e-9 and loss(w - step) > now:
+            step /= 2
+        if np.abs(step).max() <= 1e-9:
+            break
+        w -= step
     return tuple(float(v) for v in w)
 
 

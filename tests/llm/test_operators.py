@@ -243,6 +243,21 @@ def test_toxic_clauses(spark, odd):
     assert toxicity.fit(spark.createDataFrame([], "text string, toxic int")).score("dolt") < 0.5
 
 
+def test_toxicity_keeps_the_rate_of_capped_classes(spark):
+    """2 % toxic; a rare insult in three toxic texts and a common word in both: a bound on the sample moves no score much."""
+    rng = random.Random(5)
+    plain = ["".join(rng.choice("bcdfglmnprst") + rng.choice("aeiou") for _ in range(3)) for _ in range(300)]
+    text = lambda *more: " ".join([*rng.choices(plain, k=8), *more])
+    rows = [(text("you", "glorkish" if i < 3 else "dolt"), 1) for i in range(120)]
+    rows += [(text("you", "dolt") if i < 60 else text("dolt") if i < 90 else text(), 0) for i in range(5880)]
+    labelled = spark.createDataFrame(rows, "text string, toxic int")
+    whole, capped = toxicity.fit(labelled, per_class=6000), toxicity.fit(labelled, per_class=600)
+    assert whole.words == capped.words and "glorkish" in capped.words and "dolt" in capped.words
+    for words in ([], ["you", "dolt"], ["dolt"], ["you", "glorkish"], ["not", "dolt"]):
+        line = " ".join([*plain[:8], *words])
+        assert abs(whole.score(line) - capped.score(line)) < 0.1, words
+
+
 def test_mix(spark, odd):
     sized = mixing.mix(odd, common.word_count(F.col("text")))
     rows = sized.collect()
