@@ -19,7 +19,6 @@ from daymill.llm.sampling import labelled_sample
 SAMPLE_PER_CLASS = 30_000  # labelled texts to fit contexts and the curve on, at most, about
 HELD_FORMS = 200_000  # forms that a task counts before it hands them on, about
 SAMPLE_TASKS = 16
-LEXICON = 5000  # learned insults, at most: the most telling ones
 STEMS = (4, 5, 6)  # lengths of word beginnings that may be insults in whatever form they take
 LEAST_TEXTS = 3  # toxic texts that hold an insult, at least
 LEAST_ODDS = 2.0  # natural logarithm
@@ -136,7 +135,7 @@ class ToxicityModel:
 def learn_lexicon(texts: DataFrame) -> tuple[dict[str, float], dict[str, float], tuple[int, int]]:
     """Words and beginnings of words that are telling: their log odds, where the likelihood ratio against chance
     beats the number of candidates tried; and the number of clean and of toxic texts. Counted once per text, over all
-    of them, in tables that a task hands on when they reach HELD_FORMS; at most LEXICON reach the driver."""
+    of them, in tables that a task hands on when they reach HELD_FORMS; the telling ones reach the driver."""
     counted = texts.select("text", "toxic").mapInArrow(_count_forms, "form string, pos long, n long")
     counted = counted.groupBy("form").agg(F.sum("pos").alias("pos"), F.sum("n").alias("n"))
     # The empty form stands for all texts.
@@ -153,7 +152,7 @@ def learn_lexicon(texts: DataFrame) -> tuple[dict[str, float], dict[str, float],
     ratio = part(F.col("pos"), share) + part(neg, 1 - share)
     odds = F.log((F.col("pos") + 0.5) / (neg + 0.5) * ((1 - share) / share))
     telling = counted.filter((F.col("pos") > F.col("n") * share) & (ratio > math.log(tried))).select("form", odds.alias("odds"))
-    rows = telling.filter(F.col("odds") > LEAST_ODDS).orderBy(F.desc("odds"), "form").limit(LEXICON).collect()
+    rows = telling.filter(F.col("odds") > LEAST_ODDS).collect()
     return (
         {r.form: r.odds for r in rows if not r.form.endswith("*")},
         {r.form[:-1]: r.odds for r in rows if r.form.endswith("*")},
@@ -278,7 +277,8 @@ def _logistic(points: Iterable[tuple]) -> tuple[float, ...]:
 
 def score(docs: DataFrame, model: ToxicityModel, *, text_col: str = "text") -> DataFrame:
     """`docs` with score (0 to 1) and predicted (1 from 0.5 on). Whole texts; null and empty ones match nothing and get
-    the score of a text without matches. Columns of these names are replaced. The model's size is bounded by LEXICON."""
+    the score of a text without matches. Columns of these names are replaced. The model holds the telling forms of the
+    labels' vocabulary."""
     bound_batches(docs.sparkSession)
     added = [StructField("score", DoubleType()), StructField("predicted", IntegerType())]
     docs = docs.drop(*[f.name for f in added])

@@ -258,6 +258,14 @@ def test_toxicity_keeps_the_rate_of_capped_classes(spark):
         assert abs(whole.score(line) - capped.score(line)) < 0.1, words
 
 
+def test_toxicity_keeps_every_telling_word(spark):
+    words = ["".join(chr(97 + i // 17**k % 17) for k in range(4)) + "zkq" for i in range(6000)]
+    rows = [(" ".join([*words[1500 * (i % 4) : 1500 * (i % 4 + 1)], str(i), "x" * i]), 1) for i in range(12)]
+    rows += [(f"plain line {'o' * i}", 0) for i in range(1200)]
+    model = toxicity.fit(spark.createDataFrame(rows, "text string, toxic int"))
+    assert set(words) <= set(model.words)
+
+
 def test_mix(spark, odd):
     sized = mixing.mix(odd, common.word_count(F.col("text")))
     rows = sized.collect()
