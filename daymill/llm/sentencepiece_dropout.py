@@ -6,7 +6,6 @@ import re
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
@@ -15,9 +14,8 @@ from daymill.llm.chunks import ragged
 from daymill.llm.common import bound_batches, gathered
 
 DROPOUT = 0.1
-VARIANTS = 8  # segmentations a chunk can get under one seed
-SIDE_BY_SIDE = 32  # characters of chunks that are segmented side by side; longer ones one by one, alike
-ROWS = 1 << 15  # of them at once
+SHARED = 32  # characters of chunks whose segmentations are shared by occurrences; longer ones are segmented one by one, alike
+ROWS = 1 << 15  # of them, or of occurrences, at once
 
 CHUNK = re.compile(" +[^ ]*")
 MASK = (1 << 64) - 1
@@ -94,8 +92,78 @@ class Pieces:
         ends = np.concatenate([[0], np.cumsum(n)])[np.concatenate([[0], np.cumsum(counts)])].tolist()
         return [data[a + 1 : b].decode() for a, b in zip(ends, ends[1:])]
 
-    def _pairs(self, a, b, left, keys, skip_below: int) -> np.ndarray:
-        """The piece of each pair that may be merged, else NONE."""
+    def encode_all(self, chunks: list[str], keys: list[int], skip_below: int) -> list[bytes]:
+        """`encode` of each chunk with its key, as bytes of 32-bit ids."""
+        number: dict[str, int] = {}
+        codes = np.array([number.setdefault(c, len(number)) for c in chunks], np.int64)
+        parts, at = self.encode_occurrences(list(number), codes, np.array(keys, np.uint64), skip_below)
+        return [parts[i] for i in at.tolist()]
+
+    def encode_occurrences(self, chunks: list[str], codes: np.ndarray, keys: np.ndarray, skip_below: int) -> tuple[list[bytes], np.ndarray]:
+        """`encode` of chunks[code] with its key for each (code, key): segmentations as bytes of 32-bit ids, and the
+        number of the one of each occurrence.
+
+        Which pairs an occurrence skips is up to its key alone, but equal skips give equal ids. All occurrences of a
+        chunk start from its segmentation without skips. Those that skip none of its merges have it; the others go on
+        from the first merge they skip to the segmentation that skips this one too, until they skip none. One that is
+        alone is segmented by its key at once.
+        """
+        parts: list[bytes] = []
+        at = np.empty(len(codes), np.int64)
+        long = np.fromiter((len(c) > SHARED for c in chunks), bool, len(chunks))
+        going = np.arange(len(codes))
+        if long.any():
+            seen: dict[tuple, int] = {}
+            for i in np.flatnonzero(long[codes]).tolist():
+                key = int(keys[i]) if skip_below else 0
+                if (codes[i], key) not in seen:
+                    seen[codes[i], key] = len(parts)
+                    parts.append(np.array(self.encode(chunks[codes[i]], key, skip_below), "<i4").tobytes())
+                at[i] = seen[codes[i], key]
+            going = np.flatnonzero(~long[codes])
+        # Groups of occurrences with the same chunk and skips.
+        group, skips = codes[going], np.zeros((len(chunks), 0), np.int64)
+        chunk_of = np.arange(len(chunks))
+        while len(going):
+            present, inverse, sizes = np.unique(group, return_inverse=True, return_counts=True)
+            chunk_of, skips = chunk_of[present], skips[present]
+            alone = (sizes == 1) & (skip_below > 0)
+            if alone.any():
+                mine = alone[inverse]
+                one = np.flatnonzero(mine)
+                ids, _, _ = self._passes([chunks[codes[i]] for i in going[one].tolist()], keys[going[one]], skip_below, np.zeros((len(one), 0), np.int64))
+                at[going[one]] = len(parts) + np.arange(len(one))
+                parts.extend(ids)
+                renumbered = np.cumsum(~alone) - 1
+                going, inverse = going[~mine], renumbered[inverse[~mine]]
+                chunk_of, skips = chunk_of[~alone], skips[~alone]
+            ids, merges, counts = self._passes([chunks[c] for c in chunk_of.tolist()], np.zeros(len(chunk_of), np.uint64), 0, skips)
+            at[going] = len(parts) + inverse
+            parts.extend(ids)
+            if not skip_below:
+                break
+            starts = np.cumsum(counts) - counts
+            tests = ((merges >> 32).astype(np.uint64) * np.uint64(FIRST)) ^ ((merges & 0xFFFFFFFF).astype(np.uint64) * np.uint64(SECOND))
+            owners, firsts = [], []
+            for first in range(0, len(going), ROWS):
+                # All merges of some occurrences, one after the other.
+                of = inverse[first : first + ROWS]
+                n = counts[of]
+                mixed = tests[ragged(starts[of], n)] ^ np.repeat(keys[going[first : first + ROWS]], n)
+                mixed = (mixed ^ (mixed >> np.uint64(31))) * np.uint64(THIRD)
+                hits = np.flatnonzero((mixed ^ (mixed >> np.uint64(29))) < np.uint64(skip_below))
+                owner, earliest = np.unique(np.repeat(np.arange(len(of)), n)[hits], return_index=True)
+                owners.append(owner + first)
+                firsts.append(starts[of[owner]] + hits[earliest] - (np.cumsum(n) - n)[owner])
+            owners, firsts = np.concatenate([going[:0], *owners]), np.concatenate([going[:0], *firsts])
+            # The merge that is skipped, by its number among all merges of all groups, names the next group.
+            by_merge = np.repeat(np.arange(len(counts)), counts)
+            going, group = going[owners], firsts
+            chunk_of, skips = chunk_of[by_merge], np.concatenate([skips[by_merge], merges[:, None]], 1)
+        return parts, at
+
+    def _pairs(self, a, b, left, keys, skip_below: int, skips: np.ndarray) -> np.ndarray:
+        """The piece of each pair that may be merged, else NONE: those of `skips` (place and piece, by row) may not."""
         key = a.astype(np.int64) * self.size + b
         at = ((key.astype(np.uint64) * np.uint64(FIRST)) >> np.uint64(64 - SLOTS)).astype(np.int64)
         found = np.full(len(key), NONE, np.int32)
@@ -108,24 +176,26 @@ class Pieces:
             mixed = keys ^ (left.astype(np.uint64) * np.uint64(FIRST)) ^ (found.astype(np.uint64) * np.uint64(SECOND))
             mixed = (mixed ^ (mixed >> np.uint64(31))) * np.uint64(THIRD)
             found[(mixed ^ (mixed >> np.uint64(29))) < np.uint64(skip_below)] = NONE
+        for skip in skips.T:
+            found[(left.astype(np.int64) << 32 | found) == skip] = NONE
         return found
 
-    def encode_all(self, chunks: list[str], keys: list[int], skip_below: int) -> list[bytes]:
-        """`encode` of each chunk with its key, as bytes of 32-bit ids. Chunks of similar length go side by side: the agenda's
-        best pair of every chunk is merged at once. Whether a pair is skipped depends on key, place and piece only, so the
-        order of the agendas is kept."""
+    def _passes(self, chunks: list[str], keys: np.ndarray, skip_below: int, skips: np.ndarray) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+        """Of each chunk with its key and its row of `skips`: the ids as bytes, and its merges (place << 32 | piece), row
+        by row, with the number of a row. Chunks of similar length go side by side: the agenda's best pair of every
+        chunk is merged at once. Whether a pair is skipped depends on row, place and piece only, so the order of the
+        agendas is kept."""
         out: list[bytes] = [b""] * len(chunks)
         lengths = np.fromiter(map(len, chunks), np.int64, len(chunks))
-        order = np.argsort(lengths, kind="stable")
-        short = order[: np.searchsorted(lengths[order], SIDE_BY_SIDE, side="right")].tolist()
-        for i in order[len(short) :].tolist():
-            out[i] = np.array(self.encode(chunks[i], keys[i], skip_below), "<i4").tobytes()
-        for first in range(0, len(short), ROWS):
-            rows = short[first : first + ROWS]
-            self._side_by_side(rows, [chunks[i] for i in rows], np.array([keys[i] for i in rows], np.uint64), skip_below, out)
-        return out
+        order, merged = np.argsort(lengths, kind="stable"), []
+        for first in range(0, len(order), ROWS):
+            rows = order[first : first + ROWS]
+            merged.extend(self._side_by_side(rows, [chunks[i] for i in rows.tolist()], keys[rows], skip_below, skips[rows], out))
+        owner = np.concatenate([np.zeros(0, np.int64), *[m[0] for m in merged]])
+        merges = np.concatenate([np.zeros(0, np.int64), *[m[1] for m in merged]])
+        return out, merges[np.argsort(owner, kind="stable")], np.bincount(owner, minlength=len(chunks))
 
-    def _side_by_side(self, rows: list[int], chunks: list[str], keys: np.ndarray, skip_below: int, out: list[bytes]) -> None:
+    def _side_by_side(self, rows: np.ndarray, chunks: list[str], keys: np.ndarray, skip_below: int, skips: np.ndarray, out: list[bytes]) -> list[tuple]:
         width = max(map(len, chunks))
         lengths = np.fromiter(map(len, chunks), np.int64, len(chunks))
         codes = np.frombuffer("".join(chunks).encode("utf-32-le", "surrogatepass"), np.uint32)
@@ -135,9 +205,9 @@ class Pieces:
         symbols = np.full((len(chunks), width + 1), NONE, np.int32)
         symbols[np.arange(width + 1) < lengths[:, None]] = ids[inverse]
         place = np.tile(np.arange(width + 1, dtype=np.int32), (len(chunks), 1))
-        flat = self._pairs(symbols[:, :-1].ravel(), symbols[:, 1:].ravel(), place[:, :-1].ravel(), np.repeat(keys, width), skip_below)
+        flat = self._pairs(symbols[:, :-1].ravel(), symbols[:, 1:].ravel(), place[:, :-1].ravel(), np.repeat(keys, width), skip_below, np.repeat(skips, width, 0))
         found = np.concatenate([flat.reshape(len(chunks), width), np.full((len(chunks), 1), NONE, np.int32)], 1)
-        index = np.array(rows)
+        index, merged = rows, []
         columns = np.arange(width + 1)
         while len(index):
             rank = np.where(found >= 0, self.order[found], NEVER)
@@ -146,11 +216,12 @@ class Pieces:
             going = rank[line, best] < NEVER
             if not going.all():
                 self._finish(index[~going], symbols[~going], out)
-                index, symbols, place, found, keys, best = (x[going] for x in (index, symbols, place, found, keys, best))
+                index, symbols, place, found, keys, skips, best = (x[going] for x in (index, symbols, place, found, keys, skips, best))
                 line = np.arange(len(index))
                 if not len(index):
                     break
             symbols[line, best] = found[line, best]
+            merged.append((index, place[line, best].astype(np.int64) << 32 | found[line, best]))
             # The part behind the merged one moves up.
             source = np.minimum(columns + (columns > best[:, None]), columns[-1])
             symbols, place, found = (np.take_along_axis(x, source, 1) for x in (symbols, place, found))
@@ -158,7 +229,8 @@ class Pieces:
             for at in (best, best - 1):
                 some = at >= 0
                 r, c = line[some], at[some]
-                found[r, c] = self._pairs(symbols[r, c], symbols[r, np.minimum(c + 1, columns[-1])], place[r, c], keys[some], skip_below)
+                found[r, c] = self._pairs(symbols[r, c], symbols[r, np.minimum(c + 1, columns[-1])], place[r, c], keys[some], skip_below, skips[some])
+        return merged
 
     def _finish(self, index: np.ndarray, symbols: np.ndarray, out: list[bytes]) -> None:
         plain = (symbols >= NONE).all(1)
@@ -174,9 +246,9 @@ class Pieces:
                 ids.extend([x] if x >= 0 else () if x == -1 else [self.byte_id[b] for b in chr(-2 - x).encode("utf-8", "replace")])
             out[i] = np.array(ids, "<i4").tobytes()
 
-    def encode(self, chunk: str, key: int, skip_below: int) -> list[int]:
+    def encode(self, chunk: str, key: int, skip_below: int, merges: list | None = None) -> list[int]:
         """Ids of a chunk. The agenda gives the best pair first, the left one of equals. A pair is skipped when the hash
-        of the key, its place and its piece is below the bound; a skipped pair comes back only as part of other pairs."""
+        of the key, its place and its piece is below the bound; a skipped pair comes back only as part of other pairs. Pairs that are merged are added to `merges`, in order."""
         parts: list[str | None] = list(chunk)
         n = len(parts)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
@@ -197,6 +269,8 @@ class Pieces:
                 mixed = ((mixed ^ (mixed >> 31)) * THIRD) & MASK
                 if (mixed ^ (mixed >> 29)) < skip_below:
                     continue
+            if merges is not None:
+                merges.append((left, found))
             parts[left], parts[right] = a + b, None
             nxt = after[left] = after[right]
             if nxt < n:
@@ -225,10 +299,10 @@ def encode(docs: DataFrame, model_path: str, *, dropout: float = DROPOUT, seed:
     """`docs` with the ids of each whole text in column `to`.
 
     The model puts a blank before the text, and no piece holds a blank after another character, so texts fall into
-    chunks of blanks and what follows them; each chunk is a segmentation of its own. An occurrence of a chunk gets one
-    of VARIANTS keys by a hash of seed, document id, text and place, so the same input and seed give the same ids in
-    any order and number of tasks, and copies with other ids other segmentations. Each (chunk, key) of a block of texts is
-    segmented once. With dropout 0 the ids are those of the library. Null and empty texts have no ids; rows may repeat; a column named as `to` is replaced.
+    chunks of blanks and what follows them; each chunk is a segmentation of its own. Each occurrence of a chunk gets its own
+    key by a hash of seed, document id, text and place, so the same input and seed give the same ids in
+    any order and number of tasks, and copies with other ids other segmentations. Occurrences that skip the same merges
+    share a segmentation. With dropout 0 the ids are those of the library. Null and empty texts have no ids; rows may repeat; a column named as `to` is replaced.
     """
     bound_batches(docs.sparkSession)
     docs = docs.drop(to)
@@ -252,15 +326,7 @@ def encode(docs: DataFrame, model_path: str, *, dropout: float = DROPOUT, seed:
             ends = np.cumsum(lengths)
             place = np.arange(len(codes), dtype=np.uint64) - np.repeat(ends - lengths, lengths).astype(np.uint64)
             mixed = (np.repeat(marks, lengths) + place * np.uint64(0x9E3779B97F4A7C15)) * np.uint64(0xBF58476D1CE4E5B9)
-            variant = ((mixed >> np.uint64(32)) % np.uint64(VARIANTS if skip_below else 1)).astype(np.int64)
-            distinct, at = np.unique(codes * VARIANTS + variant, return_inverse=True)
-            plain = list(number)
-            chunks = [plain[c] for c in (distinct // VARIANTS).tolist()]
-            keys = [
-                xxhash.xxh64_intdigest(c.encode("utf-8", "replace"), seed=(seed * VARIANTS + k) & MASK)
-                for c, k in zip(chunks, (distinct % VARIANTS).tolist())
-            ]
-            parts = pieces.encode_all(chunks, keys, skip_below)
+            parts, at = pieces.encode_occurrences(list(number), codes, mixed ^ (mixed >> np.uint64(32)), skip_below)
             counts = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
             flat = np.frombuffer(b"".join(parts), "<i4")
             ids = flat[ragged((np.cumsum(counts) - counts)[at], counts[at])]

@@ -208,6 +208,34 @@ def test_segmenting_side_by_side_is_the_agenda():
         assert [np.frombuffer(x, "<i4").tolist() for x in got] == [pieces.encode(w, k, bound) for w, k in zip(words, keys)]
 
 
+def test_each_occurrence_skips_by_itself(spark):
+    """Every merge of a frequent word is skipped at about the dropout's share of its occurrences, in their own pattern."""
+    pieces, n = sentencepiece_dropout.Pieces.of(PIECES), 20000
+    for word in ("the", "information", "quickly"):
+        merges = []
+        pieces.encode(" " + word, 0, 0, merges)
+        plain = np.array(pieces.encode(" " + word, 0, 0), "<i4").tobytes()
+        docs = spark.createDataFrame([(i, " ".join([word] * 100)) for i in range(n // 100)], "doc_id long, text string")
+        # Without its last merge a word comes out in two pieces; without none in one.
+        whole = sum(r.ids.count(int(np.frombuffer(plain, "<i4")[0])) for r in sentencepiece_dropout.encode(docs, PIECES).collect())
+        assert len(plain) == 4 and whole / n > 0.9 ** len(merges) - 0.02
+        keys = np.array([random.Random(i).getrandbits(64) for i in range(n)], np.uint64)
+        bound = sentencepiece_dropout.MASK // 10
+        parts, at = pieces.encode_occurrences([" " + word], np.zeros(n, np.int64), keys, bound)
+        alone = [np.array(pieces.encode(" " + word, int(k), bound), "<i4").tobytes() for k in keys[:3000]]
+        assert [parts[i] for i in at[:3000]] == alone
+        for left, piece in merges:
+            mixed = (keys ^ np.uint64((left * sentencepiece_dropout.FIRST ^ piece * sentencepiece_dropout.SECOND) & sentencepiece_dropout.MASK))
+            mixed = (mixed ^ (mixed >> np.uint64(31))) * np.uint64(sentencepiece_dropout.THIRD)
+            assert abs(((mixed ^ (mixed >> np.uint64(29))) < np.uint64(bound)).mean() - 0.1) < 0.01
+    # One merge: it is skipped at a tenth of the places of a corpus, under every seed.
+    pair = next(p for p, i in pieces.id_of.items() if len(p) == 2 and p[0] == " " and p[1].isascii() and p[1].isalpha())
+    docs = spark.createDataFrame([(i, " ".join([pair[1]] * 100)) for i in range(n // 100)], "doc_id long, text string")
+    for seed in range(3):
+        ids = [x for r in sentencepiece_dropout.encode(docs, PIECES, seed=seed).collect() for x in r.ids]
+        assert abs(1 - ids.count(pieces.id_of[pair]) / n - 0.1) < 0.01
+
+
 def test_language_rejects(spark, odd):
     random.seed(7)
     words = {"en": "the of and that with this from have were been".split(), "de": "der die und nicht eine werden durch schon über".split()}
