@@ -69,11 +69,11 @@ def load_readings(spark: SparkSession, tables: Tables, responses: DataFrame) ->
 
     A response counts for the day it states, not for the day it was asked for. Of repeats of a day the
     one that states the latest time stays; values decide only between equal times. Unusable responses
-    go to the rejected table, once each; they stop nothing.
+    go to the rejected table with their body, each (city, body) once; they stop nothing.
     """
-    flat = workspace.materialize(flatten_readings(responses), "responses")
+    flat = workspace.materialize(flatten_readings(responses, keep=("body",)), "responses")
     reject(spark, quarantined(flat), f"{tables.rejected}/readings")
-    good = usable(flat)
+    good = usable(flat).drop("body")
     order = ["stated", *[c for c in good.columns if c not in ("city", "date", "stated")]]
     newest = last_per_key(good, ["city", "date"], [F.col(c) for c in order]).drop("stated")
     rows = workspace.materialize(newest, "readings")
@@ -84,8 +84,10 @@ def load_readings(spark: SparkSession, tables: Tables, responses: DataFrame) ->
 def load_weather(spark: SparkSession, tables: Tables, documents: DataFrame) -> DataFrame:
     """Landed weather documents (city, hourly, and `landed` where there is an order) into the daily
     weather table; returns the rows stored. Of several documents with an hour the latest landed counts.
-    Documents without hours, and hours without a readable time, go to the rejected table, once each."""
-    reject(spark, rejected_hours(documents), f"{tables.rejected}/weather")
+    Documents without hours, and hours without a readable time, go to the rejected table with their whole
+    document, `landed` included, as JSON; alike ones of one document once."""
+    whole = documents.withColumn("document", F.to_json(F.struct(*documents.columns)))
+    reject(spark, rejected_hours(whole, keep=("city", "document")), f"{tables.rejected}/weather")
     order = ["landed"] if "landed" in documents.columns else []
     hours = unnest_hourly(documents, keep=("city", *order))
     newest = last_per_key(hours, ["city", "timestamp"], [F.col(c) for c in [*order, *WEATHER_VARIABLES]]).drop(*order)
@@ -96,7 +98,8 @@ def load_weather(spark: SparkSession, tables: Tables, documents: DataFrame) -> D
 
 
 def reject(spark: SparkSession, rows: DataFrame, path: str) -> int:
-    """Add rejected rows that the rejected table does not hold yet, so a rerun adds none."""
+    """Add rejected rows that the rejected table does not hold yet, so a rerun adds none. Rows are the same when all
+    columns are, so hand in what tells one source row from another."""
     empty = spark.createDataFrame([], rows.schema)
     empty.write.mode("ignore").parquet(path)
     stored = spark.read.schema(rows.schema).parquet(path).select(*[F.col(c).alias(f"_s_{c}") for c in rows.columns])

@@ -37,11 +37,14 @@ def load_lake(spark: SparkSession, tables: Tables, readings_root: str, weather_r
 
 
 def load_lake_readings(spark: SparkSession, tables: Tables, root: str, start=None, end=None) -> None:
-    """The reading that landed last counts; what has no readable day or city goes to the rejected table."""
+    """The reading that landed last counts. What has no readable day or city goes to the rejected tables: each row with
+    its values and the day it landed to `lake_rows`, and what there is of (city, text, reason) to `lake`."""
     tables.ensure(spark)
     rows = workspace.materialize(silver_readings(spark, root, start, end), "silver")
     reason = F.when(F.col("date").isNull(), "no date").when(F.col("city").isNull(), "no city")
-    reject(spark, rows.select("city", "text", reason.alias("reason")).filter("reason is not null"), f"{tables.rejected}/lake")
+    bad = rows.withColumn("reason", reason).filter("reason is not null")
+    reject(spark, bad.select("city", "text", "reason", "landed_date", *POLLUTANTS), f"{tables.rejected}/lake_rows")
+    reject(spark, bad.select("city", "text", "reason"), f"{tables.rejected}/lake")
     good = rows.filter("date is not null and city is not null")
     newest = last_per_key(good, ["city", "date"], [F.col(c) for c in ("landed_date", "text", *POLLUTANTS)])
     merge_by_month(spark, tables.readings, workspace.materialize(newest.select(*READING_COLUMNS), "readings"))

@@ -9,8 +9,8 @@ from daymill.functions.text import first_ten
 from daymill.schemas import READING_RESPONSE
 
 
-def flatten_readings(responses: DataFrame, body: str = "body", city: str = "city") -> DataFrame:
-    """Nested reading responses to (date, city, pollutants, stated, reason).
+def flatten_readings(responses: DataFrame, body: str = "body", city: str = "city", keep=()) -> DataFrame:
+    """Nested reading responses to (date, city, pollutants, stated, reason), and the columns to keep.
 
     A missing pollutant is null. `stated` is the time that the response gives, `date` its day.
     `reason` is null for a usable row, else why it is not.
@@ -26,6 +26,7 @@ def flatten_readings(responses: DataFrame, body: str = "body", city: str = "city
         *values,
         F.col("_r.data.time.s").alias("stated"),
         _reason(F.col("_r.status"), date, F.col(city)).alias("reason"),
+        *keep,
     )
 
 

@@ -10,7 +10,8 @@ from daymill import schemas, workspace
 from daymill.models import seasonal, stacked, trees
 from daymill.operators import metrics
 from daymill.plans import daily as plan
-from daymill.plans import training
+from daymill.plans import lake, training
+from daymill.sources import sinks
 from tests.helpers import daily
 
 PAIRS = "g string, y double, p double, q double"
@@ -124,6 +125,25 @@ def test_forecast_end_to_end(spark, tmp_path):
     assert first == second
 
 
+def test_rejected_rows_that_look_alike_all_stay(spark, tmp_path):
+    tables = plan.Tables(*[str(tmp_path / n) for n in ("readings", "weather", "forecasts", "rejected")])
+    tables.ensure(spark)
+    stored = lambda kind: spark.read.parquet(f"{tables.rejected}/{kind}").collect()
+    responses = spark.createDataFrame([("A", "broken"), ("A", "<html>")], "city string, body string")
+    docs = spark.createDataFrame([(1,), (2,)], "landed int").select(
+            F.lit("A").alias("city"), F.from_json(F.lit("{}"), schemas.hourly_response())["hourly"].alias("hourly"), "landed")
+    sinks.land_documents(spark.createDataFrame([("A", "never", v, date(2024, 1, d)) for d in (1, 2) for v in (1.0, 2.0)],
+                                               "city string, date string, pm10 double, landed date"), str(tmp_path / "lake"), "landed")
+    for _ in range(2):
+        plan.load_readings(spark, tables, responses)
+        plan.load_weather(spark, tables, docs)
+        lake.load_lake_readings(spark, tables, str(tmp_path / "lake"))
+    assert sorted(r.body for r in stored("readings")) == ["<html>", "broken"]
+    assert sorted(json.loads(r.document)["landed"] for r in stored("weather")) == [1, 2]
+    assert sorted((str(r.landed_date), r.pm10) for r in stored("lake_rows")) == [
+        ("2024-01-01", 1.0), ("2024-01-01", 2.0), ("2024-01-02", 1.0), ("2024-01-02", 2.0)]
+
+
 def test_daily_run_over_stored_tables(spark, tmp_path):
     tables = plan.Tables(*[str(tmp_path / n) for n in ("readings", "weather", "forecasts", "rejected")])
     tables.ensure(spark)
