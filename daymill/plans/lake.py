@@ -10,8 +10,8 @@ from daymill.operators.aggregate import date_bounds, last_per_key
 from daymill.operators.unnest import unnest_hourly
 from daymill.plans.daily import Tables, load_weather, reject
 from daymill.schemas import hourly_response
-from daymill.sources.landing import read_history_csv, read_landed
-from daymill.sources.sinks import merge_by_month, rewrite_series
+from daymill.sources.landing import read_history_csv, read_landed, rejected_history_csv
+from daymill.sources.sinks import merge_by_month, rewrite_series, write_new
 
 
 def silver_readings(spark: SparkSession, root: str, start=None, end=None) -> DataFrame:
@@ -57,10 +57,15 @@ def load_lake_weather(spark: SparkSession, tables: Tables, root: str, start=None
     load_weather(spark, tables, documents.withColumn("landed", F.col("landed_date")))
 
 
-def bootstrap(spark: SparkSession, readings: str, history: str, new_readings: str) -> None:
-    """Historical files replace whole series: the next version of the readings table, at a path of its own."""
+def bootstrap(spark: SparkSession, readings: str, history: str, new_readings: str, rejected: str | None = None) -> int:
+    """Historical files replace whole series: the next version of the readings table, at a path of its own. Lines
+    without a readable day go to the table `rejected` with their values, every line; without a path, to the one of
+    the new readings with "-rejected" added. It must not exist yet. Returns the number of rejected lines."""
     rows = workspace.materialize(read_history_csv(spark, history), "history")
+    # Rejected lines are safe before the series they belong to are replaced.
+    left = write_new(rejected_history_csv(spark, history), rejected or f"{new_readings.rstrip('/')}-rejected")
     rewrite_series(spark, readings, rows, new_readings)
+    return left
 
 
 def weather_of_history(readings: DataFrame, weather: DataFrame) -> DataFrame:

@@ -75,11 +75,11 @@ def read_history_csv(spark: SparkSession, path, city=None, delimiter: str = ",")
 
 
 def rejected_history_csv(spark: SparkSession, path, city=None, delimiter: str = ",") -> DataFrame:
-    """(city, text, reason) of the lines whose day is missing or in no known format."""
+    """(city, text, reason) and the values of the lines whose day is missing or in no known format."""
     raw = _history_cells(spark, path, city, delimiter).filter(F.col("date").isNull())
     text = blank_to_null(F.col("_day"))
     reason = F.when(text.isNull(), "no day").otherwise("day not readable")
-    return raw.select("city", text.alias("text"), reason.alias("reason"))
+    return raw.select("city", text.alias("text"), reason.alias("reason"), *POLLUTANTS)
 
 
 def _history_cells(spark: SparkSession, path, city, delimiter: str) -> DataFrame:

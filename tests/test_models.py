@@ -144,6 +144,19 @@ def test_rejected_rows_that_look_alike_all_stay(spark, tmp_path):
         ("2024-01-01", 1.0), ("2024-01-01", 2.0), ("2024-01-02", 1.0), ("2024-01-02", 2.0)]
 
 
+def test_bootstrap_leaves_a_trace_of_unreadable_days(spark, tmp_path):
+    stored, new = str(tmp_path / "readings"), str(tmp_path / "next")
+    sinks.ensure_table(spark, stored, schemas.READING)
+    columns = [f.name for f in schemas.READING if f.name not in ("date", "city")]
+    lines = [f"{day},A," + ",".join(["4.5"] * len(columns)) for day in ("2024/1/1", "some day", "some day", "")]
+    (tmp_path / "history.csv").write_text("\n".join([",".join(["date", "city", *columns]), *lines]) + "\n")
+    assert lake.bootstrap(spark, stored, str(tmp_path / "history.csv"), new) == 3
+    left = spark.read.parquet(f"{new}-rejected").collect()
+    assert sorted((r.text or "", r.reason, r.pm10) for r in left) == [
+        ("", "no day", 4.5), ("some day", "day not readable", 4.5), ("some day", "day not readable", 4.5)]
+    assert spark.read.parquet(new).count() == 1
+
+
 def test_daily_run_over_stored_tables(spark, tmp_path):
     tables = plan.Tables(*[str(tmp_path / n) for n in ("readings", "weather", "forecasts", "rejected")])
     tables.ensure(spark)
