@@ -1,10 +1,12 @@
 """Registered queries of the training-data operators: each takes (spark, sf_dir) and covers its whole table."""
 
+import string
+
 import public_tokenizers
 from pyspark.sql import functions as F
 
 from daymill import workspace
-from daymill.llm import chat, common, embedding_dedup, exact_dedup, huffman, hyperminhash, language_id, mixing, sentencepiece_dropout, token_counts, toxicity
+from daymill.llm import chat, common, embedding_dedup, exact_dedup, huffman, hyperminhash, language_id, merkle, mixing, sentencepiece_dropout, token_counts, toxicity
 
 QUERIES, ORACLE = {}, {}
 
@@ -106,3 +108,19 @@ def op10_source_mix(spark, sf):
 
 
 ORACLE["op10_source_mix"] = mixing.oracle()
+
+
+@query
+def op11_merkle_proofs(spark, sf):
+    docs = common.table(spark, sf, "documents")
+    fields = [F.col(c) for c in merkle.FIELDS[:-1]]
+    altered = merkle.leaf_digest(*fields, F.translate("text", string.ascii_uppercase, string.ascii_lowercase))
+    touched = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    proofs = merkle.Manifest(docs, keep={"tampered": F.when(touched, altered)}).proofs()
+    folded = merkle.fold(F.coalesce("tampered", "leaf"), F.col("steps"))
+    return proofs.select(
+        "doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("steps")).alias("proof_sha256"), folded.alias("folded_root")
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+ORACLE["op11_merkle_proofs"] = merkle.oracle()
