@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from daymill import workspace
-from daymill.llm import chat, common, embedding_dedup, exact_dedup, huffman, hyperminhash, language_id, merkle, mixing, sentencepiece_dropout, token_counts, toxicity
+from daymill.llm import chat, common, embedding_dedup, exact_dedup, huffman, hyperminhash, language_id, merkle, mixing, packing, sentencepiece_dropout, token_counts, toxicity
 
 QUERIES, ORACLE = {}, {}
 
@@ -124,3 +124,9 @@ def op11_merkle_proofs(spark, sf):
 
 
 ORACLE["op11_merkle_proofs"] = merkle.oracle()
+
+
+@query
+def op13_best_fit_packing(spark, sf):
+    docs = common.table(spark, sf, "documents").select("doc_id", "text")
+    return packing.Packing(docs, public_tokenizers.path("byte_bpe_50k.json")).placements().drop("at")
