@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from daymill import workspace
-from daymill.llm import chat, common, embedding_dedup, exact_dedup, huffman, hyperminhash, language_id, merkle, mixing, packing, sentencepiece_dropout, token_counts, toxicity
+from daymill.llm import chat, common, embedding_dedup, exact_dedup, hard_negatives, huffman, hyperminhash, language_id, merkle, mixing, packing, sentencepiece_dropout, token_counts, toxicity
 
 QUERIES, ORACLE = {}, {}
 
@@ -126,6 +126,17 @@ def op11_merkle_proofs(spark, sf):
 ORACLE["op11_merkle_proofs"] = merkle.oracle()
 
 
+@query
+def op12_hard_negatives(spark, sf):
+    rows = common.table(spark, sf, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    anchors = rows.filter(F.col("vec_id") % 100 == 0).select("vec_id")
+    return hard_negatives.mine(hard_negatives.Vectors(rows, label=label), anchors)
+
+
+ORACLE["op12_hard_negatives"] = hard_negatives.ORACLE
+
+
 @query
 def op13_best_fit_packing(spark, sf):
     docs = common.table(spark, sf, "documents").select("doc_id", "text")
