@@ -1,7 +1,6 @@
 """Near-duplicates on word shingles by HyperMinHash sketches, and exact confirmation."""
 
 import hashlib
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +22,8 @@ EMPTY = -1
 # Chance that registers of different minima agree: equal zeros in a third of cases, then equal mantissas.
 COLLIDE = 1 / 3 / (1 << MANTISSA)
 SIGMAS = 5.0  # standard deviations of an estimate by which it may miss before a pair is left out
+BLOCK = 256  # members of a bucket that are compared as one block
+CHUNK = 1 << 18  # pairs of blocks that a task works on at once
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -84,13 +85,6 @@ def registers(shingles: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return out
 
 
-def packed_bits(regs: np.ndarray) -> np.ndarray:
-    """A row of 64-bit words per text: which registers are used, then the lowest mantissa bit of each."""
-    width = -regs.shape[1] % 64
-    cells = [np.pad(x, ((0, 0), (0, width))) for x in (regs != EMPTY, (regs != EMPTY) & (regs & 1 == 1))]
-    return np.concatenate([np.packbits(x, axis=1).view(np.int64) for x in cells], 1)
-
-
 def band_keys(regs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(key of each band of each text, whether it has a register that is not empty)."""
     cells = regs.reshape(len(regs), BANDS, ROWS)
@@ -108,16 +102,13 @@ def sketch(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(id, n_shingles, digest of the set, band keys, registers) per row."""
     schema = StructType(
         [StructField("id", docs.schema[id_col].dataType), StructField("n_shingles", LongType()), StructField("digest", BinaryType()),
-         StructField("bands", ArrayType(LongType())), StructField("regs", ArrayType(ShortType())),
-         StructField("words", ArrayType(LongType()))]
+         StructField("bands", ArrayType(LongType())), StructField("regs", ArrayType(ShortType()))]
     )
 
     def run(batches):
         for held in gathered(batches, text_col):
             shingles, counts = shingle_sets(held.column(text_col))
             regs = registers(shingles, counts)
-            words = packed_bits(regs)
-            packed = pa.ListArray.from_arrays(pa.array((np.arange(len(counts) + 1) * words.shape[1]).astype(np.int32)), pa.array(words.ravel()))
             keys, some = band_keys(regs)
             ends = np.cumsum(counts)
             data = shingles.tobytes()
@@ -126,7 +117,7 @@ def sketch(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             bands = pa.ListArray.from_arrays(pa.array(at), pa.array(keys[some]))
             cells = pa.ListArray.from_arrays(pa.array((np.arange(len(counts) + 1) * regs.shape[1]).astype(np.int32)), pa.array(regs.ravel()))
             ids = held.column(id_col).combine_chunks()
-            yield pa.RecordBatch.from_arrays([ids, pa.array(counts), pa.array(digests, pa.binary()), bands, cells, packed], names=schema.names)
+            yield pa.RecordBatch.from_arrays([ids, pa.array(counts), pa.array(digests, pa.binary()), bands, cells], names=schema.names)
 
     return docs.select(id_col, text_col).mapInArrow(run, schema)
 
@@ -156,19 +147,145 @@ def likely(percent: int) -> Column:
     return sizes & (estimate(equal, used) >= bound - SIGMAS * F.sqrt(F.lit(bound * (1 - bound)) / used))
 
 
-def not_far(percent: int) -> Column:
-    """As `likely`, by one bit a register: words x and y hold used registers, then bits. Two used registers of different
-    minima differ in their bit half the time, so such differences count twice; a register that one side lacks counts once."""
-    n = -(-SKETCHES * BUCKETS // 64)
-    x, y = (lambda k: F.col("x")[k]), (lambda k: F.col("y")[k])
-    total = lambda parts: reduce(lambda a, b: a + b, parts)
-    count = lambda c: F.bit_count(c)
-    used = total([count(x(k).bitwiseOR(y(k))) for k in range(n)])
-    one = total([count(x(k).bitwiseXOR(y(k))) for k in range(n)])
-    both = total([count(x(n + k).bitwiseXOR(y(n + k)).bitwiseAND(x(k)).bitwiseAND(y(k))) for k in range(n)])
-    part = 1 - percent / 100
-    sizes = 100 * F.least("m", "n") >= percent * F.greatest("m", "n")
-    return sizes & (2 * both + one <= part * used + SIGMAS * F.sqrt(2 * part * (1 - part / 2) * used))
+def whole_groups(batches, keys: list[str], limit: int = 16 << 20):
+    """Tables of whole groups of sorted rows, put together until they reach `limit` bytes."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.nbytes
+        if size < limit:
+            continue
+        table = pa.Table.from_batches(held)
+        same = np.ones(table.num_rows, bool)
+        for name in keys:
+            column = table.column(name).to_numpy()
+            same &= column == column[-1]
+        cut = int(np.argmax(same))  # the last group may go on in the next batch
+        if cut:
+            yield table.slice(0, cut)
+        held = table.slice(cut).combine_chunks().to_batches()
+        size = sum(x.nbytes for x in held)
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+class OpenGroups:
+    """Rows of whole (key, outer, inner) groups: of a bucket that holds several groups of documents, a block of the members
+    outside its main group (side 0) and a block of all its members (side 1)."""
+
+    KEYS = ["key", "outer", "inner"]
+
+    def __init__(self, table: pa.Table, percent: int):
+        column = lambda name: table.column(name).to_numpy()
+        marks = np.stack([column(c) for c in self.KEYS])
+        fresh = np.ones(table.num_rows, bool)
+        fresh[1:] = (marks[:, 1:] != marks[:, :-1]).any(0)
+        self.group, self.percent = np.cumsum(fresh) - 1, percent
+        self.key, self.side, self.id, self.part, self.main, self.n = (column(c) for c in ("key", "side", "id", "part", "main", "n"))
+        self.regs = table.column("regs").combine_chunks().flatten().to_numpy().reshape(table.num_rows, SKETCHES * BUCKETS)
+        count = lambda side: np.bincount(self.group[self.side == side], minlength=int(fresh.sum()))
+        self.outer, self.inner, self.first = count(0), count(1), np.flatnonzero(fresh)
+
+    def likely(self):
+        """Chunks of pairs (rows x, rows y) of one group that may be similar enough, from different groups of documents:
+        by size, then by the collision-corrected estimate with SIGMAS standard deviations to spare. A pair that
+        shares several bands is looked at in the bucket of the first."""
+        pairs, bands = self.outer * self.inner, band_keys(self.regs)[0]
+        ends, bound = np.cumsum(pairs), self.percent / 100
+        for low in range(0, int(ends[-1]) if len(ends) else 0, CHUNK):
+            k = np.arange(low, min(low + CHUNK, int(ends[-1])))
+            g = np.searchsorted(ends, k, side="right")
+            a, b = np.divmod(k - (ends - pairs)[g], self.inner[g])
+            x, y = self.first[g] + a, self.first[g] + self.outer[g] + b
+            once = (self.part[y] == self.main[y]) | (self.id[x] < self.id[y])
+            sizes = 100 * np.minimum(self.n[x], self.n[y]) >= self.percent * np.maximum(self.n[x], self.n[y])
+            right = (self.part[x] != self.part[y]) & once & sizes
+            x, y = x[right], y[right]
+            for i in range(0, len(x), CHUNK // 16):
+                p, q = x[i : i + CHUNK // 16], y[i : i + CHUNK // 16]
+                r, s = self.regs[p], self.regs[q]
+                same, some = r == s, r != EMPTY
+                shared = same.reshape(len(p), BANDS, ROWS).all(2) & some.reshape(len(p), BANDS, ROWS).any(2)
+                used = np.maximum((some | (s != EMPTY)).sum(1), 1)
+                near = ((same & some).sum(1) - COLLIDE * used) / (used * (1 - COLLIDE))
+                here = bands[p, shared.argmax(1)] == self.key[p]
+                kept = here & (near >= bound - SIGMAS * np.sqrt(bound * (1 - bound) / used))
+                yield p[kept], q[kept]
+
+    def similar(self, x: np.ndarray, y: np.ndarray, shingles: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Whether the whole sets of rows x and y, of one group, are similar enough. Many pairs of few rows are counted by
+        a product of the rows' incidence with the shingles that several of them hold, a block of shingles at a time."""
+        of = lambda i: shingles[ends[i] - self.n[i] : ends[i]]
+        rows, at = np.unique(np.concatenate([x, y]), return_inverse=True)
+        common = np.zeros(len(x), np.int64)
+        if len(x) < 4 * len(rows):
+            for i, (p, q) in enumerate(zip(x, y)):
+                small, large = (of(p), of(q)) if self.n[p] <= self.n[q] else (of(q), of(p))
+                place = np.searchsorted(large, small)
+                common[i] = (large[np.minimum(place, len(large) - 1)] == small).sum()
+        else:
+            own = np.repeat(np.arange(len(rows)), self.n[rows])
+            held, code, times = np.unique(np.concatenate([of(i) for i in rows]), return_inverse=True, return_counts=True)
+            column = np.where(times > 1, np.cumsum(times > 1) - 1, -1)[code]
+            own, column = own[column >= 0], column[column >= 0]
+            order = np.argsort(column, kind="stable")
+            own, column = own[order], column[order]
+            total = np.zeros((len(rows), len(rows)), np.float32)
+            for low in range(0, int((times > 1).sum()), 2048):
+                a, b = np.searchsorted(column, [low, low + 2048])
+                incidence = np.zeros((len(rows), 2048), np.float32)
+                incidence[own[a:b], column[a:b] - low] = 1
+                total += incidence @ incidence.T
+            common = total[at[: len(x)], at[len(x) :]].astype(np.int64)
+        return 100 * common >= self.percent * (self.n[x] + self.n[y] - common)
+
+    def meet(self, low: np.ndarray, at: slice, x: np.ndarray, y: np.ndarray) -> None:
+        """Give rows x and y, and with them all rows of their parts in the group `at`, the smallest of their `low`."""
+        parts, code = np.unique(self.part[at], return_inverse=True)
+        while len(x) and (low[x] != low[y]).any():
+            least = np.minimum(low[x], low[y])
+            np.minimum.at(low, x, least)
+            np.minimum.at(low, y, least)
+            smallest = parts.copy()
+            np.minimum.at(smallest, code, low[at])
+            low[at] = smallest[code]
+
+
+def _candidates(percent: int):
+    """Members of groups that have a likely partner there."""
+    def run(batches):
+        for table in whole_groups(batches, OpenGroups.KEYS):
+            rows, some = OpenGroups(table, percent), np.zeros(table.num_rows, bool)
+            for x, y in rows.likely():
+                some[x] = some[y] = True
+            yield from table.select([*OpenGroups.KEYS, "side", "id"]).filter(pa.array(some)).combine_chunks().to_batches()
+
+    return run
+
+
+def _linked_parts(percent: int):
+    """(a, b): a group of documents and the smallest one that it is linked with in a task, at most a row per group."""
+    def run(batches):
+        for table in whole_groups(batches, OpenGroups.KEYS):
+            rows, lists = OpenGroups(table, percent), table.column("shingles").combine_chunks()
+            rows.n = np.diff(lists.offsets.to_numpy())
+            # Sets are ascending as unsigned numbers.
+            shingles, ends = lists.flatten().to_numpy().view(np.uint64), np.cumsum(rows.n)
+            low = rows.part.copy()
+            for x, y in rows.likely():
+                cuts = np.flatnonzero(np.diff(rows.group[x], prepend=-1, append=-1))
+                for a, b in zip(cuts, cuts[1:]):
+                    # What has met already needs no comparison.
+                    open_ = np.flatnonzero(low[x[a:b]] != low[y[a:b]]) + a
+                    if len(open_):
+                        linked = open_[rows.similar(x[open_], y[open_], shingles, ends)]
+                        g = rows.group[x[a]]
+                        rows.meet(low, slice(rows.first[g], rows.first[g] + rows.outer[g] + rows.inner[g]), x[linked], y[linked])
+            moved = np.flatnonzero(low != rows.part)
+            links = np.unique(np.stack([rows.part[moved], low[moved]]), axis=1)
+            yield pa.RecordBatch.from_arrays([pa.array(links[0]), pa.array(links[1])], names=["a", "b"])
+
+    return run
 
 
 class NearDuplicates:
@@ -177,7 +294,8 @@ class NearDuplicates:
     Equal sets are one first, by digest. Bands of compressed registers give buckets; in each, every member is compared with
     the smallest one (collision-corrected estimate of the registers, then the whole sets), and the links give groups. Where
     a bucket still holds several groups, each member outside its smallest one's group is compared with all members of other
-    groups. So every pair that shares a band is either in one group already or compared, without all pairs of a group of copies.
+    groups, block by block within tasks. So every pair that shares a band is either in one group already or compared, without all
+    pairs of a group of copies, and no row is made for a pair but for those with a bucket's smallest member.
     Counts and minima by bucket are combined in the tasks; joins by bucket are between large tables that the adaptive planner
     splits when skewed. Candidates grow with the corpus, so no side of their joins is broadcast: hints ask for a shuffle.
 
@@ -195,46 +313,56 @@ class NearDuplicates:
         buckets = rows.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high")).filter("low <> high").drop("high")
         members = workspace.materialize(rows.join(buckets.hint("shuffle_hash"), "key"), "bucket-members")
         ids = members.select("id").distinct().hint("shuffle_hash")
-        held = usable.join(ids, "id", "left_semi").groupBy("id").agg(F.min(F.struct("digest", "n_shingles", "regs", "words")).alias("r"))
-        self.regs = workspace.materialize(held.select("id", F.col("r.n_shingles").alias("n"), "r.regs", "r.words"), "candidates")
+        held = usable.join(ids, "id", "left_semi").groupBy("id").agg(F.min(F.struct("digest", "n_shingles", "regs")).alias("r"))
+        self.regs = workspace.materialize(held.select("id", F.col("r.n_shingles").alias("n"), "r.regs"), "candidates")
         self.sets = workspace.materialize(_sets(docs, ids, id_col, text_col), "shingle-sets")
         stars = members.filter("id <> low").select(F.col("low").alias("a"), F.col("id").alias("b")).distinct()
         stars = workspace.materialize(self._estimated(stars), "star-pairs")
         groups = workspace.materialize(components(self.confirmed(stars)), "groups")
-        more = self.confirmed(self._across(members, groups, stars))
-        merged = components(more.join(_named(groups, "a"), "a", "left").join(_named(groups, "b"), "b", "left").select(
-            F.coalesce("a_group", "a").alias("a"), F.coalesce("b_group", "b").alias("b")
-        ))
+        merged = components(self._across(members, groups))
         merged = merged.select(F.col("id").alias("part"), F.col("component_id").alias("whole"))
         own = groups.join(merged, groups["component_id"] == merged["part"], "left").select(
             "id", F.coalesce("whole", "component_id").alias("component_id")
         )
         self.groups = workspace.materialize(own.union(merged).groupBy("id").agg(F.min("component_id").alias("component_id")), "merged-groups")
 
-    def _with(self, rows: DataFrame, key: str, size: str, name: str, column: str = "regs") -> DataFrame:
+    def _with(self, rows: DataFrame, key: str, size: str, name: str) -> DataFrame:
         """Rows with size and registers of the document in column `key`."""
-        named = self.regs.select(F.col("id").alias(key), F.col("n").alias(size), F.col(column).alias(name))
+        named = self.regs.select(F.col("id").alias(key), F.col("n").alias(size), F.col("regs").alias(name))
         return rows.join(named.hint("merge"), key)
 
     def _estimated(self, pairs: DataFrame) -> DataFrame:
         return self._with(self._with(pairs, "a", "m", "x"), "b", "n", "y").filter(likely(self.percent)).select("a", "b")
 
-    def _across(self, members: DataFrame, groups: DataFrame, done: DataFrame) -> DataFrame:
-        """Likely pairs of members of one bucket that are in different groups; those in `done` are known. One side is
-        outside the group of the bucket's smallest member, so a bucket that is one group but for a few costs a few passes."""
+    def _across(self, members: DataFrame, groups: DataFrame) -> DataFrame:
+        """Links (a, b) between groups of documents that share a bucket; documents in no group are one of their own.
+
+        In a bucket, members outside the group of its smallest one are compared with all members. Both are dealt out in blocks
+        of about BLOCK, each block of the ones against each of the others as one task's group, so rows grow with
+        the members, not with their pairs. A first pass compares registers only; the whole sets of those that have a
+        likely partner go to the second, which confirms pairs and hands on which groups met.
+        """
         lows = groups.select(F.col("id").alias("low"), F.col("component_id").alias("low_part"))
         named = members.join(groups, "id", "left").join(lows, "low", "left").select(
             "key", "id", F.coalesce("component_id", "id").alias("part"), F.coalesce("low_part", "low").alias("main")
         )
-        outside = workspace.materialize(named.filter("part <> main"), "outside")
-        open_ = named.join(outside.select("key").distinct().hint("shuffle_hash"), "key", "left_semi")
-        one = self._with(outside, "id", "m", "x", "words").select("key", "m", "x", F.col("id").alias("a"), F.col("part").alias("p"))
-        two = self._with(open_, "id", "n", "y", "words").select("key", "n", "y", "main", F.col("id").alias("b"), F.col("part").alias("q"))
-        once = (F.col("p") != F.col("q")) & ((F.col("q") == F.col("main")) | (F.col("a") < F.col("b")))
-        pairs = one.join(two.hint("merge"), (one["key"] == two["key"]) & once & not_far(self.percent))
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        pairs = workspace.materialize(pairs.join(done, ["a", "b"], "left_anti"), "open-pairs")
-        return workspace.materialize(self._estimated(pairs), "likely-pairs")
+        named = workspace.materialize(named, "members-by-group")
+        outside = F.col("part") != F.col("main")
+        blocks = named.groupBy("key").agg(F.count_if(outside).alias("m"), F.count(F.lit(1)).alias("n")).filter("m > 0").select(
+            "key", *[F.ceil(F.col(c) / BLOCK).cast("int").alias(name) for c, name in (("m", "outers"), ("n", "inners"))]
+        )
+        open_ = named.join(blocks.hint("shuffle_hash"), "key")
+        block = lambda count: F.pmod(F.xxhash64("id", F.lit("block")), F.col(count).cast("long")).cast("int")
+        each = lambda count: F.explode(F.sequence(F.lit(0), F.col(count) - 1))
+        one = open_.filter(outside).select("key", "id", "part", "main", F.lit(0).alias("side"), block("outers").alias("outer"), each("inners").alias("inner"))
+        two = open_.select("key", "id", "part", "main", F.lit(1).alias("side"), each("outers").alias("outer"), block("inners").alias("inner"))
+        rows = workspace.materialize(one.unionByName(two.select(one.columns)).join(self.regs.hint("merge"), "id"), "open-members")
+        dealt = lambda frame: frame.repartition(*OpenGroups.KEYS).sortWithinPartitions(*OpenGroups.KEYS, "side", "id")
+        some = StructType([rows.schema[c] for c in (*OpenGroups.KEYS, "side", "id")])
+        some = workspace.materialize(dealt(rows).mapInArrow(_candidates(self.percent), some), "likely-members")
+        whole = rows.join(some, [*OpenGroups.KEYS, "side", "id"], "left_semi").join(self.sets.hint("merge"), "id")
+        links = StructType([StructField("a", LongType()), StructField("b", LongType())])
+        return workspace.materialize(dealt(whole).mapInArrow(_linked_parts(self.percent), links), "linked-groups")
 
     def confirmed(self, pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) whose whole sets are similar enough."""
@@ -254,6 +382,3 @@ class NearDuplicates:
             "kept", F.coalesce(F.col(self.id_col) == F.col("component_id"), F.lit(True))
         )
 
-
-def _named(groups: DataFrame, side: str) -> DataFrame:
-    return groups.select(F.col("id").alias(side), F.col("component_id").alias(f"{side}_group"))

@@ -360,3 +360,59 @@ def test_pipeline_on_odd_rows(spark, odd):
     for _, stage in corpus_pipeline.STAGES:
         empty = workspace.materialize(stage(spark, empty, ""), "empty-stage")
     assert empty.count() == 0
+
+
+@pytest.mark.parametrize("block", [256, 7])
+def test_near_duplicates_of_families(spark, monkeypatch, block):
+    """Families whose members are near each other's bound: links across groups, in blocks and whole, as by brute force."""
+    monkeypatch.setattr(hyperminhash, "BLOCK", block)
+    draw = random.Random(8)
+    words = [f"w{i}" for i in range(4000)]
+    rows, number = [], 0
+    for size, changes in ((60, 9), (40, 5), (30, 14), (25, 3)):
+        text = [draw.choice(words) for _ in range(300)]
+        for _ in range(size):
+            own = list(text)
+            for k in draw.sample(range(300), draw.randint(1, changes)):
+                own[k] = draw.choice(words)
+            rows.append((number, " ".join(own)))
+            number += 1
+    sets = {i: frozenset(zip(*[t.split()[k:] for k in range(5)])) for i, t in rows}
+    links = [(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])]
+    low = {i: i for i in sets}
+    while True:
+        before = dict(low)
+        for a, b in links:
+            low[a] = low[b] = min(low[a], low[b])
+        if low == before:
+            break
+    assert 10 < len(set(low.values())) < 150
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in hyperminhash.NearDuplicates(docs).report().collect()}
+    assert got == low
+
+
+def test_rows_across_groups_grow_with_members(spark, monkeypatch):
+    """A family of which no two are similar enough: rows between the tasks grow as its members, not as their pairs."""
+    counts, whole = {}, workspace.materialize
+
+    def counted(df, name):
+        out = whole(df, name)
+        counts[name] = counts.get(name, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(hyperminhash.workspace, "materialize", counted)
+    rows = {}
+    for n in (150, 600):
+        draw, counts = random.Random(n), {}
+        text = [f"w{draw.randrange(4000)}" for _ in range(400)]
+        texts = []
+        for i in range(n):
+            own = list(text)
+            for k in draw.sample(range(400), 9):
+                own[k] = f"x{draw.randrange(10**9)}"
+            texts.append((i, " ".join(own)))
+        hyperminhash.NearDuplicates(spark.createDataFrame(texts, "doc_id long, text string"))
+        rows[n] = counts
+    for name in ("open-members", "likely-members", "star-pairs", "linked-groups"):
+        assert rows[600][name] <= 8 * max(rows[150][name], 100), (name, rows)
