@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from daymill import workspace
-from daymill.llm import chat, common, embedding_dedup, exact_dedup, hard_negatives, huffman, hyperminhash, language_id, merkle, mixing, packing, sentencepiece_dropout, token_counts, toxicity
+from daymill.llm import chat, common, embedding_dedup, exact_dedup, hard_negatives, huffman, hyperminhash, language_id, merkle, mixing, packing, sampling, sentencepiece_dropout, token_counts, toxicity
 
 QUERIES, ORACLE = {}, {}
 
@@ -30,7 +30,7 @@ def op1_projection_collisions(spark, sf):
 def op2_toxicity(spark, sf):
     docs, labels = common.table(spark, sf, "documents"), common.table(spark, sf, "labels")
     labels = labels.filter(~common.held_out()).filter("toxic in (0, 1)").select("doc_id", "toxic")
-    model = toxicity.fit(docs.select("doc_id", "text").join(labels, "doc_id"))
+    model = toxicity.fit(sampling.with_labels(docs.select("doc_id", "text"), labels))
     tested = docs.select("doc_id", "text", common.held_out().alias("held_out"))
     return toxicity.score(tested, model).select("doc_id", "held_out", "score", "predicted")
 

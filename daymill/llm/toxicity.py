@@ -14,7 +14,7 @@ from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
 from daymill import workspace
 from daymill.llm.common import bound_batches
-from daymill.llm.sampling import labelled_sample
+from daymill.llm.sampling import labelled_sample, once
 
 SAMPLE_PER_CLASS = 30_000  # labelled texts to fit contexts and the curve on, at most, about
 HELD_FORMS = 200_000  # forms that a task counts before it hands them on, about
@@ -190,17 +190,19 @@ def _prior(context: tuple) -> float:
 def fit(labelled: DataFrame, *, text_col: str = "text", label_col: str = "toxic", per_class: int = SAMPLE_PER_CLASS) -> ToxicityModel:
     """Insults from labels, then what each context is worth, then a logistic curve from clause sums to labels.
 
-    Insults are counted over all labelled texts, equal texts once; rows without label or text do not count. Contexts
-    and curve, a few numbers, are fitted on about `per_class` texts of each class, each weighing as many texts of its
-    class as there are for one in the sample, so that classes keep their natural rates whatever the bound. Contexts are worth their log odds relative to those of all matches, drawn towards PRIOR while few texts
-    show them. The curve is fitted to counts by (bins of both features, label), a table of fixed size.
+    Insults are counted over all texts of `labelled`, equal texts once; rows without label or text do not count. Hand in
+    a bounded frame (sampling.with_labels), as the model holds the telling forms of its vocabulary. Contexts and curve, a few
+    numbers, are fitted on about `per_class` texts of each class, each weighing as many texts of its class as there are for one
+    in the sample, so that classes keep their natural rates whatever the bound. Contexts are worth their log odds relative
+    to those of all matches, drawn towards PRIOR while few texts show them. The curve is fitted to counts by (bins of both features, label), a table of fixed size.
     """
     bound_batches(labelled.sparkSession)
     rows = labelled.select(F.col(text_col).alias("text"), F.col(label_col).cast("int").alias("toxic"))
-    rows = rows.filter("toxic in (0, 1) and text is not null")
-    words, stems, totals = learn_lexicon(rows.dropDuplicates())
-    sample = labelled_sample(rows, "toxic", per_class)
-    sample = sample.select("toxic", "text").dropDuplicates().repartition(SAMPLE_TASKS)
+    rows = rows.filter("toxic in (0, 1) and text is not null").withColumn("at", F.monotonically_increasing_id())
+    # Labels and texts meet once; equal texts are told by their digests.
+    rows = once(workspace.materialize(rows, "labelled-texts"), ["text", "toxic"])
+    words, stems, totals = learn_lexicon(rows)
+    sample = labelled_sample(rows, "toxic", per_class).select("toxic", "text").repartition(SAMPLE_TASKS)
     sample = workspace.materialize(sample, "toxicity-sample")
     model = ToxicityModel(words, stems)
 
