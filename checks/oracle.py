@@ -205,6 +205,8 @@ REFRESH = sql(
     WHERE year(date) = 2000 AND month(date) BETWEEN 5 AND 6 GROUP BY city) ON city = changed_city)
     WHERE date >= lo AND behind <= 7) f LEFT JOIN w ON f.city = w.city AND f.date = w.date)""",
 )
+# The same on sparse series, whose lags reach over days without a reading.
+REFRESH_SPARSE = sql("r0 w", REFRESH[REFRESH.index("\nSELECT") + 1 :].replace("FROM r JOIN", "FROM r0 JOIN").replace("FROM r WINDOW", "FROM r0 WINDOW"))
 DAILY_MEAN = """SELECT date, city, avg(temperature_2m) AS temperature_2m, avg(relative_humidity_2m) AS relative_humidity_2m FROM h"""
 DAILY_NAMES = "@date city ~temperature_2m ~relative_humidity_2m"
 DAILY = sql("h", f"SELECT {shown(DAILY_NAMES)} FROM ({DAILY_MEAN} GROUP BY date, city)")
@@ -388,6 +390,13 @@ ORACLE = {
     "list_dates": "SELECT DISTINCT CAST(CAST(ts AS DATE) AS VARCHAR) AS date FROM events ORDER BY date",
     "replace_by_key": REPLACED,
     "merge_by_month": REPLACED,
+    "versioned_merge": REPLACED,
+    "versioned_counts": sql(
+        "r0",
+        f"""SELECT city, year(date) AS year, month(date) AS month, count(*) AS rows, CAST(min(date) AS VARCHAR) AS first_date,
+        CAST(max(date) AS VARCHAR) AS last_date FROM ({REPLACED[REPLACED.index("(SELECT " + R0_COLUMNS) + 1:-1]}) GROUP BY ALL""",
+    ),
+    "mart_refresh_stored": REFRESH_SPARSE,
     "replace_series": sql(
         "r0",
         f"""SELECT {shown(READING)} FROM (SELECT {R0_COLUMNS} FROM r0 WHERE city <> '5-LOW' UNION ALL
@@ -503,3 +512,9 @@ ORACLE = {
         FROM ({BEST.replace('SRC', TRIALS('test'))}) WHERE place = 1""",
     ),
 }
+# The stored forms give the same rows.
+ORACLE |= {
+    "forecast_latest_stored": ORACLE["forecast_latest"],
+    "history_stored": ORACLE["history_last_n"],
+    "pending_stored": ORACLE["backfill_dates"],
+}

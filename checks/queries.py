@@ -14,10 +14,11 @@ from daymill.operators import aggregate, incremental, joins, metrics, series, ta
 from daymill.functions.text import model_name
 from daymill.models import seasonal, stacked, trees
 from daymill.operators.flights import clean_flights
+from daymill.operators.tables import FORECAST_KEY
 from daymill.plans import daily as run
-from daymill.plans import forecast, lake, training, views
-from daymill.schemas import FLIGHT, READING, hourly_response
-from daymill.sources import landing, responses, sinks
+from daymill.plans import forecast, lake, serving, training, views
+from daymill.schemas import FLIGHT, READING, WEATHER_DAY, hourly_response
+from daymill.sources import landing, responses, sinks, versions
 from daymill.streaming import daily
 
 QUERIES = {}
@@ -479,6 +480,65 @@ def merge_by_month(spark, sf):
     return spark.read.parquet(path).select(*READING_COLUMNS)
 
 
+def _versioned_readings(spark, sf, corrected=True):
+    """Sparse readings in a table with a manifest, and corrections merged into it."""
+    tables = _stored(spark)
+    for rows in [s.sparse_readings(spark, sf), _corrections(spark, sf)][: 1 + corrected]:
+        sinks.merge_by_month(spark, tables.readings, workspace.materialize(rows.select(*READING_COLUMNS), "readings"))
+    return tables
+
+
+@query
+def versioned_merge(spark, sf):
+    """Merges into a table whose months have committed versions."""
+    return _versioned_readings(spark, sf).read_readings(spark).select(*READING_COLUMNS)
+
+
+@query
+def versioned_counts(spark, sf):
+    """Rows, first and last day of each city and month, as the merges keep them beside the table."""
+    tables = _versioned_readings(spark, sf)
+    return versions.read_counts(spark, tables.readings).select("city", "year", "month", "rows", "first_date", "last_date")
+
+
+@query
+def mart_refresh_stored(spark, sf):
+    """The stored mart after a change, from the months that the counts name. The series are sparse: their lags count rows."""
+    tables = _stored(spark)
+    readings = workspace.materialize(s.sparse_readings(spark, sf).select(*READING_COLUMNS), "readings")
+    sinks.merge_by_month(spark, tables.readings, readings)
+    weather = s.weather(spark, sf).select(*WEATHER_DAY.names)
+    sinks.merge_by_month(spark, tables.weather, workspace.materialize(weather, "weather"))
+    changed = readings.filter("year(date) = 2000 and month(date) between 5 and 6")
+    mart = workspace.new_path(spark, "mart")
+    run.store_mart(spark, tables, mart, changed)
+    return versions.read(spark, mart, views.ml_features(readings, weather).schema).drop("year", "month")
+
+
+@query
+def pending_stored(spark, sf):
+    """Days to fetch, from the newest days that the counts hold."""
+    return run.pending_days(spark, _versioned_readings(spark, sf, False), s.cities(spark), BACKFILL_UNTIL)
+
+
+@query
+def forecast_latest_stored(spark, sf):
+    """From the stored log, of which the last months only are opened."""
+    tables = _stored(spark)
+    sinks.merge_by_month(
+        spark, tables.forecasts, workspace.materialize(_filled_log(spark, sf), "log"), FORECAST_KEY, "forecast_date"
+    )
+    return serving.latest_forecast(spark, tables, s.cities(spark), "5-Low")
+
+
+@query
+def history_stored(spark, sf):
+    tables = _stored(spark)
+    readings = s.sparse_readings(spark, sf).select(*READING_COLUMNS)
+    sinks.merge_by_month(spark, tables.readings, workspace.materialize(readings, "readings"))
+    return serving.history(spark, tables, s.cities(spark), "5-Low")
+
+
 def _filled_log(spark, sf):
     return tables.fill_actuals(s.forecast_log(spark, sf), s.readings(spark, sf))
 

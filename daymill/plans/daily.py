@@ -6,11 +6,11 @@ from datetime import timedelta
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from daymill import schemas, workspace
-from daymill.constants import HORIZONS, WEATHER_VARIABLES
+from daymill.constants import HORIZONS, MAX_GAP, WEATHER_VARIABLES
 from daymill.operators.aggregate import daily_mean, high_water_mark_by, last_per_key
 from daymill.operators.incremental import backfill_dates
 from daymill.operators.tables import FORECAST_KEY, fill_actuals, upsert_forecasts
@@ -19,7 +19,8 @@ from daymill.plans.forecast import forecast
 from daymill.plans.training import latest_features, latest_of_recent, row_features
 from daymill.plans.views import refresh_mart
 from daymill.sources.responses import flatten_readings, quarantined, usable
-from daymill.sources.sinks import append, ensure_table, merge_by_month, month_number, stored_by_month
+from daymill.sources import versions
+from daymill.sources.sinks import append, exists, merge_by_month, month_number, stored_by_month, touched_folders, with_folders
 
 HISTORY_DAYS = 120  # enough for the newest features of a city that reports most days
 
@@ -34,9 +35,10 @@ class Tables:
     rejected: str
 
     def ensure(self, spark: SparkSession) -> None:
-        ensure_table(spark, self.readings, schemas.READING)
-        ensure_table(spark, self.weather, schemas.WEATHER_DAY)
-        ensure_table(spark, self.forecasts, schemas.FORECAST)
+        """Tables that are not there yet are made, with a manifest; plain ones stay plain."""
+        for path in (self.readings, self.weather, self.forecasts):
+            if not exists(spark, path):
+                versions.create(spark, path)
 
     def read_readings(self, spark: SparkSession, start=None, end=None) -> DataFrame:
         return _months(spark, self.readings, schemas.READING, start, end)
@@ -51,6 +53,9 @@ class Tables:
 
 def _months(spark: SparkSession, path: str, schema, start, end) -> DataFrame:
     """The whole months from `start` to `end` of a stored table; others are not opened."""
+    if versions.is_versioned(spark, path):
+        state = versions.current(spark, path)
+        return versions.read(spark, path, schema, state.between(start, end), state).drop("year", "month")
     rows = stored_by_month(spark, path, schema)
     if start is not None:
         rows = rows.filter(month_number() >= start.year * 12 + start.month)
@@ -111,10 +116,12 @@ def reject(spark: SparkSession, rows: DataFrame, path: str) -> int:
 def store_actuals(spark: SparkSession, tables: Tables, readings: DataFrame, on_date=None) -> int:
     """Fill the missing actuals of stored forecasts from `readings`; only rows that change are
     written. Returns the number of rows in the rewritten months."""
-    first, last = _bounds(readings, "date")
-    if first is None:
+    # The days on which these targets were forecast: no other month of the log is opened.
+    made = readings.select(F.explode(F.array(*[F.date_sub("date", h) for h in HORIZONS])).alias("date"))
+    months = [n for n in touched_folders(with_folders(made.dropna())) if n is not None]
+    if not months:
         return 0
-    log = tables.read_forecasts(spark, first - timedelta(days=max(HORIZONS)), last)
+    log = stored_by_month(spark, tables.forecasts, schemas.FORECAST, months).drop("year", "month")
     open_rows = log.filter(F.col("actual").isNull())
     filled = fill_actuals(open_rows, readings, on_date).filter(F.col("actual").isNotNull())
     changed = workspace.materialize(filled, "actuals")
@@ -142,18 +149,61 @@ def fill_known(spark: SparkSession, tables: Tables, forecasts: DataFrame) -> int
 
 def store_mart(spark: SparkSession, tables: Tables, mart: str, changed: DataFrame) -> int:
     """Bring the stored mart up to date with changed readings. Row lags do not exist on streams,
-    so a stream of readings calls this for each batch it has merged."""
-    rows = refresh_mart(tables.read_readings(spark), tables.read_weather(spark), changed)
-    rows = workspace.materialize(rows, "mart")
-    ensure_table(spark, mart, rows.schema)
+    so a stream of readings calls this for each batch it has merged. Of tables with a manifest only the months are
+    opened that hold rows which the change can reach."""
+    if versions.is_versioned(spark, tables.readings):
+        readings, weather = reached(spark, tables, changed)
+    else:
+        readings, weather = tables.read_readings(spark), tables.read_weather(spark)
+    rows = workspace.materialize(refresh_mart(readings, weather, changed), "mart")
+    if not exists(spark, mart):
+        versions.create(spark, mart)
     return merge_by_month(spark, mart, rows)
 
 
+def reached(spark: SparkSession, tables: Tables, changed: DataFrame, lookback: int = MAX_GAP) -> tuple[DataFrame, DataFrame]:
+    """Readings and weather of the months from which `refresh_mart` needs rows.
+
+    Per city these go from the month that holds the `lookback`-th row before its first change to the one that holds the
+    `lookback`-th row after its last. Lags count rows, so in a sparse city that may be years; the stored counts by city and
+    month tell exactly, without a look at the rows. Only the numbers of those months reach the driver.
+    """
+    state = versions.current(spark, tables.readings)
+    number = month_number()
+    spans = changed.groupBy("city").agg(
+        F.min(F.year("date") * 12 + F.month("date")).alias("_from"), F.max(F.year("date") * 12 + F.month("date")).alias("_to")
+    )
+    counts = versions.read_counts(spark, tables.readings, state=state).filter("year is not null").select("city", number.alias("_month"), "rows")
+    held = counts.join(spans, "city")
+    order = Window.partitionBy("city").orderBy("_month")
+    sum_of = lambda which, over: F.coalesce(F.sum(F.when(which, F.col("rows"))).over(over), F.lit(0))
+    # Rows strictly between a month and the changed ones: a month counts while these are too few.
+    nearer = sum_of(F.col("_month") < F.col("_from"), order.rowsBetween(1, Window.unboundedFollowing))
+    later = sum_of(F.col("_month") > F.col("_to"), order.rowsBetween(Window.unboundedPreceding, -1))
+    months = held.withColumns({"_nearer": nearer, "_later": later}).filter(
+        F.when(F.col("_month") < F.col("_from"), F.col("_nearer") < lookback)
+        .when(F.col("_month") > F.col("_to"), F.col("_later") < lookback).otherwise(True)
+    )
+    bounds = workspace.materialize(
+        months.groupBy("city").agg(F.min("_month").alias("_low"), F.max("_month").alias("_high"), F.collect_set("_month").alias("_months")), "reached"
+    )
+    folders = [r.n for r in bounds.select(F.explode("_months").alias("n")).distinct().collect()]
+    readings = versions.read(spark, tables.readings, schemas.READING, folders, state)
+    within = number.between(F.col("_low"), F.col("_high"))
+    readings = readings.join(bounds.drop("_months"), "city").filter(within).select(*schemas.READING.names)
+    return readings, stored_by_month(spark, tables.weather, schemas.WEATHER_DAY, folders).drop("year", "month")
+
+
 def pending_days(
     spark: SparkSession, tables: Tables, cities: DataFrame, until, of_weather: bool = False
 ) -> DataFrame:
     """(city, date) still to be fetched up to `until`, counted per city."""
-    stored = tables.read_weather(spark) if of_weather else tables.read_readings(spark)
+    path = tables.weather if of_weather else tables.readings
+    if versions.is_versioned(spark, path):
+        # The stored counts hold each city's newest day: no row is read.
+        stored = versions.marks(spark, path).withColumnRenamed("last_date", "date")
+    else:
+        stored = tables.read_weather(spark) if of_weather else tables.read_readings(spark)
     return backfill_dates(high_water_mark_by(stored, cities), until)
 
 

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from daymill.operators.tables import replace_by_key, replace_series
+from daymill.sources import versions
 
 
 def _counted(df: DataFrame, write) -> int:
@@ -60,6 +61,11 @@ def write_new(df: DataFrame, path: str) -> int:
     return _counted(df, lambda out: out.write.mode("errorifexists").parquet(path))
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)
+
+
 def ensure_table(spark: SparkSession, path: str, schema: StructType, by=MONTH) -> None:
     """An empty partitioned table, unless something is stored there already."""
     empty = spark.createDataFrame([], schema)
@@ -88,7 +94,10 @@ def stored_by_month(
     spark: SparkSession, path: str, schema: StructType, folders=None, by=MONTH
 ) -> DataFrame:
     """A table partitioned by month (or day). With `folders` (folder numbers) others are not
-    opened: a literal filter on the folder columns prunes for sure, a join to them only may."""
+    opened: a literal filter on the folder columns prunes for sure, a join to them only may. A table
+    with a manifest (`versions`) is read as last published."""
+    if versions.is_versioned(spark, path):
+        return versions.read(spark, path, schema, folders)
     columns = [StructField(name, IntegerType()) for name in by]
     stored = spark.read.schema(StructType([*schema.fields, *columns])).parquet(path)
     if folders is None:
@@ -104,19 +113,30 @@ def merge_by_month(
     """Replace-by-key into a stored table partitioned by month (or day), rewriting only the
     folders that the new rows touch. The rest of the table is neither read nor written.
 
-    The merged folders are written whole beside the table first and then moved into place. A driver that is
-    lost before the first write is done has changed nothing; one that is lost later leaves the whole folders, and the
-    next merge, or `finish_merge`, puts them in place again. The new rows are read several times, so hand in
-    a stored or cheap frame. Writers of one table must take turns.
+    A table with a manifest gets a new version of those folders, published whole (`versions.merge`). In a plain
+    one the merged folders are written whole beside the table, marked as whole, and then moved into place. A driver that is
+    lost before the mark has changed nothing; one that is lost later leaves the whole folders, and the
+    next merge, or `finish_merge`, puts them in place again. A merge whose rows are not in place raises. The new rows
+    are read several times, so hand in a stored or cheap frame. Writers of one table must take turns.
     """
-    finish_merge(spark, path, new.schema, by)
     added = with_folders(new, date, by)
+    versioned = versions.is_versioned(spark, path)
+    if not versioned:
+        finish_merge(spark, path, new.schema, by)
     folders = touched_folders(added, by)
     if not folders:
         return 0
+    if versioned:
+        return versions.merge(spark, path, added, folders, new.schema, keys, date)
     affected = stored_by_month(spark, path, new.schema, folders, by)
     replace_by_key(affected, added, keys).write.mode("overwrite").parquet(_pending(path))
-    return finish_merge(spark, path, new.schema, by)
+    # A mark of our own: clusters may switch off those of Spark's writers.
+    files, mark = _pending_mark(spark, path)
+    files.create(mark, True).close()
+    written = finish_merge(spark, path, new.schema, by)
+    if not written:
+        raise RuntimeError(f"the merge into {path} is not in place")
+    return written
 
 
 def _pending(path: str) -> str:
@@ -124,18 +144,20 @@ def _pending(path: str) -> str:
     return f"{path.rstrip('/')}/_pending"
 
 
+def _pending_mark(spark: SparkSession, path: str):
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{_pending(path)}/_whole")
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
+
+
 def finish_merge(spark: SparkSession, path: str, schema: StructType, by=MONTH) -> int:
     """Put merged folders that were written whole into place. Doing so again gives the same table."""
-    pending = _pending(path)
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pending)
-    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    done = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{pending}/_SUCCESS")
-    if not files.exists(done):
+    files, mark = _pending_mark(spark, path)
+    if not files.exists(mark):
         return 0
     columns = [StructField(name, IntegerType()) for name in by]
-    rows = spark.read.schema(StructType([*schema.fields, *columns])).parquet(pending)
+    rows = spark.read.schema(StructType([*schema.fields, *columns])).parquet(_pending(path))
     written = write_partitioned(rows, path, by)
-    files.delete(folder, True)
+    files.delete(mark.getParent(), True)
     return written
 
 
