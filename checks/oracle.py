@@ -261,6 +261,16 @@ ORACLE = {
     ),
     "bounded_interpolate": sql("filled", f"SELECT {shown('city @date ~pm10')} FROM filled"),
     "gap_drop": sql("clean", f"SELECT {shown('city @date ~pm10')} FROM clean"),
+    "calendar_lags": sql(
+        "clean",
+        f"""SELECT {shown('city @date ~pm10 ~pm10_lag_1d ~pm10_lag_7d ~pm10_rolling_7d ' + TARGETS)} FROM (SELECT c.city, c.date, c.pm10,
+        l1.pm10 AS pm10_lag_1d, l7.pm10 AS pm10_lag_7d, (SELECT CASE WHEN count(pm10) = 7 THEN avg(pm10) END FROM clean b
+            WHERE b.city = c.city AND b.date BETWEEN c.date - 7 AND c.date - 1) AS pm10_rolling_7d, """
+        + ", ".join(f"t{h}.pm10 AS target_{h}d" for h in HORIZONS)
+        + " FROM clean c LEFT JOIN clean l1 ON l1.city = c.city AND l1.date = c.date - 1 LEFT JOIN clean l7 ON l7.city = c.city AND l7.date = c.date - 7 "
+        + " ".join(f"LEFT JOIN clean t{h} ON t{h}.city = c.city AND t{h}.date = c.date + {h}" for h in HORIZONS)
+        + ")",
+    ),
     "targets": sql(
         "r",
         f"SELECT {shown('city @date ~pm10 ' + TARGETS)} FROM (SELECT city, date, pm10, "
@@ -318,6 +328,9 @@ ORACLE = {
         ELSE 'no date' END AS reason, 2 * count(*) AS rows FROM r0 WHERE day(date) IN (13, 29) GROUP BY 1, 2)""",
     ),
     "daily_run_weather": DAILY,
+    "lake_rejected_rows": sql(
+        "r0", "SELECT city, 'no date' AS reason, count(*) AS rows, round(sum(pm10), 4) AS pm10 FROM r0 WHERE dayofmonth(date) = 31 GROUP BY city"
+    ),
     "lake_weather": DAILY,
     "stream_late_hours": DAILY,
     "lake_readings": sql("r0", f"SELECT {shown(READING)} FROM r0 WHERE day(date) <> 31"),
@@ -411,13 +424,13 @@ ORACLE = {
     "update_actuals": sql("log", f"SELECT {shown(FORECAST)} FROM log"),
     "upsert_predictions": sql(
         "log",
-        f"""SELECT {shown(FORECAST)} FROM (SELECT coalesce(o.city, n.city) AS city,
-        coalesce(o.forecast_date, n.forecast_date) AS forecast_date, coalesce(o.target_date, n.target_date) AS target_date,
-        coalesce(o.horizon, n.horizon) AS horizon, coalesce(n.predicted, o.predicted) AS predicted,
-        CASE WHEN o.city IS NULL THEN n.actual ELSE o.actual END AS actual FROM log o FULL JOIN
-        (SELECT city, forecast_date + 30 AS forecast_date, target_date + 31 AS target_date, horizon,
-        predicted * 1.5 AS predicted, predicted * 0.1 AS actual FROM p) n
-        ON o.city = n.city AND o.forecast_date = n.forecast_date AND o.horizon = n.horizon)""",
+        f"""SELECT {shown(FORECAST)} FROM (SELECT city, forecast_date, horizon,
+        CASE WHEN min(fresh) = 0 THEN max(target_date) FILTER (fresh = 0) ELSE max(target_date) END AS target_date,
+        coalesce(max(predicted) FILTER (fresh = 1), max(predicted)) AS predicted,
+        CASE WHEN min(fresh) = 0 THEN max(actual) FILTER (fresh = 0) ELSE max(actual) END AS actual
+        FROM (SELECT city, forecast_date, horizon, target_date, predicted, actual, 0 AS fresh FROM log
+        UNION ALL SELECT city, forecast_date + 30, horizon, target_date + 31, predicted * 1.5, predicted * 0.1, 1 FROM log)
+        GROUP BY city, forecast_date, horizon)""",
     ),
     "contract_audit": sql(
         "raw",
@@ -512,6 +525,16 @@ ORACLE = {
         FROM ({BEST.replace('SRC', TRIALS('test'))}) WHERE place = 1""",
     ),
 }
+# The terms of the seasonal model at a day, and their products with the values: both sides of the normal equations.
+ANGLES = [(365.25, k) for k in range(1, 11)] + [(7.0, k) for k in range(1, 4)]
+SEASONAL_TERMS = "[1.0, d / 365.25, " + ", ".join(f"{f}(d * (2 * pi() * {k} / {p}))" for p, k in ANGLES for f in ("sin", "cos")) + "]"
+ORACLE["seasonal_equations"] = sql(
+    "clean",
+    f"""SELECT city, CAST(term - 1 AS BIGINT) AS term, count(*) AS rows, round(avg(x * pm10), 4) + 0.0 AS with_values,
+    round(avg(x * pm10), 4) + 0.0 AS with_fit FROM (SELECT city, pm10, unnest({SEASONAL_TERMS}) AS x, unnest(range(1, 29)) AS term
+    FROM (SELECT *, date_diff('day', DATE '2000-01-01', date)::DOUBLE AS d FROM clean WHERE date <= DATE '1998-12-31')) GROUP BY city, term""",
+)
+
 # The stored forms give the same rows.
 ORACLE |= {
     "forecast_latest_stored": ORACLE["forecast_latest"],

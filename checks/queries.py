@@ -7,7 +7,7 @@ from pyspark.sql.types import LongType, StringType
 
 from checks import standins as s
 from daymill import workspace
-from daymill.constants import MODEL_FEATURES, POLLUTANTS, READING_COLUMNS
+from daymill.constants import HORIZONS, MODEL_FEATURES, POLLUTANTS, READING_COLUMNS
 from daymill.functions.calendar import calendar_columns
 from daymill.functions.weather import interaction_columns
 from daymill.operators import aggregate, incremental, joins, metrics, series, tables, topn, unnest
@@ -91,6 +91,13 @@ def mart_refresh(spark, sf):
 # Gaps, targets, features.
 
 
+@query
+def calendar_lags(spark, sf):
+    """Lags, mean and targets by the calendar, over series whose long gaps have been dropped."""
+    clean = series.clean_series(s.readings(spark, sf)).select("city", "date", "pm10")
+    return series.add_calendar_features(clean, horizons=HORIZONS)
+
+
 @query
 def bounded_interpolate(spark, sf):
     return series.interpolate(s.readings(spark, sf)).select("city", "date", "pm10")
@@ -244,11 +251,16 @@ def weather_silver(spark, sf):
     return rows.withColumn("timestamp", F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
 
 
-def _lake_readings(spark, sf):
+def _lake(spark, sf):
     tables, path = _stored(spark), workspace.new_path(spark, "lake-readings")
     readings = s.sparse_readings(spark, sf).withColumn("landed", F.trunc("date", "month"))
     text = F.when(F.dayofmonth("date") == 31, "never").otherwise(F.col("date").cast("string"))
     sinks.land_documents(readings.withColumn("date", text), path, "landed")
+    return tables, path
+
+
+def _lake_readings(spark, sf):
+    tables, path = _lake(spark, sf)
     lake.load_lake_readings(spark, tables, path)
     return tables
 
@@ -264,6 +276,16 @@ def lake_rejected(spark, sf):
     return rows.groupBy("city", "text", "reason").agg(F.count(F.lit(1)).alias("rows"))
 
 
+@query
+def lake_rejected_rows(spark, sf):
+    """Every rejected reading of two loads of the same landing, each source row once."""
+    tables, path = _lake(spark, sf)
+    for _ in range(2):
+        lake.load_lake_readings(spark, tables, path)
+    rows = spark.read.parquet(f"{tables.rejected}/lake_rows")
+    return rows.groupBy("city", "reason").agg(F.count(F.lit(1)).alias("rows"), F.sum("pm10").alias("pm10"))
+
+
 @query
 def lake_weather(spark, sf):
     tables, path = _stored(spark), workspace.new_path(spark, "lake-weather")
@@ -730,6 +752,17 @@ SMALL_RANGES = {
 }
 
 
+@query
+def seasonal_equations(spark, sf):
+    """The fit from sums that were added up in two parts solves the normal equations: what the terms give with the
+    values, and what they give with the fitted values, each per row of the city."""
+    cleaned = series.clean_series(s.readings(spark, sf).select("city", "date", "pm10"))
+    train = training.chrono_split(cleaned, **s.SPLIT).filter("split = 'train'")
+    halves = [seasonal.seasonal_sums(train.filter(f"year(date) % 2 = {k}")) for k in (0, 1)]
+    sums = workspace.materialize(seasonal.add_sums(*halves), "seasonal-sums")
+    return seasonal.equations(sums, seasonal.solve_sums(sums))
+
+
 @query
 def seasonal_fit(spark, sf):
     cleaned = series.clean_series(s.readings(spark, sf).select("city", "date", "pm10"))

@@ -36,6 +36,28 @@ def full_rolling_mean(column: str, rows: int = 7, window=None) -> Column:
     return F.when(F.count(column).over(frame) == rows, F.avg(column).over(frame))
 
 
+def calendar_window(key: str = KEY, order: str = ORDER):
+    """Frames over this window count days of the calendar instead of rows."""
+    return Window.partitionBy(key).orderBy(F.unix_date(F.col(order).cast("date")))
+
+
+def calendar_value(column: str, days: int, window=None) -> Column:
+    """The value `days` days later (earlier where negative); null when that day has no row."""
+    return F.max(column).over((window or calendar_window()).rangeBetween(days, days))
+
+
+def add_calendar_features(df: DataFrame, columns=("pm10",), steps=(1, 7), days: int = 7, horizons=()) -> DataFrame:
+    """Lags, the mean of the `days` days before (null unless each has a value), and targets, by the calendar: none of
+    them reaches across a dropped gap. Expects one row per (city, date); all of them share one exchange and order."""
+    window, out = calendar_window(), {}
+    for c in columns:
+        out |= {f"{c}_lag_{n}d": calendar_value(c, -n, window) for n in steps}
+        frame = window.rangeBetween(-days, -1)
+        out[f"{c}_rolling_{days}d"] = F.when(F.count(c).over(frame) == days, F.avg(c).over(frame))
+    out |= {target_name(h): calendar_value(columns[0], h, window) for h in horizons}
+    return df.withColumns(out)
+
+
 def add_lags(df: DataFrame, columns=POLLUTANTS, steps=(1, 7)) -> DataFrame:
     return df.withColumns(lag_columns(columns, steps))
 

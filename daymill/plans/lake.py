@@ -43,7 +43,7 @@ def load_lake_readings(spark: SparkSession, tables: Tables, root: str, start=Non
     rows = workspace.materialize(silver_readings(spark, root, start, end), "silver")
     reason = F.when(F.col("date").isNull(), "no date").when(F.col("city").isNull(), "no city")
     bad = rows.withColumn("reason", reason).filter("reason is not null")
-    reject(spark, bad.select("city", "text", "reason", "landed_date", *POLLUTANTS), f"{tables.rejected}/lake_rows")
+    reject(spark, bad.select("city", "text", "reason", "landed_date", *POLLUTANTS), f"{tables.rejected}/lake_rows", "landed_date")
     reject(spark, bad.select("city", "text", "reason"), f"{tables.rejected}/lake")
     good = rows.filter("date is not null and city is not null")
     newest = last_per_key(good, ["city", "date"], [F.col(c) for c in ("landed_date", "text", *POLLUTANTS)])

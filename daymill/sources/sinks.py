@@ -173,5 +173,5 @@ def rewrite_series(spark: SparkSession, path: str, new: DataFrame, new_path: str
     )
 
 
-def append(df: DataFrame, path: str) -> int:
-    return _counted(df, lambda out: out.write.mode("append").parquet(path))
+def append(df: DataFrame, path: str, partition_by=()) -> int:
+    return _counted(df, lambda out: out.write.mode("append").partitionBy(*partition_by).parquet(path))

@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 
 from daymill.operators import incremental, series
 from daymill.plans import training
-from tests.helpers import START, daily, values
+from tests.helpers import START, count_in_plan, daily, values
 
 
 def with_gap(before, gap, after):
@@ -144,3 +144,12 @@ def test_split_covers_every_row_once(spark, days):
         for d in days
     ]
     assert [r.split for r in rows] == want
+
+
+def test_calendar_features_do_not_cross_gaps(spark):
+    df = daily(spark, [float(i) for i in range(20)]).filter("date not between '2024-01-10' and '2024-01-11'")
+    rows = {r.date.day: r for r in series.add_calendar_features(df, horizons=(1, 3)).collect()}
+    assert rows[12].pm10_lag_1d is None and rows[12].pm10_lag_7d == 4.0 and rows[12].pm10_rolling_7d is None
+    assert rows[8].pm10_lag_1d == 6.0 and rows[8].pm10_rolling_7d == 3.0 and rows[1].pm10_lag_1d is None
+    assert rows[19].pm10_rolling_7d == 14.0 and rows[9].target_1d is None and rows[9].target_3d == 11.0 and rows[20].target_1d is None
+    assert count_in_plan(series.add_calendar_features(df, horizons=(1, 3)), "Exchange hashpartitioning") == 1

@@ -197,3 +197,17 @@ def test_actuals_open_the_months_of_their_forecasts(spark, tmp_path):
     assert {r.forecast_date: r.actual for r in tables.read_forecasts(spark).collect()} == dict(zip(made, (5.0, None, 6.0)))
     after = versions.current(spark, tables.forecasts).folders
     assert [before[n] == after[n] for n in sorted(after)] == [False, True, False]
+
+
+def test_rejects_open_only_their_days_and_count_once(spark, tmp_path):
+    path = str(tmp_path / "rejected")
+    rows = lambda day, n: spark.createDataFrame([("A", f"text {i}", None, day) for i in range(n)], "city string, text string, x double, landed date")
+    assert plan.reject(spark, rows(date(2024, 1, 1), 3), path, "landed") == 3
+    assert plan.reject(spark, rows(date(2024, 1, 2), 3), path, "landed") == 3
+    assert plan.reject(spark, rows(date(2024, 1, 1), 4).union(rows(date(2024, 1, 1), 1)), path, "landed") == 1
+    assert plan.reject(spark, rows(None, 1), path, "landed") == 1 and plan.reject(spark, rows(None, 1), path, "landed") == 0
+    assert sorted(p.name for p in (tmp_path / "rejected").glob("part=*")) == ["part=2024-01-01", "part=2024-01-02", "part=none"]
+    # The second day's files are damaged: a load of the first day does not notice.
+    for f in (tmp_path / "rejected" / "part=2024-01-02").glob("*.parquet"):
+        f.write_bytes(b"")
+    assert plan.reject(spark, rows(date(2024, 1, 1), 5), path, "landed") == 1
