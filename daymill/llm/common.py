@@ -23,6 +23,14 @@ def bound_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name like this one that the frame does not have, in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def held_out(id_col: str = "doc_id") -> Column:
     """One document in five, by the checksum of its id as text; a null id counts as not held out."""
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 5 == 0, F.lit(False))

@@ -242,9 +242,9 @@ def near_duplicates(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: s
     counts = found.groupBy("id").agg(F.sum("n_links").alias("n_links"))
     groups = components(found.select(F.col("id").alias("a"), F.col("low").alias("b")))
     linked = counts.join(groups, "id", "left")
-    out = vectors.select(F.col(id_col)).join(linked, F.col(id_col) == F.col("id"), "left")
-    component = F.coalesce("component_id", id_col)
+    out = vectors.select(F.col(id_col).alias("own")).join(linked, F.col("own") == F.col("id"), "left")
+    component = F.coalesce("component_id", "own")
     return out.select(
-        id_col, F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.cast("long").alias("component_id"),
-        component.eqNullSafe(F.col(id_col)).alias("kept"),
+        F.col("own").alias(id_col), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.cast("long").alias("component_id"),
+        component.eqNullSafe(F.col("own")).alias("kept"),
     )

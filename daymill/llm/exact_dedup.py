@@ -1,7 +1,9 @@
 """Exact deduplication by Grace hashing: equal contents are found by comparing them whole."""
 
 import hashlib
+import itertools
 import os
+import pickle
 import struct
 import tempfile
 from collections.abc import Iterable, Iterator
@@ -15,11 +17,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, LongType, StringType, StructField, StructType
 
 from daymill import workspace
-from daymill.llm.common import bound_batches
+from daymill.llm.common import BATCH_ROWS, bound_batches
 
 TABLE_BYTES = 64 << 20
 FANOUT = 16
-HEAD = struct.Struct("<IQ")
+HEAD = struct.Struct("<QQ")
 
 
 class ContentTable:
@@ -44,7 +46,7 @@ class ContentTable:
         self.slots[at] = len(self.contents)
         self.contents.append(content)
         self.hashes.append(key)
-        self.used += len(content) + 100
+        self.used += len(content) + 400  # and what is kept of it
         if 2 * len(self.contents) > len(self.slots):
             self._grow()
         return len(self.contents) - 1
@@ -59,44 +61,58 @@ class ContentTable:
             self.slots[at] = i
 
 
-def grace_groups(records: Iterable[tuple], limit: int = TABLE_BYTES, level: int = 0) -> Iterator[tuple]:
-    """(content, labels of its records) for each distinct content of (content, label) records.
+def grace_fold(records: Iterable[tuple], begin, join, limit: int = TABLE_BYTES, level: int = 0) -> Iterator[tuple]:
+    """Fold (content, item) records into one state per distinct content, a bounded part of them in memory.
 
-    Records whose content is in the table join it there. Once the table is full, the others go to spill files
-    by a hash that differs at each level, and each file is treated the same way. Every level settles at least
-    one content, so it ends for any input, one content with all the records included. A label is any integer.
+    begin(item) makes a content's state, join(state, item) adds a further record. Yields (None, state, item) for each
+    record as it joins, and (content, state, None) for each content in the end. Records whose content is in the table
+    join it there. Once the table is full, the others go to spill files, items included, by a hash that differs at each level,
+    and each file is treated the same way. Every level settles at least one content, so it ends for any input, one
+    content with all the records included. Items can be whatever pickles.
     """
-    table, labels = ContentTable(limit), []
+    table, states = ContentTable(limit), []
     with tempfile.TemporaryDirectory() as folder:
         files: dict[int, object] = {}
-        for content, label in records:
+        for content, item in records:
             key = xxhash.xxh64_intdigest(content, seed=level)
             at = table.find(key, content)
             if at < 0:
                 part = (key >> 56) % FANOUT
                 if part not in files:
                     files[part] = open(os.path.join(folder, str(part)), "wb")
-                files[part].write(HEAD.pack(len(content), label))
+                packed = pickle.dumps(item)
+                files[part].write(HEAD.pack(len(content), len(packed)))
                 files[part].write(content)
-            elif at == len(labels):
-                labels.append([label])
+                files[part].write(packed)
+                continue
+            if at == len(states):
+                states.append(begin(item))
             else:
-                labels[at].append(label)
+                join(states[at], item)
+            yield None, states[at], item
         for f in files.values():
             f.close()
-        yield from zip(table.contents, labels)
-        del table, labels
+        for content, state in zip(table.contents, states):
+            yield content, state, None
+        del table, states
         for part in sorted(files):
             path = os.path.join(folder, str(part))
-            yield from grace_groups(_spilled(path), limit, level + 1)
+            yield from grace_fold(_spilled(path), begin, join, limit, level + 1)
             os.unlink(path)
 
 
+def grace_groups(records: Iterable[tuple], limit: int = TABLE_BYTES) -> Iterator[tuple]:
+    """(content, labels of its records) for each distinct content of (content, label) records."""
+    for content, labels, _ in grace_fold(records, lambda label: [label], list.append, limit):
+        if content is not None:
+            yield content, labels
+
+
 def _spilled(path: str) -> Iterator[tuple]:
     with open(path, "rb") as f:
         while head := f.read(HEAD.size):
-            size, label = HEAD.unpack(head)
-            yield f.read(size), label
+            size, packed = HEAD.unpack(head)
+            yield f.read(size), pickle.loads(f.read(packed))
 
 
 def _higher(a, b) -> bool:
@@ -104,18 +120,35 @@ def _higher(a, b) -> bool:
     return b is None or (a is not None and a > b)
 
 
+class Best:
+    """Of a content: the number of its rows, and the mark and id of the row that stays."""
+
+    __slots__ = ("gid", "n", "id", "at", "sha", "gids")
+
+    def __init__(self, gid, n, id_, at, sha=None):
+        self.gid, self.n, self.id, self.at, self.sha, self.gids = gid, n, id_, at, sha, [gid]
+
+    def add(self, n, id_, at) -> None:
+        self.n += n
+        if _higher(id_, self.id):
+            self.id, self.at = id_, at
+
+
 def _in_tasks(docs: DataFrame, id_col: str, text_col: str, limit: int) -> DataFrame:
-    """A row per distinct content of each input partition (rep), holding the row that would stay there, and a
-    row per document. `first` marks the one document of its content and partition that may stay."""
+    """A row per document with its mark `at` and its other columns, and a row per distinct content of each input partition
+    (rep) with the text, the number of its rows, and the mark and id of the one that would stay there.
+
+    Rows leave the task as they are read or, where their content is spilled, with it; the table keeps contents and Best only."""
+    rest = StructType([StructField(f.name, f.dataType, True) for f in docs.schema if f.name != text_col])
     schema = StructType(
-        [StructField("gid", LongType()), StructField("rep", BooleanType()), StructField("id", docs.schema[id_col].dataType),
-         StructField("first", BooleanType()), StructField("n", LongType()), StructField("sha", StringType()),
-         StructField("row", StructType([StructField(f.name, f.dataType, True) for f in docs.schema]))]
+        [StructField("gid", LongType()), StructField("rep", BooleanType()), StructField("id", docs.schema[id_col].dataType), StructField("at", LongType()),
+         StructField("no_text", BooleanType()), StructField("n", LongType()), StructField("sha", StringType()), StructField("text", StringType()),
+         StructField("rest", rest)]
     )
 
     def run(batches):
         base = (TaskContext.get().partitionId() if TaskContext.get() else 0) << 40
-        ids, rests, kind = [], [], None
+        numbers, marks, kind = itertools.count(base), itertools.count(base), None
 
         def records():
             nonlocal kind
@@ -123,28 +156,22 @@ def _in_tasks(docs: DataFrame, id_col: str, text_col: str, limit: int) -> DataFr
                 kind = batch.schema
                 for row in batch.to_pylist():
                     text = row.pop(text_col)
-                    ids.append(row[id_col])
-                    rests.append((row, text is None))
-                    yield (text or "").encode("utf-8"), len(ids) - 1
+                    yield (text or "").encode("utf-8"), (next(marks), text is None, row)
 
         def arrow(out):
-            row_type = pa.struct([pa.field(f.name, f.type) for f in kind])
-            kinds = [pa.int64(), pa.bool_(), kind.field(id_col).type, pa.bool_(), pa.int64(), pa.string(), row_type]
+            row_type = pa.struct([pa.field(f.name, f.type) for f in kind if f.name != text_col])
+            kinds = [pa.int64(), pa.bool_(), kind.field(id_col).type, pa.int64(), pa.bool_(), pa.int64(), pa.string(), pa.string(), row_type]
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names=schema.names)
 
+        begin = lambda item: Best(next(numbers), 1, item[2][id_col], item[0])
         out, size = [], 0
-        for number, (content, labels) in enumerate(grace_groups(records(), limit)):
-            gid = base + number
-            best = labels[0]
-            for at in labels:
-                if _higher(ids[at], ids[best]):
-                    best = at
-            rest, was_null = rests[best]
-            row = rest | {text_col: None if was_null else content.decode("utf-8")}
-            out.append((gid, True, ids[best], False, len(labels), hashlib.sha256(content).hexdigest(), row))
-            out += [(gid, False, ids[at], at == best, None, None, None) for at in labels]
-            size += len(content) + 50 * len(labels)
-            if size > 8 << 20:
+        for content, best, item in grace_fold(records(), begin, lambda best, item: best.add(1, item[2][id_col], item[0]), limit):
+            if content is None:
+                out.append((best.gid, False, item[2][id_col], item[0], item[1], None, None, None, item[2]))
+            else:
+                out.append((best.gid, True, best.id, best.at, None, best.n, hashlib.sha256(content).hexdigest(), content.decode("utf-8"), None))
+                size += len(content)
+            if size > 8 << 20 or len(out) >= BATCH_ROWS:
                 yield arrow(out)
                 out, size = [], 0
         if out:
@@ -153,45 +180,43 @@ def _in_tasks(docs: DataFrame, id_col: str, text_col: str, limit: int) -> DataFr
     return docs.mapInArrow(run, schema)
 
 
-def _across(reps: DataFrame, text_col: str, limit: int) -> DataFrame:
-    """(gid, keep_id, group_size, owner): the contents of all partitions, dealt out by their hash."""
-    id_type = reps.schema["id"].dataType
+def _across(reps: DataFrame, limit: int) -> DataFrame:
+    """(gid, keep_id, keep_at, owner, group_size, text_sha256): the contents of all partitions, dealt out by their
+    hash. `owner` marks one gid of each content."""
     schema = StructType(
-        [StructField("gid", LongType()), StructField("keep_id", id_type), StructField("group_size", LongType()),
-         StructField("owner", BooleanType()), StructField("text_sha256", StringType())]
+        [StructField("gid", LongType()), StructField("keep_id", reps.schema["id"].dataType), StructField("keep_at", LongType()),
+         StructField("owner", BooleanType()), StructField("group_size", LongType()), StructField("text_sha256", StringType())]
     )
 
     def run(batches):
-        held, kind = [], None
+        kind = None
 
         def records():
             nonlocal kind
             for batch in batches:
                 kind = batch.schema
-                for gid, n, top, sha, text in zip(*(batch.column(i).to_pylist() for i in range(5))):
-                    held.append((gid, n, top, sha))
-                    yield (text or "").encode("utf-8"), len(held) - 1
+                for gid, n, top, at, sha, text in zip(*(batch.column(i).to_pylist() for i in range(6))):
+                    yield text.encode("utf-8"), (gid, n, top, at, sha)
 
         def arrow(out):
-            kinds = [pa.int64(), kind.field("id").type, pa.int64(), pa.bool_(), pa.string()]
+            kinds = [pa.int64(), kind.field("id").type, pa.int64(), pa.bool_(), pa.int64(), pa.string()]
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names=schema.names)
 
+        def joined(best, item):
+            best.add(item[1], item[2], item[3])
+            best.gids.append(item[0])
+
         out = []
-        for _, labels in grace_groups(records(), limit):
-            total, best = 0, labels[0]
-            for at in labels:
-                total += held[at][1]
-                if _higher(held[at][2], held[best][2]):
-                    best = at
-            out += [(held[at][0], held[best][2], total, at == best, held[best][3]) for at in labels]
+        for content, best, _ in grace_fold(records(), lambda item: Best(*item), joined, limit):
+            if content is not None:
+                out += [(gid, best.id, best.at, gid == best.gid, best.n, best.sha) for gid in best.gids]
             if len(out) > 20_000:
                 yield arrow(out)
                 out = []
         if out:
             yield arrow(out)
 
-    contents = reps.select("gid", "n", "id", "sha", F.col(f"row.`{text_col}`").alias("text"))
-    return contents.repartition(F.col("sha")).mapInArrow(run, schema)
+    return reps.select("gid", "n", "id", "at", "sha", "text").repartition(F.col("sha")).mapInArrow(run, schema)
 
 
 class ExactDedup:
@@ -206,20 +231,19 @@ class ExactDedup:
 
     def __init__(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", limit: int = TABLE_BYTES):
         bound_batches(docs.sparkSession)
-        self.columns, self.id_col = docs.columns, id_col
+        self.columns, self.id_col, self.text_col = docs.columns, id_col, text_col
         self.parts = workspace.materialize(_in_tasks(docs, id_col, text_col, limit), "contents")
-        self.reps = self.parts.filter("rep")
-        self.groups = workspace.materialize(_across(self.reps, text_col, limit), "content-groups")
+        self.reps, self.members = self.parts.filter("rep"), self.parts.filter("not rep")
+        self.groups = workspace.materialize(_across(self.reps, limit), "content-groups")
 
     def report(self) -> DataFrame:
         """A row per document, dropped ones too: id, keep_id, group_size, kept, text_sha256."""
-        members = self.parts.filter("not rep").select("gid", F.col("id").alias(self.id_col), "first")
-        joined = members.join(self.groups, "gid")
-        return joined.select(
-            self.id_col, "keep_id", "group_size", (F.col("first") & F.col("owner")).alias("kept"), "text_sha256"
-        )
+        joined = self.members.select("gid", F.col("id").alias(self.id_col), "at").join(self.groups, "gid")
+        return joined.select(self.id_col, "keep_id", "group_size", (F.col("at") == F.col("keep_at")).alias("kept"), "text_sha256")
 
     def kept(self) -> DataFrame:
         """The rows that stay, with the columns of the input."""
-        owners = self.groups.filter("owner").select("gid")
-        return self.reps.join(owners, "gid", "left_semi").select(*[F.col(f"row.`{c}`").alias(c) for c in self.columns])
+        texts = self.reps.join(self.groups.filter("owner").select("gid", "keep_at"), "gid").select("keep_at", "text")
+        rows = self.members.select("at", "no_text", "rest").join(texts, F.col("at") == F.col("keep_at"))
+        own = {self.text_col: F.when(~F.col("no_text"), F.col("text")).alias(self.text_col)}
+        return rows.select(*[own.get(c, F.col("rest")[c].alias(c)) for c in self.columns])

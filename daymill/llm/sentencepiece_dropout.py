@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 from daymill.llm.chunks import ragged
-from daymill.llm.common import bound_batches, gathered
+from daymill.llm.common import bound_batches, free_name, gathered
 
 DROPOUT = 0.1
 SHARED = 32  # characters of chunks whose segmentations are shared by occurrences; longer ones are segmented one by one, alike
@@ -306,6 +306,7 @@ def encode(docs: DataFrame, model_path: str, *, dropout: float = DROPOUT, seed:
     """
     bound_batches(docs.sparkSession)
     docs = docs.drop(to)
+    key_col = free_name(docs, "__segment_key")
     key = F.xxhash64(F.lit(seed), F.col(id_col), F.col(text_col))
     schema = StructType([*docs.schema.fields, StructField(to, ArrayType(IntegerType()))])
     skip_below, kept = min(int(dropout * MASK), MASK), docs.columns
@@ -314,7 +315,7 @@ def encode(docs: DataFrame, model_path: str, *, dropout: float = DROPOUT, seed:
         pieces = Pieces.of(model_path)
         for held in gathered(batches, text_col):
             texts = held.column(text_col).to_pylist()
-            marks = held.column("__segment_key").to_numpy().astype(np.uint64)
+            marks = held.column(key_col).to_numpy().astype(np.uint64)
             number: dict[str, int] = {}
             codes, lengths = [], np.zeros(len(texts), np.int64)
             for i, text in enumerate(texts):
@@ -336,7 +337,7 @@ def encode(docs: DataFrame, model_path: str, *, dropout: float = DROPOUT, seed:
             columns = [held.column(c).combine_chunks() for c in kept]
             yield pa.RecordBatch.from_arrays([*columns, lists], names=schema.names)
 
-    return docs.withColumn("__segment_key", key).mapInArrow(run, schema)
+    return docs.withColumn(key_col, key).mapInArrow(run, schema)
 
 
 def decode(encoded: DataFrame, model_path: str, *, ids_col: str = "ids", to: str = "decoded") -> DataFrame:

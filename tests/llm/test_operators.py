@@ -416,3 +416,32 @@ def test_rows_across_groups_grow_with_members(spark, monkeypatch):
         rows[n] = counts
     for name in ("open-members", "likely-members", "star-pairs", "linked-groups"):
         assert rows[600][name] <= 8 * max(rows[150][name], 100), (name, rows)
+
+
+def test_clashing_names(spark, odd):
+    rng = np.random.default_rng(2)
+    vectors = [(i, rng.standard_normal(8).tolist(), i % 2, 1, 2) for i in range(20)]
+    frame = spark.createDataFrame(vectors + [(20, vectors[0][1], 0, 1, 2)], "id long, vector array<double>, label_key int, key int, block int")
+    rows = embedding_dedup.near_duplicates(frame, id_col="id", vector_col="vector", label_col="label_key").collect()
+    assert {r.id: r.component_id for r in rows} == {i: i % 20 for i in range(21)}
+    named = odd.withColumns({"__segment_key": F.lit("mine"), "kept_id": F.lit("too")})
+    encoded = sentencepiece_dropout.encode(named, PIECES, dropout=0.0)
+    assert {r["__segment_key"] for r in encoded.collect()} == {"mine"} and encoded.columns == [c for c in named.columns if c != "ids"] + ["ids"]
+    import corpus_pipeline
+
+    assert corpus_pipeline.drop_near_copies(spark, named, "").columns == named.columns
+    assert set(exact_dedup.ExactDedup(named.withColumns({"gid": F.lit(1), "at": F.lit(2), "rest": F.lit(3), "text_sha256": F.lit("s")})).kept().columns) > set(named.columns)
+
+
+def test_exact_dedup_keeps_little_of_many_rows():
+    """What the table keeps of a row is bounded: rows of a hot content leave as they come."""
+    held = []
+
+    def joined(best, item):
+        best.add(1, item, item)
+
+    for content, best, item in exact_dedup.grace_fold(((b"hot" if i % 3 else str(i).encode(), i) for i in range(30_000)), lambda i: exact_dedup.Best(i, 1, i, i), joined, 50_000):
+        if content is not None:
+            held.append((content, best.n, best.id, best.gids))
+    assert len(held) == 10_001 and next(h for h in held if h[0] == b"hot")[1:3] == (20_000, 29_999)
+    assert all(len(h[3]) == 1 for h in held)
