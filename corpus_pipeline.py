@@ -31,8 +31,9 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     """One document of each group of near copies, the one with the smallest id. Rows of equal id are one document, and
     rows without id belong to no group."""
     workspace.use_own_root(spark)
-    kept = hyperminhash.NearDuplicates(docs).report().filter("kept").select(F.col("doc_id").alias("__kept"))
-    return docs.join(kept.distinct(), F.col("doc_id").eqNullSafe(F.col("__kept")), "left_semi")
+    name = common.free_name(docs, "kept_id")
+    kept = hyperminhash.NearDuplicates(docs).report().filter("kept").select(F.col("doc_id").alias(name))
+    return docs.join(kept.distinct(), F.col("doc_id").eqNullSafe(F.col(name)), "left_semi")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
