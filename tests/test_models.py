@@ -283,14 +283,14 @@ def test_recent_months_give_the_features_of_the_whole_history(spark, tmp_path):
 def test_seasonal_sums_add_up(spark):
     """A fit from sums of parts, with days removed and stored again, is the fit from the rows."""
     rng = np.random.default_rng(3)
-    df = daily(spark, rng.normal(20, 5, 200).tolist()).unionByName(daily(spark, rng.normal(9, 1, 10).tolist(), "Short"))
+    df = daily(spark, rng.normal(20, 5, 900).tolist()).unionByName(daily(spark, rng.normal(9, 1, 10).tolist(), "Short"))
     wrong = df.withColumn("pm10", F.when(F.dayofmonth("date") == 3, -50.0).otherwise(F.col("pm10")))
     old, new = wrong.filter("dayofmonth(date) = 3"), df.filter("dayofmonth(date) = 3")
     parts = [wrong.filter(f"dayofmonth(date) % 2 = {k}") for k in (0, 1)]
     stored = seasonal.add_sums(*map(seasonal.seasonal_sums, parts))
     sums = seasonal.add_sums(stored, seasonal.seasonal_sums(new), removed=seasonal.seasonal_sums(old))
     whole = seasonal.seasonal_sums(df)
-    assert {r.city: r.rows for r in sums.collect()} == {"A": 200, "Short": 10}
+    assert {r.city: r.rows for r in sums.collect()} == {"A": 900, "Short": 10}
     got, want = ({r.city: r.pm10 for r in seasonal.predict_seasonal(df, seasonal.solve_sums(x)).withColumn("pm10", F.col("seasonal")).groupBy("city").agg(F.collect_list("pm10").alias("pm10")).collect()} for x in (sums, whole))
     for city in want:
         np.testing.assert_allclose(sorted(got[city]), sorted(want[city]), rtol=1e-6)
