@@ -147,7 +147,7 @@ def likely(percent: int) -> Column:
     return sizes & (estimate(equal, used) >= bound - SIGMAS * F.sqrt(F.lit(bound * (1 - bound)) / used))
 
 
-def whole_groups(batches, keys: list[str], limit: int = 16 << 20):
+def whole_groups(batches, keys: list[str], limit: int = 4 << 20):
     """Tables of whole groups of sorted rows, put together until they reach `limit` bytes."""
     held, size = [], 0
     for batch in batches:
@@ -190,7 +190,9 @@ class OpenGroups:
         """Chunks of pairs (rows x, rows y) of one group that may be similar enough, from different groups of documents:
         by size, then by the collision-corrected estimate with SIGMAS standard deviations to spare. A pair that
         shares several bands is looked at in the bucket of the first."""
-        pairs, bands = self.outer * self.inner, band_keys(self.regs)[0]
+        pairs, bands = self.outer * self.inner, np.empty((len(self.regs), BANDS), np.int64)
+        for i in range(0, len(bands), 2048):  # a register takes many times its size while keys are made
+            bands[i : i + 2048] = band_keys(self.regs[i : i + 2048])[0]
         ends, bound = np.cumsum(pairs), self.percent / 100
         for low in range(0, int(ends[-1]) if len(ends) else 0, CHUNK):
             k = np.arange(low, min(low + CHUNK, int(ends[-1])))
@@ -201,8 +203,8 @@ class OpenGroups:
             sizes = 100 * np.minimum(self.n[x], self.n[y]) >= self.percent * np.maximum(self.n[x], self.n[y])
             right = (self.part[x] != self.part[y]) & once & sizes
             x, y = x[right], y[right]
-            for i in range(0, len(x), CHUNK // 16):
-                p, q = x[i : i + CHUNK // 16], y[i : i + CHUNK // 16]
+            for i in range(0, len(x), CHUNK // 32):
+                p, q = x[i : i + CHUNK // 32], y[i : i + CHUNK // 32]
                 r, s = self.regs[p], self.regs[q]
                 same, some = r == s, r != EMPTY
                 shared = same.reshape(len(p), BANDS, ROWS).all(2) & some.reshape(len(p), BANDS, ROWS).any(2)
