@@ -7,6 +7,7 @@ from daymill import workspace
 
 BLOCK_WORDS = 16
 SHARD_WORDS = 1 << 18
+LEVELS = 256
 WEIGHTS = (3, 1, 2)
 
 
@@ -37,27 +38,58 @@ def targets(sources: DataFrame, weights=WEIGHTS, share: float = 1.5, cap: float
     ).drop("_weight", "_bound", "_ratio", "_level", "_common")
 
 
+def _with_totals(rows: DataFrame, keys: list[str], **totals: Column) -> DataFrame:
+    """Rows with aggregates of their group, combined in tasks before they meet. Without keys the rows are few."""
+    if keys:
+        return rows.join(rows.groupBy(*keys).agg(*[total.alias(name) for name, total in totals.items()]), keys)
+    return rows.withColumns({name: total.over(Window.partitionBy()) for name, total in totals.items()})
+
+
+def _levels(quotients: DataFrame, keys: list[str]) -> DataFrame:
+    """Quotients with the part of their group they fall in, from the highest down, and the number of rows in higher
+    parts. The bounds are about quantiles, so that no task ranks more than about one in LEVELS of a group besides equal
+    quotients; whatever the bounds, the numbers are exact."""
+    shares = F.array(*[F.lit(k / LEVELS) for k in range(1, LEVELS)])
+    bounds = quotients.groupBy(*keys).agg(F.percentile_approx("_quotient", shares, F.lit(16 * LEVELS)).alias("_bounds"))
+    level = F.size(F.filter("_bounds", lambda bound: bound > F.col("_quotient")))
+    levelled = quotients.join(bounds, keys).withColumn("_level", level).drop("_bounds")
+    higher = Window.partitionBy(*keys).orderBy("_level").rowsBetween(Window.unboundedPreceding, -1)
+    numbers = levelled.groupBy(*keys, "_level").agg(F.count(F.lit(1)).alias("_here"))
+    numbers = numbers.withColumn("_before", F.coalesce(F.sum("_here").over(higher), F.lit(0))).drop("_here")
+    return levelled.join(numbers, [*keys, "_level"])
+
+
 def sainte_lague(parties: DataFrame, keys: list[str], party: str, votes: Column, seats: Column) -> DataFrame:
     """(keys, party, seats): per group of `keys`, its seats go to the highest quotients votes / (2k - 1).
 
     Only quotients near the ideal share are ranked. With n seats and p parties, the divisor at which seats add up
     lies within p / 2 seats of the ideal one, so each party's seats lie within ideal * p / (2n) + 1 of its ideal;
     that is a few rows per party, whatever the number of seats. Ties go to the smaller party.
+
+    With keys a group may hold any number of parties: its quotients are parted by quantiles, counted, and ranked
+    part by part in different tasks. Without keys all parties are ranked in one task: for sources, not for shards.
     """
-    group = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
     counted = parties.select(*keys, party, votes.cast("double").alias("_v"), seats.cast("long").alias("_n"))
-    ideal = F.coalesce(F.col("_n") * F.col("_v") / F.nullif(F.sum("_v").over(group), F.lit(0.0)), F.lit(0.0))
-    slack = F.coalesce(F.col("_ideal") * F.count(F.lit(1)).over(group) / (2 * F.nullif(F.col("_n"), F.lit(0))), F.lit(0.0))
+    counted = _with_totals(counted, keys, _all=F.sum("_v"), _parties=F.count(F.lit(1)))
+    ideal = F.coalesce(F.col("_n") * F.col("_v") / F.nullif(F.col("_all"), F.lit(0.0)), F.lit(0.0))
+    slack = F.coalesce(F.col("_ideal") * F.col("_parties") / (2 * F.nullif(F.col("_n"), F.lit(0))), F.lit(0.0))
     bounded = counted.withColumn("_ideal", ideal).withColumn("_slack", slack).withColumns(
         {
             "_low": F.greatest(F.lit(0), F.floor(F.col("_ideal") - F.col("_slack")) - 1).cast("long"),
             "_high": (F.ceil(F.col("_ideal") + F.col("_slack")) + 1).cast("long"),
         }
-    ).withColumn("_open", F.col("_n") - F.sum("_low").over(group))
-    ranked = bounded.select("*", F.explode(F.sequence(F.col("_low") + 1, F.col("_high"))).alias("_k"))
-    place = F.row_number().over(group.orderBy((F.col("_v") / (2 * F.col("_k") - 1)).desc(), party, "_k"))
-    won = F.sum((F.col("_place") <= F.col("_open")).cast("long")) + F.first("_low")
-    return ranked.withColumn("_place", place).groupBy(*keys, party).agg(won.alias("seats"))
+    )
+    bounded = _with_totals(bounded, keys, _sure=F.sum("_low")).withColumn("_open", F.col("_n") - F.col("_sure"))
+    quotients = bounded.select(
+        *keys, party, "_v", "_low", "_open", F.explode(F.sequence(F.col("_low") + 1, F.col("_high"))).alias("_k")
+    ).withColumn("_quotient", F.col("_v") / (2 * F.col("_k") - 1))
+    if keys:
+        ranked = _levels(workspace.materialize(quotients, "quotients"), keys)
+    else:
+        ranked = quotients.withColumns({"_level": F.lit(0), "_before": F.lit(0)})
+    order = Window.partitionBy(*keys, "_level").orderBy(F.col("_quotient").desc(), party, "_k")
+    won = F.sum((F.col("_before") + F.col("_place") <= F.col("_open")).cast("long")) + F.first("_low")
+    return ranked.withColumn("_place", F.row_number().over(order)).groupBy(*keys, party).agg(won.alias("seats"))
 
 
 def mix(docs: DataFrame, size: Column, *, id_col: str = "doc_id", source_col: str = "source", weights=WEIGHTS,
@@ -92,6 +124,7 @@ def mix(docs: DataFrame, size: Column, *, id_col: str = "doc_id", source_col: st
         "shard", F.conv(F.substring("mark", 1, 8), 16, 10).cast("long") % F.col("_shards")
     )
     parts = dealt.groupBy("source_no", "shard").agg(F.sum("size").alias("shard_size"), F.first("seats").alias("_seats"))
+    parts = workspace.materialize(parts, "shards")
     per_shard = sainte_lague(parts, ["source_no"], "shard", F.col("shard_size"), F.col("_seats"))
     quota = F.least(F.col("seats") * block_words, F.floor(F.col("shard_size") * cap)).alias("_quota")
     parts = parts.join(per_shard, ["source_no", "shard"]).select("source_no", "shard", "shard_size", quota)

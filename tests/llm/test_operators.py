@@ -308,6 +308,24 @@ def test_mix(spark, odd):
         assert {p: got.get(p, 0) for p in "abcd"} == {p: sum(q[1] == p for q in quotients) for p in "abcd"}
 
 
+def test_seats_of_many_parties(spark):
+    """One group with most parties, equal votes, a party far larger than the rest and parties without votes."""
+    draw = random.Random(5)
+    votes = {0: [draw.choice((0, 7, 7, 900, 1000 + draw.randrange(50))) for _ in range(3000)] + [10**6], 1: [4, 4, 4], 2: [5]}
+    seats = {0: 7001, 1: 2, 2: 0}
+    rows = [(g, i, float(v), seats[g]) for g, group in votes.items() for i, v in enumerate(group)]
+    parties = spark.createDataFrame(rows, "g int, party int, votes double, seats long").repartition(5)
+    found = mixing.sainte_lague(parties, ["g"], "party", F.col("votes"), F.col("seats")).collect()
+    got = {(r.g, r.party): r.seats for r in found}
+    assert len(got) == len(found) == len(rows)
+    for g, group in votes.items():
+        ranked = sorted((-v / (2 * k - 1), i, k) for i, v in enumerate(group) for k in range(1, seats[g] + 1) if v / (2 * k - 1) > 100 or k < 12)
+        won = ranked[: seats[g]]
+        assert all(got[g, i] == sum(w[1] == i for w in won) for i in set(w[1] for w in won) | set(range(len(group))[:200]))
+        assert sum(n for (h, _), n in got.items() if h == g) == seats[g]
+    assert mixing.sainte_lague(parties.limit(0), ["g"], "party", F.col("votes"), F.col("seats")).count() == 0
+
+
 def test_chats(spark):
     rows = [
         (1, 0, "user", "hi"), (1, 1, "assistant", "yes"), (2, 0, "user", "hi"), (3, 5, "user", "hi"), (3, 9, "assistant", "yes"),
