@@ -4,6 +4,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
@@ -18,6 +19,7 @@ CENTROIDS = 4  # per language
 ROUNDS = 4
 SAMPLE_PER_LANGUAGE = 4000  # labelled documents to fit on, at most, about
 SAMPLE_TASKS = 16
+SLOTS = 64  # sums of centroids that leave a task at once, 4 MB
 # A text is rejected when its cosine with every centroid is below this share of what all but a few training texts of its
 # length reach: two in a thousand, none where there are fewer.
 REJECT_SHARE, REJECT_QUANTILE = 0.5, 0.002
@@ -46,7 +48,10 @@ def gram_counts(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     flat = np.concatenate(codes) if codes else np.zeros(0, np.uint32)
     doc = np.repeat(np.arange(len(texts)), [len(c) for c in codes])
     is_letter = table[flat]
-    keep = is_letter | np.concatenate([[True], is_letter[:-1]])
+    if not len(flat):
+        return counts, letters
+    # Of what is no letter, the first of each run stays, and every text has a blank before it wherever it lies in the list.
+    keep = is_letter | np.concatenate([[True], is_letter[:-1]]) | np.concatenate([[True], doc[1:] != doc[:-1]])
     flat, doc, is_letter = np.where(is_letter, flat, 32)[keep].astype(np.uint64), doc[keep], is_letter[keep]
     letters += np.bincount(doc[is_letter], minlength=len(texts))
     total = counts.ravel()
@@ -120,9 +125,9 @@ def length_bin(letters: np.ndarray) -> np.ndarray:
 def fit(labelled: DataFrame, *, text_col: str = "text", lang_col: str = "lang", per_language: int = SAMPLE_PER_LANGUAGE) -> LanguageModel:
     """Document frequencies, then spherical k-means within each language, then distances by length.
 
-    Fitted on a sample of about `per_language` labelled texts per language. Each pass is one job whose tasks send
-    sums of a size fixed by the numbers of languages, centroids and buckets. Rows without language or letters do not
-    count; without any row the model knows no language.
+    Fitted on a sample of about `per_language` labelled texts per language. Each pass is one job: tasks sum by row of
+    the result (centroid, or length bin), rows are added up in the cluster, and the driver gets each row once, which is
+    the model's own size. Rows without language or letters do not count; without any row the model knows no language.
     """
     bound_batches(labelled.sparkSession)
     rows = labelled.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).filter("lang is not null and text is not null")
@@ -143,20 +148,30 @@ def fit(labelled: DataFrame, *, text_col: str = "text", lang_col: str = "lang",
                 texts, langs = batch.column("text").to_pylist(), batch.column("lang").to_pylist()
                 for a, b in grouped(texts):
                     job(total, texts[a:b], np.array([number[x] for x in langs[a:b]]))
-            yield pa.RecordBatch.from_arrays([pa.array([total.astype("<f8").tobytes()], pa.binary())], names=["sums"])
+            used = np.flatnonzero(total.any(1))
+            for slots in (used[k : k + SLOTS] for k in range(0, len(used), SLOTS)):
+                sums = pa.array([total[k].astype("<f8").tobytes() for k in slots], pa.binary())
+                task = pa.array([TaskContext.get().partitionId()] * len(slots), pa.int32())
+                yield pa.RecordBatch.from_arrays([pa.array(slots, pa.int32()), task, sums], names=["slot", "task", "sums"])
+
+        def add(rows):
+            total = np.zeros(shape[1])
+            for k in np.argsort(rows.column("task").to_numpy()):  # in one order, so that a rerun gives the same
+                total += np.frombuffer(rows.column("sums")[int(k)].as_py(), "<f8")
+            return pa.table({"slot": rows.column("slot").slice(0, 1), "sums": pa.array([total.tobytes()], pa.binary())})
 
         total = np.zeros(shape)
-        # One row of this size from each of at most SAMPLE_TASKS tasks, which run side by side.
-        for row in sample.select("text", "lang").mapInArrow(run, "sums binary").collect():
-            total += np.frombuffer(bytes(row.sums), "<f8").reshape(shape)
+        parts = sample.select("text", "lang").mapInArrow(run, "slot int, task int, sums binary")
+        for row in parts.groupBy("slot").applyInArrow(add, "slot int, sums binary").toLocalIterator():
+            total[row.slot] = np.frombuffer(bytes(row.sums), "<f8")
         return total
 
     def frequencies(total, texts, _):
         counts, letters = gram_counts(texts)
-        total[:BUCKETS] += (counts > 0).sum(0)
-        total[BUCKETS] += (letters > 0).sum()
+        total[0, :BUCKETS] += (counts > 0).sum(0)
+        total[0, BUCKETS] += (letters > 0).sum()
 
-    found = passes(frequencies, (BUCKETS + 1,))
+    found = passes(frequencies, (1, BUCKETS + 1))[0]
     idf = np.log((1 + found[-1]) / (1 + found[:-1])).astype(np.float32) + 1
     model = LanguageModel(languages, idf, np.zeros((len(languages), CENTROIDS, BUCKETS), np.float32), np.zeros(LENGTH_BINS))
 

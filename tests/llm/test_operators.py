@@ -294,6 +294,42 @@ def test_toxicity_keeps_every_telling_word(spark):
     assert set(words) <= set(model.words)
 
 
+def test_grams_of_a_text_do_not_depend_on_its_neighbours():
+    texts = ["one two", "", None, "1 two", "  ", "two", "Zwei, drei!", "x" * 9000]
+    together, letters = language_id.gram_counts(texts)
+    for k, text in enumerate(texts):
+        alone, n = language_id.gram_counts([text])
+        assert (alone[0] == together[k]).all() and n[0] == letters[k]
+    assert language_id.gram_counts([])[0].shape == (0, language_id.BUCKETS)
+
+
+def test_language_model_against_plain_sums(spark):
+    """The same fit from whole arrays in one process: frequencies, centroids, floors, and every label and cosine."""
+    draw = random.Random(3)
+    words = {lang: ["".join(draw.choice(abc) for _ in range(draw.randrange(2, 8))) for _ in range(60)]
+             for lang, abc in (("aa", "abcdefg"), ("bb", "efghijk"), ("cc", "aeiourst"))}
+    rows = [(" ".join(draw.choice(words[lang]) for _ in range(draw.choice((3, 60, 400)))), lang) for lang in words for _ in range(90)]
+    model = language_id.fit(spark.createDataFrame(rows, "text string, lang string").repartition(4))
+    texts, names = [t for t, _ in rows], sorted(words)
+    counts, letters = language_id.gram_counts(texts)
+    idf = np.log((1 + len(texts)) / (1 + (counts > 0).sum(0))) + 1
+    vectors = np.log1p(counts) * idf
+    vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+    langs = np.array([names.index(lang) for _, lang in rows])
+    cluster, n = np.digitize(letters, (250, 1000, 4000)) % language_id.CENTROIDS, language_id.CENTROIDS
+    for _ in range(language_id.ROUNDS):
+        sums = np.array([[vectors[(langs == x) & (cluster == k)].sum(0) for k in range(n)] for x in range(3)])
+        sums = np.where(sums.any(-1, keepdims=True), sums, sums.sum(1, keepdims=True))
+        centroids = sums / np.linalg.norm(sums, axis=-1, keepdims=True)
+        cluster = np.array([(centroids[x] @ v).argmax() for x, v in zip(langs, vectors)])
+    assert model.languages == names and np.allclose(model.idf, idf, atol=1e-5) and np.allclose(model.centroids, centroids, atol=1e-4)
+    asked = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, text string")
+    cosines = (vectors @ centroids.reshape(3 * n, -1).T).reshape(len(texts), 3, n).max(-1)
+    for r in language_id.predict(asked, model).collect():
+        assert r.lang_pred == names[cosines[r.id].argmax()] and abs(r.score - cosines[r.id].max()) < 1e-4 and not r.rejected
+    assert (model.floors > 0).any() and (model.floors <= language_id.REJECT_SHARE).all()
+
+
 def test_mix(spark, odd):
     sized = mixing.mix(odd, common.word_count(F.col("text")))
     rows = sized.collect()
