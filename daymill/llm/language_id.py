@@ -162,7 +162,7 @@ def fit(labelled: DataFrame, *, text_col: str = "text", lang_col: str = "lang",
 
         total = np.zeros(shape)
         parts = sample.select("text", "lang").mapInArrow(run, "slot int, task int, sums binary")
-        for row in parts.groupBy("slot").applyInArrow(add, "slot int, sums binary").toLocalIterator():
+        for row in parts.groupBy("slot").applyInArrow(add, "slot int, sums binary").collect():
             total[row.slot] = np.frombuffer(bytes(row.sums), "<f8")
         return total
 
