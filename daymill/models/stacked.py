@@ -11,8 +11,10 @@ from pyspark.sql import functions as F
 from daymill import workspace
 from daymill.constants import HORIZONS, target_name
 from daymill.functions.text import model_name
-from daymill.models.seasonal import fit_seasonal, predict_seasonal
+from daymill.models import forest
+from daymill.models.seasonal import fit_seasonal, predict_seasonal, seasonal_value
 from daymill.models.trees import (
+    LEVEL,
     PARALLELISM,
     SEED,
     TreeParams,
@@ -62,6 +64,7 @@ class StackedForecaster:
         self.levels.write.parquet(f"{path}/levels")
         self.seasonal.write.parquet(f"{path}/seasonal")
         self.blend.write.parquet(f"{path}/blend")
+        forest.store(self.levels.sparkSession, path, self.trees)
 
     @staticmethod
     def load(spark: SparkSession, path: str, horizons=HORIZONS) -> "StackedForecaster":
@@ -136,19 +139,21 @@ def champions(runs: DataFrame) -> DataFrame:
 def predict_with_champions(
     spark: SparkSession, features: DataFrame, champion_rows: DataFrame, horizons=HORIZONS
 ) -> DataFrame:
-    """Score each city and horizon with its champion. Every stored forecaster in use is loaded
-    once, with the models of the horizons it leads, and scores only the cities and horizons it leads; its
-    forecasts go to the shared folder, so the plan does not grow with the number of forecasters. Both frames
-    are read once per forecaster, so hand in stored ones."""
-    wanted = champion_rows.filter(F.col("horizon").isin(list(horizons)))
-    in_use = wanted.groupBy("path").agg(F.sort_array(F.collect_set("horizon")).alias("horizons")).toLocalIterator()
-    folder, parts = workspace.new_path(spark, "champion-forecasts"), 0
-    for run in in_use:
-        path, parts = run.path, parts + 1
-        led = wanted.filter(F.col("path") == path).select(*KEYS)
-        mine = features.join(led.select("city").distinct(), "city", "left_semi")
-        forecaster = StackedForecaster.load(spark, path, run.horizons)
-        forecaster.predict(mine).join(led, KEYS, "left_semi").write.mode("append").parquet(folder)
-    if not parts:
+    """Score each city and horizon with its champion, all stored forecasters in one plan: their trees, levels, seasonal
+    coefficients and blends are read as rows (see daymill.models.forest), and a feature row meets those of the runs
+    that lead its city only. Champions without stored rows raise; `forest.store` writes them for a forecaster that has none."""
+    wanted = champion_rows.filter(F.col("horizon").isin(list(horizons))).select("city", F.col("horizon").cast("int").alias("horizon"), "path")
+    paths = [r.path for r in wanted.select("path").distinct().toLocalIterator()]
+    if not paths:
         raise ValueError("no champion to forecast with")
-    return spark.read.parquet(folder)
+    part = lambda name: forest.of_runs(spark, paths, name)
+    runs = [wanted.join(part("levels"), ["path", "city"], "left"), part("forest_inputs")]
+    mine = features.drop(LEVEL).join(runs[0], "city").join(runs[1], "path")
+    vectors = mine.select("city", "date", "horizon", "path", forest.vector().alias("vector"))
+    scored = forest.score(vectors, part("forest"))
+    dated = scored.withColumn("seasonal_date", F.date_add("date", F.col("horizon")))
+    seasonal = dated.join(part("seasonal"), ["path", "city"], "left").withColumn(
+        "seasonal", seasonal_value(F.col("seasonal_date"), F.col("coefficients"))
+    )
+    blended = apply_blend(seasonal.drop("coefficients"), part("blend"), ["path", *KEYS], "tree", "seasonal")
+    return blended.drop("path")

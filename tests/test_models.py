@@ -7,12 +7,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from daymill import schemas, workspace
-from daymill.models import seasonal, stacked, trees
+from daymill.models import forest, seasonal, stacked, trees
 from daymill.operators import metrics
 from daymill.plans import daily as plan
 from daymill.plans import lake, training
 from daymill.sources import sinks
-from tests.helpers import daily
+from tests.helpers import count_in_plan, daily
 
 PAIRS = "g string, y double, p double, q double"
 
@@ -116,7 +116,7 @@ def test_forecast_end_to_end(spark, tmp_path):
     persistence = {(r.city, r.horizon): r.rmse for r in naive.collect()}
     assert all(r.rmse < persistence[r.city, r.horizon] for r in errors if r.horizon == 1)
 
-    path = str(tmp_path / "model")
+    path = str(tmp_path / "the model, 100%+")
     forecaster.save(path)
     again = stacked.StackedForecaster.load(spark, path, [1, 7])
     test = frame.filter("split = 'test'")
@@ -124,6 +124,35 @@ def test_forecast_end_to_end(spark, tmp_path):
     first, second = (f.predict(test).select(*order, "predicted").orderBy(*order).collect() for f in (forecaster, again))
     assert first == second
 
+    # Two stored runs in one plan: the second one leads city B. Feature rows of both splits, nulls among them.
+    other = stacked.fit_stacked(frame, {h: trees.TreeParams(trees=3, depth=5, row_sample=0.7) for h in (1, 7)})
+    second_path = str(tmp_path / "other")
+    other.save(second_path)
+    best = spark.createDataFrame(
+        [("A", h, path) for h in (1, 7)] + [("B", 1, second_path), ("B", 7, path), ("C", 1, path)], "city string, horizon int, path string"
+    )
+    rows = workspace.materialize(test.withColumn("temperature_2m", F.when(F.dayofmonth("date") > 5, F.col("temperature_2m"))), "rows")
+    got = stacked.predict_with_champions(spark, rows, best, [1, 7])
+    assert count_in_plan(got, "FlatMapCoGroupsInPandas") == 1
+    found = {(r.city, r.date, r.horizon): (r.tree, r.seasonal, r.predicted) for r in got.collect()}
+    want = {}
+    for f, led in ((forecaster, {("A", 1), ("A", 7), ("B", 7)}), (other, {("B", 1)})):
+        for r in f.predict(rows).collect():
+            if (r.city, r.horizon) in led:
+                want[r.city, r.date, r.horizon] = (r.tree, r.seasonal, r.predicted)
+    assert found.keys() == want.keys() and len(want) > 100
+    keys = sorted(want)
+    np.testing.assert_allclose([found[k] for k in keys], [want[k] for k in keys], rtol=1e-12)
+    # Small groups: every row is dealt to one group only, and each gets the trees.
+    before, forest.GROUP_ROWS = forest.GROUP_ROWS, 10
+    try:
+        again = stacked.predict_with_champions(spark, rows, best, [1, 7]).collect()
+    finally:
+        forest.GROUP_ROWS = before
+    assert sorted((r.city, r.date, r.horizon, r.predicted) for r in again) == sorted((*k, v[2]) for k, v in found.items())
+    with pytest.raises(ValueError):
+        stacked.predict_with_champions(spark, rows, best.limit(0))
+
 
 def test_rejected_rows_that_look_alike_all_stay(spark, tmp_path):
     tables = plan.Tables(*[str(tmp_path / n) for n in ("readings", "weather", "forecasts", "rejected")])
