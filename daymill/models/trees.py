@@ -1,12 +1,13 @@
 """Boosted trees with MLlib: one fit per horizon over all cities, and a random search."""
 
-from dataclasses import asdict, dataclass
+import math
+from dataclasses import asdict, dataclass, replace
 from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import Imputer, SQLTransformer, VectorAssembler
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from daymill import workspace
@@ -17,7 +18,8 @@ from daymill.constants import (
     TRIAL_RANGES,
     target_name,
 )
-from daymill.operators.metrics import best_by_error, regression_metrics
+from daymill.operators.aggregate import first_per_key
+from daymill.operators.metrics import regression_metrics
 
 LEVEL = "city_level"
 NULLABLE = [f for f in MODEL_FEATURES if f not in CALENDAR_FEATURES] + [LEVEL]
@@ -104,13 +106,16 @@ def draw_trials(spark: SparkSession, count: int = TRIAL_COUNT, seed: int = SEED,
     )
 
 
-def run_trials(vectors: DataFrame, horizons, trials: DataFrame, parallelism: int = PARALLELISM) -> DataFrame:
-    """Fit every trial on the train split and score it on the validation split: one row per
-    (horizon, trial). Each fit is a distributed job; `parallelism` of them run at a time."""
-    spark = vectors.sparkSession
+RESULTS = (
+    "horizon int, trial bigint, trees int, learning_rate double, depth int, row_sample double, column_sample double, rmse double"
+)
+
+
+def _errors(vectors: DataFrame, jobs, parallelism: int) -> DataFrame:
+    """RESULTS of (horizon, trial, parameters): each is fitted on the train split and scored on the validation split.
+    Each fit is a distributed job; `parallelism` of them are under way at a time."""
     train = vectors.filter("split = 'train'")
     validation = vectors.filter("split = 'validation'")
-    jobs = [(h, row.trial, TreeParams(*row[1:])) for row in trials.collect() for h in horizons]
 
     def one(job):
         horizon, trial, params = job
@@ -119,17 +124,55 @@ def run_trials(vectors: DataFrame, horizons, trials: DataFrame, parallelism: int
         return (horizon, trial, *asdict(params).values(), error.rmse)
 
     with ThreadPool(parallelism) as pool:
-        rows = pool.map(one, jobs)
-    return spark.createDataFrame(
-        rows,
-        "horizon int, trial bigint, trees int, learning_rate double, depth int,"
-        " row_sample double, column_sample double, rmse double",
-    )
+        rows = pool.map(one, jobs, chunksize=1)
+    return vectors.sparkSession.createDataFrame(rows, RESULTS)
+
+
+def run_trials(vectors: DataFrame, horizons, trials: DataFrame, parallelism: int = PARALLELISM) -> DataFrame:
+    """Error of every trial at its full number of trees: one row per (horizon, trial)."""
+    jobs = [(h, row.trial, TreeParams(*row[1:])) for row in trials.collect() for h in horizons]
+    return _errors(vectors, jobs, parallelism)
+
+
+def halve_trials(
+    vectors: DataFrame, horizons, trials: DataFrame, parallelism: int = PARALLELISM, keep: float = 0.5, first_share: float = 1 / 16
+) -> DataFrame:
+    """Successive halving (Jamieson & Talwalkar, 2016): one row per (rung, horizon, trial) that was fitted, with the number of
+    trees it was fitted with.
+
+    The first rung fits all trials with `first_share` of their trees. Of each horizon the `keep` share with the lowest
+    errors goes on, the earlier trial on a tie, NaN last, at least one; the next rung fits these with 1 / keep times as many,
+    and the last one, which comes at once when a single trial is left, with all of their trees. A rung's errors are stored before the next one starts, and ranked
+    there. A trial that left is a model of fewer trees, so the best row of all rungs is never worse than the best of the first.
+    """
+    spark = vectors.sparkSession
+    if not (0 < keep < 1 and 0 < first_share <= 1):
+        raise ValueError("keep lies between 0 and 1, first_share between 0 and 1 or at 1")
+    drawn = {row.trial: TreeParams(*row[1:]) for row in trials.collect()}
+    wanted = [(h, t) for h in sorted(horizons) for t in sorted(drawn)]
+    folder, share, rung = workspace.new_path(spark, "rungs"), first_share, 0
+    while True:
+        if len(wanted) == len(set(horizons)):
+            share = 1.0  # nothing is left to choose among
+        jobs = [(h, t, replace(drawn[t], trees=math.ceil(drawn[t].trees * min(share, 1.0)))) for h, t in wanted]
+        _errors(vectors, jobs, parallelism).withColumn("rung", F.lit(rung)).write.mode("append").parquet(folder)
+        stored = spark.read.parquet(folder)
+        if share >= 1:
+            return stored
+        error = F.when(F.isnan("rmse"), None).otherwise(F.col("rmse"))
+        each = Window.partitionBy("horizon")
+        ranked = stored.filter(F.col("rung") == rung).withColumns(
+            {"_place": F.row_number().over(each.orderBy(error.asc_nulls_last(), "trial")), "_all": F.count(F.lit(1)).over(each)}
+        )
+        left = ranked.filter(F.col("_place") <= F.greatest(F.lit(1), F.floor(F.col("_all") * keep)))
+        wanted = sorted((r.horizon, r.trial) for r in left.select("horizon", "trial").collect())
+        share, rung = share / keep, rung + 1
 
 
 def best_params(results: DataFrame) -> dict[int, TreeParams]:
-    """Parameters of the lowest validation error per horizon."""
-    rows = best_by_error(results, ["horizon"], "trial").collect()
+    """Parameters of the lowest validation error per horizon; equal errors go to the earlier trial, then to fewer trees."""
+    valid = results.filter(F.col("rmse").isNotNull() & ~F.isnan("rmse"))
+    rows = first_per_key(valid, ["horizon"], [F.col("rmse"), F.col("trial"), F.col("trees")]).collect()
     return {
         r.horizon: TreeParams(r.trees, r.learning_rate, r.depth, r.row_sample, r.column_sample)
         for r in rows

@@ -13,15 +13,18 @@ from daymill.models.trees import (
     city_levels,
     draw_trials,
     fit_inputs,
-    run_trials,
+    halve_trials,
     with_levels,
 )
 from daymill.plans.training import chrono_split, training_frame
 from daymill.sources.sinks import append
 
 
-def tune(frame: DataFrame, horizons=HORIZONS, trials: DataFrame | None = None, parallelism: int = PARALLELISM):
-    """Best tree parameters per horizon by validation error."""
+def tune(
+    frame: DataFrame, horizons=HORIZONS, trials: DataFrame | None = None, parallelism: int = PARALLELISM, search=halve_trials
+):
+    """Best tree parameters per horizon by validation error. `search` is halve_trials or, to fit every trial with all of its
+    trees, run_trials."""
     spark = frame.sparkSession
     trials = draw_trials(spark, TRIAL_COUNT) if trials is None else trials
     levels = workspace.materialize(city_levels(frame.filter("split = 'train'")), "levels")
@@ -29,7 +32,7 @@ def tune(frame: DataFrame, horizons=HORIZONS, trials: DataFrame | None = None, p
     inputs = fit_inputs(levelled.filter("split = 'train'"))
     used = levelled.filter(F.col("split").isin("train", "validation"))
     vectors = workspace.materialize(inputs.transform(used), "vectors")
-    return best_params(run_trials(vectors, horizons, trials, parallelism))
+    return best_params(search(vectors, horizons, trials, parallelism))
 
 
 def train(

@@ -88,6 +88,32 @@ def test_trials_are_seeded_and_in_range(spark):
     assert all(0.01 <= r.learning_rate <= 0.3 and 0.6 <= r.row_sample <= 1 for r in a)
 
 
+def test_halving_keeps_the_better_half(spark, monkeypatch):
+    """Rungs of 9, 4, 2 and 1 trials; errors are made up here, NaN among them, so that the ranks are known."""
+    asked = []
+
+    def made_up(vectors, jobs, parallelism):
+        asked.append(sorted((h, t, p.trees) for h, t, p in jobs))
+        rows = [(h, t, p.trees, p.learning_rate, p.depth, p.row_sample, p.column_sample,
+                 float("nan") if t == 8 else abs(t - 2 * h) + 1.0 / p.trees + (5.0 if t == 2 and p.trees == 40 else 0.0)) for h, t, p in jobs]
+        return spark.createDataFrame(rows, trees.RESULTS)
+
+    monkeypatch.setattr(trees, "_errors", made_up)
+    table = spark.createDataFrame([(t, 40, 0.1, 3, 1.0, 1.0) for t in range(9)], "trial bigint, trees int, learning_rate double, depth int, row_sample double, column_sample double")
+    results = trees.halve_trials(spark.range(1), [1, 2], table, first_share=1 / 8)
+    assert [len(a) for a in asked] == [18, 8, 4, 2] and [a[0][2] for a in asked] == [5, 10, 20, 40]
+    assert [t for h, t, _ in asked[1] if h == 1] == [0, 1, 2, 3] and [t for h, t, _ in asked[1] if h == 2] == [2, 3, 4, 5]
+    assert {r.rung: r.n for r in results.groupBy("rung").agg(F.count("*").alias("n")).collect()} == {0: 18, 1: 8, 2: 4, 3: 2}
+    best = trees.best_params(results)
+    # Trial 2 grows worse in the last rung, so its model of 20 trees is the best of horizon 1.
+    assert best[1].trees == 20 and best[2].trees == 40
+    first = results.filter("rung = 0 AND NOT isnan(rmse)").groupBy("horizon").agg(F.min("rmse").alias("rmse")).collect()
+    lowest = {r.horizon: r.rmse for r in results.filter("NOT isnan(rmse)").groupBy("horizon").agg(F.min("rmse").alias("rmse")).collect()}
+    assert all(lowest[r.horizon] <= r.rmse for r in first)
+    with pytest.raises(ValueError):
+        trees.halve_trials(spark.range(1), [1], table, keep=1.0)
+
+
 def inputs(spark, days=1200):
     start = date(2020, 1, 1)
     readings = daily(spark, wave(days), "A", start).unionByName(daily(spark, wave(days, 40.0), "B", start))
