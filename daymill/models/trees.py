@@ -1,13 +1,15 @@
 """Boosted trees with MLlib: one fit per horizon over all cities, and a random search."""
 
 import math
+import uuid
 from dataclasses import asdict, dataclass, replace
 from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import Imputer, SQLTransformer, VectorAssembler
-from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.regression import GBTRegressionModel, RandomForestRegressor
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from daymill import workspace
@@ -24,6 +26,7 @@ from daymill.operators.metrics import regression_metrics
 LEVEL = "city_level"
 NULLABLE = [f for f in MODEL_FEATURES if f not in CALENDAR_FEATURES] + [LEVEL]
 SEED = 42
+STORED = 10  # trees between two writes of their sum
 PARALLELISM = 4  # fits, saves and loads under way at a time; each is a distributed job
 
 
@@ -39,7 +42,7 @@ class TreeParams:
 def city_levels(train: DataFrame) -> DataFrame:
     """Mean value of each city in the training split. It tells the one model which city it looks
     at, for any number of cities, where an index would need a category per city."""
-    return train.groupBy("city").agg(F.avg("pm10").alias(LEVEL))
+    return _summable(train.select("city", "pm10"), ["pm10"]).groupBy("city").agg(F.avg("pm10").alias(LEVEL))
 
 
 def with_levels(df: DataFrame, levels: DataFrame) -> DataFrame:
@@ -62,24 +65,82 @@ def fit_inputs(train: DataFrame) -> PipelineModel:
                 outputCol="features",
             ),
         ]
-    ).fit(train)
+    ).fit(_summable(train, kept))
+
+
+def _grid(size: float | None, rows: int, powers: int) -> float:
+    """The finest power of two of whose multiples, none above `size`, sums over `rows` are exact in doubles: of the values, or
+    with `powers` 2 of their squares too. Exact sums are the same in any order, and shuffled blocks come in any order."""
+    if not size or not math.isfinite(size):
+        return 0.0
+    return math.ldexp(1.0, math.ceil(math.log2(size) + (math.log2(max(rows, 1)) - 52) / powers))
+
+
+def _on_grid(value: Column, grid: float) -> Column:
+    return F.rint(value / grid) * grid if grid else value
+
+
+def _summable(df: DataFrame, columns: list[str]) -> DataFrame:
+    """The columns on grids on which their sums, and so their means, are exact."""
+    sizes = df.agg(F.count(F.lit(1)).alias("_rows"), *[F.max(F.abs(c)).cast("double").alias(c) for c in columns]).first()
+    return df.withColumns({c: _on_grid(F.col(c).cast("double"), _grid(sizes[c], sizes["_rows"], 1)) for c in columns})
+
+
+def _ensemble(spark: SparkSession, trees: list, weights: list[float], name: str) -> GBTRegressionModel:
+    gateway = spark.sparkContext._gateway
+    made = spark.sparkContext._jvm.org.apache.spark.ml.regression
+    held = gateway.new_array(made.DecisionTreeRegressionModel, len(trees))
+    shares = gateway.new_array(gateway.jvm.double, len(trees))
+    for i, (tree, weight) in enumerate(zip(trees, weights)):
+        held[i], shares[i] = tree, weight
+    model = made.GBTRegressionModel(f"GBTRegressor_{uuid.uuid4().hex[:12]}", held, shares)
+    return GBTRegressionModel(model.setFeaturesCol("features").setPredictionCol(name))
+
+
+def _dealt(rows: DataFrame) -> DataFrame:
+    """Rows in tasks and in an order that their values alone decide: MLlib draws the candidates of splits by task and place."""
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keyed = rows.withColumn("_x", vector_to_array("features")).withColumn("_row", F.xxhash64("_x", "_label"))
+    return keyed.repartition(tasks, "_row").sortWithinPartitions("_row", "_x", "_label").drop("_x")
 
 
 def fit_trees(vectors: DataFrame, horizon: int, params: TreeParams, seed: int = SEED) -> GBTRegressionModel:
-    workspace.use_checkpoints(vectors.sparkSession)
+    """Boosting as GBTRegressor does it, tree by tree, so that the same rows give the same trees in any order and dealing.
+
+    GBTRegressor adds residuals up in the order in which blocks arrive, and last digits decide among splits that part the
+    rows alike. Here the residuals of each tree lie on a grid on which their sums are exact. The sample of a tree goes by a hash of
+    the row. The sum of the trees so far is stored with the rows every STORED trees.
+    """
+    spark = vectors.sparkSession
     label = target_name(horizon)
-    return GBTRegressor(
-        labelCol=label,
-        featuresCol="features",
-        predictionCol=f"tree_{horizon}d",
-        maxIter=params.trees,
-        stepSize=params.learning_rate,
-        maxDepth=params.depth,
-        subsamplingRate=params.row_sample,
+    rows = vectors.select("features", F.col(label).cast("double").alias("_label")).filter(F.col(label).isNotNull())
+    rows = workspace.materialize(_dealt(rows.withColumn("_sum", F.lit(0.0))), "boosted")
+    learner = RandomForestRegressor(
+        labelCol="_residual", featuresCol="features", numTrees=1, bootstrap=False, subsamplingRate=1.0, maxDepth=params.depth,
         featureSubsetStrategy=str(params.column_sample) if params.column_sample < 1 else "all",
-        checkpointInterval=10,
-        seed=seed,
-    ).fit(vectors.select("features", label).filter(F.col(label).isNotNull()))
+    )
+    trees, stored, weights = [], 0, [1.0] + [params.learning_rate] * (params.trees - 1)
+    for number in range(params.trees):
+        if number - stored == STORED:
+            rows = workspace.materialize(_residuals(rows, trees, weights, stored).drop("_residual"), "boosted")
+            stored = number
+        left = _residuals(rows, trees, weights, stored)
+        if params.row_sample < 1:
+            drawn = F.pmod(F.xxhash64("_row", F.lit(seed + number)), F.lit(1 << 30)) < int(params.row_sample * (1 << 30))
+            left = left.filter(drawn)
+        most, n = left.agg(F.max(F.abs("_residual")), F.count(F.lit(1))).first()
+        left = left.select("features", _on_grid(F.col("_residual"), _grid(most, n, 2)).alias("_residual"))
+        forest = learner.copy({learner.seed: seed + number}).fit(left)
+        trees.append(forest._java_obj.trees()[0])
+    return _ensemble(spark, trees, weights, f"tree_{horizon}d")
+
+
+def _residuals(rows: DataFrame, trees: list, weights: list[float], stored: int) -> DataFrame:
+    """What is left of the label, with the trees that are not in the stored sum; after the first tree the gradient of the squared error."""
+    if trees[stored:]:
+        rows = _ensemble(rows.sparkSession, trees[stored:], weights[stored : len(trees)], "_more").transform(rows)
+        rows = rows.withColumn("_sum", F.col("_sum") + F.col("_more")).drop("_more")
+    return rows.withColumn("_residual", (F.col("_label") - F.col("_sum")) * (2.0 if trees else 1.0))
 
 
 def draw_trials(spark: SparkSession, count: int = TRIAL_COUNT, seed: int = SEED, ranges=TRIAL_RANGES) -> DataFrame:

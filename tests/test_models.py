@@ -4,6 +4,7 @@ from datetime import date, timedelta
 
 import numpy as np
 import pytest
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from daymill import schemas, workspace
@@ -352,3 +353,33 @@ def test_seasonal_sums_add_up(spark):
     for r in seasonal.equations(whole, seasonal.solve_sums(whole)).filter("city = 'A'").collect():
         assert abs(r.with_values - r.with_fit) < 1e-6
     assert seasonal.fit_seasonal(df.filter("false")).count() == 0
+
+
+@pytest.mark.parametrize("share", [1.0, 0.8])
+def test_trees_are_the_same_in_any_order_and_dealing_of_rows(spark, share):
+    """Rows have splits that part them alike; last digits of sums that are added up in another order must not choose among them."""
+    draw = np.random.default_rng(3)
+    x = draw.normal(size=(600, 8)).round(1)
+    y = 3 * x[:, 0] + x[:, 1] * x[:, 2] + draw.normal(size=600)
+    rows = [(i, Vectors.dense(v), float(t)) for i, (v, t) in enumerate(zip(x, y))]
+    made = lambda part: spark.createDataFrame(part, ["id", "features", "target_1d"])
+    train, new = workspace.materialize(made(rows[:400]).repartition(4, "id"), "rows"), made(rows[400:])
+    other = workspace.materialize(train.repartition(7, F.rand(5)), "rows")
+    params = trees.TreeParams(trees=12, depth=5, row_sample=share)
+    got = [
+        [r.tree_1d for r in trees.fit_trees(part, 1, params).transform(new).orderBy("id").collect()] for part in (train, other)
+    ]
+    np.testing.assert_allclose(got[0], got[1], rtol=1e-9)
+    assert np.corrcoef(got[0], y[400:])[0, 1] > 0.8
+
+
+def test_exact_grids():
+    """The sum of a million values, and of their squares, is the same in any order."""
+    value = np.random.default_rng(4).normal(size=1_000_000) * 37
+    for powers in (1, 2):
+        grid = trees._grid(float(np.abs(value).max()), len(value), powers)
+        on = np.rint(value / grid) * grid
+        for v in (on, on**2)[:powers]:
+            assert sum(v.tolist()) == sum(sorted(v.tolist())) == sum(v[::-1].tolist())
+        assert np.abs(on - value).max() <= grid / 2 < 2e-5 * np.abs(value).max()
+    assert trees._grid(None, 5, 2) == trees._grid(math.inf, 5, 2) == 0.0
