@@ -15,7 +15,9 @@ from daymill.llm.common import bound_batches, free_name, gathered
 
 DROPOUT = 0.1
 SHARED = 32  # characters of chunks whose segmentations are shared by occurrences; longer ones are segmented one by one, alike
-ROWS = 1 << 15  # of them, or of occurrences, at once
+ROWS = 1 << 14  # of them, or of occurrences, at once
+TOKENS = 1 << 17  # decoded at once, or those of one text
+SENT = 1000  # rows of a batch that is handed on
 
 CHUNK = re.compile(" +[^ ]*")
 MASK = (1 << 64) - 1
@@ -23,6 +25,7 @@ FIRST, SECOND, THIRD = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xBF58476D1CE4E5B
 SLOTS = 20  # bits of the pair table
 NONE, NEVER = np.int32(-1), np.int32(2**31 - 1)
 _held: dict[str, "Pieces"] = {}
+_plain: dict[str, "Pieces"] = {}
 
 
 class Pieces:
@@ -53,6 +56,9 @@ class Pieces:
                 piece = piece.replace("\u2581", " ")
                 self.id_of[piece] = i
                 self.bytes_of.append(piece.encode())
+        self.all_bytes = np.frombuffer(b"".join(self.bytes_of), np.uint8)
+        self.byte_counts = np.fromiter(map(len, self.bytes_of), np.int64, size)
+        self.byte_starts = np.cumsum(self.byte_counts) - self.byte_counts
 
     @classmethod
     def of(cls, path: str) -> "Pieces":
@@ -62,13 +68,17 @@ class Pieces:
             _held[path]._make_pairs()
         return _held[path]
 
+    @classmethod
+    def for_decoding(cls, path: str) -> "Pieces":
+        """Without the tables that only encoding needs."""
+        if path not in _held and path not in _plain:
+            _plain[path] = cls(path)
+        return _held.get(path) or _plain[path]
+
     def _make_pairs(self) -> None:
         """A hash table from pairs of pieces to the piece they make, the order of pieces, and the ids of single characters."""
         size = len(self.bytes_of)
         self.size = np.int64(size)
-        self.all_bytes = np.frombuffer(b"".join(self.bytes_of), np.uint8)
-        self.byte_counts = np.fromiter(map(len, self.bytes_of), np.int64, size)
-        self.byte_starts = np.cumsum(self.byte_counts) - self.byte_counts
         self.order = np.argsort(np.argsort(self.priority, kind="stable"), kind="stable").astype(np.int32)
         self.slot_key = np.full(1 << SLOTS, -1, np.int64)
         self.slot_piece = np.full(1 << SLOTS, NONE, np.int32)
@@ -86,7 +96,16 @@ class Pieces:
         self.single = {ord(p): i for p, i in self.id_of.items() if len(p) == 1}
 
     def texts(self, ids: np.ndarray, counts: np.ndarray) -> list[str]:
-        """The text of each run of ids: their bytes one after the other, without the first blank."""
+        """The text of each run of ids: their bytes one after the other, without the first blank. Few runs at a time, as each
+        byte takes some numbers meanwhile."""
+        ends, out, first = np.concatenate([[0], np.cumsum(counts)]), [], 0
+        while first < len(counts):
+            last = max(first + 1, int(np.searchsorted(ends, ends[first] + TOKENS, "right")) - 1)
+            out.extend(self._texts(ids[ends[first] : ends[last]], counts[first:last]))
+            first = last
+        return out
+
+    def _texts(self, ids: np.ndarray, counts: np.ndarray) -> list[str]:
         n = self.byte_counts[ids]
         data = self.all_bytes[ragged(self.byte_starts[ids], n)].tobytes()
         ends = np.concatenate([[0], np.cumsum(n)])[np.concatenate([[0], np.cumsum(counts)])].tolist()
@@ -311,31 +330,44 @@ def encode(docs: DataFrame, model_path: str, *, dropout: float = DROPOUT, seed:
     schema = StructType([*docs.schema.fields, StructField(to, ArrayType(IntegerType()))])
     skip_below, kept = min(int(dropout * MASK), MASK), docs.columns
 
+    def encoded(pieces, held):
+        """A function of its own, so that what it holds is free before the next texts are gathered."""
+        texts = held.column(text_col).to_pylist()
+        marks = held.column(key_col).to_numpy().astype(np.uint64)
+        number: dict[str, int] = {}
+        codes, lengths = [], np.zeros(len(texts), np.int64)
+        for i, text in enumerate(texts):
+            if text:
+                found = CHUNK.findall(" " + text)
+                lengths[i] = len(found)
+                codes.extend([number.setdefault(c, len(number)) for c in found])
+        del texts
+        codes = np.array(codes, np.int64)
+        ends = np.cumsum(lengths)
+        place = np.arange(len(codes), dtype=np.uint64) - np.repeat(ends - lengths, lengths).astype(np.uint64)
+        mixed = (np.repeat(marks, lengths) + place * np.uint64(0x9E3779B97F4A7C15)) * np.uint64(0xBF58476D1CE4E5B9)
+        del place
+        mixed ^= mixed >> np.uint64(32)
+        parts, at = pieces.encode_occurrences(list(number), codes, mixed, skip_below)
+        del number, codes, mixed
+        counts = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
+        flat = np.frombuffer(b"".join(parts), "<i4")
+        del parts
+        total = np.concatenate([[0], np.cumsum(counts[at])])
+        ids = flat[ragged((np.cumsum(counts) - counts)[at], counts[at])]
+        offsets = np.concatenate([[0], total[ends]]).astype(np.int32)
+        lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids, pa.int32()))
+        columns = [held.column(c).combine_chunks() for c in kept]
+        return pa.RecordBatch.from_arrays([*columns, lists], names=schema.names)
+
     def run(batches):
         pieces = Pieces.of(model_path)
         for held in gathered(batches, text_col):
-            texts = held.column(text_col).to_pylist()
-            marks = held.column(key_col).to_numpy().astype(np.uint64)
-            number: dict[str, int] = {}
-            codes, lengths = [], np.zeros(len(texts), np.int64)
-            for i, text in enumerate(texts):
-                if text:
-                    found = CHUNK.findall(" " + text)
-                    lengths[i] = len(found)
-                    codes.extend([number.setdefault(c, len(number)) for c in found])
-            codes = np.array(codes, np.int64)
-            ends = np.cumsum(lengths)
-            place = np.arange(len(codes), dtype=np.uint64) - np.repeat(ends - lengths, lengths).astype(np.uint64)
-            mixed = (np.repeat(marks, lengths) + place * np.uint64(0x9E3779B97F4A7C15)) * np.uint64(0xBF58476D1CE4E5B9)
-            parts, at = pieces.encode_occurrences(list(number), codes, mixed ^ (mixed >> np.uint64(32)), skip_below)
-            counts = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
-            flat = np.frombuffer(b"".join(parts), "<i4")
-            ids = flat[ragged((np.cumsum(counts) - counts)[at], counts[at])]
-            total = np.concatenate([[0], np.cumsum(counts[at])])
-            offsets = np.concatenate([[0], total[ends]]).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids, pa.int32()))
-            columns = [held.column(c).combine_chunks() for c in kept]
-            yield pa.RecordBatch.from_arrays([*columns, lists], names=schema.names)
+            whole = encoded(pieces, held)
+            del held
+            for first in range(0, len(whole), SENT):
+                yield whole.slice(first, SENT)
+            del whole
 
     return docs.withColumn(key_col, key).mapInArrow(run, schema)
 
@@ -348,7 +380,7 @@ def decode(encoded: DataFrame, model_path: str, *, ids_col: str = "ids", to: str
     schema = StructType([*encoded.schema.fields, StructField(to, StringType())])
 
     def run(batches):
-        pieces = Pieces.of(model_path)
+        pieces = Pieces.for_decoding(model_path)
         for batch in batches:
             lists = batch.column(ids_col)
             counts = pc.fill_null(pc.list_value_length(lists), 0).to_numpy().astype(np.int64)

@@ -499,3 +499,18 @@ def test_exact_dedup_keeps_little_of_many_rows():
             held.append((content, best.n, best.id, best.gids))
     assert len(held) == 10_001 and next(h for h in held if h[0] == b"hot")[1:3] == (20_000, 29_999)
     assert all(len(h[3]) == 1 for h in held)
+
+
+def test_decoding_holds_few_texts_at_once():
+    import tracemalloc
+
+    pieces = sentencepiece_dropout.Pieces.of(PIECES)
+    plain = [i for p, i in pieces.id_of.items() if p.isascii() and p.startswith(" ")]
+    ids = np.resize(np.array(plain), 1_500_000)
+    counts = np.full(3000, 500)
+    tracemalloc.start()
+    texts = pieces.texts(ids, counts)
+    _, most = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert len(texts) == 3000 and texts[7] == b"".join(pieces.bytes_of[i] for i in ids[3500:4000])[1:].decode()
+    assert most < 60 << 20
