@@ -45,7 +45,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens and ids of every row, whole texts."""
     workspace.use_own_root(spark)
-    encoded = sentencepiece_dropout.encode(docs.select("doc_id", "text"), public_tokenizers.path("piece_bpe_32k.model"))
+    encoded = sentencepiece_dropout.encode(docs.select("doc_id", "text"), public_tokenizers.path("piece_bpe_32k.model"), at_once=common.SMALL_BYTES)
     return encoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids")
 
 

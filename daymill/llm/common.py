@@ -1,6 +1,7 @@
 """What the operators share: the input tables, Arrow batches of bounded size, hold-out, links to components."""
 
-from collections.abc import Iterable, Iterator
+import ctypes
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,16 +12,18 @@ from daymill import workspace
 # White space of the word contracts: words are runs of anything else.
 WORD = r"[^\x20\x09-\x0D]+"
 BATCH_ROWS, BATCH_BYTES = 2000, 8 << 20
+SMALL_BYTES = 2 << 20  # of batches and of texts at once, where other stages share the executors
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def bound_batches(spark: SparkSession) -> None:
-    """Arrow batches are bounded in rows and bytes, so that long texts do not add up in a worker."""
+def bound_batches(spark: SparkSession, size: int = BATCH_BYTES) -> None:
+    """Arrow batches are bounded in rows and bytes, so that long texts do not add up in a worker, nor their buffers outside
+    the heap of the executor, which keeps what it once took."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(size))
 
 
 def free_name(df: DataFrame, name: str) -> str:
@@ -54,6 +57,25 @@ def gathered(batches: Iterable[pa.RecordBatch], text_col: str = "text", limit: i
         yield pa.Table.from_batches(held)
 
 
+def give_back() -> None:
+    """Return freed memory to the system: Arrow's pool and, where the C library can, what small objects have left in its heap."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def lean(run: Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """`run` for mapInArrow, after whose last batch the worker gives its memory back. Spark keeps workers for the tasks to
+    come, of other stages as well, so what one holds for nothing adds to the executor's memory all the while."""
+
+    def whole(batches):
+        yield from run(batches)
+        give_back()
+
+    return whole
+
+
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(id, component_id) for every id in a link: component_id is the smallest id it can reach.
 

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, LongType, StringType, StructField, StructType
 
 from daymill import workspace
-from daymill.llm.common import BATCH_ROWS, bound_batches
+from daymill.llm.common import BATCH_ROWS, SMALL_BYTES, bound_batches, lean
 
 TABLE_BYTES = 64 << 20
 FANOUT = 16
@@ -171,13 +171,13 @@ def _in_tasks(docs: DataFrame, id_col: str, text_col: str, limit: int) -> DataFr
             else:
                 out.append((best.gid, True, best.id, best.at, None, best.n, hashlib.sha256(content).hexdigest(), content.decode("utf-8"), None))
                 size += len(content)
-            if size > 8 << 20 or len(out) >= BATCH_ROWS:
+            if size > SMALL_BYTES or len(out) >= BATCH_ROWS:
                 yield arrow(out)
                 out, size = [], 0
         if out:
             yield arrow(out)
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(lean(run), schema)
 
 
 def _across(reps: DataFrame, limit: int) -> DataFrame:
@@ -216,7 +216,7 @@ def _across(reps: DataFrame, limit: int) -> DataFrame:
         if out:
             yield arrow(out)
 
-    return reps.select("gid", "n", "id", "at", "sha", "text").repartition(F.col("sha")).mapInArrow(run, schema)
+    return reps.select("gid", "n", "id", "at", "sha", "text").repartition(F.col("sha")).mapInArrow(lean(run), schema)
 
 
 class ExactDedup:
@@ -230,7 +230,7 @@ class ExactDedup:
     """
 
     def __init__(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", limit: int = TABLE_BYTES):
-        bound_batches(docs.sparkSession)
+        bound_batches(docs.sparkSession, SMALL_BYTES)
         self.columns, self.id_col, self.text_col = docs.columns, id_col, text_col
         self.parts = workspace.materialize(_in_tasks(docs, id_col, text_col, limit), "contents")
         self.reps, self.members = self.parts.filter("rep"), self.parts.filter("not rep")

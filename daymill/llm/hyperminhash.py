@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType, ShortType, StructField, StructType
 
 from daymill import workspace
-from daymill.llm.common import bound_batches, components, gathered
+from daymill.llm.common import SMALL_BYTES, bound_batches, components, gathered, lean
 
 SHINGLE_WORDS = 5
 # A sketch has BUCKETS registers, each of 6 bits of leading zeros and MANTISSA bits after the leading one. ROWS registers
@@ -106,7 +106,7 @@ def sketch(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     )
 
     def run(batches):
-        for held in gathered(batches, text_col):
+        for held in gathered(batches, text_col, SMALL_BYTES):
             shingles, counts = shingle_sets(held.column(text_col))
             regs = registers(shingles, counts)
             keys, some = band_keys(regs)
@@ -119,7 +119,7 @@ def sketch(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             ids = held.column(id_col).combine_chunks()
             yield pa.RecordBatch.from_arrays([ids, pa.array(counts), pa.array(digests, pa.binary()), bands, cells], names=schema.names)
 
-    return docs.select(id_col, text_col).mapInArrow(run, schema)
+    return docs.select(id_col, text_col).mapInArrow(lean(run), schema)
 
 
 def _sets(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -127,14 +127,14 @@ def _sets(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str) -> DataFr
     schema = StructType([StructField("id", docs.schema[id_col].dataType), StructField("shingles", ArrayType(LongType()))])
 
     def run(batches):
-        for held in gathered(batches, "text"):
+        for held in gathered(batches, "text", SMALL_BYTES):
             shingles, counts = shingle_sets(held.column("text"))
             offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(shingles.view(np.int64)))
             yield pa.RecordBatch.from_arrays([held.column("id").combine_chunks(), lists], names=schema.names)
 
     wanted = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(ids, "id", "left_semi")
-    return wanted.mapInArrow(run, schema)
+    return wanted.mapInArrow(lean(run), schema)
 
 
 def likely(percent: int) -> Column:
@@ -305,7 +305,7 @@ class NearDuplicates:
     """
 
     def __init__(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 75):
-        bound_batches(docs.sparkSession)
+        bound_batches(docs.sparkSession, SMALL_BYTES)
         self.id_col, self.percent = id_col, percent
         self.sketches = workspace.materialize(sketch(docs, id_col, text_col), "sketches")
         usable = self.sketches.filter("n_shingles > 0 and id is not null")
@@ -361,10 +361,10 @@ class NearDuplicates:
         rows = workspace.materialize(one.unionByName(two.select(one.columns)).join(self.regs.hint("merge"), "id"), "open-members")
         dealt = lambda frame: frame.repartition(*OpenGroups.KEYS).sortWithinPartitions(*OpenGroups.KEYS, "side", "id")
         some = StructType([rows.schema[c] for c in (*OpenGroups.KEYS, "side", "id")])
-        some = workspace.materialize(dealt(rows).mapInArrow(_candidates(self.percent), some), "likely-members")
+        some = workspace.materialize(dealt(rows).mapInArrow(lean(_candidates(self.percent)), some), "likely-members")
         whole = rows.join(some, [*OpenGroups.KEYS, "side", "id"], "left_semi").join(self.sets.hint("merge"), "id")
         links = StructType([StructField("a", LongType()), StructField("b", LongType())])
-        return workspace.materialize(dealt(whole).mapInArrow(_linked_parts(self.percent), links), "linked-groups")
+        return workspace.materialize(dealt(whole).mapInArrow(lean(_linked_parts(self.percent)), links), "linked-groups")
 
     def confirmed(self, pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) whose whole sets are similar enough."""

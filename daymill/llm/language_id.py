@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
 
 from daymill import workspace
-from daymill.llm.common import bound_batches
+from daymill.llm.common import SMALL_BYTES, bound_batches, lean
 from daymill.llm.sampling import labelled_sample
 
 BUCKETS = 1 << 13  # of hashed n-grams
@@ -24,7 +24,7 @@ SLOTS = 64  # sums of centroids that leave a task at once, 4 MB
 # length reach: two in a thousand, none where there are fewer.
 REJECT_SHARE, REJECT_QUANTILE = 0.5, 0.002
 LENGTH_BINS = 24  # by powers of two of the number of letters
-GROUP_DOCS, GROUP_CHARS = 256, 1 << 21
+GROUP_DOCS, GROUP_CHARS = 64, 1 << 19  # at once: a text takes 64 KB for each array of counts, a character some 100 bytes
 
 UNKNOWN = "und"
 _LETTERS = None
@@ -129,7 +129,7 @@ def fit(labelled: DataFrame, *, text_col: str = "text", lang_col: str = "lang",
     the result (centroid, or length bin), rows are added up in the cluster, and the driver gets each row once, which is
     the model's own size. Rows without language or letters do not count; without any row the model knows no language.
     """
-    bound_batches(labelled.sparkSession)
+    bound_batches(labelled.sparkSession, SMALL_BYTES)
     rows = labelled.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).filter("lang is not null and text is not null")
     sample = labelled_sample(rows, "lang", per_language).dropDuplicates(["lang", "text"]).repartition(SAMPLE_TASKS)
     sample = workspace.materialize(sample, "language-sample").coalesce(SAMPLE_TASKS)
@@ -161,7 +161,7 @@ def fit(labelled: DataFrame, *, text_col: str = "text", lang_col: str = "lang",
             return pa.table({"slot": rows.column("slot").slice(0, 1), "sums": pa.array([total.tobytes()], pa.binary())})
 
         total = np.zeros(shape)
-        parts = sample.select("text", "lang").mapInArrow(run, "slot int, task int, sums binary")
+        parts = sample.select("text", "lang").mapInArrow(lean(run), "slot int, task int, sums binary")
         for row in parts.groupBy("slot").applyInArrow(add, "slot int, sums binary").collect():
             total[row.slot] = np.frombuffer(bytes(row.sums), "<f8")
         return total
@@ -214,7 +214,7 @@ def fit(labelled: DataFrame, *, text_col: str = "text", lang_col: str = "lang",
 def predict(docs: DataFrame, model: LanguageModel, *, text_col: str = "text") -> DataFrame:
     """`docs` with lang_pred, score (cosine, 0 to 1) and rejected. Null texts and texts without a letter are
     `und`, score 0, rejected. Columns of these names are replaced. A model's size depends on languages and buckets only."""
-    bound_batches(docs.sparkSession)
+    bound_batches(docs.sparkSession, SMALL_BYTES)
     added = [StructField("lang_pred", StringType()), StructField("score", DoubleType()), StructField("rejected", BooleanType())]
     docs = docs.drop(*[f.name for f in added])
     schema = StructType([*docs.schema.fields, *added])
@@ -226,4 +226,4 @@ def predict(docs: DataFrame, model: LanguageModel, *, text_col: str = "text") ->
             columns = [*batch.columns, pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(rejected, pa.bool_())]
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(lean(run), schema)

@@ -11,13 +11,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 from daymill.llm.chunks import ragged
-from daymill.llm.common import bound_batches, free_name, gathered
+from daymill.llm.common import BATCH_BYTES, bound_batches, free_name, gathered, lean
 
 DROPOUT = 0.1
 SHARED = 32  # characters of chunks whose segmentations are shared by occurrences; longer ones are segmented one by one, alike
 ROWS = 1 << 14  # of them, or of occurrences, at once
 TOKENS = 1 << 17  # decoded at once, or those of one text
-SENT = 1000  # rows of a batch that is handed on
+SENT = 250  # rows of a batch that is handed on
 
 CHUNK = re.compile(" +[^ ]*")
 MASK = (1 << 64) - 1
@@ -314,16 +314,16 @@ class Pieces:
 
 
 def encode(docs: DataFrame, model_path: str, *, dropout: float = DROPOUT, seed: int = 0, id_col: str = "doc_id",
-           text_col: str = "text", to: str = "ids") -> DataFrame:
+           text_col: str = "text", to: str = "ids", at_once: int = BATCH_BYTES) -> DataFrame:
     """`docs` with the ids of each whole text in column `to`.
 
     The model puts a blank before the text, and no piece holds a blank after another character, so texts fall into
     chunks of blanks and what follows them; each chunk is a segmentation of its own. Each occurrence of a chunk gets its own
     key by a hash of seed, document id, text and place, so the same input and seed give the same ids in
     any order and number of tasks, and copies with other ids other segmentations. Occurrences that skip the same merges
-    share a segmentation. With dropout 0 the ids are those of the library. Null and empty texts have no ids; rows may repeat; a column named as `to` is replaced.
+    share a segmentation; about `at_once` bytes of texts are in memory, whatever their ids. With dropout 0 the ids are those of the library. Null and empty texts have no ids; rows may repeat; a column named as `to` is replaced.
     """
-    bound_batches(docs.sparkSession)
+    bound_batches(docs.sparkSession, at_once)
     docs = docs.drop(to)
     key_col = free_name(docs, "__segment_key")
     key = F.xxhash64(F.lit(seed), F.col(id_col), F.col(text_col))
@@ -362,14 +362,14 @@ def encode(docs: DataFrame, model_path: str, *, dropout: float = DROPOUT, seed:
 
     def run(batches):
         pieces = Pieces.of(model_path)
-        for held in gathered(batches, text_col):
+        for held in gathered(batches, text_col, at_once * 3 // 4):
             whole = encoded(pieces, held)
             del held
             for first in range(0, len(whole), SENT):
                 yield whole.slice(first, SENT)
             del whole
 
-    return docs.withColumn(key_col, key).mapInArrow(run, schema)
+    return docs.withColumn(key_col, key).mapInArrow(lean(run), schema)
 
 
 def decode(encoded: DataFrame, model_path: str, *, ids_col: str = "ids", to: str = "decoded") -> DataFrame:
@@ -387,4 +387,4 @@ def decode(encoded: DataFrame, model_path: str, *, ids_col: str = "ids", to: str
             texts = pieces.texts(lists.flatten().to_numpy(), counts)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=schema.names)
 
-    return encoded.mapInArrow(run, schema)
+    return encoded.mapInArrow(lean(run), schema)

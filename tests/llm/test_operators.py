@@ -1,5 +1,7 @@
 """Operators on small tables: nulls, empty and long texts, ties, repeated rows, empty tables, clashing names."""
 
+import ctypes
+import gc
 import os
 import random
 import tempfile
@@ -514,3 +516,60 @@ def test_decoding_holds_few_texts_at_once():
     tracemalloc.stop()
     assert len(texts) == 3000 and texts[7] == b"".join(pieces.bytes_of[i] for i in ids[3500:4000])[1:].decode()
     assert most < 60 << 20
+
+
+def anonymous_mb() -> float:
+    with open("/proc/self/status") as f:
+        return int(next(x for x in f if x.startswith("RssAnon")).split()[1]) / 1024
+
+
+@pytest.mark.skipif(not os.path.exists("/proc/self/status") or not hasattr(ctypes.CDLL(None), "malloc_trim"), reason="needs Linux with glibc")
+@pytest.mark.parametrize("which, most", [("sketch", 25), ("encode", 90)])
+def test_workers_give_memory_back(spark, monkeypatch, which, most):
+    """What a task's function has freed is the system's again when its rows end: workers stay, beside the executor's heap."""
+    frame, caught = spark.createDataFrame([(1, "a")], "doc_id long, text string"), []
+    monkeypatch.setattr(type(frame), "mapInArrow", lambda self, run, *rest: caught.append(run) or self)
+    if which == "sketch":
+        hyperminhash.sketch(frame, "doc_id", "text")
+    else:
+        sentencepiece_dropout.encode(frame, PIECES)
+    random.seed(2)
+
+    def batches(n):
+        for i in range(n):
+            texts = [" ".join(f"{random.getrandbits(32):x}" for _ in range(400)) for _ in range(400)]
+            ids = pa.array(range(400 * i, 400 * i + 400), pa.int64())
+            key = [ids] if which == "encode" else []
+            yield pa.RecordBatch.from_arrays([ids, pa.array(texts), *key], names=["doc_id", "text", "__segment_key"][: 2 + len(key)])
+
+    for n in (1, 4):  # the first loads what stays
+        for _ in caught[0](batches(n)):
+            pass
+        del _
+        gc.collect()
+        if n == 1:
+            pa.default_memory_pool().release_unused()
+            ctypes.CDLL(None).malloc_trim(0)
+            before = anonymous_mb()
+    assert anonymous_mb() - before < most
+
+
+def test_language_takes_few_texts_at_once():
+    import tracemalloc
+
+    model = language_id.LanguageModel(["a"], np.ones(language_id.BUCKETS, np.float32), np.ones((1, language_id.CENTROIDS, language_id.BUCKETS), np.float32), np.zeros(language_id.LENGTH_BINS))
+    texts = ["word and word " * 250] * 512
+    language_id.letters_table()
+    tracemalloc.start()
+    names, scores, _ = model.predict(texts)
+    _, most = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert names == ["a"] * 512 and len(set(scores)) == 1
+    assert most < 40 << 20
+
+
+def test_ids_do_not_depend_on_texts_at_once(spark, odd):
+    encoded = [
+        sorted(map(str, sentencepiece_dropout.encode(odd.select("doc_id", "text"), PIECES, **some).collect())) for some in ({}, {"at_once": 1}, {"at_once": common.SMALL_BYTES})
+    ]
+    assert encoded[0] == encoded[1] == encoded[2]
