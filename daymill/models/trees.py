@@ -1,6 +1,8 @@
-"""Boosted trees with MLlib: one fit per horizon over all cities, and a random search."""
+"""Boosted trees as MLlib has them: one fit per horizon over all cities, and a random search."""
 
+import json
 import math
+import time
 import uuid
 from dataclasses import asdict, dataclass, replace
 from multiprocessing.pool import ThreadPool
@@ -20,6 +22,8 @@ from daymill.constants import (
     TRIAL_RANGES,
     target_name,
 )
+from daymill.models import boosting
+from daymill.models.boosting import _grid
 from daymill.operators.aggregate import first_per_key
 from daymill.operators.metrics import regression_metrics
 
@@ -27,6 +31,7 @@ LEVEL = "city_level"
 NULLABLE = [f for f in MODEL_FEATURES if f not in CALENDAR_FEATURES] + [LEVEL]
 SEED = 42
 STORED = 10  # trees between two writes of their sum
+TASK_CELLS = 1 << 23  # rows times features that one task boosts, some 190,000 rows; at most some 300 MB of a worker's memory
 PARALLELISM = 4  # fits, saves and loads under way at a time; each is a distributed job
 
 
@@ -68,14 +73,6 @@ def fit_inputs(train: DataFrame) -> PipelineModel:
     ).fit(_summable(train, kept))
 
 
-def _grid(size: float | None, rows: int, powers: int) -> float:
-    """The finest power of two of whose multiples, none above `size`, sums over `rows` are exact in doubles: of the values, or
-    with `powers` 2 of their squares too. Exact sums are the same in any order, and shuffled blocks come in any order."""
-    if not size or not math.isfinite(size):
-        return 0.0
-    return math.ldexp(1.0, math.ceil(math.log2(size) + (math.log2(max(rows, 1)) - 52) / powers))
-
-
 def _on_grid(value: Column, grid: float) -> Column:
     return F.rint(value / grid) * grid if grid else value
 
@@ -97,11 +94,15 @@ def _ensemble(spark: SparkSession, trees: list, weights: list[float], name: str)
     return GBTRegressionModel(model.setFeaturesCol("features").setPredictionCol(name))
 
 
+def _keyed(rows: DataFrame) -> DataFrame:
+    """With the values of the vector, and a hash of the row, by which trees draw their samples."""
+    return rows.withColumn("_x", vector_to_array("features")).withColumn("_row", F.xxhash64("_x", "_label"))
+
+
 def _dealt(rows: DataFrame) -> DataFrame:
     """Rows in tasks and in an order that their values alone decide: MLlib draws the candidates of splits by task and place."""
     tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    keyed = rows.withColumn("_x", vector_to_array("features")).withColumn("_row", F.xxhash64("_x", "_label"))
-    return keyed.repartition(tasks, "_row").sortWithinPartitions("_row", "_x", "_label").drop("_x")
+    return _keyed(rows).repartition(tasks, "_row").sortWithinPartitions("_row", "_x", "_label").drop("_x")
 
 
 def fit_trees(vectors: DataFrame, horizon: int, params: TreeParams, seed: int = SEED) -> GBTRegressionModel:
@@ -109,16 +110,63 @@ def fit_trees(vectors: DataFrame, horizon: int, params: TreeParams, seed: int =
 
     GBTRegressor adds residuals up in the order in which blocks arrive, and last digits decide among splits that part the
     rows alike. Here the residuals of each tree lie on a grid on which their sums are exact. The sample of a tree goes by a hash of
-    the row. The sum of the trees so far is stored with the rows every STORED trees.
+    the row. Up to TASK_CELLS, one task boosts all rows of the horizon (`boosting`), in a few jobs; more rows stay where they
+    are, and MLlib's learner grows the trees level by level. Both give the same trees; only where MLlib looks for thresholds
+    in a sample (over 10,000 rows) does the task take all rows.
     """
-    spark = vectors.sparkSession
     label = target_name(horizon)
     rows = vectors.select("features", F.col(label).cast("double").alias("_label")).filter(F.col(label).isNotNull())
-    rows = workspace.materialize(_dealt(rows.withColumn("_sum", F.lit(0.0))), "boosted")
     learner = RandomForestRegressor(
         labelCol="_residual", featuresCol="features", numTrees=1, bootstrap=False, subsamplingRate=1.0, maxDepth=params.depth,
         featureSubsetStrategy=str(params.column_sample) if params.column_sample < 1 else "all",
     )
+    fit = _boost_in_a_task if params.trees > 0 and _fits_a_task(rows) else _boost_by_levels
+    return fit(rows, learner, params, seed, f"tree_{horizon}d")
+
+
+def _fits_a_task(rows: DataFrame) -> bool:
+    """Rows of one width and at most TASK_CELLS, with finite values; the others MLlib takes or refuses."""
+    x = vector_to_array("features")
+    finite = lambda v: ~F.isnan(v) & (F.abs(v) < float("inf"))
+    sound = F.coalesce(F.forall(x, finite) & finite(F.col("_label")), F.lit(False))
+    width = F.size(x)
+    cells, least, most, all_sound = rows.agg(F.sum(width), F.min(width), F.max(width), F.every(sound)).first()
+    return bool(all_sound) and least == most and 0 < cells <= TASK_CELLS
+
+
+def _drawn(params: TreeParams, seed) -> Column:
+    """Whether the tree of this seed takes a row."""
+    return F.pmod(F.xxhash64("_row", seed), F.lit(1 << 30)) < int(params.row_sample * (1 << 30))
+
+
+def _boost_in_a_task(rows: DataFrame, learner: RandomForestRegressor, params: TreeParams, seed: int, name: str) -> GBTRegressionModel:
+    """All rows in one task, which writes the trees in MLlib's layout of stored ones."""
+    spark = rows.sparkSession
+    path = workspace.new_path(spark, "trees")
+    columns = [vector_to_array("features").alias("x"), F.col("_label").alias("label")]
+    if params.row_sample < 1:
+        numbers = F.sequence(F.lit(seed), F.lit(seed + params.trees - 1))
+        columns.append(F.transform(numbers, lambda number: _drawn(params, number)).alias("drawn"))
+    given = _keyed(rows).select(*columns).repartition(1)
+    given.mapInArrow(boosting.booster(**asdict(params), seed=seed), boosting.NODES).write.parquet(f"{path}/data")
+    kind, now = "org.apache.spark.ml.regression.", int(time.time() * 1000)
+    about = {"timestamp": now, "sparkVersion": spark.version, "defaultParamMap": {"impurity": "variance"}, "numFeatures": -1}
+    tree = about | {"class": f"{kind}DecisionTreeRegressionModel", "paramMap": {"featuresCol": "features", "maxDepth": params.depth}}
+    whole = about | {"class": f"{kind}GBTRegressionModel", "paramMap": {"featuresCol": "features", "predictionCol": name}}
+    whole |= {"uid": f"GBTRegressor_{uuid.uuid4().hex[:12]}", "numTrees": params.trees}
+    weight = F.when(F.col("id") == 0, 1.0).otherwise(float(params.learning_rate))
+    each = spark.range(0, params.trees, 1, 1).select(
+        F.col("id").cast("int").alias("_1"), F.lit(json.dumps(tree | {"uid": f"dtr_{uuid.uuid4().hex[:12]}"})).alias("_2"), weight.alias("_3")
+    )
+    each.write.parquet(f"{path}/treesMetadata")
+    spark.range(0, 1, 1, 1).select(F.lit(json.dumps(whole)).alias("value")).write.text(f"{path}/metadata")
+    return GBTRegressionModel.load(path)
+
+
+def _boost_by_levels(rows: DataFrame, learner: RandomForestRegressor, params: TreeParams, seed: int, name: str) -> GBTRegressionModel:
+    """Rows of any number. The sum of the trees so far is stored with them every STORED trees."""
+    spark = rows.sparkSession
+    rows = workspace.materialize(_dealt(rows.withColumn("_sum", F.lit(0.0))), "boosted")
     trees, stored, weights = [], 0, [1.0] + [params.learning_rate] * (params.trees - 1)
     for number in range(params.trees):
         if number - stored == STORED:
@@ -126,13 +174,12 @@ def fit_trees(vectors: DataFrame, horizon: int, params: TreeParams, seed: int =
             stored = number
         left = _residuals(rows, trees, weights, stored)
         if params.row_sample < 1:
-            drawn = F.pmod(F.xxhash64("_row", F.lit(seed + number)), F.lit(1 << 30)) < int(params.row_sample * (1 << 30))
-            left = left.filter(drawn)
+            left = left.filter(_drawn(params, F.lit(seed + number)))
         most, n = left.agg(F.max(F.abs("_residual")), F.count(F.lit(1))).first()
         left = left.select("features", _on_grid(F.col("_residual"), _grid(most, n, 2)).alias("_residual"))
         forest = learner.copy({learner.seed: seed + number}).fit(left)
         trees.append(forest._java_obj.trees()[0])
-    return _ensemble(spark, trees, weights, f"tree_{horizon}d")
+    return _ensemble(spark, trees, weights, name)
 
 
 def _residuals(rows: DataFrame, trees: list, weights: list[float], stored: int) -> DataFrame:

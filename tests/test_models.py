@@ -383,3 +383,55 @@ def test_exact_grids():
             assert sum(v.tolist()) == sum(sorted(v.tolist())) == sum(v[::-1].tolist())
         assert np.abs(on - value).max() <= grid / 2 < 2e-5 * np.abs(value).max()
     assert trees._grid(None, 5, 2) == trees._grid(math.inf, 5, 2) == 0.0
+
+
+def _rows(spark, n, label=None):
+    """Vectors with even values, few values, zeros, a constant, and a label with and without ties."""
+    draw = np.random.default_rng(n)
+    x = draw.normal(size=(n, 9))
+    x[:, 1], x[:, 2], x[:, 3] = x[:, 1].round(), np.maximum(x[:, 2], 0), 5.0
+    y = 3 * x[:, 0] + x[:, 1] * x[:, 4] + draw.normal(size=n) if label is None else np.full(n, label)
+    return workspace.materialize(spark.createDataFrame([(Vectors.dense(v), float(t)) for v, t in zip(x, y)], ["features", "target_1d"]), "rows")
+
+
+def _lines(model):
+    return [line.split(": uid")[0] for line in model.toDebugString.split("\n")[1:]] + model.treeWeights
+
+
+@pytest.mark.parametrize(
+    "n, label, params",
+    [
+        (900, None, {"depth": 5}),
+        (700, None, {"depth": 4, "row_sample": 0.7, "column_sample": 0.6}),
+        (20, None, {"depth": 6, "column_sample": 0.3}),
+        (50, 2.5, {"depth": 3}),
+        (1, None, {"depth": 3}),
+    ],
+)
+def test_a_task_grows_the_trees_of_mllib(spark, monkeypatch, n, label, params):
+    rows, params = _rows(spark, n, label), trees.TreeParams(trees=4, **params)
+    got = trees.fit_trees(rows, 1, params, seed=11)
+    monkeypatch.setattr(trees, "TASK_CELLS", 0)
+    want = trees.fit_trees(rows.repartition(5), 1, params, seed=11)
+    assert _lines(got) == _lines(want)
+    scored = [[r.tree_1d for r in m.transform(rows).orderBy("features").collect()] for m in (got, want)]
+    assert scored[0] == scored[1]
+
+
+def test_a_fit_takes_the_same_few_jobs_for_any_number_of_trees(spark):
+    rows, context = _rows(spark, 300), spark.sparkContext
+    context.setJobGroup("few-jobs", "fit")
+    try:
+        model = trees.fit_trees(rows, 1, trees.TreeParams(trees=40, depth=3))
+        jobs = len(context.statusTracker().getJobIdsForGroup("few-jobs"))
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    assert model.getNumTrees == 40 and 0 < jobs < 20
+
+
+def test_rows_that_no_tree_can_take_are_refused(spark):
+    """As MLlib refuses them: no rows, values that are not numbers."""
+    rows = _rows(spark, 30)
+    for bad in (rows.limit(0), rows.withColumn("target_1d", F.lit(float("nan")))):
+        with pytest.raises(Exception):
+            trees.fit_trees(bad, 1, trees.TreeParams(trees=2, depth=2))
